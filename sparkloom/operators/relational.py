@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def best_answers(questions: DataFrame, answers: DataFrame, users: DataFrame, tags: Sequence[str], least_question: float, least_answer: float, limit: int) -> DataFrame:
-    """One row per question: its accepted answer, else the best scored, else the one of least id; left joined to its author.
+    """One row per question: its accepted answer, else the best scored, else the one of least id (and author); left joined to its author.
 
     questions: question_id, tags ('|' between), question_score, accepted_answer_id. answers: answer_id,
     question_id, answer_score, owner_user_id. users: user_id, display_name.
@@ -17,7 +17,7 @@ def best_answers(questions: DataFrame, answers: DataFrame, users: DataFrame, tag
     tagged = questions.where((F.col("question_score") >= least_question) & F.arrays_overlap(F.split(F.lower("tags"), r"\|"), F.array(*map(F.lit, tags))))
     both = tagged.join(answers.where(F.col("answer_score") >= least_answer), "question_id")
     accepted = F.when(F.col("answer_id") == F.col("accepted_answer_id"), 1).otherwise(0)
-    w = Window.partitionBy("question_id").orderBy(accepted.desc(), F.col("answer_score").desc(), "answer_id")
+    w = Window.partitionBy("question_id").orderBy(accepted.desc(), F.col("answer_score").desc(), "answer_id", "owner_user_id")
     best = both.withColumn("answer_rank", F.row_number().over(w)).where("answer_rank = 1").drop("answer_rank")
     named = best.join(users, best["owner_user_id"] == users["user_id"], "left").drop("user_id")
     return named.orderBy(F.col("question_score").desc(), F.col("answer_score").desc(), "question_id").limit(limit)
