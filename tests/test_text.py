@@ -67,7 +67,7 @@ def test_licences(spark):
 def test_blocks(spark):
     assert one(spark, f"x\n{FENCE}yaml\nkind: Pod\n{FENCE}\n{FENCE}yml\na: 1\n{FENCE}", text.extract_yaml) == "kind: Pod\n---\na: 1"
     assert one(spark, "apiVersion: v1\nkind: Pod", text.extract_yaml) == "apiVersion: v1\nkind: Pod"
-    assert one(spark, "From now on\nrun it", text.extract_dockerfile) is None
+    assert one(spark, "From now on\nwe go", text.extract_dockerfile) is None
     assert one(spark, f"{FENCE}\nFROM a\nRUN b\n{FENCE}\n{FENCE}bash\nls\n{FENCE}", text.extract_dockerfile) == "FROM a\nRUN b"
 
 
