@@ -24,7 +24,7 @@ _NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
 def _steps() -> list[tuple[str, str]]:
-    spelled = [(rf" {old} ", f" {new} ") for old, new in sorted(EQUIVALENT, key=lambda x: -len(x[0]))]
+    spelled = [(rf" {old} ", f" {new} ") for old, new in sorted(EQUIVALENT, key=lambda x: (x[0].count(" "), x[0]))]
     return [(_COPYRIGHT, " "), (_RESERVED, " "), (_NOT_WORD, " "), *spelled]
 
 
