@@ -85,12 +85,17 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return key
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Of two sorted arrays of distinct hashes."""
-    k = np.searchsorted(b, a)
-    k[k == len(b)] = 0
-    both = int((b[k] == a).sum())
-    return both / (len(a) + len(b) - both)
+def line_elements(size: int = SHINGLE):
+    """Lines to (hash, line, weight): distinct runs of characters of the normalised line, each of weight 1."""
+
+    def elements(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        h, line = line_shingles([normal(x) for x in lines], size)
+        by = np.lexsort((h, line))
+        h, line = h[by], line[by]
+        new = np.concatenate(([True], (h[1:] != h[:-1]) | (line[1:] != line[:-1])))[: len(h)]
+        return h[new], line[new], np.ones(int(new.sum()))
+
+    return elements
 
 
 def duplicate_lines(docs: DataFrame, similar: float = SIMILARITY, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -187,31 +192,7 @@ def duplicate_lines(docs: DataFrame, similar: float = SIMILARITY, size: int = SH
     shown = holders.join(asked, "row_key").dropDuplicates(["row_key"]).select(F.split("text", "\n").alias("l"), F.explode("asked").alias("a")).select(F.col("a.line").alias("node"), F.get("l", F.col("a.place")).alias("text"))
     texts = Staged(shown, "texts")
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, "a"):
-                src, dst = part.column("src").to_numpy(), part.column("dst").to_numpy()
-                lines = dict(zip(src.tolist(), part.column("a").to_pylist(), strict=True)) | dict(zip(dst.tolist(), part.column("b").to_pylist(), strict=True))
-                place = {n: k for k, n in enumerate(lines)}
-                h, line = line_shingles([normal(x) for x in lines.values()], size)
-                by = np.lexsort((h, line))
-                h, line = h[by], line[by]
-                new = np.concatenate(([True], (h[1:] != h[:-1]) | (line[1:] != line[:-1])))[: len(h)]
-                h, line = h[new], line[new]
-                at = np.searchsorted(line, np.arange(len(lines) + 1))
-                keep = np.zeros(len(src), bool)
-                for k, (a, b) in enumerate(zip(src.tolist(), dst.tolist(), strict=True)):
-                    i, j = place[a], place[b]
-                    m, n = at[i + 1] - at[i], at[j + 1] - at[j]
-                    if min(m, n) >= similar * max(m, n):
-                        keep[k] = jaccard(h[at[i] : at[i + 1]], h[at[j] : at[j + 1]]) >= similar - 1e-12
-                yield pa.RecordBatch.from_arrays([pa.array(src[keep]), pa.array(dst[keep])], ["src", "dst"])
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(texts.df.select(F.col("node").alias("src"), F.col("text").alias("a")), "src").join(texts.df.select(F.col("node").alias("dst"), F.col("text").alias("b")), "dst")
-        return map_arrow(both.select("src", "dst", "a", "b"), check, "src bigint, dst bigint")
-
-    found = classes(members.df, verify, "lines")
+    found = classes(members.df, texts.df, line_elements(size), similar, "lines")
     linked = found.join(found.groupBy("component").count().where("count > 1"), "component").select(F.col("node").alias("line"), "component")
     linked = Staged(linked.join(equal.df, "line").select("line", "component", "first"), "linked")
     first = linked.df.groupBy("component").agg(F.min("first").alias("stays"))

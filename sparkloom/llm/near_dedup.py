@@ -157,16 +157,19 @@ def bands(v: Vectors, idf: Idf, draws: Draws, many: int = BANDS, rows: int = ROW
     return out.view(np.int64)
 
 
-def similarity(v: Vectors, w: np.ndarray, total: np.ndarray, i: int, j: int) -> float:
-    """Weighted Jaccard similarity of two texts of ``v``."""
-    if v.at[i + 1] - v.at[i] > v.at[j + 1] - v.at[j]:
-        i, j = j, i
-    a, b = slice(v.at[i], v.at[i + 1]), slice(v.at[j], v.at[j + 1])
-    k = np.searchsorted(v.hash[b], v.hash[a])
-    k[k == b.stop - b.start] = 0
-    hit = v.hash[b][k] == v.hash[a]
-    both = np.minimum(w[a][hit], w[b][k[hit]]).sum()
-    return float(both / (total[i] + total[j] - both))
+def weighted_elements(idf: Idf, size: int = SHINGLE):
+    """Texts to (hash, text, weight): a shingle that occurs n times is n elements, each with its idf."""
+
+    def elements(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        v = Vectors(texts, size)
+        text = np.repeat(np.arange(len(texts)), np.diff(v.at))
+        h, owner, w = np.repeat(v.hash, v.count), np.repeat(text, v.count), np.repeat(idf.of(v.hash).astype(np.float64), v.count)
+        copy = np.arange(len(h)) - np.repeat(np.cumsum(v.count) - v.count, v.count)
+        h = np.where(copy > 0, mix(h + copy.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), h)
+        by = np.lexsort((h, owner))
+        return h[by], owner[by], w[by]
+
+    return elements
 
 
 def near_classes(docs: DataFrame, similar: float = SIMILARITY, size: int = SHINGLE, many: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -213,26 +216,7 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY, size: int = SHING
         "texts",
     )
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf = shared.value
-        for batch in batches:
-            for part in chunks(batch, "a"):
-                src, dst = part.column("src").to_numpy(), part.column("dst").to_numpy()
-                distinct: dict[int, str] = dict(zip(src.tolist(), part.column("a").to_pylist(), strict=True)) | dict(zip(dst.tolist(), part.column("b").to_pylist(), strict=True))
-                place = {n: k for k, n in enumerate(distinct)}
-                v = Vectors(list(distinct.values()), size)
-                w = v.count * idf.of(v.hash).astype(np.float64)
-                sums = np.concatenate(([0], np.cumsum(w)))
-                total = sums[v.at[1:]] - sums[v.at[:-1]]
-                ok = [similarity(v, w, total, place[a], place[b]) >= similar - 1e-9 if min(x := total[place[a]], y := total[place[b]]) >= similar * max(x, y) - 1e-6 else False for a, b in zip(src.tolist(), dst.tolist(), strict=True)]
-                keep = np.array(ok, bool)
-                yield pa.RecordBatch.from_arrays([pa.array(src[keep]), pa.array(dst[keep])], ["src", "dst"])
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(texts.df.select(F.col("node").alias("src"), F.col("text").alias("a")), "src").join(texts.df.select(F.col("node").alias("dst"), F.col("text").alias("b")), "dst")
-        return map_arrow(both.select("src", "dst", "a", "b"), check, "src bigint, dst bigint")
-
-    found = classes(members.df, verify, "near")
+    found = classes(members.df, texts.df, weighted_elements(idf, size), similar, "near")
     for x in (one, wanted, texts):
         x.drop()
     named = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -190,7 +190,7 @@ def shingle_hashes(words: np.ndarray, at: np.ndarray, size: int) -> tuple[np.nda
     keep = (left >= size) | (np.arange(len(words)) == at[:-1][doc])
     for k in range(size):
         part = np.zeros(len(words), np.uint64)
-        part[: len(words) - k] = words[k:]
+        part[: max(0, len(words) - k)] = words[k:]
         part[left <= k] = 0
         h = h * np.uint64(0x9FB21C651E98DF25) + part
     return mix(h[keep]), doc[keep]
@@ -288,47 +288,140 @@ def hash_text(text: str) -> int:
 # ---------------------------------------------------------------- classes from candidate buckets
 
 
-def classes(members: DataFrame, verify, tag: str) -> DataFrame:
-    """(node, component): components of the verified links between nodes that share a bucket.
+class Sets:
+    """Texts as sets of weighted elements: hashes in rising order for each text, and each text's total weight."""
+
+    def __init__(self, texts: list[str], elements):
+        self.hash, owner, self.weight = elements(texts)
+        self.at = np.searchsorted(owner, np.arange(len(texts) + 1))
+        self.owner = owner
+        sums = np.concatenate((np.zeros(1), np.cumsum(self.weight)))
+        self.total = sums[self.at[1:]] - sums[self.at[:-1]]
+
+    def shared(self, i: int, other: Sets, j: int) -> float:
+        """Weight of what text i has in common with text j of ``other``."""
+        a, b = slice(self.at[i], self.at[i + 1]), slice(other.at[j], other.at[j + 1])
+        if a.start == a.stop or b.start == b.stop:
+            return 0.0
+        k = np.searchsorted(other.hash[b], self.hash[a])
+        k[k == b.stop - b.start] = 0
+        return float(self.weight[a][other.hash[b][k] == self.hash[a]].sum())
+
+    def all_shared(self, other: Sets, columns: int = 8192) -> np.ndarray:
+        """``shared`` of all texts with all texts of ``other``, as matrix products over slices of the common elements."""
+        out = np.zeros((len(self.total), len(other.total)))
+        common = np.intersect1d(self.hash, other.hash)
+        mine, theirs = np.searchsorted(common, self.hash), np.searchsorted(common, other.hash)
+        if not len(common):
+            return out
+        mine[mine == len(common)] = 0
+        theirs[theirs == len(common)] = 0
+        a, b = common[mine] == self.hash, common[theirs] == other.hash
+        for lo in range(0, len(common), columns):
+            width = min(columns, len(common) - lo)
+            x, y = np.zeros((len(self.total), width), np.float32), np.zeros((len(other.total), width), np.float32)
+            i = np.flatnonzero(a & (mine >= lo) & (mine < lo + width))
+            j = np.flatnonzero(b & (theirs >= lo) & (theirs < lo + width))
+            x[self.owner[i], mine[i] - lo] = self.weight[i]
+            y[other.owner[j], theirs[j] - lo] = 1
+            out += x @ y.T
+        return out
+
+
+def linked_pairs(pairs: DataFrame, texts: DataFrame, elements, similar: float) -> DataFrame:
+    """The pairs (src, dst) whose texts (node, text) have a weighted Jaccard similarity of ``similar`` or more."""
+    both = pairs.join(texts.select(F.col("node").alias("src"), F.col("text").alias("a")), "src").join(texts.select(F.col("node").alias("dst"), F.col("text").alias("b")), "dst")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "a"):
+                src, dst = part.column("src").to_numpy(), part.column("dst").to_numpy()
+                known = dict(zip(src.tolist(), part.column("a").to_pylist(), strict=True)) | dict(zip(dst.tolist(), part.column("b").to_pylist(), strict=True))
+                place = {n: k for k, n in enumerate(known)}
+                sets = Sets(list(known.values()), elements)
+                keep = np.zeros(len(src), bool)
+                for k, (a, b) in enumerate(zip(src.tolist(), dst.tolist(), strict=True)):
+                    x, y = sets.total[place[a]], sets.total[place[b]]
+                    if min(x, y) >= (similar - 1e-9) * max(x, y):
+                        both = sets.shared(place[a], sets, place[b])
+                        keep[k] = both >= (similar - 1e-9) * (x + y - both)
+                yield pa.RecordBatch.from_arrays([pa.array(src[keep]), pa.array(dst[keep])], ["src", "dst"])
+
+    return map_arrow(both.select("src", "dst", "a", "b"), check, "src bigint, dst bigint")
+
+
+def links_in_blocks(few: DataFrame, many: DataFrame, texts: DataFrame, elements, similar: float, block: int = 64) -> DataFrame:
+    """Links (src, dst) between nodes of different components that share a bucket; one for each src, component and block.
+
+    ``few`` and ``many`` have (bucket, node, component). Nodes of a bucket go in blocks with their texts, and
+    blocks are compared with blocks by matrix products, so pairs of nodes are never rows.
+    """
 
-    ``members`` has (bucket, node); ``verify`` maps pairs (src, dst) to those that are linked.
-    No link that would join two components is lost, yet the pairs of a bucket are not listed: every
-    member is first compared with one leader of its bucket, buckets that then lie in several components
-    get a second leader, and only where components still differ are the members outside a bucket's
-    largest component compared with those of the others.
+    def packed(side: DataFrame, name: str) -> DataFrame:
+        sizes = side.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+        dealt = side.join(sizes, "bucket").withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
+        rows = dealt.join(texts, "node").groupBy("bucket", "_block").agg(F.collect_list(F.struct("node", "component", "text")).alias(name))
+        return rows.drop("_block")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                a, b = batch.column("few")[row].as_py(), batch.column("many")[row].as_py()
+                x, y = Sets([r["text"] for r in a], elements), Sets([r["text"] for r in b], elements)
+                both = x.all_shared(y)
+                near = both >= (similar - 1e-6) * (x.total[:, None] + y.total[None, :] - both)
+                found: dict[tuple[int, int], int] = {}
+                for i, j in zip(*np.nonzero(near), strict=True):
+                    i, j = int(i), int(j)
+                    if a[i]["component"] == b[j]["component"] or (a[i]["node"], b[j]["component"]) in found:
+                        continue
+                    exact = x.shared(i, y, j)
+                    if exact >= (similar - 1e-9) * (x.total[i] + y.total[j] - exact):
+                        found[a[i]["node"], b[j]["component"]] = b[j]["node"]
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.int64()), pa.array(list(found.values()), pa.int64())], ["src", "dst"])
+
+    return map_arrow(packed(few, "few").join(packed(many, "many"), "bucket").select("few", "many"), check, "src bigint, dst bigint")
+
+
+def classes(members: DataFrame, texts: DataFrame, elements, similar: float, tag: str, leaders: int = 3, rounds: int = 2) -> DataFrame:
+    """(node, component): components of the links between nodes that share a bucket.
+
+    ``members`` has (bucket, node), ``texts`` (node, text); ``elements`` maps texts to (hash, text's index,
+    weight), distinct and in order for each text; a link is a weighted Jaccard similarity of ``similar``.
+    No link that would join two components is lost, yet pairs of a bucket are never listed. Every member
+    is compared with one leader of its bucket. Where a bucket then lies in several components, members
+    outside its largest are compared with some more leaders from that one, ``rounds`` times. Those
+    still outside meet all other components of their bucket in blocks.
     """
     ends = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last")
-    shared_ = Staged(members.join(ends.select("bucket", "leader"), "bucket"), f"{tag}-members")
-    table = shared_.df
+    table = Staged(members.join(ends.select("bucket", "leader"), "bucket"), f"{tag}-members").df
     nodes = table.select(F.col("node").alias("src"), F.col("node").alias("dst")).distinct()
-    tested = Staged(table.where("node <> leader").select(F.col("node").alias("src"), F.col("leader").alias("dst")).distinct(), f"{tag}-pairs")
-    links = Staged(verify(tested.df), f"{tag}-links")
-    found = components(links.df.unionByName(nodes), tag)
+    pairs = table.where("node <> leader").select(F.col("node").alias("src"), F.col("leader").alias("dst")).distinct()
+    links = [Staged(linked_pairs(pairs, texts, elements, similar), f"{tag}-links")]
 
-    def open_buckets(found: DataFrame) -> tuple[DataFrame, Staged]:
-        now = table.join(found, "node").select("bucket", "node", "component")
-        mixed = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-        return now, Staged(now.join(mixed, "bucket"), f"{tag}-open")
+    def settled() -> DataFrame:
+        out = nodes
+        for x in links:
+            out = out.unionByName(x.df)
+        return components(out, tag)
 
-    for final in (False, True):
-        _, still = open_buckets(found)
+    found = settled()
+    for turn in range(rounds + 1):
+        now = table.join(found, "node").select("bucket", "node", "component")
+        sizes = now.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("components")).where("components > 1").select("bucket", "largest")
+        still = Staged(now.join(largest, "bucket"), f"{tag}-open")
         if still.df.isEmpty():
             break
-        if not final:
-            lead = still.df.groupBy("bucket").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", "bucket")).alias("l"))
-            pairs = still.df.join(lead, "bucket").where("component <> l.component").select(F.col("node").alias("src"), F.col("l.node").alias("dst"))
+        outside = still.df.where("component <> largest")
+        if turn < rounds:
+            lead = still.df.where("component = largest").groupBy("bucket").agg(*(F.min_by("node", F.xxhash64("node", F.lit(turn * leaders + k))).alias(f"l{k}") for k in range(leaders)))
+            pairs = outside.join(lead, "bucket").select(F.col("node").alias("src"), F.explode(F.array(*(F.col(f"l{k}") for k in range(leaders)))).alias("dst")).distinct()
+            more = linked_pairs(pairs, texts, elements, similar)
         else:
-            sizes = still.df.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-            rest = still.df.join(sizes, "bucket").where("component <> largest").select("bucket", F.col("node").alias("src"), F.col("component").alias("c"), "largest")
-            pairs = rest.join(still.df, "bucket").where("c <> component and (component = largest or src < node)").select("src", F.col("node").alias("dst"))
-        either = F.least("src", "dst"), F.greatest("src", "dst")
-        pairs = pairs.select(either[0].alias("src"), either[1].alias("dst")).distinct()
-        done = tested.df.select(either[0].alias("src"), either[1].alias("dst")).distinct()
-        fresh = Staged(pairs.join(done, ["src", "dst"], "left_anti"), f"{tag}-pairs")
-        more = Staged(verify(fresh.df), f"{tag}-links")
-        tested = Staged(tested.df.select("src", "dst").unionByName(fresh.df), f"{tag}-tested")
-        links = Staged(links.df.unionByName(more.df), f"{tag}-links")
-        if not more.df.isEmpty():
-            found = components(links.df.unionByName(nodes), tag)
+            more = links_in_blocks(outside.select("bucket", "node", "component"), still.df.select("bucket", "node", "component"), texts, elements, similar)
+        links.append(Staged(more, f"{tag}-links"))
+        if not links[-1].df.isEmpty():
+            found = settled()
         still.drop()
     return found
