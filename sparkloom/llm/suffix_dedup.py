@@ -27,14 +27,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import bloom_bits, bloom_has, chunks, group_arrow, map_arrow, partitions_for, span_hashes, stage
+from sparkloom.llm.shared import bloom_bits, bloom_has, chunks, group_arrow, map_arrow, mix, partitions_for, span_hashes, stage
 
 #: Bytes of a repeated string, and of the string whose hash picks the minimiser.
 LENGTH, GRAM = 50, 24
 #: Bytes of contexts in a shard, and in the shards that are merged together (more only for one minimiser alone).
-SHARD, MERGE = 1 << 18, 1 << 21
+SHARD, MERGE = 1 << 17, 1 << 20
 #: Bytes that one task gets when runs and contexts are dealt out, on average.
 PART = 12 << 20
+#: Bytes of a context and what goes with it, on average.
+CONTEXT = 96
 LAST = (1 << 63) - 1  # order of a null id
 
 
@@ -81,7 +83,8 @@ def runs(data: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRA
     first, many = first[:-1], np.diff(first)
     ok = inside[first]
     first, many = first[ok], many[ok]
-    return h[place[first]], doc[first], first - at[doc[first]], many
+    # The least of several hashes is small: mixed again, they spread evenly.
+    return mix(h[place[first]]), doc[first], first - at[doc[first]], many
 
 
 def _bytes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,6 +100,20 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes) + np.repeat(starts, sizes)
 
 
+def context_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray, block: int = 1 << 19) -> np.ndarray:
+    """``span_hashes`` of contexts, about ``block`` bytes of them at a time, so that its arrays stay small."""
+    out = np.zeros(len(start), np.uint64)
+    ends = np.cumsum(size, dtype=np.int64)
+    lo = 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + block)))
+        n = size[lo:hi].astype(np.int64)
+        at = np.concatenate((np.zeros(1, np.int64), np.cumsum(n)))
+        out[lo:hi] = span_hashes(data[_ragged(start[lo:hi], n)], at[:-1], at[1:])
+        lo = hi
+    return out
+
+
 # ---------------------------------------------------------------- transforms
 
 
@@ -138,9 +155,8 @@ def merge(shards: list[Shard], depth: int = LENGTH) -> tuple[np.ndarray, np.ndar
     stably by the symbol before each row gives the order by j + 1 of the rows reached that way.
     """
     bwt = np.concatenate([s.bwt for s in shards])
-    owner = np.repeat(np.arange(len(shards)), [s.size for s in shards])
     kind = np.uint8 if len(shards) < 256 else np.uint16 if len(shards) < 1 << 16 else np.int64
-    from_ = owner.astype(kind)
+    from_ = np.repeat(np.arange(len(shards), dtype=kind), [s.size for s in shards])
     block = np.zeros(len(bwt), np.int32)
     symbol = np.empty(len(bwt), np.uint16)
     for _ in range(depth):
@@ -303,9 +319,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     held = chosen(keyed, asked).dropDuplicates(["row_key"]).join(asked, "row_key")
 
+    bytes_ = asked.agg(F.sum(F.aggregate("runs", F.lit(0).cast("bigint"), lambda a, x: a + F.length(x)))).first()[0] or 0
+    many_parts = partitions_for(spark, -(-bytes_ // 4 * CONTEXT // PART))
+
     def send_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, most=4 << 20):
+            for part in chunks(batch):
                 data, at = _bytes(part.column("text").to_pylist())
                 h, doc, first, many = runs(data, at, length, gram)
                 begin = np.searchsorted(doc, np.arange(part.num_rows))
@@ -315,16 +334,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 key, id_ = part.column("row_key").to_numpy()[doc], part.column("doc").to_numpy()[doc]
                 start = at[doc] + first
                 # One copy of each context goes on; later documents here lose all of theirs at once.
-                same = span_hashes(data, start, start + size)
+                same = context_hashes(data, start, size)
                 by = np.lexsort((id_, same))
                 new = np.concatenate(([True], same[by][1:] != same[by][:-1])) if len(by) else np.zeros(0, bool)
                 least = id_[by][new][np.cumsum(new) - 1] if len(by) else id_
                 late = np.zeros(len(h), bool)
                 late[by] = id_[by] > least
-                rows = [(k % parts, k, a, b, None, None, None, None, None) for k, a, b in _by_row(key[late], [first[late].astype(np.int32), (first + size)[late].astype(np.int32)])]
+                rows = [(k % many_parts, k, a, b, None, None, None, None, None) for k, a, b in _by_row(key[late], [first[late].astype(np.int32), (first + size)[late].astype(np.int32)])]
                 on = ~late
                 h, key, id_, first, size, start = (x[on] for x in (h, key, id_, first, size, start))
-                p = _parts(h, parts)
+                p = _parts(h, many_parts)
                 by = np.argsort(p, kind="stable")
                 h, key, id_, first, size, start, p = (x[by] for x in (h, key, id_, first, size, start, p))
                 cut = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1], [True]))) if len(p) else np.zeros(1, np.int64)
@@ -341,7 +360,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         start = np.cumsum(size, dtype=np.int64) - size
         gone: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(h):
-            same = span_hashes(data, start, start + size)
+            same = context_hashes(data, start, size)
             by = np.lexsort((doc, same, h))
             first, size, h, key, doc, start, same = (x[by] for x in (first, size, h, key, doc, start, same))
             new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (same[1:] != same[:-1]))))
