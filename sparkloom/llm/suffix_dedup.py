@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -217,6 +218,17 @@ def _by_row(key: np.ndarray, columns: list[np.ndarray]) -> list[tuple]:
     return [(int(key[a]), *(c[a:b].tobytes() for c in columns)) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
+def _squeezed(texts: list[bytes]) -> pa.Array:
+    """Texts compressed for the shuffle."""
+    z = zstandard.ZstdCompressor(level=3)
+    return pa.array([z.compress(t) for t in texts], pa.binary())
+
+
+def _full(texts: list[bytes]) -> list[bytes]:
+    z = zstandard.ZstdDecompressor()
+    return [z.decompress(t) for t in texts]
+
+
 def _table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
@@ -263,7 +275,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             rows = [(part, None, None, low, hi, None) for part, low, hi in _packed([h[start[several]].astype(np.uint32), np.zeros(int(several.sum()), np.uint8)], _parts(h[start[several]], parts), parts)]
             known = _by_row(key[twice], [run[twice].astype(np.uint32)])
             rows += [(k % parts, k, r, None, None, None) for k, r in known]
-            one = ~twice
+            one = np.flatnonzero(~twice)
+            one = one[np.lexsort((run[one], key[one]))]  # in order of documents, keys and numbers compress well
             rows += [(part, None, r, low, None, k) for part, low, r, k in _packed([h[one].astype(np.uint32), run[one].astype(np.uint32), key[one]], _parts(h[one], parts), parts)]
             return _table(rows, ["part", "key", "runs", "low", "mark", "keys"], [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()])
 
@@ -304,7 +317,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     asked = stage(group_arrow(sent, "part", meet, "row_key bigint, runs binary").groupBy("row_key").agg(F.collect_list("runs").alias("runs")), "runs")
 
     def chosen(rows: DataFrame, by: DataFrame) -> DataFrame:
-        """The rows whose key is in ``by``, perhaps with some others: spares the join most of the texts."""
+        """The rows whose key is in ``by``, perhaps with some others, texts compressed: spares the join most of the bytes."""
         bits, length_ = bloom_bits(by.select(F.xxhash64("row_key").alias("k")), "k")
         filter_ = spark.sparkContext.broadcast((bits, length_))
         names = rows.columns
@@ -312,7 +325,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits, length_ = filter_.value
             for batch in batches:
-                yield batch.filter(pa.array(bloom_has(bits, length_, batch.column("_k").to_numpy()))).select(names)
+                got = batch.filter(pa.array(bloom_has(bits, length_, batch.column("_k").to_numpy())))
+                yield pa.RecordBatch.from_arrays([_squeezed(got.column(c).to_pylist()) if c == "text" else got.column(c) for c in names], names)
 
         schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
         return map_arrow(rows.withColumn("_k", F.xxhash64("row_key")), pick, schema)
@@ -324,8 +338,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     def send_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
-                data, at = _bytes(part.column("text").to_pylist())
+            for part in chunks(batch, most=1 << 18):
+                data, at = _bytes(_full(part.column("text").to_pylist()))
                 h, doc, first, many = runs(data, at, length, gram)
                 begin = np.searchsorted(doc, np.arange(part.num_rows))
                 wanted = [begin[i] + np.unique(np.frombuffer(b"".join(r), np.uint32)) for i, r in enumerate(part.column("runs").to_pylist())]
@@ -437,13 +451,14 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, size = filter_.value
         for batch in batches:
-            yield batch.filter(pa.array(bloom_has(bits, size, batch.column("k").to_numpy()))).select(["row_key", "text"])
+            got = batch.filter(pa.array(bloom_has(bits, size, batch.column("k").to_numpy())))
+            yield pa.RecordBatch.from_arrays([got.column("row_key"), _squeezed(got.column("text").to_pylist())], ["row_key", "text"])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most=1 << 18):
                 kept, gone, many = [], [], []
-                texts = part.column("text").to_pylist()
+                texts = _full(part.column("text").to_pylist())
                 for text, a, b in zip(texts, part.column("starts").to_pylist(), part.column("ends").to_pylist(), strict=True):
                     edges = [0, *(x for pair in zip(a, b, strict=True) for x in pair), len(text)]
                     kept.append(b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)))
