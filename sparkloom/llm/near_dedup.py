@@ -11,26 +11,35 @@ Documents whose words are the same are one node throughout, so copies cost one c
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import Staged, bloom_bits, bloom_has, chunks, classes, map_arrow, mix, shingle_hashes, stage, with_row_key, word_hashes
+from sparkloom.llm.shared import Staged, bloom_bits, bloom_has, chunks, classes, group_arrow, map_arrow, mix, shingle_hashes, stage, with_row_key, word_hashes
+from sparkloom.shipping import ship
 
 #: Words of a shingle, least similarity, bands, draws in a band.
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 12, 3
-#: A shingle in more than this share of the documents counts as frequent and gets its own idf; all others
-#: get the idf of this share. So at most (shingles per document) / share shingles need a table.
+#: Share of the documents from which a shingle counts as frequent. It caps nothing: every shared shingle has its own idf.
 FREQUENT = 0.005
-#: Documents of a block in which frequent shingles are looked for.
-BLOCK = 4096
+#: Bytes of text of a block of documents, and of the text whose shingles are counted in one bucket.
+BLOCK, BUCKET = 4 << 20, 12 << 20
 
 _DRAWS = 1 << 16
 
 
+@lru_cache(maxsize=2)
+def _draws(many: int) -> Draws:
+    return Draws(many)
+
+
 class Draws:
     """Gamma and uniform variates, looked up by a shingle's hash and the draw's number."""
 
@@ -65,73 +74,118 @@ def node_ids(words: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class Idf:
-    """idf of shingles: a table of frequent ones, and the same value for all others."""
+    """idf of shingles: a table of those that several documents share; all others are in one document."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, documents: int, frequent: float = FREQUENT):
-        self.hashes = hashes
-        self.rest = float(np.log(1 / frequent))
-        self.values = np.minimum(self.rest, np.log((documents + 1) / (counts + 1)) + 1e-3) if len(counts) else np.zeros(0)
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, documents: int):
+        self.hashes, self.counts, self.documents = hashes, counts, documents
 
-    def of(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashes), self.rest, np.float32)
+    def frequencies(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of documents that hold each shingle."""
+        out = np.ones(len(hashes), np.uint32)
         if len(self.hashes):
             k = np.searchsorted(self.hashes, hashes)
             k[k == len(self.hashes)] = 0
             hit = self.hashes[k] == hashes
-            out[hit] = self.values[k[hit]]
+            out[hit] = self.counts[k[hit]]
         return out
 
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        return idf_of(self.frequencies(hashes), self.documents)
+
 
-def document_frequencies(docs: DataFrame, size: int = SHINGLE, frequent: float = FREQUENT) -> Idf:
-    """Exact document frequencies of the frequent shingles of all documents.
+def idf_of(counts: np.ndarray, documents: int) -> np.ndarray:
+    """The idf of shingles by the number of documents that hold them, of so many in all."""
+    return (np.log((documents + 1) / (counts.astype(np.float64) + 1)) + 1e-3).astype(np.float32)
 
-    A shingle that frequent is at half that share or more within some block of every layout, so blocks
-    report shingles from half the share on; those whose reported counts reach half the share of all
-    documents (at most 2 / share shingles of each document's length) are then counted exactly.
-    """
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers by planes of bytes, so that the high ones, mostly zero, take no room once compressed."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
 
-        def report() -> pa.RecordBatch:
-            h, c = np.unique(np.concatenate(held), return_counts=True)
-            keep = c >= max(2, int(np.ceil(frequent / 2 * n)))
-            return pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(c[keep].astype(np.int64))], ["h", "c"])
 
+def _numbers(x: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def _pack(h: np.ndarray) -> bytes:
+    """Rising hashes as differences."""
+    return _planes(np.diff(h, prepend=np.uint64(0)))
+
+
+def _unpack(x: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(x, np.uint64), dtype=np.uint64)
+
+
+def _batch(columns: list, names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def blocked(keyed: DataFrame) -> Staged:
+    """``keyed`` (row_key, doc_id, text) with the number of a block of about BLOCK bytes of text, written."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in chunks(batch):
-                held.append(Vectors(part.column("text").to_pylist(), size).hash)
-                n += part.num_rows
-                if n >= BLOCK:
-                    yield report()
-                    held, n = [], 0
-        if n:
-            yield report()
-
-    documents = docs.count()
-    text = docs.select("text")
-    maybe = map_arrow(text, local, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= frequent / 2 * documents)
-    wanted = np.sort(maybe.select("h").toArrow().column("h").to_numpy().astype(np.int64).view(np.uint64))
-    if not len(wanted):
-        return Idf(wanted, np.zeros(0, np.int64), documents, frequent)
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
-        total = np.zeros(len(wanted), np.int64)
-        for batch in batches:
-            for part in chunks(batch):
-                h = Vectors(part.column("text").to_pylist(), size).hash
-                k = np.searchsorted(wanted, h)
-                k[k == len(wanted)] = 0
-                total += np.bincount(k[wanted[k] == h], minlength=len(wanted))
-        hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[hit].view(np.int64)), pa.array(total[hit])], ["h", "c"])
+            for part in chunks(batch, most=BLOCK):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(part.num_rows, n))], [*part.schema.names, "block"])
+                n += 1
+
+    kind = keyed.schema["doc_id"].dataType.simpleString()
+    return Staged(map_arrow(keyed, number, f"row_key bigint, doc_id {kind}, text string, block bigint"), "blocks")
+
+
+def shared_frequencies(blocks: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(block, h, c): packed shingles of each block that two documents or more hold, and in how many they are.
+
+    Blocks send each of their shingles once, with a partial count, to the bucket of its hash; a bucket adds
+    up and answers the blocks. So counts are exact for every shingle and don't depend on the layout, and a
+    shingle of very many documents is one number a block. A block may come in several pieces.
+    """
+    length = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    many = max(1, math.ceil(length / BUCKET))
+    names, kinds = ["bucket", "block", "h", "c"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
-    got = map_arrow(text, exact, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= frequent * documents).toArrow()
-    h, c = got.column("h").to_numpy().astype(np.int64).view(np.uint64), got.column("c").to_numpy()
-    order = np.argsort(h)
-    return Idf(h[order], c[order], documents, frequent)
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.array([(k << 64) // many for k in range(1, many)], np.uint64)
+        for batch in batches:
+            number = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if lo == hi:
+                    continue
+                h = np.concatenate([Vectors(p.column("text").to_pylist(), size).hash for p in chunks(batch.slice(lo, hi - lo))])
+                h, c = np.unique(h, return_counts=True)
+                at = [0, *np.searchsorted(h, edges).tolist(), len(h)]
+                pieces = [(k, at[k], at[k + 1]) for k in range(many) if at[k] < at[k + 1]]
+                c = c.astype(np.uint32)
+                yield _batch([[k for k, _, _ in pieces], [number[lo]] * len(pieces), [_pack(h[a:b]) for _, a, b in pieces], [_planes(c[a:b]) for _, a, b in pieces]], names, kinds)
+
+    def answer(table: pa.Table) -> pa.Table:
+        asked = [_unpack(x) for x in table.column("h").to_pylist()]
+        h, place = np.unique(np.concatenate(asked), return_inverse=True)
+        c = np.concatenate([_numbers(x, np.uint32) for x in table.column("c").to_pylist()])
+        total = np.bincount(place, weights=c, minlength=len(h)).astype(np.uint32)[place]
+        packed, counts, start = [], [], 0
+        for x in asked:
+            mine = total[start : start + len(x)]
+            start += len(x)
+            packed.append(_pack(x[mine > 1]))
+            counts.append(_planes(mine[mine > 1]))
+        out = pa.Table.from_arrays([table.column("block").combine_chunks(), pa.array(packed, pa.binary()), pa.array(counts, pa.binary())], names[1:])
+        return out.filter(pa.array([len(x) > 0 for x in packed], pa.bool_()))
+
+    rows = map_arrow(blocks.select("block", "text"), partial, "bucket int, block bigint, h binary, c binary")
+    return group_arrow(rows, "bucket", answer, "block bigint, h binary, c binary")
+
+
+def block_idf(answers: pa.Table, documents: int) -> Idf:
+    """The idf of a block's shingles, from its rows of ``shared_frequencies``."""
+    none = [np.zeros(0, np.uint64)]
+    h = np.concatenate(none + [_unpack(x) for x in answers.column("h").to_pylist()])
+    c = np.concatenate([np.zeros(0, np.uint32)] + [_numbers(x, np.uint32) for x in answers.column("c").to_pylist()])
+    h, first = np.unique(h, return_index=True)
+    return Idf(h, c[first], documents)
 
 
 def bands(v: Vectors, idf: Idf, draws: Draws, many: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -157,13 +211,19 @@ def bands(v: Vectors, idf: Idf, draws: Draws, many: int = BANDS, rows: int = ROW
     return out.view(np.int64)
 
 
-def weighted_elements(idf: Idf, size: int = SHINGLE):
-    """Texts to (hash, text, weight): a shingle that occurs n times is n elements, each with its idf."""
+def weighted_elements(documents: int, size: int = SHINGLE):
+    """Texts to (hash, text, weight): a shingle that occurs n times is n elements, each with its idf.
+
+    Each text comes with its frequencies: their packed length (4 bytes), the packed numbers of documents that
+    hold its distinct shingles, in order, and the text.
+    """
 
-    def elements(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        v = Vectors(texts, size)
+    def elements(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ends = [4 + int.from_bytes(t[:4], "big") for t in texts]
+        v = Vectors([t[end:].decode("utf-8", "replace") for t, end in zip(texts, ends, strict=True)], size)
+        counts = np.concatenate([np.zeros(0, np.uint32)] + [np.frombuffer(zlib.decompress(t[4:end]), np.uint32) for t, end in zip(texts, ends, strict=True)])
         text = np.repeat(np.arange(len(texts)), np.diff(v.at))
-        h, owner, w = np.repeat(v.hash, v.count), np.repeat(text, v.count), np.repeat(idf.of(v.hash).astype(np.float64), v.count)
+        h, owner, w = np.repeat(v.hash, v.count), np.repeat(text, v.count), np.repeat(idf_of(counts, documents).astype(np.float64), v.count)
         copy = np.arange(len(h)) - np.repeat(np.cumsum(v.count) - v.count, v.count)
         h = np.where(copy > 0, mix(h + copy.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), h)
         by = np.lexsort((h, owner))
@@ -179,28 +239,35 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY, size: int = SHING
     fewer than ``size`` words are one shingle. Repeated rows are in one class. Texts are read whole.
     """
     keyed = with_row_key(docs)
-    idf = document_frequencies(keyed, size)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(idf)
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        draws, idf = Draws(many * rows), shared.value
-        for batch in batches:
+    blocks = blocked(keyed)
+    documents = blocks.df.count()
+    ship(spark)
+    kind = docs.schema["doc_id"].dataType
+    names = ["row_key", "doc_id", "node", "keys", "frequencies"]
+
+    def sign(block: pa.Table, answers: pa.Table) -> pa.Table:
+        draws, idf, out = _draws(many * rows), block_idf(answers, documents), []
+        for batch in block.combine_chunks().to_batches():
             for part in chunks(batch):
                 v = Vectors(part.column("text").to_pylist(), size)
                 key, node = bands(v, idf, draws, many, rows), node_ids(v.words, v.word_at)
                 none = np.diff(v.at) == 0
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(key) + 1, dtype=np.int32) * many), pa.array(key.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([part.column("row_key"), part.column("doc_id"), pa.array(node, mask=none), lists], ["row_key", "doc_id", "node", "keys"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = stage(map_arrow(keyed, sign, f"row_key bigint, doc_id {kind}, node bigint, keys array<bigint>"), "signed")
-    one = signed.where("node is not null").groupBy("node").agg(F.first("keys").alias("keys"), F.min("row_key").alias("row_key"))
+                counts = idf.frequencies(v.hash)
+                packed = [zlib.compress(counts[i:j].tobytes(), 1) for i, j in zip(v.at[:-1], v.at[1:], strict=True)]
+                out.append(pa.RecordBatch.from_arrays([part.column("row_key"), part.column("doc_id"), pa.array(node, mask=none), lists, pa.array(packed, pa.binary())], names))
+        return pa.Table.from_batches(out)
+
+    answered = shared_frequencies(blocks.df, size).groupBy("block")
+    signed = stage(blocks.df.groupBy("block").cogroup(answered).applyInArrow(sign, f"row_key bigint, doc_id {kind.simpleString()}, node bigint, keys array<bigint>, frequencies binary"), "signed")
+    blocks.drop()
+    one = signed.where("node is not null").groupBy("node").agg(F.first("keys").alias("keys"), F.first("frequencies").alias("frequencies"), F.min("row_key").alias("row_key"))
     one = Staged(one, "nodes")
     members = one.df.select(F.explode("keys").alias("bucket"), "node")
     multi = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket")
     members = Staged(members.join(multi, "bucket"), "members")
-    wanted = Staged(one.df.join(members.df.select("node").distinct(), "node", "left_semi").select("node", "row_key"), "wanted")
+    wanted = Staged(one.df.join(members.df.select("node").distinct(), "node", "left_semi").select("node", "row_key", "frequencies"), "wanted")
 
     bits, length = bloom_bits(wanted.df, "row_key")
     filter_ = spark.sparkContext.broadcast((bits, length))
@@ -212,11 +279,12 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY, size: int = SHING
 
     texts = Staged(
         map_arrow(keyed.select("row_key", "text"), maybe, "row_key bigint, text string")
-        .join(wanted.df, "row_key").groupBy("node").agg(F.first("text").alias("text")),
+        .join(wanted.df, "row_key").groupBy("node").agg(F.first("text").alias("text"), F.first("frequencies").alias("f"))
+        .select("node", F.expr("concat(unhex(lpad(hex(length(f)), 8, '0')), f, cast(text as binary))").alias("text")),
         "texts",
     )
 
-    found = classes(members.df, texts.df, weighted_elements(idf, size), similar, "near")
+    found = classes(members.df, texts.df, weighted_elements(documents, size), similar, "near")
     for x in (one, wanted, texts):
         x.drop()
     named = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -210,6 +210,28 @@ def test_near_duplicates_equal_brute_force(spark):
     assert len(wrong) <= 1, wrong
 
 
+def test_near_duplicates_equal_uncapped_tf_idf(spark):
+    """Passages of less than 0.5 % of the documents are weighed down too."""
+    word = itertools.count()
+    new = lambda n: [f"w{next(word)}" for _ in range(n)]
+    passage = new(94)
+    texts = [" ".join(passage + new(10)) for _ in range(6)]
+    base = new(104)
+    texts += [" ".join(base), " ".join(base[:-3] + new(3))]
+    texts += [" ".join(new(6)) for _ in range(1500)]
+    sets, n = [shingles(t) for t in texts], len(texts)
+    df = Counter(s for c in sets for s in c)
+    idf = {s: math.log((n + 1) / (df[s] + 1)) + 1e-3 for s in df}
+
+    def similarity(a, b):
+        return sum(min(a[s], b[s]) * idf[s] for s in a.keys() & b.keys()) / sum(max(a[s], b[s]) * idf[s] for s in a.keys() | b.keys())
+
+    linked = {(i, j) for i, j in itertools.combinations(range(8), 2) if similarity(sets[i], sets[j]) >= 0.8}
+    assert linked == {(6, 7)} and len(sets[0] & sets[1]) / len(sets[0] | sets[1]) > 0.8
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(table(spark, texts)).collect()}
+    assert got == {i: i for i in range(n)} | {7: 6}
+
+
 def test_one_of_each_group_stays(spark):
     rng = random.Random(9)
     texts = variants(rng, 30)
