@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions import quality, text
@@ -131,8 +131,14 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, refer
 SELECT query, reference, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
 def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = vectors(spark, sf_dir).select("id", "vector")
-    asks = F.col("id") % 100 == 0
-    return similarity.nearest(v.where(asks), v.where(~asks), 5).withColumns({"score": F.round("score", 6), "rank": F.col("rank").cast("int")})
+    return topk_others(v.where(F.col("id") % 100 == 0), v, 5).withColumns({"score": F.round("score", 6), "rank": F.col("rank").cast("int")})
+
+
+def topk_others(queries: DataFrame, references: DataFrame, top: int) -> DataFrame:
+    """``similarity.nearest`` of queries that are references too, without themselves."""
+    found = similarity.nearest(queries, references, top + 1).where("query <> reference")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("rank"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= top)
 
 
 def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
