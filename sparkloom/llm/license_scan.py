@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.license_texts import EQUIVALENT, LICENSES, NOTICES
+from sparkloom.llm.license_texts import DIGESTS, EQUIVALENT, LICENSES, MORE_NOTICES, NOTICES
 from sparkloom.llm.shared import stage
 
 #: The table of known digests is broadcast only up to so many rows; a larger one is joined by shuffle.
@@ -49,10 +49,12 @@ def _lookup(rows: DataFrame, table: DataFrame, size: int) -> DataFrame:
     return rows.join(F.broadcast(table) if size <= MOST_BROADCAST else table, "digest", "left")
 
 
-def license_scan(docs: DataFrame, licenses: list[tuple[str, str]] = LICENSES, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
+def license_scan(
+    docs: DataFrame, licenses: list[tuple[str, str]] = LICENSES, notices: list[tuple[str, str]] = NOTICES + MORE_NOTICES, digests: list[tuple[str, str]] = DIGESTS
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, license_id, is_license, notice_ids, n_notices, canonical_sha256.
 
-    license_id is set where the entire text is a known licence. notice_ids has the licences named by
+    license_id is set where the entire text is a known licence, by its text or its canonical digest. notice_ids has the licences named by
     whole lines, sorted and joined by commas ('' if none); n_notices counts such lines. Null counts as
     empty, and an empty text is no licence. Repeated rows are scanned alike; other columns are ignored.
     """
@@ -73,8 +75,10 @@ def license_scan(docs: DataFrame, licenses: list[tuple[str, str]] = LICENSES, no
         .join(F.broadcast(known(spark, notices)) if len(notices) <= MOST_BROADCAST else known(spark, notices), "digest")
         .groupBy("row").agg(F.array_join(F.sort_array(F.collect_set("license_id")), ",").alias("notice_ids"), F.count("*").alias("n_notices"))
     )
+    long = spark.createDataFrame(digests, "license_id string, digest string").select("digest", "license_id")
+    table = known(spark, licenses).unionByName(long).groupBy("digest").agg(F.min("license_id").alias("license_id"))
     return (
-        _lookup(whole.select("doc_id", "row", "digest"), known(spark, licenses), len(licenses))
+        _lookup(whole.select("doc_id", "row", "digest"), table, len(licenses) + len(digests))
         .join(found, "row", "left")
         .select(
             "doc_id", "license_id", F.col("license_id").isNotNull().alias("is_license"),

@@ -75,6 +75,53 @@ NOTICES: list[tuple[str, str]] = [
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
 ]
 
+#: (licence, digest): SHA-256 of the canonical forms of whole licences that are too long to be kept here, with and without
+#: the appendix on how to apply them.
+DIGESTS: list[tuple[str, str]] = [
+    ("Apache-2.0", "6eaa4793f5a8b0d5faa66c3153fcb1360cb1765d0255accfc085e7c42b80e401"),
+    ("Apache-2.0", "b9540988b232006f6e7c5d475e7f290098f8f4bbd8250f4a3e72777f7870d20d"),
+    ("GPL-1.0", "3b7c00b08d5c6de2349faf7a31bb6e49ff8a2273a7cfdd16f96859720b00d9ef"),
+    ("GPL-1.0", "f4d5622e8488e9135bbad4562a4dddb47eb06044ce19b0c0d2064503f5933de5"),
+    ("GPL-2.0", "9aae015a6322bbdec1a61c624a33b2c7d3b56283db1642e6e18d7820d4957b61"),
+    ("GPL-2.0", "3c9f4977ae65ec51dce2737640196c8c2d45aa4ba394ba71168fae3b8a4cc93f"),
+    ("GPL-3.0", "6ff3a9a8b11f055a64cb21003d19dbe88dd6a41f7487672c402dfe38b6fe2582"),
+    ("GPL-3.0", "5d527914d4539f34149cd198edb1e5de52322047d37781b3bd66403f12dc40e1"),
+    ("LGPL-2.0", "2f0a8618627c179dd830ddb8fa74635ae037468a5880f3b46a73915ae1990c24"),
+    ("LGPL-2.0", "d449b5d838ee652333de62d88304ddcf67663cda782f1c7257ee9c9dae33dfb4"),
+    ("LGPL-2.1", "56d21d93f6012cbd7f1195b72528da245ccf843598ff833a87101eb36863f95b"),
+    ("LGPL-2.1", "a7bd7bcc6f59de5c915482fc3cacdd5a1b6b27c24354df724c2ef3672dce9475"),
+    ("LGPL-3.0", "f0cae4b317f4f263dca8e79625f8d9c7618c87e0ca6665c79b0f1c12ac856938"),
+    ("MPL-1.1", "0ac61f2f49b44016379e89eb6a869e098cdbe0a797cf497618f3e8de3adaf375"),
+    ("MPL-2.0", "7eb42cd7f8edde0699d303a531b8d604a4370bd579346f5e1d615398ffe83791"),
+    ("CC0-1.0", "bd0e52fb1af40ab9797ba72f1d627b83d449e9926f66d21c51209413ac988137"),
+    ("Zlib", "8bf2401b537adc6d7855d0185623ab72dec4c3e358280b77207e10c6933870dc"),
+    ("Zlib", "1f52c6bffd822ce7cf64b80e8480554df8247a0375268a00fa38de93eb7e3a14"),
+    ("Unlicense", "af6569657d66e59605c0ac493c85eea3f5f2a64128879b081d0a5ca46cb1d5f9"),
+    ("Unlicense", "d838b4ad7073104ee15e8c7c02b134fb97d6e7602a159234aa4442c186c953f7"),
+    ("Unlicense", "e036143787b9efdafaaf5676f94dbb07ab0e77c34f182f2481cac2660851fc4b"),
+]
+
+_SPDX = [
+    "Apache-2.0", "MIT", "MIT-0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "0BSD", "Zlib", "Unlicense",
+    "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "MPL-1.1", "MPL-2.0",
+]
+_GNU = ["GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"]
+
+#: More (licence, notice): SPDX lines of all known licences, and the usual lines of others.
+MORE_NOTICES: list[tuple[str, str]] = [
+    *((i, f"SPDX-License-Identifier: {i}") for i in [*_SPDX, *(f"{i}{kind}" for i in _GNU for kind in ("", "-only", "-or-later"))]),
+    ("MPL-2.0", "Licensed under the Mozilla Public License 2.0."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("MPL-2.0", "License, v. 2.0. If a copy of the MPL was not distributed with this"),
+    ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("Zlib", "Licensed under the zlib License."),
+]
+
 #: (spelling, canonical): spellings that count as the same word.
 EQUIVALENT: list[tuple[str, str]] = [
     ("acknowledgement", "acknowledgment"),

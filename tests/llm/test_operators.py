@@ -373,6 +373,18 @@ def _by(rows):
     return out
 
 
+def test_long_licences_and_spdx_lines(spark):
+    from pathlib import Path
+
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    have = {k: v for k, v in names.items() if Path("/usr/share/common-licenses", k).exists()}
+    lines = ["// SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: MPL-2.0", "Licensed under the Mozilla Public License 2.0"]
+    texts = [*(Path("/usr/share/common-licenses", k).read_text() for k in have), *(f"Text.\n{x}" for x in lines)]
+    rows = {r["doc_id"]: r for r in license_scan.license_scan(table(spark, texts)).collect()}
+    assert [rows[i]["license_id"] for i in range(len(have))] == list(have.values())
+    assert [rows[len(have) + i]["notice_ids"] for i in range(3)] == ["GPL-3.0-only", "MPL-2.0", "MPL-2.0"]
+
+
 # ---------------------------------------------------------------- decontamination
 
 
