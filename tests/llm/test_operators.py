@@ -232,6 +232,16 @@ def test_near_duplicates_equal_uncapped_tf_idf(spark):
     assert got == {i: i for i in range(n)} | {7: 6}
 
 
+def test_frequencies_do_not_depend_on_the_layout(spark):
+    """A passage of 3 of 400 documents, each in a small partition of its own."""
+    word = itertools.count()
+    new = lambda n: [f"w{next(word)}" for _ in range(n)]
+    passage = new(94)
+    docs = table(spark, [" ".join(passage + new(10) if i in (0, 200, 390) else new(6)) for i in range(400)])
+    for dealt in (docs.coalesce(1), docs.repartitionByRange(40, "doc_id")):
+        assert near_dedup.near_duplicates(dealt).where("doc_id <> class_id").count() == 0
+
+
 def test_one_of_each_group_stays(spark):
     rng = random.Random(9)
     texts = variants(rng, 30)
