@@ -7,6 +7,7 @@ is a local folder used.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,10 +20,6 @@ from pyspark.sql import functions as F
 
 from sparkloom.shipping import ship
 
-
-
-
-
 # ---------------------------------------------------------------- scratch tables
 
 
@@ -33,6 +30,8 @@ def scratch_dir(spark: SparkSession) -> str:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isDefined():
             base = found.get()
+        elif not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         else:
             base = "file://" + tempfile.mkdtemp(prefix="sparkloom-")
             spark.sparkContext.setCheckpointDir(base)
@@ -90,6 +89,14 @@ def group_arrow(df: DataFrame, key: str, fn, schema: str) -> DataFrame:
 # ---------------------------------------------------------------- documents
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores after it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_row_key(docs: DataFrame) -> DataFrame:
     """(row_key, doc_id, text): row_key identifies a row by its id and text.
 
@@ -221,32 +228,79 @@ def bloom_has(bits: np.ndarray, size: int, keys: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- connected components
 
-
-def components(edges: DataFrame, tag: str = "cc", most_rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of ``edges`` (src, dst); a component is named by its least node.
-
-    Distributed union-find: each round hooks a node to the least label among its neighbours and itself,
-    then halves the paths (label of the label). Labels are written to the scratch folder each round,
-    so lineage stays short and a lost executor costs one round. Self-loops name isolated nodes. Nulls
-    are ignored.
+#: Edges that one task settles alone (16 bytes each); more are contracted by rounds first.
+FEW_EDGES = 1 << 18
+
+
+def least_labels(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component), by hooking roots and halving paths."""
+    nodes, place = np.unique(np.concatenate((src, dst)), return_inverse=True)
+    a, b = place[: len(src)], place[len(src) :]
+    label = np.arange(len(nodes))
+    while True:
+        x, y = label[a], label[b]
+        open_ = x != y
+        if not open_.any():
+            return nodes, nodes[label]
+        a, b, x, y = a[open_], b[open_], x[open_], y[open_]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label != label[label]).any():
+            label = label[label]
+
+
+def components(edges: DataFrame, tag: str = "cc", few: int = FEW_EDGES) -> DataFrame:
+    """(node, component) for every node that has an edge (src, dst) to another; a component is named by its least node.
+
+    Distributed union-find by contraction: in a round every node moves to the first of its neighbours and
+    itself (by number, in every second round by a hash, which bounds the rounds of long chains), edges are
+    renamed, and loops and repeated edges go. So a component that has become one node takes no part in
+    later rounds, and what remains shrinks. Once ``few`` edges remain one task settles them. The moves of
+    the rounds, read backwards, give the components. Everything lies in the scratch folder. Nulls and
+    self-loops are ignored.
     """
-    both = edges.where("src is not null and dst is not null").select("src", "dst")
-    both = Staged(both.union(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), f"{tag}-edges")
-    labels = Staged(both.df.groupBy(F.col("src").alias("node")).agg(F.min(F.least("src", "dst")).alias("label")), f"{tag}-labels")
-    for _ in range(most_rounds):
-        near = (
-            both.df.join(labels.df, F.col("dst") == F.col("node"))
-            .groupBy("src").agg(F.min("label").alias("near"))
-        )
-        hooked = labels.df.join(near, F.col("node") == F.col("src")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        up = labels.df.select(F.col("node").alias("up"), F.col("label").alias("upper"))
-        new = Staged(hooked.join(up, F.col("label") == F.col("up"), "left").select("node", "old", F.least("label", F.coalesce("upper", "label")).alias("label")), f"{tag}-labels")
-        labels.drop()
-        labels = new
-        if new.df.where("label <> old").isEmpty():
-            both.drop()
-            return new.df.select("node", F.col("label").alias("component"))
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    pair = (F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+    now = Staged(edges.where("src is not null and dst is not null and src <> dst").select(*pair).distinct(), f"{tag}-edges")
+    moves: list[Staged] = []
+    mixed = False
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b.column("src").to_numpy(), b.column("dst").to_numpy()) for b in batches]
+        if held:
+            node, least = least_labels(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            for lo in range(0, len(node), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(node[lo : lo + (1 << 16)]), pa.array(least[lo : lo + (1 << 16)])], ["node", "to"])
+
+    while True:
+        many = now.df.count()
+        if many <= few:
+            moves.append(Staged(map_arrow(now.df.coalesce(1), settle, "node bigint, to bigint"), f"{tag}-moves"))
+            now.drop()
+            break
+        by_hash = len(moves) % 2 == 1
+        mixed |= by_hash
+        first = lambda c: F.struct((F.xxhash64(c, F.lit(len(moves))) if by_hash else F.col(c)).alias("h"), F.col(c).alias("n"))  # noqa: B023, E731
+        both = now.df.union(now.df.select("dst", "src"))
+        near = both.groupBy("src").agg(F.min(first("dst")).alias("near"))
+        move = Staged(near.select(F.col("src").alias("node"), F.least("near", first("src"))["n"].alias("to")), f"{tag}-moves")
+        moves.append(move)
+        a, b = (move.df.select(F.col("node").alias(c), F.col("to").alias(f"to_{c}")) for c in ("src", "dst"))
+        moved = now.df.join(a, "src").join(b, "dst").select(F.col("to_src").alias("src"), F.col("to_dst").alias("dst"))
+        after = Staged(moved.where("src <> dst").select(*pair).distinct(), f"{tag}-edges")
+        now.drop()
+        now = after
+    out = moves[-1].df.withColumnRenamed("to", "component")
+    for move in reversed(moves[:-1]):
+        later = out.select(F.col("node").alias("to"), "component")
+        out = move.df.join(later, "to", "left").select("node", F.coalesce("component", "to").alias("component"))
+    if mixed:
+        names = out.groupBy("component").agg(F.min("node").alias("least"))
+        out = out.join(names, "component").select("node", F.col("least").alias("component"))
+    if len(moves) == 1:
+        return out
+    done = stage(out, f"{tag}-components")
+    for move in moves:
+        move.drop()
+    return done
 
 
 # ---------------------------------------------------------------- bounded samples of labelled rows
@@ -329,14 +383,18 @@ class Sets:
 
 
 def linked_pairs(pairs: DataFrame, texts: DataFrame, elements, similar: float) -> DataFrame:
-    """The pairs (src, dst) whose texts (node, text) have a weighted Jaccard similarity of ``similar`` or more."""
-    both = pairs.join(texts.select(F.col("node").alias("src"), F.col("text").alias("a")), "src").join(texts.select(F.col("node").alias("dst"), F.col("text").alias("b")), "dst")
+    """(src, dst): the columns ``from`` and ``to`` of the ``pairs`` whose texts have a weighted Jaccard similarity of ``similar`` or more.
+
+    ``pairs`` has (a, b, from, to), ``texts`` (node, text) for the nodes a and b.
+    """
+    one = lambda n: texts.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}"))
+    both = pairs.join(one("a"), "a").join(one("b"), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "a"):
-                src, dst = part.column("src").to_numpy(), part.column("dst").to_numpy()
-                known = dict(zip(src.tolist(), part.column("a").to_pylist(), strict=True)) | dict(zip(dst.tolist(), part.column("b").to_pylist(), strict=True))
+            for part in chunks(batch, "text_a"):
+                src, dst = part.column("a").to_numpy(), part.column("b").to_numpy()
+                known = dict(zip(src.tolist(), part.column("text_a").to_pylist(), strict=True)) | dict(zip(dst.tolist(), part.column("text_b").to_pylist(), strict=True))
                 place = {n: k for k, n in enumerate(known)}
                 sets = Sets(list(known.values()), elements)
                 keep = np.zeros(len(src), bool)
@@ -345,23 +403,23 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, elements, similar: float) -
                     if min(x, y) >= (similar - 1e-9) * max(x, y):
                         both = sets.shared(place[a], sets, place[b])
                         keep[k] = both >= (similar - 1e-9) * (x + y - both)
-                yield pa.RecordBatch.from_arrays([pa.array(src[keep]), pa.array(dst[keep])], ["src", "dst"])
+                yield pa.RecordBatch.from_arrays([pa.array(part.column(c).to_numpy()[keep]) for c in ("from", "to")], ["src", "dst"])
 
-    return map_arrow(both.select("src", "dst", "a", "b"), check, "src bigint, dst bigint")
+    return map_arrow(both.select("a", "b", "from", "to", "text_a", "text_b"), check, "src bigint, dst bigint")
 
 
 def links_in_blocks(few: DataFrame, many: DataFrame, texts: DataFrame, elements, similar: float, block: int = 64) -> DataFrame:
-    """Links (src, dst) between nodes of different components that share a bucket; one for each src, component and block.
+    """Links (src, dst) between different components of a bucket; one for each node of ``few``, component and block.
 
     ``few`` and ``many`` have (bucket, node, component). Nodes of a bucket go in blocks with their texts, and
-    blocks are compared with blocks by matrix products, so pairs of nodes are never rows.
+    blocks are compared with blocks by matrix products, so pairs of nodes are never rows. Each pair of
+    blocks is a row of its own, dealt by its blocks, so a large bucket is spread over all tasks.
     """
 
     def packed(side: DataFrame, name: str) -> DataFrame:
         sizes = side.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
-        dealt = side.join(sizes, "bucket").withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
-        rows = dealt.join(texts, "node").groupBy("bucket", "_block").agg(F.collect_list(F.struct("node", "component", "text")).alias(name))
-        return rows.drop("_block")
+        dealt = side.join(sizes, "bucket").withColumn(f"{name}_block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
+        return dealt.join(texts, "node").groupBy("bucket", f"{name}_block").agg(F.collect_list(F.struct("node", "component", "text")).alias(name))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -370,58 +428,69 @@ def links_in_blocks(few: DataFrame, many: DataFrame, texts: DataFrame, elements,
                 x, y = Sets([r["text"] for r in a], elements), Sets([r["text"] for r in b], elements)
                 both = x.all_shared(y)
                 near = both >= (similar - 1e-6) * (x.total[:, None] + y.total[None, :] - both)
-                found: dict[tuple[int, int], int] = {}
+                found: dict[tuple[int, int], tuple[int, int]] = {}
                 for i, j in zip(*np.nonzero(near), strict=True):
                     i, j = int(i), int(j)
-                    if a[i]["component"] == b[j]["component"] or (a[i]["node"], b[j]["component"]) in found:
+                    key = a[i]["component"], b[j]["component"]
+                    if key[0] == key[1] or (a[i]["node"], key[1]) in found:
                         continue
                     exact = x.shared(i, y, j)
                     if exact >= (similar - 1e-9) * (x.total[i] + y.total[j] - exact):
-                        found[a[i]["node"], b[j]["component"]] = b[j]["node"]
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.int64()), pa.array(list(found.values()), pa.int64())], ["src", "dst"])
+                        found[a[i]["node"], key[1]] = key
+                pairs = sorted(set(found.values()))
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["src", "dst"])
 
-    return map_arrow(packed(few, "few").join(packed(many, "many"), "bucket").select("few", "many"), check, "src bigint, dst bigint")
+    left, right = Staged(packed(few, "few"), "few"), Staged(packed(many, "many"), "many")
+    plan = left.df.select("bucket", "few_block").join(right.df.select("bucket", "many_block"), "bucket")
+    both = plan.join(left.df, ["bucket", "few_block"]).join(right.df, ["bucket", "many_block"])
+    out = stage(map_arrow(both.select("few", "many"), check, "src bigint, dst bigint"), "block-links")
+    left.drop()
+    right.drop()
+    return out
 
 
 def classes(members: DataFrame, texts: DataFrame, elements, similar: float, tag: str, leaders: int = 3, rounds: int = 2) -> DataFrame:
-    """(node, component): components of the links between nodes that share a bucket.
+    """(node, component) of every node with a link: components of the links between nodes that share a bucket.
 
     ``members`` has (bucket, node), ``texts`` (node, text); ``elements`` maps texts to (hash, text's index,
     weight), distinct and in order for each text; a link is a weighted Jaccard similarity of ``similar``.
     No link that would join two components is lost, yet pairs of a bucket are never listed. Every member
     is compared with one leader of its bucket. Where a bucket then lies in several components, members
     outside its largest are compared with some more leaders from that one, ``rounds`` times. Those
-    still outside meet all other components of their bucket in blocks.
+    still outside meet all other components of their bucket in blocks. Later turns see only
+    buckets that are still open, and only links between components.
     """
     ends = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last")
-    table = Staged(members.join(ends.select("bucket", "leader"), "bucket"), f"{tag}-members").df
-    nodes = table.select(F.col("node").alias("src"), F.col("node").alias("dst")).distinct()
-    pairs = table.where("node <> leader").select(F.col("node").alias("src"), F.col("leader").alias("dst")).distinct()
-    links = [Staged(linked_pairs(pairs, texts, elements, similar), f"{tag}-links")]
-
-    def settled() -> DataFrame:
-        out = nodes
-        for x in links:
-            out = out.unionByName(x.df)
-        return components(out, tag)
-
-    found = settled()
+    table = Staged(members.join(ends.select("bucket", "leader"), "bucket"), f"{tag}-members")
+    pairs = table.df.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    links = [Staged(linked_pairs(pairs.withColumns({"from": F.col("a"), "to": F.col("b")}), texts, elements, similar), f"{tag}-links")]
+    found = components(links[0].df, tag)
+    now = table.df.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    held = [table]
     for turn in range(rounds + 1):
-        now = table.join(found, "node").select("bucket", "node", "component")
         sizes = now.groupBy("bucket", "component").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("components")).where("components > 1").select("bucket", "largest")
         still = Staged(now.join(largest, "bucket"), f"{tag}-open")
+        held.append(still)
         if still.df.isEmpty():
             break
         outside = still.df.where("component <> largest")
         if turn < rounds:
             lead = still.df.where("component = largest").groupBy("bucket").agg(*(F.min_by("node", F.xxhash64("node", F.lit(turn * leaders + k))).alias(f"l{k}") for k in range(leaders)))
-            pairs = outside.join(lead, "bucket").select(F.col("node").alias("src"), F.explode(F.array(*(F.col(f"l{k}") for k in range(leaders)))).alias("dst")).distinct()
-            more = linked_pairs(pairs, texts, elements, similar)
+            pairs = outside.join(lead, "bucket").select(F.col("node").alias("a"), F.col("component").alias("from"), F.col("largest").alias("to"), F.explode(F.array_distinct(F.array(*(F.col(f"l{k}") for k in range(leaders))))).alias("b"))
+            more = linked_pairs(pairs.dropDuplicates(["a", "b"]), texts, elements, similar)
         else:
             more = links_in_blocks(outside.select("bucket", "node", "component"), still.df.select("bucket", "node", "component"), texts, elements, similar)
         links.append(Staged(more, f"{tag}-links"))
-        if not links[-1].df.isEmpty():
-            found = settled()
-        still.drop()
+        now = still.df.select("bucket", "node", "component")
+        if turn < rounds:
+            joined = components(links[-1].df, tag).select(F.col("node").alias("component"), F.col("component").alias("after"))
+            now = now.join(joined, "component", "left").select("bucket", "node", F.coalesce("after", "component").alias("component"))
+    if len(links) > 1:
+        every = found.select(F.col("node").alias("src"), F.col("component").alias("dst"))
+        for x in links[1:]:
+            every = every.unionByName(x.df)
+        found = components(every, tag)
+    for x in (*held, *links):
+        x.drop()
     return found

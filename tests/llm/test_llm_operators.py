@@ -163,8 +163,7 @@ def shingles(text):
 def brute_near(rows, least=0.8):
     sets = [shingles(t) for _, t in rows]
     df, n = Counter(s for c in sets for s in c), len(rows)
-    top = math.log(1 / near_dedup.FREQUENT)
-    idf = lambda s: min(top, math.log((n + 1) / (df[s] + 1)) + 1e-3) if df[s] >= near_dedup.FREQUENT * n else top
+    idf = lambda s: math.log((n + 1) / (df[s] + 1)) + 1e-3
     parent = list(range(n))
 
     def root(a):
@@ -260,8 +259,7 @@ def test_draws_estimate_the_similarity():
     for i in rng.sample(range(300), 12):
         b[i] = rng.choice(words)
     v = near_dedup.Vectors([" ".join(a), " ".join(b)])
-    idf = near_dedup.Idf(np.zeros(0, np.uint64), np.zeros(0, np.int64), 10)
-    key = near_dedup.bands(v, idf, near_dedup.Draws(600), 600, 1)
+    key = near_dedup.bands(v, np.ones(len(v.hash), np.float32), near_dedup.Draws(600), 600, 1)
     share = (key[0] == key[1]).mean()
     x, y = shingles(" ".join(a)), shingles(" ".join(b))
     true = sum((x & y).values()) / sum((x | y).values())
@@ -495,7 +493,25 @@ def test_scores_do_not_read_labels_or_ids():
     assert (s[[0, 4]] >= 0.5).all() and (s[[1, 2, 3]] < 0.5).all()
 
 
-def test_components_of_a_chain(spark):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 100), (None, 7)], "src bigint, dst bigint")
-    got = {r["node"]: r["component"] for r in components(edges).collect()}
-    assert got == {i: 0 for i in range(51)} | {100: 100}
+@pytest.mark.parametrize("few", [0, 12, 1 << 18])
+def test_components(spark, few):
+    """Chains, a star, a clique and loose ends; by rounds, and by one task in the end."""
+    rng = random.Random(few)
+    chain = [(i, i + 1) for i in range(40)]
+    star = [(100, i) for i in range(101, 140)]
+    clique = list(itertools.combinations(range(200, 207), 2))
+    random_ = [(300 + rng.randrange(30), 300 + rng.randrange(30)) for _ in range(20)]
+    edges = [e if rng.random() < 0.5 else e[::-1] for e in chain + star + clique + random_]
+    parent = {n: n for e in edges for n in e}
+
+    def root(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    want = {n: root(n) for a, b in edges if a != b for n in (a, b)}
+    rows = spark.createDataFrame([*edges, (500, 500), (None, 7)], "src bigint, dst bigint")
+    assert {r["node"]: r["component"] for r in components(rows, few=few).collect()} == want
