@@ -5,35 +5,42 @@ A byte is removed when a string of 50 bytes that covers it also starts in a docu
 The suffixes that matter are first brought together. The 50 bytes from any place on contain a minimiser, the
 24-byte string of least hash among the 27 they hold, so equal strings have equal minimisers. The places
 whose strings share one minimiser form a run; runs whose minimiser occurs in one document only hold no
-repeated string. The bytes of the other runs (their context) are dealt out by minimiser. Contexts that are
-equal throughout settle each other. Where a minimiser has different contexts, these are cut into shards,
-each shard gets its transform, and the transforms are merged by iterative interleave refinement (Holt and
-McMillan): the order of the suffixes by their first j bytes gives the order by j + 1, and the
-blocks that are still together after j rounds are those with a common prefix of j bytes. Blocks left after
-50 rounds are the repeated intervals; the suffixes are never sorted again.
-
-Frequent strings stay cheap: each batch sends one run for each minimiser that it has seen twice, and one
-copy of each context, whatever the number of documents that hold it.
+repeated string. The bytes of the other runs (their context) are dealt out by minimiser. Contexts with the same
+bytes are one, with the documents that hold them: a transform of copies would have nothing but intervals of all
+copies. Where a minimiser has different contexts, these are cut into shards, each shard gets its
+transform, and the transforms are merged by iterative interleave refinement (Holt and McMillan): the order
+of the suffixes by their first j bytes gives the order by j + 1, and the blocks that are still together
+after j rounds are those with a common prefix of j bytes. Blocks left after 50 rounds are the repeated
+intervals; the suffixes are never sorted again.
+
+Texts lie in numbered blocks. What a block asks and what it is told are arrays in an order that both sides know, so
+ids and places don't travel, and rows are as many as blocks times parts at most.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sparkloom.llm.shared import bloom_bits, bloom_has, chunks, group_arrow, map_arrow, mix, partitions_for, span_hashes, stage
+from sparkloom.llm.shared import Staged, chunks, group_arrow, map_arrow, mix, partitions_for, span_hashes
+from sparkloom.shipping import ship
 
 #: Bytes of a repeated string, and of the string whose hash picks the minimiser.
 LENGTH, GRAM = 50, 24
 #: Bytes of contexts in a shard, and in the shards that are merged together (more only for one minimiser alone).
 SHARD, MERGE = 1 << 17, 1 << 20
+#: Bytes of text of a block, and runs of a minimiser from which its strings are dealt out one by one.
+BLOCK, HEAVY = 8 << 20, 4096
 #: Bytes that one task gets when runs and contexts are dealt out, on average.
 PART = 12 << 20
 #: Bytes of a context and what goes with it, on average.
@@ -47,7 +54,7 @@ LAST = (1 << 63) - 1  # order of a null id
 def runs(data: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash of the minimiser, document, first place, number of places) of every run of every document.
 
-    Places are relative to the document. The documents' bytes are ``data[at[i]:at[i + 1] - 1]``.
+    Places are relative to the document. The documents' bytes are ``data[at[i]:at[i + 1]]``.
     """
     window = length - gram + 1
     n = len(data) - length + 1
@@ -77,7 +84,7 @@ def runs(data: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRA
     start = np.arange(n)
     place = start + (((least[:n] & low).astype(np.int64) - own[:n]) & 127)
     doc = doc[:n]
-    inside = start + length <= at[1:][doc] - 1
+    inside = start + length <= at[1:][doc]
     cut = np.ones(n + 1, bool)
     cut[1:n] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1]) | (inside[1:] != inside[:-1])
     first = np.flatnonzero(cut)
@@ -88,13 +95,6 @@ def runs(data: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRA
     return mix(h[place[first]]), doc[first], first - at[doc[first]], many
 
 
-def _bytes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [t or b"" for t in texts]
-    at = np.zeros(len(parts) + 1, np.int64)
-    np.cumsum([len(p) + 1 for p in parts], out=at[1:])
-    return np.frombuffer(b"\0".join([*parts, b""]), np.uint8), at
-
-
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Positions start, start + 1, ... for each start, as many as its size."""
     ends = np.cumsum(sizes)
@@ -202,229 +202,284 @@ def repeated(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int = LE
 # ---------------------------------------------------------------- the operator
 
 
-def _packed(columns: list[np.ndarray], part: np.ndarray, parts: int) -> list[tuple]:
-    """Columns as bytes, one row for each part that has some."""
-    by = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
-    part, columns = part[by], [c[by] for c in columns]
-    cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else np.zeros(1, np.int64)
-    return [(int(part[a]), *(c[a:b].tobytes() for c in columns)) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+def _numbers(x: bytes, kind: type) -> np.ndarray:
+    """The inverse of ``_planes``."""
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers by planes of bytes, so that the high ones, mostly zero, take no room once compressed."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
 
+def _squeeze(x: bytes, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(x)
 
-def _by_row(key: np.ndarray, columns: list[np.ndarray]) -> list[tuple]:
-    """(row key, columns as bytes), one row for each key."""
-    by = np.argsort(key, kind="stable")
-    key, columns = key[by], [c[by] for c in columns]
-    cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True]))) if len(key) else np.zeros(1, np.int64)
-    return [(int(key[a]), *(c[a:b].tobytes() for c in columns)) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
+def _full(x: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(x)
 
-def _squeezed(texts: list[bytes]) -> pa.Array:
-    """Texts compressed for the shuffle."""
-    z = zstandard.ZstdCompressor(level=3)
-    return pa.array([z.compress(t) for t in texts], pa.binary())
 
+def _table(columns: list, names: list[str], kinds: list[pa.DataType]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-def _full(texts: list[bytes]) -> list[bytes]:
-    z = zstandard.ZstdDecompressor()
-    return [z.decompress(t) for t in texts]
 
+def _all(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in table.column(name).to_pylist() if x)])
 
-def _table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
+def _bits(parts: int) -> int:
+    """Parts are powers of two, so that the high bits of a key are its part."""
+    return max(1, (parts - 1).bit_length())
 
-def _column(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(x for x in table.column(name).to_pylist() if x), kind)
 
+def _cuts(keys: np.ndarray, bits: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The part of each of the rising keys, and (part, from, to) of those that have some."""
+    part = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    edge = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else np.zeros(1, np.int64)
+    return part, [(int(part[a]), int(a), int(b)) for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
-def _parts(hashes: np.ndarray, parts: int) -> np.ndarray:
-    return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
+def blocked(docs: DataFrame) -> Staged:
+    """(block, ids, docs, sizes, texts): a row for each block of about BLOCK bytes of text, written.
 
-def keyed_bytes(docs: DataFrame) -> DataFrame:
+    ids are the doc_ids, docs their order (null ids last), sizes the lengths in bytes of the texts, which
+    are compressed together. Null texts are empty.
+    """
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError("doc_id must be a whole number: repeats are judged by its order")
+    kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
-    return docs.select(F.xxhash64(F.col("doc_id"), text).alias("row_key"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), text.alias("text"))
+    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), text.alias("text"))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for part in chunks(batch, most=BLOCK):
+                texts, ids = part.column("text").to_pylist(), part.column("doc_id")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([n], pa.int64()), pa.array([ids.to_pylist()], pa.list_(ids.type)), pa.array([part.column("doc").to_pylist()], pa.list_(pa.int64())),
+                        pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([_squeeze(b"".join(texts), 3)], pa.binary()),
+                    ],
+                    ["block", "ids", "docs", "sizes", "texts"],
+                )
+                n += 1
+
+    return Staged(map_arrow(rows, number, f"block bigint, ids array<{kind}>, docs array<bigint>, sizes array<bigint>, texts binary"), "suffix-blocks")
+
+
+def _block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, where each text starts and one more, order of each text's id)."""
+    at = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.array(row["sizes"], np.int64))))
+    return np.frombuffer(_full(row["texts"]), np.uint8), at, np.array(row["docs"], np.int64)
+
+
+def block_runs(data: np.ndarray, at: np.ndarray, length: int, gram: int, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``runs`` of a block, about ``most`` bytes at a time; a longer text goes in slices that overlap, so a run may be cut there."""
+    held = []
+    lo, n = 0, len(at) - 1
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + most, "right")) - 1)
+        if at[hi] - at[lo] <= 2 * most:
+            h, row, first, many = runs(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], length, gram)
+            held.append((h, row + lo, first, many))
+        else:  # one long text
+            for start in range(0, int(at[hi] - at[lo]), most):
+                piece = data[at[lo] + start : min(at[lo] + start + most + length - 1, at[hi])]
+                h, row, first, many = runs(piece, np.array([0, len(piece)]), length, gram)
+                held.append((h, row + lo, first + start, many))
+        lo = hi
+    return tuple(np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(row_key, starts, ends): the maximal runs of bytes to remove from each text that has some, as arrays of int.
+def _by_minimiser(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order of the runs by minimiser, where each distinct one starts in it, runs of each)."""
+    order = np.argsort(h, kind="stable")
+    new = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1]))[: len(h)])
+    return order, new, np.diff(np.append(new, len(h)))
 
-    row_key is xxhash64(doc_id, bytes of the text). Null texts are empty; null ids come after all others.
-    Rows with one id never remove each other's bytes. Bytes are judged on the input.
+
+def distinct(data: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray, doc: np.ndarray, block: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+    """(order by key, context and document; whether each is the first of its context in that order).
+
+    Hashes only bring equal contexts together; contexts are equal when their bytes are.
     """
-    spark = docs.sparkSession
-    keyed = keyed_bytes(docs)
-    size = keyed.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = partitions_for(spark, -(-size // 14 * 8 // PART))
-
-    def send_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        weight = 0
-
-        def flush() -> pa.RecordBatch:
-            h, key, doc, run = (np.concatenate(x) for x in zip(*held, strict=True))
-            by = np.argsort(h, kind="stable")
-            h, key, doc, run = h[by], key[by], doc[by], run[by]
-            new = np.concatenate(([True], h[1:] != h[:-1]))
-            start = np.flatnonzero(new)
-            many = np.diff(np.append(start, len(h)))
-            several = np.minimum.reduceat(doc, start) != np.maximum.reduceat(doc, start)
-            twice = np.repeat(several, many)
-            # Runs seen in two documents here are known; of them the others only need a mark.
-            rows = [(part, None, None, low, hi, None) for part, low, hi in _packed([h[start[several]].astype(np.uint32), np.zeros(int(several.sum()), np.uint8)], _parts(h[start[several]], parts), parts)]
-            known = _by_row(key[twice], [run[twice].astype(np.uint32)])
-            rows += [(k % parts, k, r, None, None, None) for k, r in known]
-            one = np.flatnonzero(~twice)
-            one = one[np.lexsort((run[one], key[one]))]  # in order of documents, keys and numbers compress well
-            rows += [(part, None, r, low, None, k) for part, low, r, k in _packed([h[one].astype(np.uint32), run[one].astype(np.uint32), key[one]], _parts(h[one], parts), parts)]
-            return _table(rows, ["part", "key", "runs", "low", "mark", "keys"], [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()])
+    same = context_hashes(data, start, size)
+    by = np.lexsort((doc, size, same, key))
+    k, s, n, at = key[by], same[by], size[by], start[by]
+    new = np.ones(len(by), bool)
+    new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1]) | (n[1:] != n[:-1])
+    maybe = np.flatnonzero(~new)
+    ends = np.cumsum(n[maybe], dtype=np.int64)
+    lo = 0
+    while lo < len(maybe):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + block)))
+        i = maybe[lo:hi]
+        unlike = data[_ragged(at[i], n[i])] != data[_ragged(at[i - 1], n[i])]
+        new[i] = np.logical_or.reduceat(unlike, np.cumsum(n[i]) - n[i])
+        lo = hi
+    return by, new
+
+
+def _spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    row, start, end = union(row, start, end)
+    return row.astype(np.int32).tobytes(), start.astype(np.int32).tobytes(), end.astype(np.int32).tobytes()
+
+
+def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY) -> DataFrame:
+    """(block, rows, starts, ends): what the texts of each block lose, packed; spans may overlap between rows of the result.
 
+    Blocks tell each part the minimisers they hold; parts answer, in the order in which they were asked, which
+    ones several documents hold. Blocks then send the contexts of those, one copy of each, to the part of the
+    minimiser, which answers with the bytes to remove. A minimiser of more than ``heavy`` runs is
+    split: its strings go one by one to the parts of their own hashes.
+    """
+    spark = blocks.sparkSession
+    ship(spark)
+    size = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0
+    bits = _bits(partitions_for(spark, -(-size // 14 * 8 // PART)))
+    names, kinds = ["part", "block", "low", "many"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
-                data, at = _bytes(part.column("text").to_pylist())
-                h, doc, _, _ = runs(data, at, length, gram)
-                # a run's number in its document
-                number = np.arange(len(doc)) - np.searchsorted(doc, doc)
-                held.append((h, part.column("row_key").to_numpy()[doc], part.column("doc").to_numpy()[doc], number))
-                weight += len(data)
-                if weight > 8 << 20:
-                    if any(len(x[0]) for x in held):
-                        yield flush()
-                    held, weight = [], 0
-        if any(len(x[0]) for x in held):
-            yield flush()
+            for r in batch.to_pylist():
+                data, at, docs = _block(r)
+                h, row, _, _ = block_runs(data, at, length, gram)
+                order, new, many = _by_minimiser(h)
+                doc = docs[row[order]]
+                several = np.minimum.reduceat(doc, new) != np.maximum.reduceat(doc, new) if len(new) else np.zeros(0, bool)
+                own = h[order][new]
+                low = ((own << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+                many = (np.minimum(many, 0x7FFF) | (several * 0x8000)).astype(np.uint16)
+                _, cuts = _cuts(own, bits)
+                rows = [(p, r["block"], _planes(np.diff(low[a:b], prepend=np.uint32(0))), _planes(many[a:b])) for p, a, b in cuts]
+                if rows:
+                    yield _table(list(zip(*rows, strict=True)), names, kinds).to_batches()[0]
 
     def meet(table: pa.Table) -> pa.Table:
-        known = table.filter(pc.is_valid(table.column("key")))
-        out = list(zip(known.column("key").to_pylist(), known.column("runs").to_pylist(), strict=True))
-        table = table.filter(pc.is_null(table.column("key")))
-        marks = table.filter(pc.is_valid(table.column("mark")))
-        single = table.filter(pc.is_valid(table.column("keys")))
-        low, run, key = _column(single, "low", np.uint32), _column(single, "runs", np.uint32), _column(single, "keys", np.int64)
-        if len(low):
-            by = np.lexsort((key, low))
-            low, run, key = low[by], run[by], key[by]
-            start = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
-            many = np.diff(np.append(start, len(low)))
-            several = np.minimum.reduceat(key, start) != np.maximum.reduceat(key, start)
-            several |= np.isin(low[start], _column(marks, "low", np.uint32))
-            hit = np.repeat(several, many)
-            out += _by_row(key[hit], [run[hit]])
-        return pa.Table.from_batches([_table(out, ["row_key", "runs"], [pa.int64(), pa.binary()])])
-
-    sent = map_arrow(keyed, send_runs, "part int, key bigint, runs binary, low binary, mark binary, keys binary")
-    asked = stage(group_arrow(sent, "part", meet, "row_key bigint, runs binary").groupBy("row_key").agg(F.collect_list("runs").alias("runs")), "runs")
-
-    def chosen(rows: DataFrame, by: DataFrame) -> DataFrame:
-        """The rows whose key is in ``by``, perhaps with some others, texts compressed: spares the join most of the bytes."""
-        bits, length_ = bloom_bits(by.select(F.xxhash64("row_key").alias("k")), "k")
-        filter_ = spark.sparkContext.broadcast((bits, length_))
-        names = rows.columns
-
-        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits, length_ = filter_.value
-            for batch in batches:
-                got = batch.filter(pa.array(bloom_has(bits, length_, batch.column("_k").to_numpy())))
-                yield pa.RecordBatch.from_arrays([_squeezed(got.column(c).to_pylist()) if c == "text" else got.column(c) for c in names], names)
-
-        schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
-        return map_arrow(rows.withColumn("_k", F.xxhash64("row_key")), pick, schema)
-
-    held = chosen(keyed, asked).dropDuplicates(["row_key"]).join(asked, "row_key")
-
-    bytes_ = asked.agg(F.sum(F.aggregate("runs", F.lit(0).cast("bigint"), lambda a, x: a + F.length(x)))).first()[0] or 0
-    many_parts = partitions_for(spark, -(-bytes_ // 4 * CONTEXT // PART))
-
-    def send_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, most=1 << 18):
-                data, at = _bytes(_full(part.column("text").to_pylist()))
-                h, doc, first, many = runs(data, at, length, gram)
-                begin = np.searchsorted(doc, np.arange(part.num_rows))
-                wanted = [begin[i] + np.unique(np.frombuffer(b"".join(r), np.uint32)) for i, r in enumerate(part.column("runs").to_pylist())]
-                use = np.concatenate(wanted).astype(np.int64)
-                h, doc, first, size = h[use], doc[use], first[use], many[use] + length - 1
-                key, id_ = part.column("row_key").to_numpy()[doc], part.column("doc").to_numpy()[doc]
-                start = at[doc] + first
-                # One copy of each context goes on; later documents here lose all of theirs at once.
-                same = context_hashes(data, start, size)
-                by = np.lexsort((id_, same))
-                new = np.concatenate(([True], same[by][1:] != same[by][:-1])) if len(by) else np.zeros(0, bool)
-                least = id_[by][new][np.cumsum(new) - 1] if len(by) else id_
-                late = np.zeros(len(h), bool)
-                late[by] = id_[by] > least
-                rows = [(k % many_parts, k, a, b, None, None, None, None, None) for k, a, b in _by_row(key[late], [first[late].astype(np.int32), (first + size)[late].astype(np.int32)])]
-                on = ~late
-                h, key, id_, first, size, start = (x[on] for x in (h, key, id_, first, size, start))
-                p = _parts(h, many_parts)
-                by = np.argsort(p, kind="stable")
-                h, key, id_, first, size, start, p = (x[by] for x in (h, key, id_, first, size, start, p))
-                cut = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1], [True]))) if len(p) else np.zeros(1, np.int64)
-                for a, b in zip(cut[:-1], cut[1:], strict=True):
-                    rows.append((int(p[a]), None, first[a:b].astype(np.int32).tobytes(), size[a:b].astype(np.int32).tobytes(), h[a:b].tobytes(), key[a:b].tobytes(), id_[a:b].tobytes(), data[_ragged(start[a:b], size[a:b])].tobytes(), None))
-                yield _table([r[:8] for r in rows], ["part", "key", "first", "size", "hash", "keys", "docs", "bytes"], [pa.int32(), pa.int64(), *[pa.binary()] * 6])
+        asked = [np.cumsum(_numbers(x, np.uint32), dtype=np.uint32) for x in table.column("low").to_pylist()]
+        many = np.concatenate([_numbers(x, np.uint16) for x in table.column("many").to_pylist()])
+        low = np.concatenate(asked)
+        order = np.argsort(low, kind="stable")
+        new = np.flatnonzero(np.concatenate(([True], low[order][1:] != low[order][:-1])))
+        blocks_ = np.diff(np.append(new, len(low)))
+        total = np.add.reduceat((many & 0x7FFF)[order].astype(np.int64), new)
+        several = np.bitwise_or.reduceat(many[order], new) >= 0x8000
+        state = np.empty(len(low), np.uint8)
+        state[order] = np.repeat(np.where((blocks_ > 1) | several, np.where(total > heavy, 2, 1), 0).astype(np.uint8), blocks_)
+        ends = np.cumsum([len(x) for x in asked])
+        mine = [slice(b - len(x), b) for x, b in zip(asked, ends, strict=True)]
+        return _table(
+            [table.column("block").to_pylist(), table.column("part").to_pylist(), [_squeeze(state[s].tobytes()) for s in mine], [int((many[s] & 0x7FFF)[state[s] > 0].astype(np.int64).sum()) for s in mine]],
+            ["block", "part", "state", "runs"], [pa.int64(), pa.int32(), pa.binary(), pa.int64()],
+        )
+
+    sent = map_arrow(blocks.select("block", "docs", "sizes", "texts"), ask, "part int, block bigint, low binary, many binary")
+    answers = Staged(group_arrow(sent, "part", meet, "block bigint, part int, state binary, runs bigint"), "suffix-answers")
+    wanted = answers.df.agg(F.sum("runs")).first()[0] or 0
+    wide = _bits(partitions_for(spark, -(-wanted * CONTEXT // PART)))
+    fields = ["part", "block", "key", "doc", "size", "bytes", "times", "row", "first", "late_row", "late_start", "late_end"]
+    types = [pa.int32(), pa.int64(), *[pa.binary()] * 10]
+
+    def send(block: pa.Table, answer: pa.Table) -> pa.Table:
+        out = []
+        by_part = sorted(zip(answer.column("part").to_pylist(), answer.column("state").to_pylist(), strict=True))
+        for r in block.to_pylist():
+            data, at, docs = _block(r)
+            h, row, first, many = block_runs(data, at, length, gram)
+            order, _, times = _by_minimiser(h)
+            states = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(_full(x), np.uint8) for _, x in by_part)])
+            state = np.empty(len(h), np.uint8)
+            state[order] = np.repeat(states, times)
+            use, split = np.flatnonzero(state == 1), np.flatnonzero(state == 2)
+            each = many[split]
+            at_once = (h[use], row[use], first[use], many[use] + length - 1)
+            place = _ragged(first[split], each)
+            one = np.repeat(row[split], each)
+            alone = (mix(context_hashes(data, at[one] + place, np.full(len(one), length)) + np.uint64(1)), one, place, np.full(len(one), length))
+            key, row, first, size = (np.concatenate(x) for x in zip(at_once, alone, strict=True))
+            start, doc = at[row] + first, docs[row]
+            by, new = distinct(data, start, size, key, doc)
+            key, row, first, size, start, doc = (x[by] for x in (key, row, first, size, start, doc))
+            lead = np.flatnonzero(new)
+            least = np.repeat(doc[lead], np.diff(np.append(lead, len(doc)))) if len(lead) else doc
+            # Later documents here lose all of theirs at once; one copy of each context goes on.
+            late = doc > least
+            out.append((zlib.crc32(str(r["block"]).encode()) % (1 << wide), r["block"], *[None] * 7, *_spans(row[late], first[late], first[late] + size[late])))
+            early = np.flatnonzero(~late)
+            times = np.diff(np.append(np.searchsorted(early, lead), len(early)))
+            where = np.concatenate((np.zeros(1, np.int64), np.cumsum(times)))
+            _, cuts = _cuts(key[lead], wide)
+            for p, a, b in cuts:
+                some, who = lead[a:b], early[where[a] : where[b]]
+                out.append((
+                    p, r["block"], key[some].tobytes(), doc[some].tobytes(), size[some].astype(np.int32).tobytes(), _squeeze(data[_ragged(start[some], size[some])].tobytes()),
+                    times[a:b].astype(np.int32).tobytes(), row[who].astype(np.int32).tobytes(), first[who].astype(np.int32).tobytes(), None, None, None,
+                ))
+        return _table(list(zip(*out, strict=True)) if out else [[] for _ in fields], fields, types)
 
     def settle(table: pa.Table) -> pa.Table:
-        direct = table.filter(pc.is_valid(table.column("key")))
-        out = list(zip(*(direct.column(c).to_pylist() for c in ("key", "first", "size")), strict=True))
-        table = table.filter(pc.is_null(table.column("key")))
-        first, size, h, key, doc = (_column(table, c, k) for c, k in (("first", np.int32), ("size", np.int32), ("hash", np.uint64), ("keys", np.int64), ("docs", np.int64)))
-        data = _column(table, "bytes", np.uint8)
-        start = np.cumsum(size, dtype=np.int64) - size
-        gone: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(h):
-            same = context_hashes(data, start, size)
-            by = np.lexsort((doc, same, h))
-            first, size, h, key, doc, start, same = (x[by] for x in (first, size, h, key, doc, start, same))
-            new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (same[1:] != same[:-1]))))
-            of = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(h))))  # distinct context of each
-            late = doc > doc[new][of]
-            gone.append((key[late], first[late], (first + size)[late]))
+        direct = table.filter(pc.is_valid(table.column("late_row")))
+        out = [tuple(direct.column(c).to_pylist()) for c in ("block", "late_row", "late_start", "late_end")]
+        out = [list(x) for x in out]
+        table = table.filter(pc.is_valid(table.column("key")))
+        if table.num_rows:
+            key, doc, size = _all(table, "key", np.uint64), _all(table, "doc", np.int64), _all(table, "size", np.int32).astype(np.int64)
+            times, row, first = (_all(table, c, np.int32).astype(np.int64) for c in ("times", "row", "first"))
+            data = np.frombuffer(b"".join(_full(x) for x in table.column("bytes").to_pylist()), np.uint8)
+            sender = np.repeat(np.arange(table.num_rows), [len(x) // 8 for x in table.column("key").to_pylist()])
+            start, place_of = np.cumsum(size) - size, np.cumsum(times) - times
+            by, new = distinct(data, start, size, key, doc)
+            lead = np.flatnonzero(new)  # in order: the first sender of each context has its least document
+            of = np.cumsum(new) - 1
+            late = doc[by] > doc[by[lead]][of]
+            gone: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+
+            def lose(contexts: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+                """Every occurrence of these contexts loses its bytes from ``begin`` to ``end``."""
+                n = times[contexts]
+                who = _ragged(place_of[contexts], n)
+                gone.append((np.repeat(sender[contexts], n), row[who], first[who] + np.repeat(begin, n), first[who] + np.repeat(end, n)))
+
+            lose(by[late], np.zeros(int(late.sum()), np.int64), size[by[late]])
             # Minimisers with several contexts: merge the transforms of their shards.
-            anchor = h[new]
+            anchor = key[by[lead]]
             begin = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
             many = np.diff(np.append(begin, len(anchor)))
-            lead = np.flatnonzero(np.repeat(many > 1, many))
-            ids = np.repeat(np.arange(len(begin)), many)[lead]
-            weight = np.cumsum(size[new[lead]], dtype=np.int64)
-            lo = 0
+            mixed = np.flatnonzero(np.repeat(many > 1, many))
+            ids = np.repeat(np.arange(len(begin)), many)[mixed]
+            weight = np.cumsum(size[by[lead[mixed]]])
             early = np.flatnonzero(~late)
-            by_context = np.searchsorted(of[early], np.arange(len(new) + 1))
-            while lo < len(lead):
+            by_context = np.searchsorted(of[early], np.arange(len(lead) + 1))
+            lo = 0
+            while lo < len(mixed):
                 hi = max(lo + 1, int(np.searchsorted(weight, (weight[lo - 1] if lo else 0) + MERGE)))
-                hi = int(np.searchsorted(ids, ids[hi - 1], "right"))  # whole minimisers
-                some = new[lead[lo:hi]]
-                at = np.concatenate((np.zeros(1, np.int64), np.cumsum(size[some], dtype=np.int64)))
-                context, place = repeated(data[_ragged(start[some], size[some].astype(np.int64))], at, doc[some], length)
-                # for every occurrence in the context's first document
-                c = lead[lo:hi][context]
+                hi = int(np.searchsorted(ids, ids[hi - 1], "right"))  # whole minimisers; of at most ``heavy`` runs each
+                some = by[lead[mixed[lo:hi]]]
+                at = np.concatenate((np.zeros(1, np.int64), np.cumsum(size[some])))
+                context, place = repeated(data[_ragged(start[some], size[some])], at, doc[some], length)
+                c = mixed[lo:hi][context]
                 n = by_context[c + 1] - by_context[c]
-                who = early[_ragged(by_context[c], n)]
-                from_ = first[who] + np.repeat(place, n)
-                gone.append((key[who], from_, from_ + length))
+                who = by[early[_ragged(by_context[c], n)]]
+                place = np.repeat(place, n)
+                lose(who, place, place + length)
                 lo = hi
-            k, a, b = (np.concatenate(x) for x in zip(*gone, strict=True))
-            k, a, b = union(k, a, b)
-            out += _by_row(k, [a.astype(np.int32), b.astype(np.int32)])
-        return pa.Table.from_batches([_table(out, ["row_key", "starts", "ends"], [pa.int64(), pa.binary(), pa.binary()])])
-
-    contexts = map_arrow(held.select("row_key", "doc", "text", "runs"), send_contexts, "part int, key bigint, first binary, size binary, hash binary, keys binary, docs binary, bytes binary")
-    found = group_arrow(contexts, "part", settle, "row_key bigint, starts binary, ends binary").groupBy("row_key").agg(F.collect_list(F.struct("starts", "ends")).alias("found"))
-
-    def join_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, starts, ends = [], [], []
-            for k, rows in zip(batch.column("row_key").to_pylist(), batch.column("found").to_pylist(), strict=True):
-                a, b = (np.frombuffer(b"".join(r[c] for r in rows), np.int32).astype(np.int64) for c in ("starts", "ends"))
-                _, a, b = union(np.zeros(len(a), np.int64), a, b)
-                if len(a):
-                    key.append(k)
-                    starts.append(a.astype(np.int32))
-                    ends.append(b.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))], ["row_key", "starts", "ends"])
-
-    return map_arrow(found, join_spans, "row_key bigint, starts array<int>, ends array<int>")
+            sender_, row_, a, b = (np.concatenate(x) for x in zip(*gone, strict=True))
+            names_ = table.column("block").to_pylist()
+            order = np.argsort(sender_, kind="stable")
+            edge = np.flatnonzero(np.concatenate(([True], sender_[order][1:] != sender_[order][:-1], [True]))) if len(order) else np.zeros(1, np.int64)
+            for x, y in zip(edge[:-1], edge[1:], strict=True):
+                mine = order[x:y]
+                for column, value in zip(out, (names_[sender_[mine[0]]], *_spans(row_[mine], a[mine], b[mine])), strict=True):
+                    column.append(value)
+        return _table(out, ["block", "rows", "starts", "ends"], [pa.int64(), *[pa.binary()] * 3])
+
+    contexts = blocks.select("block", "docs", "sizes", "texts").groupBy("block").cogroup(answers.df.select("block", "part", "state").groupBy("block")).applyInArrow(send, "part int, block bigint, " + ", ".join(f"{c} binary" for c in fields[2:]))
+    found = Staged(group_arrow(contexts, "part", settle, "block bigint, rows binary, starts binary, ends binary"), "suffix-spans")
+    answers.drop()
+    return found.df
 
 
 def union(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -442,60 +497,42 @@ def union(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarr
     return key[new], start[new], e[last] - number[new] * gap
 
 
-def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """(row_key, kept, n_bytes, n_removed, n_spans) of the rows of ``docs`` that lose bytes; kept as binary."""
-    spark = docs.sparkSession
-    bits, size = bloom_bits(spans.select(F.xxhash64("row_key").alias("k")), "k")
-    filter_ = spark.sparkContext.broadcast((bits, size))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, size = filter_.value
-        for batch in batches:
-            got = batch.filter(pa.array(bloom_has(bits, size, batch.column("k").to_numpy())))
-            yield pa.RecordBatch.from_arrays([got.column("row_key"), _squeezed(got.column("text").to_pylist())], ["row_key", "text"])
-
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, most=1 << 18):
-                kept, gone, many = [], [], []
-                texts = _full(part.column("text").to_pylist())
-                for text, a, b in zip(texts, part.column("starts").to_pylist(), part.column("ends").to_pylist(), strict=True):
-                    edges = [0, *(x for pair in zip(a, b, strict=True) for x in pair), len(text)]
-                    kept.append(b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)))
-                    gone.append(len(text) - len(kept[-1]))
-                    many.append(len(a))
-                yield pa.RecordBatch.from_arrays([part.column("row_key"), pa.array(kept, pa.binary()), pa.array([len(t) for t in texts], pa.int64()), pa.array(gone, pa.int64()), pa.array(many, pa.int64())], ["row_key", "kept", "n_bytes", "n_removed", "n_spans"])
+def without_repeats(docs: DataFrame, texts: bool = True, length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, starts, ends and (with ``texts``) kept of every row of ``docs``.
 
-    rows = map_arrow(keyed_bytes(docs).select("row_key", "text", F.xxhash64("row_key").alias("k")), pick, "row_key bigint, text binary")
-    return map_arrow(rows.dropDuplicates(["row_key"]).join(spans, "row_key"), remove, "row_key bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
+    starts and ends are the maximal runs of bytes that the text loses, kept is what remains, as binary. Null
+    texts are empty and lose nothing, as do texts shorter than ``length``; null ids come after all others;
+    rows with one id, repeated rows too, never remove each other's bytes. Bytes are judged on the input, over whole
+    texts of any length. An empty table gives an empty result; other columns of ``docs`` are ignored.
+    doc_id must be of a whole-number type, else TypeError.
+    """
+    blocks = blocked(docs)
+    spans = removals(blocks.df, length, gram, heavy)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "ends", *["kept"] * texts]
+
+    def cut(block: pa.Table, spans: pa.Table) -> pa.Table:
+        out = []
+        rows, starts, ends = union(*(_all(spans, c, np.int32).astype(np.int64) for c in ("rows", "starts", "ends")))
+        for k in range(block.num_rows):
+            ids, sizes, data = block.column("ids")[k].values, block.column("sizes")[k].as_py(), _full(block.column("texts")[k].as_py())
+            at = np.searchsorted(rows, np.arange(len(sizes) + 1))
+            held, begin = [], 0
+            for i, n in enumerate(sizes):
+                text = data[begin : begin + n]
+                begin += n
+                a, b = starts[at[i] : at[i + 1]].tolist(), ends[at[i] : at[i + 1]].tolist()
+                edges = [0, *(x for pair in zip(a, b, strict=True) for x in pair), n]
+                kept = b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)) if a else text
+                held.append((n, n - len(kept), len(a), hashlib.sha256(kept).hexdigest(), a, b, *[kept] * texts))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), *[pa.binary()] * texts]
+            out.append(pa.Table.from_arrays([ids, *(pa.array(c, t) for c, t in zip(zip(*held, strict=True), kinds, strict=True))], names))
+        return pa.concat_tables(out)
+
+    schema = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, starts array<int>, ends array<int>" + ", kept binary" * texts
+    return blocks.df.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
 
 
 def repeats_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; texts without repeats are hashed where they are read."""
-    spans = stage(repeated_spans(docs), "spans")
-    cuts = stage(cut(docs, spans).select("row_key", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")), "cuts")
-    text = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
-    every = docs.select("doc_id", F.xxhash64(F.col("doc_id"), text).alias("row_key"), F.length(text).cast("bigint").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
-    return every.join(cuts, "row_key", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256")
-    )
-
-
-def brute_force(texts: list[tuple[int, bytes]], length: int = LENGTH) -> list[tuple[int, int, int, int, str]]:
-    """What the report should be, by a dictionary of all strings: for tests."""
-    least: dict[bytes, int] = {}
-    for doc, text in texts:
-        for i in range(len(text) - length + 1):
-            s = text[i : i + length]
-            if doc < least.get(s, LAST):
-                least[s] = doc
-    out = []
-    for doc, text in texts:
-        gone = bytearray(len(text))
-        for i in range(len(text) - length + 1):
-            if least.get(text[i : i + length], LAST) < doc:
-                gone[i : i + length] = b"\1" * length
-        kept = bytes(c for c, g in zip(text, gone, strict=True) if not g)
-        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
-        out.append((doc, len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
-    return out
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row, as ``without_repeats`` has them."""
+    return without_repeats(docs, texts=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
