@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkloom.shipping import ship
@@ -311,32 +311,56 @@ def folds(doc_id, of: int):
     return F.crc32(doc_id.cast("string").cast("binary")) % of
 
 
-def bounded_sample(rows: DataFrame, group: str, per_group: int) -> DataFrame:
-    """At most about ``per_group`` rows of (doc_id, group) for each value of ``group``, by least hash of the id.
+#: Bytes of text that a sample brings to the driver at most.
+SAMPLE_BYTES = 96 << 20
 
-    Ranks only ids, group by group, with a limit before the shuffle; the result is bounded by
-    per_group times the number of values and does not depend on partitioning.
+
+def below(rows: DataFrame, per_label: int, tag: str) -> DataFrame:
+    """``rows`` (label, k, ...) with h, of each label those of least h: about twice ``per_label`` distinct k, or all where there are fewer.
+
+    h is k without its sign. The bound comes from the (mergeable) approximate number of distinct k of the label.
     """
-    from pyspark.sql import Window
+    many = Staged(rows.groupBy("label").agg(F.approx_count_distinct("k", 0.02).alias("many")), tag).df
+    top = F.lit(2.0 * per_label) / F.greatest("many", F.lit(1)) * float(1 << 63)
+    return rows.join(F.broadcast(many), "label").withColumn("h", F.shiftrightunsigned("k", 1)).where(F.col("h") <= top).drop("many")
 
-    ranked = rows.select("doc_id", group, F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64("doc_id"), "doc_id")).alias("_rank"))
-    return ranked.where(F.col("_rank") <= per_group).drop("_rank")
 
+def sampled_texts(rows: DataFrame, per_label: int, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, object]]:
+    """(text, label) of at most ``per_label`` rows of each label of ``rows`` (doc_id, label, text), by the hash of id and text.
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, fold: int, of: int, per_label: int) -> tuple[list[str], np.ndarray]:
-    """Texts and 0/1 labels of a bounded sample of labelled rows outside fold ``fold``, in order of id."""
-    rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (folds(F.col("doc_id"), of) != fold))
-    chosen = bounded_sample(rows.dropDuplicates(["doc_id"]), label, per_label)
-    got = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").toArrow()
-    order = np.lexsort((np.array([hash_text(t) for t in got.column("text").to_pylist()], np.uint64), got.column("doc_id").to_numpy()))
-    texts = got.column("text").to_pylist()
-    return [texts[i] for i in order], got.column(label).to_numpy()[order].astype(np.int64)
+    Rows, not ids, are bounded, and so are bytes: a label takes rows in order of their hash as long as their texts fit in its
+    share of ``most_bytes``. Equal rows are counted before anything is ordered, and only rows below a bound on the hash
+    are, so no task gets more than some multiple of ``per_label``. The layout doesn't matter. A text
+    longer than a label's share is left out of the sample.
+    """
+    near = below(rows.withColumn("k", F.xxhash64("doc_id", "text")), per_label, "sample")
+    each = Staged(near.groupBy("label", "doc_id", "h", "k").agg(F.first("text").alias("text"), F.count("*").alias("times")), "sample")
+    labels = each.df.select("label").distinct().count()
+    if not labels:
+        return []
+    share = most_bytes // labels
+    w = Window.partitionBy("label").orderBy("h", "doc_id", "k").rowsBetween(Window.unboundedPreceding, 0)
+    some = each.df.withColumns({"times": F.least("times", F.lit(per_label)), "n": F.octet_length("text")}).withColumn("n", F.col("n") * F.col("times")).where(F.col("n") <= share)
+    table = some.withColumns({"rank": F.sum("times").over(w), "bytes": F.sum("n").over(w)}).where((F.col("rank") <= per_label) & (F.col("bytes") <= share))
+    out = table.select("doc_id", "label", "k", "text", "times").toArrow().to_pylist()
+    each.drop()
+    out.sort(key=lambda r: (r["doc_id"], str(r["label"]), r["k"]))
+    return [(r["text"], r["label"]) for r in out for _ in range(r["times"])]
 
 
-def hash_text(text: str) -> int:
-    import hashlib
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, fold: int, of: int, per_label: int) -> tuple[list[str], np.ndarray]:
+    """Texts and 0/1 labels of a bounded sample of labelled rows outside fold ``fold``, in order of id.
 
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+    An id with conflicting labels counts by the greater one; null texts count as empty. Ids are chosen first, from ``labels`` alone;
+    then the rows that they have in ``docs`` are bounded, as an id may have many.
+    """
+    rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (folds(F.col("doc_id"), of) != fold))
+    rows = rows.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label")).withColumn("k", F.xxhash64("doc_id"))
+    w = Window.partitionBy("label").orderBy("h", "doc_id")
+    chosen = stage(below(rows, per_label, "labels").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_label).select("doc_id", "label"), "labels")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    got = sampled_texts(texts.select("doc_id", "label", "text"), per_label)
+    return [t for t, _ in got], np.array([y for _, y in got], np.int64)
 
 
 # ---------------------------------------------------------------- classes from candidate buckets
@@ -361,6 +385,28 @@ class Sets:
         k[k == b.stop - b.start] = 0
         return float(self.weight[a][other.hash[b][k] == self.hash[a]].sum())
 
+    def pairs_shared(self, i: np.ndarray, j: np.ndarray, most: int = 1 << 20) -> np.ndarray:
+        """``shared`` of text i[k] with text j[k], both of this, for all k; about ``most`` elements are looked up at a time."""
+        distinct, rank = np.unique(self.hash, return_inverse=True)
+        keys = self.owner.astype(np.int64) * max(1, len(distinct)) + rank  # rising
+        sizes = np.diff(self.at)
+        swap = sizes[i] > sizes[j]
+        few, many = np.where(swap, j, i), np.where(swap, i, j)
+        n, out = sizes[few], np.zeros(len(i))
+        ends, lo = np.cumsum(n), 0
+        while lo < len(i):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most)))
+            size = n[lo:hi]
+            pair = np.repeat(np.arange(hi - lo), size)
+            at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + self.at[few[lo:hi]][pair]
+            key = many[lo:hi].astype(np.int64)[pair] * max(1, len(distinct)) + rank[at]
+            k = np.searchsorted(keys, key)
+            k[k == len(keys)] = 0
+            hit = keys[k] == key if len(keys) else np.zeros(0, bool)
+            out[lo:hi] = np.bincount(pair[hit], self.weight[at[hit]], hi - lo)
+            lo = hi
+        return out
+
     def all_shared(self, other: Sets, columns: int = 8192) -> np.ndarray:
         """``shared`` of all texts with all texts of ``other``, as matrix products over slices of the common elements."""
         out = np.zeros((len(self.total), len(other.total)))
@@ -397,12 +443,12 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, elements, similar: float) -
                 known = dict(zip(src.tolist(), part.column("text_a").to_pylist(), strict=True)) | dict(zip(dst.tolist(), part.column("text_b").to_pylist(), strict=True))
                 place = {n: k for k, n in enumerate(known)}
                 sets = Sets(list(known.values()), elements)
-                keep = np.zeros(len(src), bool)
-                for k, (a, b) in enumerate(zip(src.tolist(), dst.tolist(), strict=True)):
-                    x, y = sets.total[place[a]], sets.total[place[b]]
-                    if min(x, y) >= (similar - 1e-9) * max(x, y):
-                        both = sets.shared(place[a], sets, place[b])
-                        keep[k] = both >= (similar - 1e-9) * (x + y - both)
+                i, j = (np.array([place[n] for n in side.tolist()], np.int64) for side in (src, dst))
+                x, y = sets.total[i], sets.total[j]
+                keep = np.minimum(x, y) >= (similar - 1e-9) * np.maximum(x, y)
+                some = np.flatnonzero(keep)
+                both = sets.pairs_shared(i[some], j[some])
+                keep[some] = both >= (similar - 1e-9) * (x[some] + y[some] - both)
                 yield pa.RecordBatch.from_arrays([pa.array(part.column(c).to_numpy()[keep]) for c in ("from", "to")], ["src", "dst"])
 
     return map_arrow(both.select("a", "b", "from", "to", "text_a", "text_b"), check, "src bigint, dst bigint")

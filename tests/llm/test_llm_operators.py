@@ -1,5 +1,6 @@
 """The training-data operators against brute force, exact round trips and held-out labels, and on hard tables."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -312,7 +313,28 @@ def test_lines_that_go(spark):
 # ---------------------------------------------------------------- repeated strings
 
 
-def test_repeats_equal_brute_force(spark):
+def brute_repeats(texts: list[tuple[int, bytes]], length: int = 50) -> list[tuple[int, int, int, int, str]]:
+    """What the report should be, by a dictionary of all strings."""
+    least: dict[bytes, int] = {}
+    for doc, text in texts:
+        for i in range(len(text) - length + 1):
+            s = text[i : i + length]
+            if doc < least.get(s, math.inf):
+                least[s] = doc
+    out = []
+    for doc, text in texts:
+        gone = bytearray(len(text))
+        for i in range(len(text) - length + 1):
+            if least.get(text[i : i + length], math.inf) < doc:
+                gone[i : i + length] = b"\1" * length
+        kept = bytes(c for c, g in zip(text, gone, strict=True) if not g)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((doc, len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("heavy", [3, suffix_dedup.HEAVY])
+def test_repeats_equal_brute_force(spark, heavy):
     rng = random.Random(12)
     passage = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (49, 50, 60, 200)]
     texts = []
@@ -320,14 +342,32 @@ def test_repeats_equal_brute_force(spark):
         own = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 90)))
         texts.append("".join(rng.choice([own(), rng.choice(passage)]) for _ in range(rng.randint(0, 5))))
     texts += [texts[3], "Und " * 40, "x" + "Und " * 30, "é" * 80, None, ""]
-    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.repeats_report(table(spark, texts)).collect())
-    assert got == sorted(suffix_dedup.brute_force([(i, (t or "").encode()) for i, t in enumerate(texts)]))
+    texts += [own() + "a phrase of thirty bytes, no more" + own() for _ in range(30)]
+    got = suffix_dedup.without_repeats(table(spark, texts).repartition(3), heavy=heavy).collect()
+    for r in got:
+        text = (texts[r["doc_id"]] or "").encode()
+        edges = [0, *(x for p in zip(r["starts"], r["ends"], strict=True) for x in p), len(text)]
+        assert bytes(r["kept"]) == b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got)
+    assert got == sorted(brute_repeats([(i, (t or "").encode()) for i, t in enumerate(texts)]))
+
+
+def test_long_texts_go_in_slices():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 101, 5000).astype(np.uint8)
+    whole = suffix_dedup.runs(data, np.array([0, 5000]))
+    cut = suffix_dedup.block_runs(data, np.array([0, 5000]), 50, 24, most=1024)
+
+    def places(h, _, first, many):
+        return dict(zip(suffix_dedup._ragged(first, many).tolist(), np.repeat(h, many).tolist(), strict=True))
+
+    assert places(*whole) == places(*cut) and len(places(*whole)) == 5000 - 49
 
 
 def test_repeats_on_the_fixture(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = sorted(tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in suffix_dedup.repeats_report(docs).collect())
-    assert got == sorted(suffix_dedup.brute_force([(r["doc_id"], r["text"].encode()) for r in docs.collect()]))
+    assert got == sorted(brute_repeats([(r["doc_id"], r["text"].encode()) for r in docs.collect()]))
 
 
 @pytest.mark.parametrize("shard", [25, 90, 100_000])
