@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import bounded_sample, chunks, folds, hash_text, map_arrow
+from sparkloom.llm.shared import chunks, folds, free_name, map_arrow, sampled_texts
 
 #: Training rows for each language at most, rounds of expectation maximisation, pseudo-count of a piece.
 PER_LANGUAGE, ROUNDS, PSEUDO = 300, 3, 0.05
@@ -78,8 +78,10 @@ class Lattice:
     def __init__(self, words: list[str], edges: np.ndarray, child: np.ndarray, piece: np.ndarray):
         self.n, self.size = len(words), len(words[0])
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(self.n, self.size).astype(np.int64)
-        self.arcs: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # start, end, words, pieces
+        self.by_start: list[tuple[int, list[tuple[int, np.ndarray, np.ndarray]]]] = []  # start; end, words, pieces
         for start in range(self.size):
+            arcs: list[tuple[int, np.ndarray, np.ndarray]] = []
+            self.by_start.append((start, arcs))
             rows, node = np.arange(self.n), np.zeros(self.n, np.int64)
             single = np.zeros(self.n, bool)
             for end in range(start + 1, self.size + 1):
@@ -92,46 +94,50 @@ class Lattice:
                     break
                 done = piece[node] >= 0
                 if done.any():
-                    self.arcs.append((start, end, rows[done], piece[node[done]]))
+                    arcs.append((end, rows[done], piece[node[done]]))
                     if end == start + 1:
                         single[rows[done]] = True
             lone = np.flatnonzero(~single)
             if len(lone):
-                self.arcs.append((start, start + 1, lone, np.full(len(lone), -1)))
+                arcs.append((start + 1, lone, np.full(len(lone), -1)))
 
     def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(alpha, log scale) with alpha[i] for the prefix of i code points; p has a last row for unknown characters."""
+        """(alpha, log scale): alpha[i] for the prefix of i code points, times exp(scale[i]); p has a last row for unknown characters.
+
+        Every 24 code points the numbers are brought back into range, so words may be of any length.
+        """
         alpha = np.zeros((self.size + 1, self.n, p.shape[1]))
-        scale = np.zeros((self.n, p.shape[1]))
+        scale = np.zeros((self.size + 1, self.n, p.shape[1]))
         alpha[0] = 1
-        at = 0
-        for start, end, rows, pieces in self.arcs:
-            if start != at:
-                at = start
-                if at % 24 == 0:  # long words: keep the numbers in range
-                    top = np.maximum(alpha[at:].max(axis=0), 1e-300)
-                    alpha[at:] /= top
-                    scale += np.log(top)
-            alpha[end, rows] += alpha[start, rows] * p[pieces]
+        for start, arcs in self.by_start:
+            if start and start % 24 == 0:
+                top = np.maximum(alpha[start:].max(axis=0), 1e-300)
+                alpha[start:] /= top
+                scale[start:] += np.log(top)
+            for end, rows, pieces in arcs:
+                alpha[end, rows] += alpha[start, rows] * p[pieces]
         return alpha, scale
 
     def log_likelihood(self, p: np.ndarray) -> np.ndarray:
         alpha, scale = self.forward(p)
-        return np.log(np.maximum(alpha[self.size], 1e-300)) + scale
+        return np.log(np.maximum(alpha[self.size], 1e-300)) + scale[self.size]
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece, by language, given how often each word occurs. For words up to 24 code points."""
-        alpha, _ = self.forward(p)
+        """Expected uses of each piece, by language, given how often each word occurs."""
+        alpha, scale = self.forward(p)
+        # beta[i] times exp(scale[size] - scale[i]) is the probability of what follows i, in the scale of the forward pass.
         beta = np.zeros_like(alpha)
         beta[self.size] = 1
-        for start, end, rows, pieces in reversed(self.arcs):
-            beta[start, rows] += beta[end, rows] * p[pieces]
+        for start, arcs in reversed(self.by_start):
+            for end, rows, pieces in arcs:
+                beta[start, rows] += beta[end, rows] * p[pieces] * np.exp(scale[start, rows] - scale[end, rows])
         weight = counts / np.maximum(alpha[self.size], 1e-300)
         out = np.zeros_like(p)
-        for start, end, rows, pieces in self.arcs:
-            use = alpha[start, rows] * p[pieces] * beta[end, rows] * weight[rows]
-            for k in range(p.shape[1]):
-                out[:, k] += np.bincount(pieces % len(p), use[:, k], len(p))
+        for start, arcs in self.by_start:
+            for end, rows, pieces in arcs:
+                use = alpha[start, rows] * p[pieces] * np.exp(scale[start, rows] - scale[end, rows]) * beta[end, rows] * weight[rows]
+                for k in range(p.shape[1]):
+                    out[:, k] += np.bincount(pieces % len(p), use[:, k], len(p))
         return out
 
 
@@ -140,7 +146,7 @@ def lattices(words: list[str], model_trie) -> Iterator[tuple[np.ndarray, Lattice
     sizes = np.array([len(w) for w in words])
     for size in np.unique(sizes):
         rows = np.flatnonzero(sizes == size)
-        step = max(1, (1 << 20) // int(size))
+        step = max(1, (1 << 17) // int(size))
         for lo in range(0, len(rows), step):
             some = rows[lo : lo + step]
             yield some, Lattice([WORD_START + words[i] for i in some], *model_trie)
@@ -153,8 +159,7 @@ def fit(texts: list[str], languages: list[str], pieces: list[str], rounds: int =
     seen: dict[str, np.ndarray] = {}
     for text, lang in zip(texts, languages, strict=True):
         for w, n in Counter(words_of(text)).items():
-            if len(w) < 24:
-                seen.setdefault(w, np.zeros(len(known)))[at[lang]] += n
+            seen.setdefault(w, np.zeros(len(known)))[at[lang]] += n
     edges, child, piece = trie(pieces)
     words = sorted(seen)
     counts = np.array([seen[w] for w in words]).reshape(len(words), len(known))
@@ -214,25 +219,23 @@ _scorers: dict[str, Scorer] = {}
 
 
 def train(docs: DataFrame, vocabulary_path: str, fold: int = 2, of: int = 4, per_language: int = PER_LANGUAGE) -> Model | None:
-    """A model from rows with a text and a language outside fold ``fold``; None where there are none."""
+    """A model from a bounded sample (``sampled_texts``) of the rows with a text and a language outside fold ``fold``; None where there are none."""
     rows = docs.where("doc_id is not null and lang is not null and text is not null").where(folds(F.col("doc_id"), of) != fold)
-    chosen = bounded_sample(rows.select("doc_id", "lang").distinct(), "lang", per_language)
-    got = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", "text").toArrow().to_pylist()
-    got.sort(key=lambda r: (r["doc_id"], r["lang"], hash_text(r["text"])))
-    return fit([r["text"] for r in got], [r["lang"] for r in got], vocabulary(vocabulary_path)) if got else None
+    got = sampled_texts(rows.select("doc_id", F.col("lang").alias("label"), "text"), per_language)
+    return fit([t for t, _ in got], [lang for _, lang in got], vocabulary(vocabulary_path)) if got else None
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with lang_pred and lang_score (columns of these names are replaced).
+def identify(docs: DataFrame, model: Model | None, pred: str = "lang_pred", score: str = "lang_score") -> DataFrame:
+    """``docs`` with the columns ``pred`` and ``score`` (columns of these names are replaced).
 
     Null texts, texts without a letter, and all texts where there is no model, are ``und`` with score 0.
-    Otherwise lang_score is the posterior probability of lang_pred, languages being equally likely before.
+    Otherwise ``score`` is the posterior probability of ``pred``, languages being equally likely before.
     Texts are read whole; repeated rows are scored alike.
     """
-    docs = docs.drop("lang_pred", "lang_score")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", lang_pred string, lang_score double"
+    docs = docs.drop(pred, score)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{pred}` string, `{score}` double"
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit("und"), "lang_score": F.lit(0.0)})
+        return docs.withColumns({pred: F.lit("und"), score: F.lit(0.0)})
     shared, name = docs.sparkSession.sparkContext.broadcast(tuple(model)), uuid.uuid4().hex
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,8 +250,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                 best = like.argmax(axis=1)
                 share = 1 / np.exp(like - like.max(axis=1, keepdims=True)).sum(axis=1)
                 letters = [t is not None and any(c.isalpha() for c in t) for t in texts]
-                pred = [model.languages[k] if ok else "und" for k, ok in zip(best, letters, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(np.where(letters, share, 0.0), pa.float64())], [*part.schema.names, "lang_pred", "lang_score"])
+                found = [model.languages[k] if ok else "und" for k, ok in zip(best, letters, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string()), pa.array(np.where(letters, share, 0.0), pa.float64())], [*part.schema.names, pred, score])
 
     return map_arrow(docs, tag, schema)
 
@@ -260,5 +263,12 @@ def language_of_documents(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose text has a language with posterior ``least`` or more, with their columns."""
-    return identify(docs, model).where((F.col("lang_pred") != "und") & (F.col("lang_score") >= least)).drop("lang_pred", "lang_score")
+    """The rows of ``docs`` whose text has a language with posterior ``least`` or more, with all their columns.
+
+    Null texts and texts without a letter go. Without a model (no row to learn from) every text with a letter stays.
+    Repeated rows are treated alike; an empty table stays empty.
+    """
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    pred, score_ = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    return identify(docs, model, pred, score_).where((F.col(pred) != "und") & (F.col(score_) >= least)).drop(pred, score_)
