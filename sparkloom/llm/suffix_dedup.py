@@ -41,6 +41,8 @@ LENGTH, GRAM = 50, 24
 SHARD, MERGE = 1 << 17, 1 << 20
 #: Bytes of text of a block, and runs of a minimiser from which its strings are dealt out one by one.
 BLOCK, HEAVY = 8 << 20, 4096
+#: Strings of hot minimisers that a block holds at once.
+STRINGS = 1 << 17
 #: Bytes that one task gets when runs and contexts are dealt out, on average.
 PART = 12 << 20
 #: Bytes of a context and what goes with it, on average.
@@ -221,12 +223,17 @@ def _full(x: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(x)
 
 
+def _pack(x: np.ndarray) -> bytes:
+    return _squeeze(_planes(x))
+
+
 def _table(columns: list, names: list[str], kinds: list[pa.DataType]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def _all(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in table.column(name).to_pylist() if x)])
+    """A column of packed numbers as one array."""
+    return np.concatenate([np.zeros(0, kind), *(_numbers(_full(x), kind) for x in table.column(name).to_pylist() if x)])
 
 
 def _bits(parts: int) -> int:
@@ -325,7 +332,7 @@ def distinct(data: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndar
 
 def _spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[bytes, bytes, bytes]:
     row, start, end = union(row, start, end)
-    return row.astype(np.int32).tobytes(), start.astype(np.int32).tobytes(), end.astype(np.int32).tobytes()
+    return _pack(row.astype(np.int32)), _pack(start.astype(np.int32)), _pack(end.astype(np.int32))
 
 
 def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY) -> DataFrame:
@@ -372,14 +379,14 @@ def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: i
         ends = np.cumsum([len(x) for x in asked])
         mine = [slice(b - len(x), b) for x, b in zip(asked, ends, strict=True)]
         return _table(
-            [table.column("block").to_pylist(), table.column("part").to_pylist(), [_squeeze(state[s].tobytes()) for s in mine], [int((many[s] & 0x7FFF)[state[s] > 0].astype(np.int64).sum()) for s in mine]],
-            ["block", "part", "state", "runs"], [pa.int64(), pa.int32(), pa.binary(), pa.int64()],
+            [table.column("block").to_pylist(), table.column("part").to_pylist(), [_squeeze(state[s].tobytes()) for s in mine]],
+            ["block", "part", "state"], [pa.int64(), pa.int32(), pa.binary()],
         )
 
     sent = map_arrow(blocks.select("block", "docs", "sizes", "texts"), ask, "part int, block bigint, low binary, many binary")
-    answers = Staged(group_arrow(sent, "part", meet, "block bigint, part int, state binary, runs bigint"), "suffix-answers")
-    wanted = answers.df.agg(F.sum("runs")).first()[0] or 0
-    wide = _bits(partitions_for(spark, -(-wanted * CONTEXT // PART)))
+    answers = group_arrow(sent, "part", meet, "block bigint, part int, state binary")
+    # At most every run is asked for; half of them is a great deal.
+    wide = _bits(partitions_for(spark, -(-size // 28 * CONTEXT // PART)))
     fields = ["part", "block", "key", "doc", "size", "bytes", "times", "row", "first", "late_row", "late_start", "late_end"]
     types = [pa.int32(), pa.int64(), *[pa.binary()] * 10]
 
@@ -393,31 +400,61 @@ def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: i
             states = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(_full(x), np.uint8) for _, x in by_part)])
             state = np.empty(len(h), np.uint8)
             state[order] = np.repeat(states, times)
-            use, split = np.flatnonzero(state == 1), np.flatnonzero(state == 2)
-            each = many[split]
-            at_once = (h[use], row[use], first[use], many[use] + length - 1)
-            place = _ragged(first[split], each)
-            one = np.repeat(row[split], each)
-            alone = (mix(context_hashes(data, at[one] + place, np.full(len(one), length)) + np.uint64(1)), one, place, np.full(len(one), length))
-            key, row, first, size = (np.concatenate(x) for x in zip(at_once, alone, strict=True))
+            use = np.flatnonzero(state > 0)
+            h, row, first, size, state = h[use], row[use], first[use], many[use] + length - 1, state[use]
+            by, new = distinct(data, at[row] + first, size, h, docs[row])
+            h, row, first, size, state = (x[by] for x in (h, row, first, size, state))
             start, doc = at[row] + first, docs[row]
-            by, new = distinct(data, start, size, key, doc)
-            key, row, first, size, start, doc = (x[by] for x in (key, row, first, size, start, doc))
             lead = np.flatnonzero(new)
-            least = np.repeat(doc[lead], np.diff(np.append(lead, len(doc)))) if len(lead) else doc
-            # Later documents here lose all of theirs at once; one copy of each context goes on.
-            late = doc > least
-            out.append((zlib.crc32(str(r["block"]).encode()) % (1 << wide), r["block"], *[None] * 7, *_spans(row[late], first[late], first[late] + size[late])))
+            of = np.cumsum(new) - 1
+            # Later documents here lose all of theirs at once; one copy of each context goes on, with its places in its first document.
+            late = doc > doc[lead][of] if len(lead) else np.zeros(0, bool)
+            gone = [(row[late], first[late], first[late] + size[late])]
             early = np.flatnonzero(~late)
-            times = np.diff(np.append(np.searchsorted(early, lead), len(early)))
-            where = np.concatenate((np.zeros(1, np.int64), np.cumsum(times)))
-            _, cuts = _cuts(key[lead], wide)
-            for p, a, b in cuts:
-                some, who = lead[a:b], early[where[a] : where[b]]
-                out.append((
-                    p, r["block"], key[some].tobytes(), doc[some].tobytes(), size[some].astype(np.int32).tobytes(), _squeeze(data[_ragged(start[some], size[some])].tobytes()),
-                    times[a:b].astype(np.int32).tobytes(), row[who].astype(np.int32).tobytes(), first[who].astype(np.int32).tobytes(), None, None, None,
-                ))
+            where = np.searchsorted(of[early], np.arange(len(lead) + 1))
+
+            def emit(key: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, times: np.ndarray, row: np.ndarray, first: np.ndarray, block: int) -> None:
+                ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(times)))
+                for p, a, b in _cuts(key, wide)[1]:
+                    who = slice(ends[a], ends[b])
+                    out.append((
+                        p, block, _pack(np.diff(key[a:b], prepend=np.uint64(0))), _pack(doc[a:b]), _pack(size[a:b].astype(np.int32)), _squeeze(data[_ragged(start[a:b], size[a:b])].tobytes()),
+                        _pack(times[a:b].astype(np.int32)), _pack(row[who].astype(np.int32)), _pack(first[who].astype(np.int32)), None, None, None,
+                    ))
+
+            some = np.flatnonzero(state[lead] == 1)
+            times = where[some + 1] - where[some]
+            who = early[_ragged(where[some], times)]
+            emit(h[lead[some]], doc[lead[some]], start[lead[some]], size[lead[some]], times, row[who], first[who], r["block"])
+            # Of hot minimisers the strings go one by one, by their own hash; some at a time, whole minimisers as a rule.
+            hot = np.flatnonzero(state[lead] == 2)
+            weight = np.cumsum(size[lead[hot]] - length + 1)
+            lo = 0
+            while lo < len(hot):
+                hi = max(lo + 1, int(np.searchsorted(weight, (weight[lo - 1] if lo else 0) + STRINGS)))
+                own = lead[hot[lo:hi]]
+                each = size[own] - length + 1
+                context = np.repeat(hot[lo:hi], each)
+                place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                from_, its = start[lead[context]] + place, doc[lead[context]]
+                width = np.full(len(context), length)
+                key = mix(context_hashes(data, from_, width) + np.uint64(1))
+                by, new = distinct(data, from_, width, key, its)
+                key, context, place, from_, its = (x[by] for x in (key, context, place, from_, its))
+                head = np.flatnonzero(new)
+                string = np.cumsum(new) - 1
+                n = where[context + 1] - where[context]
+                after = its > its[head][string]
+                who = early[_ragged(where[context[after]], n[after])]
+                begin = first[who] + np.repeat(place[after], n[after])
+                gone.append((row[who], begin, begin + length))
+                on = np.flatnonzero(~after)
+                who = early[_ragged(where[context[on]], n[on])]
+                times = np.bincount(string[on], n[on], len(head)).astype(np.int64)
+                emit(key[head], its[head], from_[head], width[: len(head)], times, row[who], first[who] + np.repeat(place[on], n[on]), r["block"])
+                lo = hi
+            spans = _spans(*(np.concatenate(x) for x in zip(*gone, strict=True)))
+            out.append((zlib.crc32(str(r["block"]).encode()) % (1 << wide), r["block"], *[None] * 7, *spans))
         return _table(list(zip(*out, strict=True)) if out else [[] for _ in fields], fields, types)
 
     def settle(table: pa.Table) -> pa.Table:
@@ -426,10 +463,11 @@ def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: i
         out = [list(x) for x in out]
         table = table.filter(pc.is_valid(table.column("key")))
         if table.num_rows:
-            key, doc, size = _all(table, "key", np.uint64), _all(table, "doc", np.int64), _all(table, "size", np.int32).astype(np.int64)
+            keys = [np.cumsum(_numbers(_full(x), np.uint64), dtype=np.uint64) for x in table.column("key").to_pylist()]
+            key, doc, size = np.concatenate(keys), _all(table, "doc", np.int64), _all(table, "size", np.int32).astype(np.int64)
             times, row, first = (_all(table, c, np.int32).astype(np.int64) for c in ("times", "row", "first"))
             data = np.frombuffer(b"".join(_full(x) for x in table.column("bytes").to_pylist()), np.uint8)
-            sender = np.repeat(np.arange(table.num_rows), [len(x) // 8 for x in table.column("key").to_pylist()])
+            sender = np.repeat(np.arange(table.num_rows), [len(x) for x in keys])
             start, place_of = np.cumsum(size) - size, np.cumsum(times) - times
             by, new = distinct(data, start, size, key, doc)
             lead = np.flatnonzero(new)  # in order: the first sender of each context has its least document
@@ -476,10 +514,8 @@ def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: i
                     column.append(value)
         return _table(out, ["block", "rows", "starts", "ends"], [pa.int64(), *[pa.binary()] * 3])
 
-    contexts = blocks.select("block", "docs", "sizes", "texts").groupBy("block").cogroup(answers.df.select("block", "part", "state").groupBy("block")).applyInArrow(send, "part int, block bigint, " + ", ".join(f"{c} binary" for c in fields[2:]))
-    found = Staged(group_arrow(contexts, "part", settle, "block bigint, rows binary, starts binary, ends binary"), "suffix-spans")
-    answers.drop()
-    return found.df
+    contexts = blocks.select("block", "docs", "sizes", "texts").groupBy("block").cogroup(answers.select("block", "part", "state").groupBy("block")).applyInArrow(send, "part int, block bigint, " + ", ".join(f"{c} binary" for c in fields[2:]))
+    return group_arrow(contexts, "part", settle, "block bigint, rows binary, starts binary, ends binary")
 
 
 def union(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
