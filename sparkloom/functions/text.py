@@ -53,29 +53,48 @@ def unix_newlines(c: Column) -> Column:
     return F.regexp_replace(c, r"\r\n?", "\n")
 
 
+#: A line that opens and closes a fence, and one that begins with a fence.
+EMPTY_FENCE, FENCE_LINE = r"(?m)^\s*```\s*```\s*$", r"(?m)^\s*```"
+
+
 def repair_fences(c: Column) -> Column:
     """Without lines that only open and close a fence; an open fence at the end is closed."""
-    out = F.regexp_replace(c, r"(?m)^\s*```\s*```\s*$", "")
-    odd = lambda x: F.regexp_count(x, F.lit(r"(?m)^\s*```")) % 2 == 1
+    out = F.regexp_replace(c, EMPTY_FENCE, "")
+    odd = lambda x: F.regexp_count(x, F.lit(FENCE_LINE)) % 2 == 1
     return let(out, lambda x: F.when(odd(x), F.concat(py_rstrip(x), F.lit("\n```"))).otherwise(x))
 
 
-def normalize_text(c: Column, boilerplate: Sequence[str] = BOILERPLATE) -> Column:
-    """Unix line ends, no trailing blanks, no boilerplate lines, at most one empty line in a row, fences closed."""
-    lines = F.transform(lines_of(unix_newlines(c)), py_rstrip)
+def normalize_text(c: Column, boilerplate: Sequence[str] = BOILERPLATE, html: bool = True) -> Column:
+    """Text of HTML, Unix line ends, no trailing blanks, no boilerplate lines, at most one empty line in a row, fences closed.
+
+    Without ``html`` tags are left as they are (for columns that are known to hold none).
+    """
+    lines = F.transform(lines_of(unix_newlines(html_to_text(c) if html else c)), py_rstrip)
     kept = reduce(lambda a, p: F.filter(a, lambda x: ~x.rlike(f"(?i){p}")), boilerplate, lines)
     joined = F.regexp_replace(F.array_join(kept, "\n"), r"\n{3,}", "\n\n")
     return repair_fences(py_strip(joined))
 
 
+#: What a text must hold for a pattern to match at all: spares most texts the pattern.
+_SIGNS: dict[str, Callable[[Column], Column]] = {
+    "email": lambda c: c.contains("@"),
+    "private_ipv4": lambda c: c.contains("10.") | c.contains("192.168.") | c.contains("172."),
+    "aws_access_key": lambda c: c.contains("AKIA") | c.contains("ASIA"),
+    "github_token": lambda c: c.contains("gh") & c.contains("_"),
+    "jwt": lambda c: c.contains("eyJ"),
+    "bearer_token": lambda c: F.lower(c).contains("bearer "),
+}
+
+
 def redact(c: Column, patterns: Mapping[str, str] = PII_PATTERNS) -> tuple[Column, Column]:
     """(text with placeholders, counts by kind as a map without zeros); patterns apply one after the other."""
     state = F.struct(c.alias("t"), F.array().cast("array<bigint>").alias("n"))
 
     def step(kind: str, pattern: str) -> Callable[[Column], Column]:
+        sign = _SIGNS[kind] if PII_PATTERNS.get(kind) == pattern else lambda c: F.lit(True)
         return lambda x: F.struct(
-            F.regexp_replace(x["t"], pattern, f"<REDACTED_{kind.upper()}>").alias("t"),
-            F.concat(x["n"], F.array(F.regexp_count(x["t"], F.lit(pattern)).cast("bigint"))).alias("n"),
+            F.when(sign(x["t"]), F.regexp_replace(x["t"], pattern, f"<REDACTED_{kind.upper()}>")).otherwise(x["t"]).alias("t"),
+            F.concat(x["n"], F.array(F.when(sign(x["t"]), F.regexp_count(x["t"], F.lit(pattern))).otherwise(0).cast("bigint"))).alias("n"),
         )
 
     for kind, pattern in patterns.items():
@@ -219,15 +238,22 @@ def first_allowed(licenses: Column, allowed: Sequence[str]) -> Column:
 # ---------------------------------------------------------------- blocks and answers
 
 
+#: How blocks, Kubernetes manifests, shell fences and empty fences look.
+FENCED = r"(?is)```(?:LANGUAGES)[ \t]*\n(.*?)```"
+ANY_FENCED = r"(?s)```[^\r\n]*\r?\n(.*?)```"
+API_VERSION, KIND = r"(?m)^\s*apiVersion\s*:", r"(?m)^\s*kind\s*:"
+SHELL_FENCE = r"(?is)^```(?:bash|sh|shell|console)?\s*\n?(.*?)\n?```$"
+
+
 def fenced_blocks(c: Column, languages: Sequence[str]) -> Column:
-    found = F.regexp_extract_all(c, F.lit(rf"(?is)```(?:{'|'.join(languages)})[ \t]*\n(.*?)```"), F.lit(1))
+    found = F.regexp_extract_all(c, F.lit(FENCED.replace("LANGUAGES", "|".join(languages))), F.lit(1))
     return F.filter(F.transform(found, py_strip), lambda x: x != "")
 
 
 def extract_yaml(c: Column) -> Column:
     """YAML blocks joined by document marks; else the whole text if it has apiVersion and kind; else null."""
     blocks, text = fenced_blocks(c, ("yaml", "yml")), py_strip(c)
-    whole = text.rlike(r"(?m)^\s*apiVersion\s*:") & text.rlike(r"(?m)^\s*kind\s*:")
+    whole = text.rlike(API_VERSION) & text.rlike(KIND)
     return F.when(F.size(blocks) > 0, F.array_join(blocks, "\n---\n")).when(whole, text)
 
 
@@ -242,7 +268,7 @@ def looks_like_dockerfile(c: Column) -> Column:
 
 
 def extract_dockerfile(c: Column) -> Column:
-    blocks = F.regexp_extract_all(c, F.lit(r"(?s)```[^\r\n]*\r?\n(.*?)```"), F.lit(1))
+    blocks = F.regexp_extract_all(c, F.lit(ANY_FENCED), F.lit(1))
     docker = F.transform(F.filter(blocks, looks_like_dockerfile), py_strip)
     text = py_strip(c)
     return F.when(F.size(docker) > 0, F.array_join(docker, "\n\n")).when(looks_like_dockerfile(text), text)
@@ -251,8 +277,7 @@ def extract_dockerfile(c: Column) -> Column:
 def canonical_answer(c: Column, normal: bool = True) -> Column:
     """An answer without its shell fence, runs of blanks and blanks around line ends."""
     text = py_strip(nfkc(c) if normal else c)
-    fence = r"(?is)^```(?:bash|sh|shell|console)?\s*\n?(.*?)\n?```$"
-    text = F.when(text.rlike(fence), F.regexp_extract(text, fence, 1)).otherwise(text)
+    text = F.when(text.rlike(SHELL_FENCE), F.regexp_extract(text, SHELL_FENCE, 1)).otherwise(text)
     return py_strip(F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\s*\n\s*", "\n"))
 
 
@@ -282,3 +307,47 @@ def parse_generated_user(c: Column) -> Column:
         .when(user.rlike(NOT_SELF_CONTAINED), "not_self_contained")
     )
     return F.struct(F.when(reason.isNull(), user).alias("user"), reason.alias("reason"))
+
+
+# ---------------------------------------------------------------- rendering, prompts, outputs of tools
+
+#: How a turn is written in ChatML.
+CHATML = ("<|im_start|>", "\n", "<|im_end|>\n")
+
+
+def render_chatml(messages: Column, marks: tuple[str, str, str] = CHATML) -> Column:
+    """The turns of a record as one text: mark, role, mark, content, mark."""
+    start, middle, end = map(F.lit, marks)
+    return F.array_join(F.transform(messages, lambda m: F.concat(start, m["role"], middle, m["content"], end)), "")
+
+
+def prompt_messages(messages: Column, instruction: str | None = None) -> Column:
+    """The turns that a model is asked with: no answers, no blank turns; null unless the last one is the user's.
+
+    An instruction goes after the system prompt, or becomes one.
+    """
+    asked = F.filter(messages, lambda m: (m["role"] != "assistant") & (py_strip(m["content"]) != ""))
+    ok = lambda x: F.coalesce(F.element_at(x, -1)["role"] == "user", F.lit(False))
+    if instruction is None:
+        return let(asked, lambda x: F.when((F.size(x) > 0) & ok(x), x))
+
+    def told(x: Column) -> Column:
+        first = F.array_position(F.transform(x, lambda m: m["role"]), "system")
+        added = F.transform(x, lambda m, i: F.struct(m["role"].alias("role"), F.when(i + 1 == first, F.concat(py_strip(m["content"]), F.lit(f"\n\n{instruction}"))).otherwise(m["content"]).alias("content")))
+        system = F.struct(F.lit("system").alias("role"), F.lit(instruction).alias("content"))
+        return F.when(first > 0, added).otherwise(F.array_prepend(added, system))
+
+    return let(asked, lambda x: F.when((F.size(x) > 0) & ok(x), told(x)))
+
+
+def tool_results(c: Column) -> Column:
+    """A tool's output as an array of variants: the objects of an array, an object alone, or the lines that are objects."""
+    text = py_strip(c)
+    is_object = lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+    def parsed(v: Column) -> Column:
+        items = F.from_json(F.when(F.schema_of_variant(v).startswith("ARRAY"), F.to_json(v)), "array<variant>")
+        lines = F.filter(F.transform(lines_of(text), F.try_parse_json), is_object)
+        return F.when(v.isNull(), lines).when(is_object(v), F.array(v)).when(F.schema_of_variant(v).startswith("ARRAY"), F.filter(items, is_object)).otherwise(F.array().cast("array<variant>"))
+
+    return F.when(text == "", F.array().cast("array<variant>")).otherwise(parsed(F.try_parse_json(text)))

@@ -2,37 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.operators.ranks import at_ranks, before
+
 
 def quantile_probes(records: DataFrame, per_group: int, group: str = "category", length: str = "length", ident: str = "content_hash") -> DataFrame:
     """Evenly spaced ranks by length in each group: round(i (n - 1) / (k - 1)), half to even."""
-    w = Window.partitionBy(group)
-    ranked = records.withColumns({"_rank": F.row_number().over(w.orderBy(length, ident)) - 1, "_n": F.count("*").over(w)})
-    wanted = F.transform(F.sequence(F.lit(0), F.lit(per_group - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / (per_group - 1), 0).cast("int"))
-    return ranked.where(F.array_contains(wanted, F.col("_rank").cast("int"))).drop("_n").withColumnRenamed("_rank", "rank")
+    wanted = F.transform(F.sequence(F.lit(0), F.lit(per_group - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / (per_group - 1), 0).cast("bigint"))
+    return at_ranks(records, [group], length, ident, wanted)
 
 
 def median_and_p90(records: DataFrame, group: str = "category", length: str = "length", ident: str = "content_hash") -> DataFrame:
     """The records at ranks (n - 1) // 2 and ceil(0.9 (n - 1)) of each group, the last where both are one."""
-    w = Window.partitionBy(group)
-    ranked = records.withColumns({"_rank": F.row_number().over(w.orderBy(length, ident)) - 1, "_n": F.count("*").over(w)})
     middle = F.floor((F.col("_n") - 1) / 2)
     high = F.ceil(F.lit(0.9) * (F.col("_n") - 1))
     high = F.when(high == middle, F.col("_n") - 1).otherwise(high)
-    return ranked.where((F.col("_rank") == middle) | (F.col("_rank") == high)).drop("_n").withColumnRenamed("_rank", "rank")
+    return at_ranks(records, [group], length, ident, F.array(middle.cast("bigint"), high.cast("bigint")))
+
+
+def probe_problems(records: DataFrame, required: Sequence[str], per_group: int, held_out: DataFrame, group: str = "category", ident: str = "content_hash") -> DataFrame:
+    """(issue, rows) of what bars records from a probe: unknown or missing groups, blank or repeated ids, small groups, held-out ids."""
+    blank = F.col(ident).isNull() | (F.col(ident) == "")
+    unknown = records.agg(F.count_if(~F.coalesce(F.col(group).isin(list(required)), F.lit(False))).alias("unknown_group"), F.count_if(blank).alias("blank_id"))
+    repeated = records.where(~blank).groupBy(ident).agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*").alias("repeated_id"))
+    sizes = records.sparkSession.createDataFrame([(r,) for r in required], f"{group} string").join(records.groupBy(group).agg(F.count("*").alias("n")), group, "left")
+    small = sizes.agg(F.count_if(F.col("n").isNull()).alias("missing_group"), F.count_if(F.col("n") < per_group).alias("small_group"))
+    held = records.join(held_out.select(ident), ident, "left_semi").agg(F.count("*").alias("held_out"))
+    names = ["unknown_group", "blank_id", "repeated_id", "missing_group", "small_group", "held_out"]
+    row = unknown.crossJoin(repeated).crossJoin(small).crossJoin(held)
+    return row.select(F.explode(F.array(*(F.struct(F.lit(n).alias("issue"), F.col(n).alias("rows")) for n in names))).alias("p")).select("p.*").where("rows > 0")
 
 
 def batches(records: DataFrame, size: int, prompt_length: str = "prompt_length", ident: str = "content_hash") -> DataFrame:
     """batch, position and group_hash of every record, in order of prompt length.
 
-    Global ranks come from counts by length, so that no single task sorts all records.
+    Global ranks come from counts by length and by slices of the ids, so that no single task sorts all records.
     """
     by = records.groupBy(prompt_length).agg(F.count("*").alias("_n"))
-    before = by.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(prompt_length).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    rank = F.row_number().over(Window.partitionBy(prompt_length).orderBy(ident)) - 1
-    ranked = records.withColumn("_own", rank).join(before, prompt_length).withColumn("_rank", F.col("_own") + F.col("_before")).drop("_own", "_before")
+    base = by.withColumn("_base_n", F.coalesce(F.sum("_n").over(Window.orderBy(prompt_length).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    ranked = before(records, [prompt_length], ident, ident, name="_own", digits=6).join(base, prompt_length).withColumn("_rank", F.col("_own") + F.col("_base_n")).drop("_own", "_base_n")
     placed = ranked.withColumns({"batch": F.floor(F.col("_rank") / size).cast("bigint"), "position": (F.col("_rank") % size).cast("int")}).drop("_rank")
     hashes = F.transform(F.sort_array(F.collect_list(F.struct("position", F.col(ident).alias("h")))), lambda x: x["h"])
     digest = F.sha2(F.to_json(F.struct(F.lit("prompt_length_ascending").alias("batch_order"), hashes.alias("content_hashes"))), 256)

@@ -11,10 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions.text import deterministic_key
+from sparkloom.operators import graph
+from sparkloom.operators.ranks import matched
 from sparkloom.scratch import Staged
 from sparkloom.shipping import ship
 
@@ -41,8 +43,11 @@ def _pairs(left: DataFrame, n: int, right: DataFrame, m: int, own: bool) -> Data
     return plan.join(l, "a").join(r, "b")
 
 
-def _matrix(row) -> np.ndarray:
-    return np.array(row, dtype=np.float64)
+def _matrix(column: pa.Array, row: int) -> np.ndarray:
+    """The vectors of a block without a Python object for each number."""
+    vectors = column[row].values
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(vectors), -1)
 
 
 def cosine_pairs(vectors: DataFrame, threshold: float, size: int = BLOCK) -> DataFrame:
@@ -53,11 +58,11 @@ def cosine_pairs(vectors: DataFrame, threshold: float, size: int = BLOCK) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                a, b = np.array(row["ids_a"]), np.array(row["ids_b"])
-                s = _matrix(row["vectors_a"]) @ _matrix(row["vectors_b"]).T
+            for row in range(batch.num_rows):
+                a, b = (np.array(batch.column(c)[row].as_py()) for c in ("ids_a", "ids_b"))
+                s = _matrix(batch.column("vectors_a"), row) @ _matrix(batch.column("vectors_b"), row).T
                 i, j = np.nonzero(s >= threshold)
-                keep = a[i] < b[j] if row["a"] == row["b"] else np.ones(len(i), bool)
+                keep = a[i] < b[j] if batch.column("a")[row].as_py() == batch.column("b")[row].as_py() else np.ones(len(i), bool)
                 i, j = i[keep], j[keep]
                 lo, hi = np.where(a[i] < b[j], a[i], b[j]), np.where(a[i] < b[j], b[j], a[i])
                 yield pa.RecordBatch.from_arrays([pa.array(lo.tolist(), batch.schema.field("ids_a").type.value_type), pa.array(hi.tolist(), batch.schema.field("ids_a").type.value_type), pa.array(s[i, j])], ["src", "dst", "score"])
@@ -74,34 +79,87 @@ def nearest(queries: DataFrame, references: DataFrame, top: int = 1, size: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                b = np.array(row["ids_b"])
+            for row in range(batch.num_rows):
+                b = np.array(batch.column("ids_b")[row].as_py())
                 by = np.argsort(b, kind="stable")
-                b, s = b[by], _matrix(row["vectors_a"]) @ _matrix(row["vectors_b"])[by].T
+                b, s = b[by], _matrix(batch.column("vectors_a"), row) @ _matrix(batch.column("vectors_b"), row)[by].T
                 best = np.argsort(-s, axis=1, kind="stable")[:, :top]
-                ids = np.repeat(np.array(row["ids_a"]), best.shape[1])
+                ids = np.repeat(np.array(batch.column("ids_a")[row].as_py()), best.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(ids.tolist(), batch.schema.field("ids_a").type.value_type), pa.array(b[best.ravel()].tolist(), batch.schema.field("ids_b").type.value_type), pa.array(np.take_along_axis(s, best, 1).ravel())], ["query", "reference", "score"])
 
     found = _pairs(q, n, r, m, False).mapInArrow(run, f"query {kind}, reference {other}, score double")
-    top_ = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "reference"))), 1, top)
-    return found.groupBy("query").agg(top_.alias("t")).select("query", F.posexplode("t").alias("rank", "t")).select("query", F.col("t.reference").alias("reference"), (-F.col("t.s")).alias("score"), (F.col("rank") + 1).alias("rank"))
-
-
-def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(id, component) for all nodes; a component is named by its least node. Labels are staged each round."""
-    both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    both = Staged(both.union(nodes.select(F.col("id").alias("src"), F.col("id").alias("dst"))).distinct(), "edges")
-    labels = Staged(nodes.select("id", F.col("id").alias("label"), F.col("id").alias("old")), "labels")
-    for _ in range(most_rounds):
-        near = both.df.join(labels.df, F.col("dst") == F.col("id")).groupBy("src").agg(F.min("label").alias("near"))
-        hooked = labels.df.join(near, F.col("id") == F.col("src")).select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.df.select(F.col("id").alias("up"), F.col("label").alias("upper"))
-        new = Staged(hooked.join(jump, F.col("label") == F.col("up"), "left").select("id", F.least("label", "upper").alias("label"), "old"), "labels")
-        labels.drop()
-        labels = new
-        if new.df.where("label <> old").isEmpty():
-            return new.df.select("id", F.col("label").alias("component"))
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    return _best(found, top)
+
+
+def _best(found: DataFrame, top: int) -> DataFrame:
+    """The ``top`` references of each query, with their rank; what can't be among them goes before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "reference"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query", "reference", "score", "rank")
+
+
+def knn(vectors: DataFrame, top: int = 50, threshold: float = 0.92, index: tuple[int, int] | None = None, seed: int = 5, size: int = 512) -> DataFrame:
+    """(query, reference, score, rank) of the ``top`` nearest of each vector (itself among them) that reach the threshold.
+
+    Vectors (id, vector) are normalised by the caller. Without an ``index`` every block meets every block: exact,
+    and quadratic. ``index`` = (bits, tables) deals each vector to a bucket by the signs of ``bits`` random projections, in
+    ``tables`` ways, and compares within buckets only: of pairs at cosine c a share 1 - (1 - (1 - acos(c) / pi) ** bits) ** tables
+    is found. Every vector is indexed; a large bucket is cut into blocks of which every pair is a row of its own, dealt
+    by its blocks; each pair of blocks returns at most ``top`` for each vector.
+    """
+    if index is None:
+        return nearest(vectors, vectors, top, BLOCK).where(F.col("score") >= threshold)
+    ship(vectors.sparkSession)
+    bits, tables = index
+    kind = vectors.schema["id"].dataType.simpleString()
+    # Equal vectors are one: their ids come back at the end, so a group of copies is compared once.
+    own = vectors.withColumn("code", F.xxhash64("vector"))
+    one = Staged(own.groupBy("code").agg(F.first("vector").alias("vector"), F.count("*").alias("many")), "vectors").df
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+            if planes is None:
+                planes = np.random.default_rng(seed).normal(size=(flat.shape[1], bits * tables))
+            signs = (flat @ planes > 0).reshape(batch.num_rows, tables, bits)
+            key = (signs * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2) + (np.arange(tables, dtype=np.int64) << bits)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("code").to_numpy(), tables)), pa.array(key.reshape(-1))], ["code", "bucket"])
+
+    members = one.select("code", "vector").mapInArrow(deal, "code bigint, bucket bigint")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
+    dealt = members.join(sizes.where("n > 1"), "bucket").select("bucket", "code", F.pmod(F.xxhash64("code"), F.ceil(F.col("n") / size)).cast("int").alias("block"))
+    packed = Staged(dealt.join(one.select("code", "vector"), "code").groupBy("bucket", "block").agg(F.collect_list("code").alias("ids"), F.collect_list("vector").alias("vectors")), "buckets").df
+    name = lambda x: packed.select("bucket", *(F.col(c).alias(f"{c}_{x}") for c in ("block", "ids", "vectors")))
+    plan = packed.select("bucket", F.col("block").alias("block_a")).join(packed.select("bucket", F.col("block").alias("block_b")), "bucket")
+    both = plan.join(name("a"), ["bucket", "block_a"]).join(name("b"), ["bucket", "block_b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                a, b = (batch.column(c)[row].values.to_numpy() for c in ("ids_a", "ids_b"))
+                s = _matrix(batch.column("vectors_a"), row) @ _matrix(batch.column("vectors_b"), row).T
+                s[a[:, None] == b[None, :]] = -2  # itself comes back by its code
+                best = np.argsort(-s, axis=1, kind="stable")[:, :top]
+                score = np.take_along_axis(s, best, 1)
+                i, j = np.nonzero(score >= threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[best[i, j]]), pa.array(score[i, j])], ["query", "reference", "score"])
+
+    near = both.select("ids_a", "ids_b", "vectors_a", "vectors_b").mapInArrow(compare, "query bigint, reference bigint, score double").distinct()
+    itself = one.select(F.col("code").alias("query"), F.col("code").alias("reference"), F.lit(1.0).alias("score"))
+    links = _best(near, top).drop("rank").unionByName(itself)
+    # Of the ids of a code the first ``top`` can be among the nearest of another.
+    ranked = own.select("id", "code").withColumn("rank", F.row_number().over(Window.partitionBy("code").orderBy("id"))).where(F.col("rank") <= top)
+    ids = ranked.select(F.col("code").alias("reference"), F.col("id").alias("other"))
+    out = own.select(F.col("id").alias("asks"), F.col("code").alias("query")).join(links, "query").join(ids, "reference")
+    return _best(out.select(F.col("asks").cast(kind).alias("query"), F.col("other").alias("reference"), "score"), top)
+
+
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, component) for all nodes; a component is named by its least node."""
+    found = graph.components(edges)
+    return nodes.select("id").join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
 def leaks(assigned: DataFrame, pairs: list[tuple[str, str]], threshold: float) -> DataFrame:
@@ -121,30 +179,46 @@ def leaks(assigned: DataFrame, pairs: list[tuple[str, str]], threshold: float) -
 def repair(assigned: DataFrame, pairs: list[tuple[str, str]], threshold: float, seed: int = 3407, most_rounds: int = 10) -> DataFrame:
     """``assigned`` (id, vector, category, source, hardness, split) without leaks.
 
-    Each round moves leaking eval records to train and fills their stratum up again from train records
-    that are dissimilar to everything outside the target split; hard ones first for test. Only leaks and
-    the chosen replacements come to the driver: both are bounded by the eval splits' leaks.
+    Each round moves leaking eval records to train and fills their strata up again from train records
+    that are dissimilar to everything outside the target split; hard ones first for test. Split by split, one search
+    serves all strata; who may not come back, what is lost and what is chosen are tables, never lists on the driver.
+    Raises where a stratum can't be filled, or leaks remain after ``most_rounds``.
     """
     now = Staged(assigned, "assigned")
-    blocked: set = set()
+    blocked = now.df.select("id").limit(0)
     for round_ in range(1, most_rounds + 1):
-        found = {r["query"]: r["query_split"] for r in leaks(now.df, pairs, threshold).select("query", "query_split").collect()}
-        if not found:
+        found = Staged(leaks(now.df, pairs, threshold).select(F.col("query").alias("id"), F.col("query_split").alias("from")).distinct(), "leaks").df
+        if found.isEmpty():
             return now.df
-        blocked |= set(found)
-        moved = now.df.withColumn("split", F.when(F.col("id").isin(list(found)), "train").otherwise(F.col("split")))
-        moved = Staged(moved, "moved")
-        lost = now.df.where(F.col("id").isin(list(found))).groupBy("split", "category", "source").count().orderBy("split", "category", "source").collect()
-        for d in lost:
-            target = d["split"]
-            pool = moved.df.where((F.col("split") == "train") & (F.col("category") == d["category"]) & (F.col("source") == d["source"]) & ~F.col("id").isin(list(blocked)))
+        blocked = Staged(blocked.union(found.select("id")).distinct(), "blocked").df
+        gone = now.df.join(found, "id", "left")
+        lost = Staged(gone.where("from is not null").groupBy("split", "category", "source").agg(F.count("*").alias("lost")), "lost").df
+        moved = Staged(gone.withColumn("split", F.when(F.col("from").isNotNull(), "train").otherwise(F.col("split"))).drop("from"), "moved")
+        for target in sorted(r["split"] for r in lost.select("split").distinct().collect()):
+            short = lost.where(F.col("split") == target).drop("split")
+            pool = matched(moved.df.where("split = 'train'").join(blocked, "id", "left_anti"), short, ["category", "source"])
             others = moved.df.where(F.col("split") != target).select("id", "vector")
             near = nearest(pool.select("id", "vector"), others, top=2).where("query <> reference").groupBy("query").agg(F.max("score").alias("near"))
-            hard = F.col("hardness") if target == "test" and d["category"] == "troubleshooting" else F.lit(0)
-            ids = pool.join(near, pool["id"] == near["query"], "left").where(F.coalesce(F.col("near"), F.lit(-1.0)) < threshold).orderBy(-hard, deterministic_key(seed + round_, F.col("id").cast("string")), "id").limit(d["count"])
-            chosen = [r["id"] for r in ids.select("id").collect()]
-            if len(chosen) < d["count"]:
-                raise ValueError(f"cannot fill {d['count']} {target} records of {d['category']}/{d['source']}")
-            moved = Staged(moved.df.withColumn("split", F.when(F.col("id").isin(chosen), target).otherwise(F.col("split"))), "moved")
+            hard = F.when(F.col("category") == "troubleshooting", F.col("hardness")).otherwise(0) if target == "test" else F.lit(0)
+            order = Window.partitionBy("category", "source").orderBy(-hard, deterministic_key(seed + round_, F.col("id").cast("string")), "id")
+            safe = pool.join(near, pool["id"] == near["query"], "left").where(F.coalesce("near", F.lit(-1.0)) < threshold)
+            chosen = Staged(safe.withColumn("place", F.row_number().over(order)).where("place <= lost").select("id", "category", "source"), "chosen").df
+            unmet = matched(short, chosen.groupBy("category", "source").agg(F.count("*").alias("got")), ["category", "source"], "left").where("coalesce(got, 0) < lost").limit(1).collect()
+            if unmet:
+                raise ValueError(f"cannot fill {unmet[0]['lost']} {target} records of {unmet[0]['category']}/{unmet[0]['source']}")
+            taken = chosen.select("id", F.lit(True).alias("taken"))
+            moved = Staged(moved.df.join(taken, "id", "left").withColumn("split", F.when(F.col("taken"), target).otherwise(F.col("split"))).drop("taken"), "moved")
         now = moved
     raise RuntimeError(f"leaks remain after {most_rounds} rounds")
+
+
+def cache_problems(cache: DataFrame, key: str = "content_hash", vector: str = "embedding") -> DataFrame:
+    """(issue, rows) of a vector cache: repeated or missing keys, vectors of another length than most, numbers that aren't finite."""
+    sizes = cache.groupBy(F.size(vector).alias("size")).agg(F.count("*").alias("n"))
+    usual = sizes.agg(F.max_by("size", F.struct("n", "size")).alias("usual"))
+    shape = cache.crossJoin(F.broadcast(usual)).agg(
+        F.count_if(F.col(key).isNull()).alias("missing_key"), F.count_if(~F.size(vector).eqNullSafe(F.col("usual")) | F.col(vector).isNull()).alias("other_length"),
+        F.count_if(F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))).alias("not_finite"))
+    repeated = cache.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*").alias("repeated_key"))
+    names = ["missing_key", "other_length", "not_finite", "repeated_key"]
+    return shape.crossJoin(repeated).select(F.explode(F.array(*(F.struct(F.lit(n).alias("issue"), F.col(n).alias("rows")) for n in names))).alias("p")).select("p.*").where("rows > 0")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions.text import deterministic_key
+from sparkloom.operators.ranks import before, matched
 
 
 def stratum_seed(seed: int, category: Column, source: Column) -> Column:
@@ -21,17 +23,17 @@ def allocate(groups: DataFrame, seed: int = 3407, test: float = 0.05, validation
     In each stratum, groups in hash order go to test until its target is met, then to validation, then
     to train. A stratum of fewer than 3 is all train; targets round half to even.
     """
+    stratum = ["category", "source"]
     key = F.sha2(F.concat(stratum_seed(seed, F.col("category"), F.col("source")).cast("string"), F.lit(":"), F.col("group")), 256)
-    stratum = Window.partitionBy("category", "source")
-    order = stratum.orderBy("_key", "group")
-    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("size").over(stratum)
+    out = before(groups.withColumn("_key", key), stratum, "_key", "group", F.col("size"))
     least = F.when(F.col("_total") < rare, 1).otherwise(minimum)
     t = F.greatest(least, F.bround(F.col("_total") * test, 0).cast("bigint"))
     v = F.greatest(least, F.bround(F.col("_total") * validation, 0).cast("bigint"))
-    out = groups.withColumn("_key", key).withColumns({"_before": before, "_total": total})
-    out = out.withColumns({"_t": F.when(t + v >= F.col("_total"), 1).otherwise(t), "_v": F.when(t + v >= F.col("_total"), 1).otherwise(v)})
-    out = out.withColumn("_tests", F.sum(F.when(F.col("_before") < F.col("_t"), F.col("size")).otherwise(0)).over(stratum))
+    totals = groups.groupBy(*stratum).agg(F.sum("size").alias("_total"))
+    totals = totals.withColumns({"_t": F.when(t + v >= F.col("_total"), 1).otherwise(t), "_v": F.when(t + v >= F.col("_total"), 1).otherwise(v)})
+    out = matched(out, totals, stratum)
+    tests = out.groupBy(*stratum).agg(F.sum(F.when(F.col("_before") < F.col("_t"), F.col("size")).otherwise(0)).alias("_tests"))
+    out = matched(out, tests, stratum)
     split = (
         F.when(F.col("_total") < 3, "train").when(F.col("_before") < F.col("_t"), "test")
         .when(F.col("_before") - F.col("_tests") < F.col("_v"), "validation").otherwise("train")
@@ -39,31 +41,56 @@ def allocate(groups: DataFrame, seed: int = 3407, test: float = 0.05, validation
     return out.withColumn("split", split).select(*groups.columns, "split")
 
 
-def rebalance(groups: DataFrame, name: str, required: Mapping[str, int], target: int, seed: int) -> DataFrame:
+def rebalance(groups: DataFrame, name: str, required: Mapping[str, int], target: int, seed: int, strict: bool = True) -> DataFrame:
     """Category minima of one split filled from train in hash order, then its overflow sent back to train.
 
-    ``groups`` has group, category, size (1 each for the second part) and split.
+    ``groups`` has group, category, size (1 each for the second part) and split. Ranks are prefix sums by slices
+    of the hash order, so a category is never one task. Where train can't fill a minimum it raises, or, if not ``strict``, gives what it has.
     """
     if not required:
         return groups
     need = F.create_map(*(F.lit(x) for pair in required.items() for x in pair))
     minimum = F.coalesce(F.try_element_at(need, F.col("category")), F.lit(0))
-    have = F.sum(F.when(F.col("split") == name, F.col("size")).otherwise(0)).over(Window.partitionBy("category"))
-    order = Window.partitionBy("category", "split").orderBy(deterministic_key(seed + (1 if name == "test" else 2), F.col("group")), "group")
-    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    filled = groups.withColumns({"_deficit": minimum - have, "_before": before})
-    filled = filled.withColumn("split", F.when((F.col("split") == "train") & (F.col("_before") < F.col("_deficit")), name).otherwise(F.col("split"))).drop("_deficit", "_before")
+    have = groups.groupBy("category").agg(
+        F.sum(F.when(F.col("split") == name, F.col("size")).otherwise(0)).alias("_have"), F.sum(F.when(F.col("split").isin(name, "train"), F.col("size")).otherwise(0)).alias("_could"))
+    short = have.where((minimum > F.col("_have")) & (F.col("_could") < minimum)).select("category").limit(1).collect() if strict else []
+    if short:
+        raise ValueError(f"train cannot fill the minimum of {short[0][0]}")
+    keyed = groups.withColumns({"_key": deterministic_key(seed + (1 if name == "test" else 2), F.col("group")), "_own": deterministic_key(seed, F.col("group"))})
+    filled = matched(before(keyed, ["category", "split"], "_key", "group", F.col("size")), have.select("category", "_have"), ["category"])
+    filled = filled.withColumn("split", F.when((F.col("split") == "train") & (F.col("_before") < minimum - F.col("_have")), name).otherwise(F.col("split"))).select(*groups.columns, "_own")
     # Evicting one by one from the category with the largest surplus is the same as going down levels.
     inside = filled.where(F.col("split") == name)
-    count = F.count("*").over(Window.partitionBy("category"))
-    rank = F.row_number().over(Window.partitionBy("category").orderBy(deterministic_key(seed, F.col("group")), "group"))
-    level = count - minimum - (rank - 1)
     over = inside.count() - target
     if over <= 0:
-        return filled
-    gone = inside.withColumn("_level", level).where("_level >= 1").orderBy(F.col("_level").desc(), deterministic_key(seed, F.col("group")), "group").limit(over).select(F.col("group").alias("_gone"))
+        return filled.drop("_own")
+    counts = inside.groupBy("category").agg(F.count("*").alias("_many"))
+    ranked = matched(before(inside, ["category"], "_own", "group"), counts, ["category"])
+    level = F.col("_many") - minimum - F.col("_before")
+    gone = ranked.withColumn("_level", level).where("_level >= 1").orderBy(F.col("_level").desc(), "_own", "group").limit(over).select(F.col("group").alias("_gone"))
     back = filled.join(gone, F.col("group") == F.col("_gone"), "left")
-    return back.withColumn("split", F.when(F.col("_gone").isNotNull(), "train").otherwise(F.col("split"))).drop("_gone")
+    return back.withColumn("split", F.when(F.col("_gone").isNotNull(), "train").otherwise(F.col("split"))).drop("_gone", "_own")
+
+
+def hard_target(tests: int, minimum: int, maximum: int, fraction: float) -> int:
+    """How many hard records a test set of so many records has: a share of it, rounded up, within bounds."""
+    return min(maximum, max(minimum, math.ceil(tests * fraction)))
+
+
+def hard_test(records: DataFrame, tests: int, category: str, minimum: int, maximum: int, fraction: float, least_sources: int, seed: int, least_score: int = 1, key: str = "content_hash") -> DataFrame:
+    """The hard records of a test set: (explicit first, score, hash) order; raises if too few, or from too few sources.
+
+    ``records`` has category, source, score, explicit (boolean) and the key.
+    """
+    wanted = hard_target(tests, minimum, maximum, fraction)
+    able = records.where((F.col("category") == category) & (F.col("score") >= least_score)).withColumn("_key", deterministic_key(seed, F.col(key)))
+    chosen = able.orderBy(~F.coalesce("explicit", F.lit(False)), F.col("score").desc(), "_key", key).limit(wanted).drop("_key")
+    n = chosen.agg(F.count("*").alias("n"), F.count_distinct("source").alias("s")).first()
+    if n["n"] < wanted:
+        raise ValueError(f"only {n['n']} hard records, {wanted} are required")
+    if n["s"] < least_sources:
+        raise ValueError(f"the hard records come from {n['s']} sources only")
+    return chosen
 
 
 def statistics(records: DataFrame) -> DataFrame:
@@ -81,7 +108,7 @@ def overlaps(records: DataFrame, key: str) -> DataFrame:
 
 def shuffled(records: DataFrame, seed: int = 3407, key: str = "content_hash") -> DataFrame:
     """position of every record within its split, in hash order."""
-    return records.withColumn("position", F.row_number().over(Window.partitionBy("split").orderBy(deterministic_key(seed, F.col(key)), key)) - 1)
+    return before(records.withColumn("_key", deterministic_key(seed, F.col(key))), ["split"], "_key", key, name="position").drop("_key")
 
 
 def round_robin(records: DataFrame, size: int, seed: int, ident: str) -> DataFrame:
@@ -106,4 +133,20 @@ def judge_sample(test: DataFrame, size: int, hard_minimum: int, seed: int, key:
     rn = F.row_number().over(Window.partitionBy("category", "source").orderBy(order, key))
     # The quota of the rest depends on how many hard records there are: a bounded count.
     left = size - min(hard_minimum, hard.count())
-    return hard.unionByName(rest.withColumn("_rn", rn).orderBy("_rn", "category", "source").limit(left).drop("_rn"))
+    return hard.unionByName(rest.withColumn("_rn", rn).where(F.col("_rn") <= left).orderBy("_rn", "category", "source").limit(left).drop("_rn"))
+
+
+def first_of_each(records: DataFrame, most: int, group: str, order: Sequence[str]) -> DataFrame:
+    """The first ``most`` records of each group (a repository, say) in scan order."""
+    return records.withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_rank") <= most).drop("_rank")
+
+
+def page(records: DataFrame, order: Sequence[str], offset: int = 0, limit: int | None = None) -> DataFrame:
+    """Records in order from ``offset`` on, ``limit`` of them."""
+    out = records.orderBy(*order).offset(offset)
+    return out if limit is None else out.limit(limit)
+
+
+def sorted_map(counts: DataFrame, key: str, value: str) -> DataFrame:
+    """One row with the counts of a report as a list of (key, value) in order of the key: as many entries as the report has keys."""
+    return counts.agg(F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), F.col(value).alias("value")))).alias("entries"))

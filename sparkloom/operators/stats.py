@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.operators.ranks import matched, percentiles
+
 
 def finite(c: Column) -> Column:
     """The value as a double, null where it is not a finite number."""
@@ -29,28 +31,9 @@ def summarize(df: DataFrame, metrics: Sequence[str], *keys: str) -> DataFrame:
     return long.select(*keys, "m.metric", "m.value").groupBy(*keys, "metric").agg(*(v.alias(k) for k, v in mean_ci(F.col("value")).items()))
 
 
-def at_share(c: Column, share: float) -> Column:
-    """sorted[min(n - 1, int(share * n))]."""
-    values = F.sort_array(F.collect_list(c))
-    return F.get(values, F.least(F.size(values) - 1, F.floor(F.size(values) * share).cast("int")))
-
-
-def at_rank(c: Column, share: float) -> Column:
-    """sorted[round((n - 1) * share)], rounding half to even."""
-    values = F.sort_array(F.collect_list(c))
-    return F.get(values, F.bround((F.size(values) - 1) * share, 0).cast("int"))
-
-
 def percentile_ranks(df: DataFrame, value: str, shares: Sequence[float], *keys: str) -> DataFrame:
-    """``at_rank`` for several shares by distributed ranks: no group is collected into one row."""
-    one = keys or ("_all",)
-    df = df.where(F.col(value).isNotNull()) if keys else df.where(F.col(value).isNotNull()).withColumn("_all", F.lit(0))
-    counts = df.groupBy(*one, value).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(*one).orderBy(value)
-    upto = counts.withColumn("_to", F.sum("_n").over(w)).withColumn("_total", F.sum("_n").over(Window.partitionBy(*one)))
-    picks = [F.min(F.when(F.col("_to") > F.bround((F.col("_total") - 1) * s, 0), F.col(value))).alias(f"p{round(s * 100)}") for s in shares]
-    out = upto.groupBy(*one).agg(F.max("_total").alias("count"), F.min(value).alias("min"), F.max(value).alias("max"), *picks)
-    return out if keys else out.drop("_all")
+    """count, min, max and sorted[round((n - 1) * share)] for several shares, halves to even, from counts by value."""
+    return percentiles(df, value, {f"p{round(s * 100)}": ("rank", s) for s in shares}, *keys).drop("mean")
 
 
 def rate(n: Column, of: Column) -> Column:
@@ -90,23 +73,72 @@ def deltas(pairs: DataFrame, metric: str) -> DataFrame:
     )
 
 
+#: The metrics of a benchmark result, in order.
+METRICS = (
+    "exact_match", "semantic_similarity", "syntax_validity", "llm_judge", "truncation_rate", "retry_rate", "generation_attempts", "generated_completion_tokens_total",
+    "latency_seconds", "tokens_per_second", "batch_tokens_per_second", "generation_batch_size",
+)
+
+
 def aggregate_results(results: DataFrame) -> DataFrame:
-    """Twelve metrics overall (category null) and by category, in one grouping; errors count but are not measured."""
+    """Twelve metrics with intervals, and records, generated and errors, overall (category null) and by category.
+
+    A row for each metric and group. Errors count but are not measured, nor are missing values; one pass over a rollup.
+    """
     ok = F.col("error").isNull() | (F.col("error") == "")
-    metrics = {
-        "exact_match": F.col("exact_match"), "semantic_similarity": F.col("semantic_similarity"), "syntax_validity": F.col("syntax_valid"),
-        "llm_judge": F.col("judge.mean"), "truncation_rate": F.col("truncated").cast("double"), "retry_rate": (F.coalesce("retry_count", F.lit(0)) > 0).cast("double"),
-        "generation_attempts": F.coalesce("generation_attempts", F.lit(1)).cast("double"), "generated_completion_tokens_total": F.col("generated_completion_tokens_total"),
-        "latency_seconds": F.col("latency_seconds"), "tokens_per_second": F.col("tokens_per_second"), "batch_tokens_per_second": F.col("batch_tokens_per_second"),
-        "generation_batch_size": F.coalesce("generation_batch_size", F.lit(1)).cast("double"),
-    }
-    cells = F.array(*(F.struct(F.lit(k).alias("metric"), F.when(ok, v.cast("double")).alias("value")) for k, v in metrics.items()))
+    at_least_one = lambda c: F.coalesce(F.when(F.col(c) != 0, F.col(c)), F.lit(1))
+    values = dict(zip(METRICS, (
+        F.col("exact_match"), F.col("semantic_similarity"), F.col("syntax_valid"), F.col("judge.mean"), F.col("truncated").cast("double"), (F.coalesce("retry_count", F.lit(0)) > 0).cast("double"),
+        at_least_one("generation_attempts"), F.col("generated_completion_tokens_total"), F.col("latency_seconds"), F.col("tokens_per_second"), F.col("batch_tokens_per_second"), at_least_one("generation_batch_size"),
+    ), strict=True))
+    cells = F.array(*(F.struct(F.lit(k).alias("metric"), F.when(ok, v.cast("double")).alias("value")) for k, v in values.items()))
     long = results.select("category", ok.alias("ok"), F.explode(cells).alias("m")).select("category", "ok", "m.metric", "m.value")
-    stats = [v.alias(k) for k, v in mean_ci(F.col("value")).items()]
-    return long.rollup("metric", "category").agg(F.count("*").alias("records"), F.count_if("ok").alias("generated"), F.count_if(~F.col("ok")).alias("errors"), *stats).where("metric is not null")
+    summary = [v.alias(k) for k, v in mean_ci(F.col("value")).items()]
+    return long.rollup("metric", "category").agg(F.count("*").alias("records"), F.count_if("ok").alias("generated"), F.count_if(~F.col("ok")).alias("errors"), *summary).where("metric is not null")
+
+
+def audit_summary(measured: DataFrame, keys: Sequence[str], flag_names: Sequence[str], least_recall: float = 0.3) -> DataFrame:
+    """Rates, medians and p90 of measured pairs (with the column flags) by group: a row for each group.
+
+    Medians are means of the middle two, p90 is sorted[min(n - 1, int(0.9 n))]; term recall and its low rate leave
+    pairs out that have none. flag_rates has a rate for every flag that occurs in the group.
+    """
+    many = F.count("*")
+    rates = F.create_map(*(x for f in flag_names for x in (F.lit(f), F.avg(F.array_contains("flags", f).cast("double")))))
+    out = measured.groupBy(*keys).agg(
+        many.alias("records"), F.avg((F.col("term_recall") < least_recall).cast("double")).alias("low_term_recall_rate"), F.avg(F.col("starts_with_heading").cast("double")).alias("starts_with_heading_rate"),
+        F.map_filter(rates, lambda _, r: r > 0).alias("flag_rates"), F.avg((F.size("flags") > 0).cast("double")).alias("any_flag_rate"), F.avg((F.size("flags") >= 2).cast("double")).alias("two_or_more_flags_rate"),
+    )
+    for c in ("answer_words", "length_ratio", "bullets", "term_recall"):
+        found = percentiles(measured, c, {f"{c}_median": ("median", 0.5), f"{c}_p90": ("share", 0.9)}, *keys).select(*keys, f"{c}_median", f"{c}_p90")
+        out = matched(out, found, list(keys), "left")
+    return out
+
+
+def repetition_groups(records: DataFrame, ratio: Column, words: Column, threshold: float = 0.2, long: int = 1000, keys: Sequence[str] = ("source", "category")) -> DataFrame:
+    """records, high_repetition, long_responses and their rates by group, in order."""
+    out = records.withColumns({"_high": ratio >= threshold, "_long": words >= long}).groupBy(*keys).agg(
+        F.count("*").alias("records"), F.count_if("_high").alias("high_repetition"), F.count_if("_long").alias("long_responses"))
+    return out.withColumns({"high_repetition_rate": F.col("high_repetition") / F.col("records"), "long_response_rate": F.col("long_responses") / F.col("records")}).orderBy(*keys)
+
+
+def length_summary(records: DataFrame, length: str, limit: int, *keys: str) -> DataFrame:
+    """records, minimum, mean, p50 to p99, maximum, over_limit and its rate, overall (keys null) or by group."""
+    over = records.groupBy(*keys).agg(F.count_if(F.col(length) > limit).alias("over_limit")) if keys else records.agg(F.count_if(F.col(length) > limit).alias("over_limit"))
+    found = percentiles(records, length, {f"p{p}": ("rank", p / 100) for p in (50, 90, 95, 99)}, *keys)
+    found = found.withColumnsRenamed({"count": "records", "min": "minimum", "max": "maximum"}).withColumn("mean", F.bround("mean", 2))
+    return matched(found, over, list(keys)).withColumn("over_limit_rate", F.bround(F.col("over_limit") / F.col("records"), 8))
 
 
 def truncation_gate(results: DataFrame, most: float = 0.01) -> DataFrame:
     """rate and passed; nothing generated counts as a rate of 1."""
     made = results.where("error is null").agg(F.coalesce(F.avg(F.coalesce("truncated", F.lit(False)).cast("double")), F.lit(1.0)).alias("rate"))
     return made.withColumn("passed", F.col("rate") <= most)
+
+
+def completion(results: DataFrame, full: bool, syntax: bool, judged: bool, most_truncated: float = 0.01) -> DataFrame:
+    """One row: full_test, generation (no error, truncation gate passed), syntax, judge, and provisional unless all hold."""
+    gate = truncation_gate(results, most_truncated)
+    made = results.agg(F.coalesce(F.bool_and(F.col("error").isNull() | (F.col("error") == "")), F.lit(True)).alias("no_errors"))
+    row = made.crossJoin(gate).select(F.lit(full).alias("full_test"), (F.col("no_errors") & F.col("passed")).alias("generation"), F.lit(syntax).alias("syntax"), F.lit(judged).alias("judge"))
+    return row.withColumn("provisional", ~(F.col("full_test") & F.col("generation") & F.col("syntax") & F.col("judge")))

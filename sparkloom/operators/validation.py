@@ -45,6 +45,27 @@ def reclassify(records: DataFrame, answer: str = "assistant", movable: Sequence[
     return records.withColumn("category_reclassification", change).withColumn("category", F.coalesce(to, F.col("category")))
 
 
+def reclassification_counts(records: DataFrame) -> DataFrame:
+    """(change, n) of ``reclassify``'s changes, ``from->to``."""
+    c = F.col("category_reclassification")
+    return records.where(c.isNotNull()).groupBy(F.concat(c["from"], F.lit("->"), c["to"]).alias("change")).agg(F.count("*").alias("n")).orderBy("change")
+
+
+def syntax_candidates(records: DataFrame, answer: str = "assistant", ordinal: str = "ordinal", ident: str = "content_hash") -> DataFrame:
+    """identifier, ordinal, name, content, validator and missing_reason of records that a validator looks at.
+
+    YAML answers go to one validator, Dockerfiles to the other; where the answer holds no block, content is null and
+    missing_reason says so.
+    """
+    yaml, docker = extract_yaml(F.col(answer)), extract_dockerfile(F.col(answer))
+    is_yaml, is_docker = F.col("category") == "generacion_yaml", F.col("category") == "dockerfile"
+    content = F.when(is_yaml, yaml).when(is_docker, docker)
+    name = F.when(is_yaml, candidate_name(F.col(ordinal), F.col(ident), ".yaml")).otherwise(candidate_name(F.col(ordinal), F.col(ident), ".Dockerfile"))
+    return records.where(is_yaml | is_docker).select(
+        F.col(ident).alias("identifier"), F.col(ordinal).alias("ordinal"), name.alias("name"), F.concat(content, F.lit("\n")).alias("content"),
+        F.when(is_yaml, "kubeconform").otherwise("hadolint").alias("validator"), F.when(content.isNull(), F.when(is_yaml, "yaml_block_missing").otherwise("dockerfile_block_missing")).alias("missing_reason"))
+
+
 def candidate_name(ordinal: Column, ident: Column, extension: str) -> Column:
     return F.concat(F.format_string("%06d-%s", ordinal, F.substring(ident, 1, 16)), F.lit(extension))
 

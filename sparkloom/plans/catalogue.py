@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkloom.plans import corpus, evaluation  # noqa: F401  (they register their queries)
+from sparkloom.plans import corpus, evaluation, stages  # noqa: F401  (they register their queries)
 from sparkloom.plans.bridges import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

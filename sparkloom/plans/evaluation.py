@@ -30,7 +30,7 @@ _CANON = r"""regexp_replace(regexp_replace(regexp_replace(assistant, '[ \t]+', '
 @query(f"""WITH {EXCHANGES_SQL}, c AS (SELECT conv_id, turn, {_CANON} AS a FROM pairs), d AS (SELECT a, count(*) AS n FROM c GROUP BY a)
 SELECT count(*) AS answers, CAST(sum(n) AS BIGINT) AS records, CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS matched FROM d""")
 def canonical_answer_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = exchanges(spark, sf_dir).groupBy(text.canonical_answer(F.col("assistant"), normal=False).alias("a")).agg(F.count("*").alias("n"))
+    d = exchanges(spark, sf_dir).groupBy(text.canonical_answer(F.col("assistant")).alias("a")).agg(F.count("*").alias("n"))
     return d.agg(F.count("*").alias("answers"), F.sum("n").alias("records"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("matched"))
 
 
@@ -39,12 +39,16 @@ def semantic_text_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exchanges(spark, sf_dir).select("conv_id", "turn", text.sha(text.semantic_text(F.col("messages"))).alias("h"))
 
 
-@query(f"""WITH {EXCHANGES_SQL} SELECT conv_id, turn,
- CASE WHEN system = 'You are a helpful assistant.' THEN 1 ELSE 1 END + 1 AS messages, length(system) + 2 + 11 AS system_chars FROM pairs""")
+@query(f"""WITH {EXCHANGES_SQL}, k AS (SELECT conv_id, turn, length(assistant) % 3 AS k, trim(system, E' \\n\\t') AS system, "user" FROM pairs)
+SELECT conv_id, turn, CASE k WHEN 0 THEN 2 WHEN 1 THEN 2 END AS messages, CASE k WHEN 0 THEN system || chr(10) || chr(10) || 'Be concise.' WHEN 1 THEN 'Be concise.' END AS first FROM k""")
 def prompt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keep = F.filter("messages", lambda m: (m["role"] != "assistant") & (text.py_strip(m["content"]) != ""))
-    told = F.transform(keep, lambda m: F.when(m["role"] == "system", F.concat(m["content"], F.lit("\n\nBe concise."))).otherwise(m["content"]))
-    return exchanges(spark, sf_dir).select("conv_id", "turn", F.size(keep).alias("messages"), F.length(F.get(told, 0)).alias("system_chars"))
+    """Prompts of records with a system turn, without one, and with nothing that the user asks."""
+    k = F.length("assistant") % 3
+    turn = lambda r, c: F.struct(F.lit(r).alias("role"), c.alias("content"))
+    e = exchanges(spark, sf_dir)
+    shaped = F.when(k == 0, F.col("messages")).when(k == 1, F.array(turn("user", F.col("user")), turn("assistant", F.col("assistant")))).otherwise(F.array(turn("system", F.col("system")), turn("user", F.lit("  "))))
+    made = e.select("conv_id", "turn", text.prompt_messages(shaped, "Be concise.").alias("m"))
+    return made.select("conv_id", "turn", F.size("m").alias("messages"), F.get("m", 0)["content"].alias("first")).withColumn("messages", F.when(F.col("first").isNotNull(), F.col("messages")))
 
 
 def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,20 +56,6 @@ def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.withColumns(quality.measure(F.col("user"), F.col("assistant"), F.lit("concepto"))).withColumn("flags", quality.flags())
 
 
-@query(rf"""WITH {EXCHANGES_SQL}, m AS (SELECT conv_id, turn, len(regexp_extract_all(assistant, '\S+')) AS aw, greatest(len(regexp_extract_all("user", '\S+')), 1) AS qw FROM pairs)
-SELECT conv_id, turn, CAST(aw AS INTEGER) AS answer_words, round(aw / qw, 9) AS length_ratio, aw / qw >= 15 AS imbalance FROM m""")
-def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measured(spark, sf_dir).select("conv_id", "turn", "answer_words", F.round("length_ratio", 9).alias("length_ratio"), F.array_contains("flags", "length_imbalance").alias("imbalance"))
-
-
-@query(rf"""WITH {EXCHANGES_SQL}, m AS (SELECT conv_id % 4 AS grp, len(regexp_extract_all(assistant, '\S+')) AS aw FROM pairs),
-k AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY aw) - 1 AS rk, count(*) OVER (PARTITION BY grp) AS n FROM m)
-SELECT grp, max(n) AS records, CAST(median(aw) AS DOUBLE) AS median_words, CAST(max(CASE WHEN rk = least(n - 1, CAST(floor(0.9 * n) AS BIGINT)) THEN aw END) AS INTEGER) AS p90_words FROM k GROUP BY grp""")
-def quality_group_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = measured(spark, sf_dir).select((F.col("conv_id") % 4).alias("grp"), "answer_words")
-    return m.groupBy("grp").agg(F.count("*").alias("records"), F.percentile("answer_words", 0.5).alias("median_words"), stats.at_share(F.col("answer_words"), 0.9).alias("p90_words"))
-
-
 @query(rf"""WITH {EXCHANGES_SQL} SELECT conv_id, turn FROM pairs WHERE NOT (conv_id % 2 = 0 AND
  len([x for x in string_split(assistant, chr(10)) if regexp_matches(x, '^\s*(?:[-*+]|\d+[.)])\s+\S')]) >= 10)""")
 def tier_a_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,26 +75,42 @@ def extract_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.withColumn("w", wrapped).select("conv_id", "turn", text.extract_yaml(F.col("w")).alias("yaml"), text.extract_dockerfile(F.col("w")).alias("dockerfile"))
 
 
-@query(f"""WITH {EXCHANGES_SQL} SELECT conv_id, turn, CASE conv_id % 3 WHEN 0 THEN 'dockerfile' WHEN 1 THEN 'concepto' ELSE 'arquitectura' END AS category,
- CASE conv_id % 3 WHEN 0 THEN 'dockerfile_block_detected' WHEN 1 THEN 'dockerfile_block_missing' ELSE '' END AS reason FROM pairs""")
+@query(f"""WITH {EXCHANGES_SQL}, b AS (SELECT conv_id, turn, CASE WHEN length(assistant) % 3 = 0 THEN 'FROM a' || chr(10) || 'RUN b' ELSE assistant END AS a, CASE WHEN length("user") % 2 = 0 THEN 'dockerfile' WHEN length("user") % 3 = 0 THEN 'generacion_yaml' ELSE 'arquitectura' END AS category FROM pairs),
+h AS (SELECT *, [upper(x) for x in regexp_extract_all(a, '(?mi)^\\s*(FROM|ARG|RUN|COPY|ADD|CMD|ENTRYPOINT|ENV|EXPOSE|WORKDIR|USER|VOLUME|LABEL|HEALTHCHECK|SHELL|STOPSIGNAL|ONBUILD)\\b', 1)] AS i FROM b),
+d AS (SELECT *, len(i) >= 2 AND list_contains(i, 'FROM') AND i[1] IN ('ARG', 'FROM') AS has FROM h)
+SELECT conv_id, turn, CASE WHEN has AND category = 'arquitectura' THEN 'dockerfile' WHEN category = 'dockerfile' AND NOT has THEN 'concepto' ELSE category END AS category,
+ CASE WHEN has AND category = 'arquitectura' THEN 'dockerfile_block_detected' WHEN category = 'dockerfile' AND NOT has THEN 'dockerfile_block_missing' ELSE '' END AS reason FROM d""")
 def category_reclassification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("conv_id") % 3
-    e = exchanges(spark, sf_dir).withColumn("category", F.when(k == 0, "concepto").when(k == 1, "dockerfile").otherwise("arquitectura"))
-    e = e.withColumn("assistant", F.when(k == 0, F.lit("FROM a\nRUN b")).otherwise(F.col("assistant")))
+    """Categories brought in line with whether the answer is a Dockerfile; SQL looks for instructions in the same texts."""
+    n, m = F.length("assistant"), F.length("user")
+    e = exchanges(spark, sf_dir).withColumn("category", F.when(m % 2 == 0, "dockerfile").when(m % 3 == 0, "generacion_yaml").otherwise("arquitectura"))
+    e = e.withColumn("assistant", F.when(n % 3 == 0, F.lit("FROM a\nRUN b")).otherwise(F.col("assistant")))
     return validation.reclassify(e).select("conv_id", "turn", "category", F.coalesce("category_reclassification.reason", F.lit("")).alias("reason"))
 
 
-@query(f"""WITH {EXCHANGES_SQL} SELECT conv_id, turn, CASE WHEN conv_id % 4 = 0 THEN 'invalid_json' WHEN conv_id % 4 = 1 THEN 'missing_user' WHEN conv_id % 4 = 2 THEN 'not_self_contained' ELSE 'accepted' END AS outcome FROM pairs""")
+#: What a generator may answer, by the length of the user's text: the text itself, a blank instruction, one that points to a document, the instruction in a fence.
+_MADE = f"""CASE length("user") % 4 WHEN 0 THEN "user" WHEN 1 THEN '{{{{"user": "  "}}}}' WHEN 2 THEN '{{{{"user": "Explica según el documento la red"}}}}' ELSE '{_FENCE}json' || chr(10) || to_json({{{{'user': "user"}}}}) || chr(10) || '{_FENCE}' END""".replace("{{", "{").replace("}}", "}")
+
+
+@query(f"""WITH {EXCHANGES_SQL}, t AS (SELECT conv_id, turn, {_MADE} AS made FROM pairs),
+u AS (SELECT conv_id, turn, CASE WHEN starts_with(made, '{_FENCE}') THEN trim(regexp_replace(regexp_replace(made, '^{_FENCE}[^\\n]*\\n', ''), '\\n{_FENCE}$', '')) ELSE made END AS body FROM t),
+v AS (SELECT conv_id, turn, json_valid(body) AS ok, CASE WHEN json_valid(body) AND json_type(body) = 'OBJECT' THEN trim(json_extract_string(body, '$.user'), E' \\n\\t') END AS said FROM u)
+SELECT conv_id, turn, CASE WHEN NOT ok THEN 'invalid_json' WHEN coalesce(said, '') = '' THEN 'missing_user' WHEN regexp_matches(said, '(?i)según el (fragmento|referencia|contenido|documento|documentación|informe|ejemplo)') THEN 'not_self_contained' ELSE 'accepted' END AS outcome,
+ CASE WHEN ok AND coalesce(said, '') <> '' AND NOT regexp_matches(said, '(?i)según el documento') THEN said END AS instruction FROM v""")
 def generated_user_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("conv_id") % 4
+    """What generators answer, parsed: the instruction, or why it is rejected."""
+    k = F.length("user") % 4
     made = F.when(k == 0, F.col("user")).when(k == 1, '{"user": "  "}').when(k == 2, '{"user": "Explica según el documento la red"}').otherwise(F.concat(F.lit(f"{_FENCE}json\n"), F.to_json(F.struct("user")), F.lit(f"\n{_FENCE}")))
-    return exchanges(spark, sf_dir).withColumn("p", text.parse_generated_user(made)).select("conv_id", "turn", F.coalesce("p.reason", F.lit("accepted")).alias("outcome"))
+    return exchanges(spark, sf_dir).withColumn("p", text.parse_generated_user(made)).select("conv_id", "turn", F.coalesce("p.reason", F.lit("accepted")).alias("outcome"), F.col("p.user").alias("instruction"))
 
 
-@query(f"""WITH {EXCHANGES_SQL} SELECT conv_id, turn, CASE WHEN conv_id % 7 BETWEEN 1 AND 5 THEN (conv_id % 7 + 3) / 2.0 END AS mean FROM pairs""")
+@query(f"""WITH {EXCHANGES_SQL}, t AS (SELECT conv_id, turn, '{{{{"correctness": ' || length("user") % 7 || ', "completeness": 3, "rationale": " r "}}}}' AS payload FROM pairs),
+s AS (SELECT conv_id, turn, CAST(json_extract(payload, '$.correctness') AS DOUBLE) AS a, CAST(json_extract(payload, '$.completeness') AS DOUBLE) AS b, trim(json_extract_string(payload, '$.rationale')) AS r FROM t)
+SELECT conv_id, turn, CASE WHEN a BETWEEN 1 AND 5 AND b BETWEEN 1 AND 5 THEN (a + b) / 2 END AS mean, CASE WHEN a BETWEEN 1 AND 5 AND b BETWEEN 1 AND 5 THEN r END AS rationale FROM s""".replace("{{", "{").replace("}}", "}"))
 def judge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payload = F.format_string('{"correctness": %d, "completeness": 3, "rationale": " r "}', F.col("conv_id") % 7)
-    return exchanges(spark, sf_dir).select("conv_id", "turn", validation.judge(payload)["mean"].alias("mean"))
+    """Scores out of a judge's payloads; SQL parses the same payloads."""
+    payload = F.format_string('{"correctness": %d, "completeness": 3, "rationale": " r "}', F.length("user") % 7)
+    return exchanges(spark, sf_dir).select("conv_id", "turn", validation.judge(payload).alias("j")).select("conv_id", "turn", "j.mean", "j.rationale")
 
 
 # ---------------------------------------------------------------- similarity
@@ -126,7 +132,7 @@ def knn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.cosine_pairs(vectors(spark, sf_dir).select("id", "vector"), TAU).withColumn("score", F.round("score", 6))
 
 
-@query(f"""WITH s AS (SELECT a.vec_id AS query, b.vec_id AS reference, {_COS} AS score FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0 AND b.vec_id % 100 <> 0),
+@query(f"""WITH s AS (SELECT a.vec_id AS query, b.vec_id AS reference, {_COS} AS score FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, reference) AS rank FROM s)
 SELECT query, reference, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
 def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,11 +157,11 @@ def near_dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _components(spark, sf_dir)
 
 
-@query(f"""WITH RECURSIVE {_COMPONENTS}, m AS (SELECT component, 'vec-' || id AS h, CASE WHEN label <= 2 THEN label ELSE 99 END AS tier FROM c JOIN embeddings ON vec_id = id)
-SELECT component, count(*) AS size, arg_min(h, lpad(CAST(tier AS VARCHAR), 3, '0') || h) AS representative, sha256(string_agg(h, '|' ORDER BY h)) AS semantic_cluster_id FROM m GROUP BY component""")
+@query(f"""WITH RECURSIVE {_COMPONENTS}, m AS (SELECT component, 'vec-' || id AS h, CASE WHEN label <= 2 THEN label ELSE 99 END AS tier, id % 3 AS quality FROM c JOIN embeddings ON vec_id = id)
+SELECT component, count(*) AS size, arg_min(h, lpad(CAST(100 - quality AS VARCHAR), 3, '0') || lpad(CAST(tier AS VARCHAR), 3, '0') || h) AS representative, sha256(string_agg(h, '|' ORDER BY h)) AS semantic_cluster_id FROM m GROUP BY component""")
 def near_dup_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _components(spark, sf_dir).join(vectors(spark, sf_dir).select("id", "label"), "id")
-    m = c.select("component", F.concat(F.lit("vec-"), "id").alias("content_hash"), F.when(F.col("label") <= 2, F.col("label")).otherwise(99).alias("tier"), F.lit(0.0).alias("quality"))
+    m = c.select("component", F.concat(F.lit("vec-"), "id").alias("content_hash"), F.when(F.col("label") <= 2, F.col("label")).otherwise(99).alias("tier"), (F.col("id") % 3).cast("double").alias("quality"))
     return dedupe.representatives(m)
 
 
@@ -213,17 +219,25 @@ def metrics_mean_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _six(stats.summarize(results(spark, sf_dir), ["value"], "category"))
 
 
-@query(f"""WITH {RESULTS_SQL}, m AS (SELECT category, 'latency_seconds' AS metric, value AS v FROM r UNION ALL SELECT category, 'truncation_rate', CAST(truncated AS DOUBLE) FROM r
- UNION ALL SELECT category, 'retry_rate', CASE WHEN retry_count > 0 THEN 1.0 ELSE 0.0 END FROM r)
-SELECT metric, category, {_CI} FROM m GROUP BY GROUPING SETS ((metric, category), (metric))""")
+_MEASURED = {
+    "exact_match": "CASE WHEN category IN ('click', 'view') THEN CAST(completion_tokens % 2 AS DOUBLE) END", "semantic_similarity": "CAST(completion_tokens AS DOUBLE) / 400", "syntax_validity": "CASE WHEN completion_tokens < 50 THEN 1.0 END",
+    "llm_judge": "CASE WHEN completion_tokens % 3 = 0 THEN 1 + CAST(completion_tokens % 5 AS DOUBLE) END", "truncation_rate": "CAST(CAST(truncated AS INTEGER) AS DOUBLE)", "retry_rate": "CASE WHEN retry_count > 0 THEN 1.0 ELSE 0.0 END",
+    "generation_attempts": "CAST(greatest(retry_count + completion_tokens % 2, 1) AS DOUBLE)", "generated_completion_tokens_total": "CASE WHEN completion_tokens > 10 THEN CAST(completion_tokens * 2 AS DOUBLE) END", "latency_seconds": "value",
+    "tokens_per_second": "CASE WHEN value > 0 THEN completion_tokens / value END", "batch_tokens_per_second": "CASE WHEN retry_count = 0 THEN CAST(completion_tokens AS DOUBLE) END", "generation_batch_size": "CAST(CASE WHEN retry_count = 0 THEN 4 ELSE 1 END AS DOUBLE)",
+}
+
+
+@query(f"""WITH {RESULTS_SQL}, x AS (SELECT *, completion_tokens % 50 = 7 AS bad FROM r), m AS ({' UNION ALL '.join(f"SELECT category, '{k}' AS metric, bad, CASE WHEN NOT bad AND isfinite({v}) THEN {v} END AS v FROM x" for k, v in _MEASURED.items())})
+SELECT metric, category, count(*) AS records, CAST(sum(CAST(NOT bad AS INTEGER)) AS BIGINT) AS generated, CAST(sum(CAST(bad AS INTEGER)) AS BIGINT) AS errors, {_CI} FROM m GROUP BY GROUPING SETS ((metric, category), (metric))""")
 def metrics_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    none = F.lit(None).cast("double")
+    """All metrics with intervals, records, generated and errors, overall and by category."""
+    n = F.col("completion_tokens")
     r = results(spark, sf_dir).select(
-        "category", F.lit(None).cast("string").alias("error"), none.alias("exact_match"), none.alias("semantic_similarity"), none.alias("syntax_valid"), F.struct(none.alias("mean")).alias("judge"), "truncated", "retry_count",
-        F.lit(1).alias("generation_attempts"), none.alias("generated_completion_tokens_total"), F.col("value").alias("latency_seconds"), none.alias("tokens_per_second"), none.alias("batch_tokens_per_second"), F.lit(1).alias("generation_batch_size"),
-    )
-    out = stats.aggregate_results(r).where(F.col("metric").isin("latency_seconds", "truncation_rate", "retry_rate"))
-    return _six(out.drop("records", "generated", "errors"))
+        "category", F.when(n % 50 == 7, "failed").alias("error"), F.when(F.col("category").isin("click", "view"), (n % 2).cast("double")).alias("exact_match"), (n.cast("double") / 400).alias("semantic_similarity"), F.when(n < 50, 1.0).alias("syntax_valid"),
+        F.when(n % 3 == 0, F.struct((1 + n % 5).cast("double").alias("mean"))).alias("judge"), "truncated", "retry_count", (F.col("retry_count") + n % 2).alias("generation_attempts"), F.when(n > 10, n * 2).alias("generated_completion_tokens_total"),
+        F.col("value").alias("latency_seconds"), F.when(F.col("value") > 0, n / F.col("value")).alias("tokens_per_second"), F.when(F.col("retry_count") == 0, n.cast("double")).alias("batch_tokens_per_second"), F.when(F.col("retry_count") == 0, 4).otherwise(1).alias("generation_batch_size"),
+    )
+    return _six(stats.aggregate_results(r))
 
 
 _RUNS = """l AS (SELECT doc_id AS k, quality = 0 AS truncated, toxic AS retry_count FROM labels),
@@ -272,9 +286,9 @@ def batch_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probes.batches(results(spark, sf_dir), 4, "completion_tokens").select("content_hash", "batch", "position")
 
 
-@query(f"WITH {RESULTS_SQL} SELECT content_hash FROM r WHERE event_id < coalesce((SELECT (min(event_id) // 16 + 1) * 16 FROM r WHERE truncated AND event_id > 0), 1000000000) AND event_id > 0")
+@query(f"WITH {RESULTS_SQL} SELECT content_hash FROM r WHERE event_id < coalesce((SELECT (min(event_id) // 16 + 1) * 16 FROM r WHERE truncated), 9000000000000000000)")
 def early_stop_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return probes.before_truncation(results(spark, sf_dir).where("event_id > 0"), 16, "event_id").select("content_hash")
+    return probes.before_truncation(results(spark, sf_dir), 16, "event_id").select("content_hash")
 
 
 @query(f"WITH {RESULTS_SQL} SELECT round(avg(CAST(truncated AS INTEGER)), 9) AS rate, avg(CAST(truncated AS INTEGER)) <= 0.01 AS passed FROM r")
@@ -336,10 +350,10 @@ def resolution_comment_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.resolution_comments(c).select("issue", "comment_id", "trusted", "reactions")
 
 
-@query("""WITH c AS (SELECT event_id % 5000 AS k, CAST(event_id % 900 AS INTEGER) AS tokens, event_id FROM events WHERE event_id % 3 = 0), f AS (SELECT k, min(event_id) AS e FROM c GROUP BY k)
+@query("""WITH c AS (SELECT event_id % 5000 AS k, CAST(event_id % 900 AS INTEGER) AS tokens, event_id FROM events), f AS (SELECT k, min(event_id) AS e FROM c GROUP BY k)
 SELECT d.doc_id, f.e IS NOT NULL AND f.e % 900 < 512 AS is_cached FROM documents d LEFT JOIN f ON f.k = d.doc_id""")
 def generation_cache_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "events").where("event_id % 3 = 0").groupBy((F.col("event_id") % 5000).alias("content_hash")).agg(F.min("event_id").alias("e"))
+    c = table(spark, sf_dir, "events").groupBy((F.col("event_id") % 5000).alias("content_hash")).agg(F.min("event_id").alias("e"))
     cache = c.select("content_hash", F.lit("f").alias("fingerprint"), (F.col("e") % 900).cast("int").alias("completion_tokens"), F.lit(512).alias("prior_limit"))
     asked = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("content_hash"), F.lit("f").alias("fingerprint"))
     return relational.cached(asked, cache, 1024).select(F.col("content_hash").alias("doc_id"), "is_cached")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,7 +13,11 @@ def scratch_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = found.get() if found.isDefined() else "file://" + tempfile.mkdtemp(prefix="sparkloom-")
+        if found.isDefined():
+            return found.get().rstrip("/")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        base = "file://" + tempfile.mkdtemp(prefix="sparkloom-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Mapping
+import posixpath
+import urllib.parse
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+from sparkloom.sources import hadoop
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Writes beside the path and renames, in any file system that Spark knows."""
-    fs, p = _fs(spark, path)
+    fs, p = hadoop.fs_of(spark, path)
     temp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".part")
     out = fs.create(temp, True)
     try:
@@ -35,7 +35,7 @@ def write_json(spark: SparkSession, path: str, value: Mapping[str, Any]) -> None
 
 def read_report(spark: SparkSession, path: str) -> tuple[dict | None, str | None]:
     """(report, issue): a missing or broken report is an issue, not an error."""
-    fs, p = _fs(spark, path)
+    fs, p = hadoop.fs_of(spark, path)
     if not fs.exists(p):
         return None, "missing"
     try:
@@ -45,21 +45,75 @@ def read_report(spark: SparkSession, path: str) -> tuple[dict | None, str | None
     return (value, None) if isinstance(value, dict) else (None, "corrupt")
 
 
-def write_table(df: DataFrame, path: str, manifest: Mapping[str, Any], force: bool = False) -> dict:
-    """A Parquet table and its manifest; done before, and not forced, it is left as it is."""
+def config_hash(config: Mapping[str, Any]) -> str:
+    """SHA-256 of a configuration as JSON with sorted keys."""
+    return hashlib.sha256(json.dumps(config, ensure_ascii=False, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()
+
+
+def write_table(df: DataFrame, path: str, manifest: Mapping[str, Any], force: bool = False, quarantined: DataFrame | None = None, revision: str | None = None, config: Mapping[str, Any] | None = None) -> dict:
+    """A Parquet table and its manifest; done before, and not forced, it is left as it is.
+
+    The manifest has records, an order-free fingerprint of the rows, name, bytes and SHA-256 of every file, the rows
+    written to ``<path>.quarantine``, the source's revision and the configuration's hash.
+    """
     spark = df.sparkSession
     known, _ = read_report(spark, f"{path}.manifest.json")
-    if known is not None and not force:
+    if known is not None and not force and hadoop.exists(spark, path):
         return known | {"skipped": True}
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    aside = 0
+    if quarantined is not None:
+        quarantined.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}.quarantine")
+        aside = spark.read.parquet(f"{path}.quarantine").count()
     # Order-free fingerprint: a sum of row hashes, so that it distributes.
     row = F.xxhash64(*[F.to_json(F.struct(c)) for c in sorted(df.columns)])
     stats = spark.read.parquet(path).agg(F.count("*").alias("n"), F.sum(row.cast("decimal(38,0)")).cast("string").alias("h")).first()
-    value = dict(manifest) | {"records": stats["n"], "fingerprint": stats["h"] or "0"}
+    files = [{"name": f.rsplit("/", 1)[1], "bytes": hadoop.size_of(spark, f), "sha256": hadoop.sha256_of(spark, f)} for f in hadoop.files_below(spark, path)]
+    value = dict(manifest) | {"records": stats["n"], "fingerprint": stats["h"] or "0", "quarantined": aside, "files": files}
+    value |= ({"revision": revision} if revision else {}) | ({"config_hash": config_hash(config)} if config is not None else {})
     write_json(spark, f"{path}.manifest.json", value)
     return value | {"skipped": False}
 
 
+def cached_vectors(spark: SparkSession, path: str, texts: DataFrame, encode: Callable[[DataFrame], DataFrame], key: str = "content_hash") -> DataFrame:
+    """(key, embedding) of ``texts`` (key, text) from the cache at ``path``, what it lacks encoded and added to it first."""
+    wanted = texts.dropDuplicates([key])
+    if hadoop.exists(spark, path):
+        wanted = wanted.join(spark.read.parquet(path).select(key), key, "left_anti")
+    encode(wanted).select(key, "embedding").write.mode("append").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path).join(texts.select(key).distinct(), key, "left_semi")
+
+
+def recreate(spark: SparkSession, path: str, root: str) -> None:
+    """An empty folder at ``path``, which must lie strictly inside ``root``."""
+    fs, p = hadoop.fs_of(spark, path)
+    _, r = hadoop.fs_of(spark, root)
+    inner, outer = (urllib.parse.urlsplit(fs.makeQualified(x).toString()) for x in (p, r))
+    at, above = (posixpath.normpath(x.path) for x in (inner, outer))
+    if (inner.scheme, inner.netloc) != (outer.scheme, outer.netloc) or not at.startswith(above.rstrip("/") + "/"):
+        raise ValueError(f"{path} does not lie inside {root}")
+    fs.delete(p, True)
+    fs.mkdirs(p)
+
+
+def write_candidates(candidates: DataFrame, path: str, root: str) -> int:
+    """The contents of candidates (name, content) as files of a fresh folder, written by the tasks' own file system; returns how many."""
+    spark = candidates.sparkSession
+    recreate(spark, path, root)
+    rows = candidates.where("content is not null").select("name", "content")
+    n = 0
+    for r in rows.toLocalIterator():
+        write_text(spark, f"{path}/{r['name']}", r["content"])
+        n += 1
+    return n
+
+
+def licenses_section(records: DataFrame, urls: Mapping[str, str]) -> str:
+    """Markdown table of licences with their page (``n/a`` where unknown) and how many records have them."""
+    rows = records.groupBy("license").agg(F.count("*").alias("n")).orderBy("license").collect()
+    return "\n".join(["## Licences", "", "| licence | page | records |", "|-|-|-|", *(f"| {r['license']} | {urls.get(r['license'], 'n/a')} | {r['n']} |" for r in rows)]) + "\n"
+
+
 def datasheet(statistics: DataFrame, title: str) -> str:
     """Markdown over ``split.statistics``: totals, then counts by category and source (a bounded number of groups)."""
     rows = statistics.orderBy("split", "category", "source").collect()
@@ -71,14 +125,69 @@ def datasheet(statistics: DataFrame, title: str) -> str:
     return "\n".join(out) + "\n"
 
 
-def comparison(metrics: DataFrame, left: str, right: str) -> str:
-    """Markdown table of two variants' means by metric, with the change and whether it is a regression."""
-    by: dict[str, dict[str, float]] = {}
-    for r in metrics.select("variant", "metric", "mean").collect():
-        by.setdefault(r["metric"], {})[r["variant"]] = r["mean"]
-    out = [f"| metric | {left} | {right} | change | regression |", "|-|-|-|-|-|"]
-    for name, v in sorted(by.items()):
-        a, b = v.get(left), v.get(right)
-        change = f"{(b - a) / a:+.2%}" if a and b is not None else "n/a"
-        out.append(f"| {name} | {a if a is not None else 'n/a'} | {b if b is not None else 'n/a'} | {change} | {'yes' if a is not None and b is not None and b < a else 'no'} |")
+def change_text(before: float | None, after: float | None, points: bool = False) -> str:
+    """The change of a mean: relative, or in percentage points; ``n/a`` where it can't be said."""
+    if before is None or after is None or (not points and before == 0):
+        return "n/a"
+    return f"{(after - before) * 100:+.2f} pp" if points else f"{(after - before) / before:+.2%}"
+
+
+def interval_text(mean: float | None, low: float | None, high: float | None) -> str:
+    return "n/a" if mean is None else f"{mean:.4f}" if low is None or high is None else f"{mean:.4f} [{low:.4f}, {high:.4f}]"
+
+
+def gate_text(rate: float | None, most: float) -> str:
+    """PASS or FAIL of the truncation gate, with both rates."""
+    return "n/a" if rate is None else f"{'PASS' if rate <= most else 'FAIL'} ({rate:.2%} of at most {most:.2%})"
+
+
+def runtime_text(runtime: Mapping[str, Any] | None) -> str:
+    """A run's backend, device and versions in one line."""
+    if not runtime:
+        return "unknown"
+    versions = ", ".join(f"{k} {v}" for k, v in sorted((runtime.get("versions") or {}).items()))
+    return " / ".join(str(x) for x in (runtime.get("backend"), runtime.get("device"), versions) if x) or "unknown"
+
+
+#: Metrics of which less is better, and those that are shares.
+LESS_IS_BETTER = ("truncation_rate", "retry_rate", "generation_attempts", "generated_completion_tokens_total", "latency_seconds")
+SHARES = ("exact_match", "syntax_validity", "truncation_rate", "retry_rate")
+
+
+def comparison(metrics: DataFrame, left: str, right: str, gates: Mapping[str, tuple[float | None, float]] | None = None, runtimes: Mapping[str, Mapping[str, Any]] | None = None) -> str:
+    """Markdown report on two variants: means with intervals overall and by category, changes, regressions, gates and runtimes.
+
+    ``metrics`` has variant, metric, category (null overall), mean, ci95_low and ci95_high.
+    """
+    by: dict[tuple[str, str], dict[str, Any]] = {}
+    columns = [c for c in ("category", "ci95_low", "ci95_high") if c in metrics.columns]
+    for r in metrics.select("variant", "metric", "mean", *columns).collect():
+        row = r.asDict()
+        by.setdefault((row.get("category") or "", row["metric"]), {})[row["variant"]] = row
+    out = []
+    for category in sorted({c for c, _ in by}):
+        out += [f"## {category or 'Overall'}", "", f"| metric | {left} | {right} | change | regression |", "|-|-|-|-|-|"]
+        for (c, name), v in sorted(by.items()):
+            if c != category:
+                continue
+            a, b = v.get(left) or {}, v.get(right) or {}
+            x, y = a.get("mean"), b.get("mean")
+            worse = x is not None and y is not None and (y > x if name in LESS_IS_BETTER else y < x)
+            text = lambda r: interval_text(r.get("mean"), r.get("ci95_low"), r.get("ci95_high"))
+            out.append(f"| {name} | {text(a)} | {text(b)} | {change_text(x, y, name in SHARES)} | {'yes' if worse else 'no'} |")
+        out.append("")
+    for name, (rate, most) in sorted((gates or {}).items()):
+        out.append(f"- truncation gate of {name}: {gate_text(rate, most)}")
+    for name, runtime in sorted((runtimes or {}).items()):
+        out.append(f"- runtime of {name}: {runtime_text(runtime)}")
     return "\n".join(out) + "\n"
+
+
+def loss_chart(steps: Sequence[tuple[float, float]], width: int = 640, height: int = 240) -> str:
+    """An SVG polyline of (step, loss)."""
+    if not steps:
+        return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{height}"/>'
+    xs, ys = zip(*steps, strict=True)
+    spread = lambda v: (max(v) - min(v)) or 1
+    points = " ".join(f"{20 + (x - min(xs)) / spread(xs) * (width - 40):.1f},{height - 20 - (y - min(ys)) / spread(ys) * (height - 40):.1f}" for x, y in steps)
+    return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{height}"><polyline fill="none" stroke="currentColor" points="{points}"/></svg>'

@@ -1,9 +1,11 @@
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.operators import dedupe, probes, relational, similarity, split, stats, validation
+from sparkloom.operators.ranks import percentiles
 
 
 def test_components(spark):
@@ -87,7 +89,9 @@ def test_percentiles_agree(spark):
     s = sorted(values)
     got = stats.percentile_ranks(df, "v", (0.5, 0.9, 0.99)).first()
     assert [got["p50"], got["p90"], got["p99"]] == [s[round(82 * p)] for p in (0.5, 0.9, 0.99)]
-    assert df.agg(stats.at_rank(F.col("v"), 0.9).alias("x"), stats.at_share(F.col("v"), 0.95).alias("y")).first() == (s[round(82 * 0.9)], s[min(82, int(0.95 * 83))])
+    got = percentiles(df, "v", {"rank": ("rank", 0.9), "share": ("share", 0.95), "middle": ("median", 0.5)}).first()
+    assert (got["rank"], got["share"], got["middle"]) == (s[round(82 * 0.9)], s[min(82, int(0.95 * 83))], statistics.median(s))
+    assert got["mean"] == pytest.approx(statistics.fmean(values))
 
 
 def test_pairs_must_match(spark):

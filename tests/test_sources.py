@@ -1,3 +1,4 @@
+import hashlib
 import json
 from datetime import datetime, timezone
 
@@ -33,7 +34,9 @@ def test_jsonl_round_trip(spark, tmp_path):
     b = jsonl.write_jsonl(df.repartition(3), str(tmp_path / "p"), ["ordinal"])
     assert a["records"] == b["records"] == 3
     text = "".join(x.read_text() for x in sorted((tmp_path / "o").glob("part-*")))
-    assert [json.loads(x) for x in text.splitlines()] == [{"b": "ñ"}, {}, {"b": "b"}]
+    assert text.splitlines()[0] == '{"b": "ñ", "ordinal": 0}'
+    assert [json.loads(x) for x in text.splitlines()] == [{"b": "ñ", "ordinal": 0}, {"ordinal": 1}, {"b": "b", "ordinal": 2}]
+    assert a["sha256"] == hashlib.sha256(text.encode()).hexdigest() and a["bytes"] == len(text.encode())
 
 
 def test_verified_parquet(spark, tmp_path):
