@@ -3,12 +3,12 @@
 A Misra-Gries summary (Spark's ``approx_top_k`` keeps one, mergeable and bounded) names the digests that
 may be frequent. Their exact counts and winners are computed with map-side combining, and this table of
 at most ``heavy`` rows is broadcast, so rows of frequent texts are settled where they are read.
-The other digests are dealt out by an ordinary shuffle of (digest, length, doc_id); texts never move.
+The other digests are dealt out by an ordinary shuffle of (digest, length, doc_id), combined before it; texts never move.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.shared import stage
@@ -29,8 +29,8 @@ def exact_dedup(docs: DataFrame, heavy: int = HEAVY, counters: int = COUNTERS) -
 
     Rows are equal when their texts are, after ``normalised``. The row with the most code points in
     its original text stays, then the one with the smallest doc_id (null last); of rows that repeat even
-    that, one. Null and empty texts form one group. An empty table gives an empty result. Other columns
-    of ``docs`` are ignored.
+    that, one. Null and empty texts form one group. An empty table gives an empty result. Texts of any length are
+    read whole where they lie; only digests travel. Other columns of ``docs`` are ignored.
     """
     rows = stage(
         docs.select(
@@ -50,10 +50,10 @@ def exact_dedup(docs: DataFrame, heavy: int = HEAVY, counters: int = COUNTERS) -
     )
     winners = stage(winners, "winners")  # read twice; at most ``heavy`` rows
     settled = rows.join(F.broadcast(winners), "digest")
-    each = Window.partitionBy("digest")
-    dealt = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti").select(
-        "digest", "doc_id", "n", "row", F.count("*").over(each).alias("group_size"), F.min(order).over(each).alias("best")
-    )
+    rest = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    # Counted and compared before the shuffle; only digests that repeat are joined back, so no task needs all rows of one.
+    repeated = rest.groupBy("digest").agg(F.count("*").alias("group_size"), F.min(order).alias("best")).where("group_size > 1")
+    dealt = rest.join(repeated, "digest", "left").withColumns({"group_size": F.coalesce("group_size", F.lit(1)).cast("bigint"), "best": F.coalesce("best", order)})
     columns = ["digest", "doc_id", "row", "group_size", "best"]
     return settled.select(columns).unionByName(dealt.select(columns)).select(
         "doc_id",
