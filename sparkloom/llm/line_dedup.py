@@ -56,14 +56,16 @@ def line_shingles(lines: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np
     if len(short):
         h[short] &= (np.uint64(1) << (np.uint64(8) * n[line[short]].astype(np.uint64))) - np.uint64(1)
         h[short] += n[line[short]].astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-    high = (data >> np.uint32(8)).astype(np.uint64)
-    if high.any():
-        more = np.zeros(len(h), np.uint64)
+    high = data >> np.uint32(8)
+    if high.any():  # few runs as a rule: only those that hold such a character
+        upto = np.concatenate((np.zeros(1, np.int64), np.cumsum(high > 0)))
+        some = np.flatnonzero(upto[np.minimum(starts + size, at[line + 1])] > upto[starts])
+        begin, end = starts[some], at[line[some] + 1]
+        more = np.zeros(len(some), np.uint64)
         for k in range(size):
-            inside = starts + k < at[line + 1]
-            part = np.where(inside, high[np.minimum(starts + k, len(high) - 1)], np.uint64(0))
+            part = np.where(begin + k < end, high[np.minimum(begin + k, len(high) - 1)], np.uint32(0)).astype(np.uint64)
             more = more * np.uint64(0x9FB21C651E98DF25) + part
-        h += more * np.uint64(0xC2B2AE3D27D4EB4F)
+        h[some] += more * np.uint64(0xC2B2AE3D27D4EB4F)
     return mix(h), line
 
 
@@ -105,14 +107,13 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
 
 
 def line_elements(size: int = SHINGLE):
-    """Lines to (hash, line, weight): distinct runs of characters of the normalised line, each of weight 1."""
+    """Normalised lines to (hash, line, weight): distinct runs of characters, as hashes of 40 bits, each of weight 1."""
 
     def elements(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        h, line = line_shingles([normal(x) for x in lines], size)
-        by = np.lexsort((h, line))
-        h, line = h[by], line[by]
-        new = np.concatenate(([True], (h[1:] != h[:-1]) | (line[1:] != line[:-1])))[: len(h)]
-        return h[new], line[new], np.ones(int(new.sum()))
+        h, line = line_shingles(lines, size)
+        key = np.sort((line.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)))
+        key = key[np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[: len(key)])]
+        return key & np.uint64((1 << 40) - 1), (key >> np.uint64(40)).astype(np.int64), np.ones(len(key))
 
     return elements
 
@@ -218,7 +219,7 @@ def duplicate_lines(docs: DataFrame, similar: float = SIMILARITY, size: int = SH
             for t, asked in zip(batch.column("text").to_pylist(), batch.column("asked").to_pylist(), strict=True):
                 lines = t.split("\n")
                 node += [a["line"] for a in asked]
-                text += [lines[a["place"]] for a in asked]
+                text += [normal(lines[a["place"]]) for a in asked]
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(text, pa.string())], ["node", "text"])
 
     texts = Staged(map_arrow(shown.select("text", "asked"), show, "node bigint, text string"), "texts")

@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparkloom.operators.graph import components
 from sparkloom.shipping import ship
 
 # ---------------------------------------------------------------- scratch tables
@@ -226,83 +227,6 @@ def bloom_has(bits: np.ndarray, size: int, keys: np.ndarray) -> np.ndarray:
     return (bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
 
 
-# ---------------------------------------------------------------- connected components
-
-#: Edges that one task settles alone (16 bytes each); more are contracted by rounds first.
-FEW_EDGES = 1 << 18
-
-
-def least_labels(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(node, least node of its component), by hooking roots and halving paths."""
-    nodes, place = np.unique(np.concatenate((src, dst)), return_inverse=True)
-    a, b = place[: len(src)], place[len(src) :]
-    label = np.arange(len(nodes))
-    while True:
-        x, y = label[a], label[b]
-        open_ = x != y
-        if not open_.any():
-            return nodes, nodes[label]
-        a, b, x, y = a[open_], b[open_], x[open_], y[open_]
-        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-        while (label != label[label]).any():
-            label = label[label]
-
-
-def components(edges: DataFrame, tag: str = "cc", few: int = FEW_EDGES) -> DataFrame:
-    """(node, component) for every node that has an edge (src, dst) to another; a component is named by its least node.
-
-    Distributed union-find by contraction: in a round every node moves to the first of its neighbours and
-    itself (by number, in every second round by a hash, which bounds the rounds of long chains), edges are
-    renamed, and loops and repeated edges go. So a component that has become one node takes no part in
-    later rounds, and what remains shrinks. Once ``few`` edges remain one task settles them. The moves of
-    the rounds, read backwards, give the components. Everything lies in the scratch folder. Nulls and
-    self-loops are ignored.
-    """
-    pair = (F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
-    now = Staged(edges.where("src is not null and dst is not null and src <> dst").select(*pair).distinct(), f"{tag}-edges")
-    moves: list[Staged] = []
-    mixed = False
-
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(b.column("src").to_numpy(), b.column("dst").to_numpy()) for b in batches]
-        if held:
-            node, least = least_labels(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            for lo in range(0, len(node), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(node[lo : lo + (1 << 16)]), pa.array(least[lo : lo + (1 << 16)])], ["node", "to"])
-
-    while True:
-        many = now.df.count()
-        if many <= few:
-            moves.append(Staged(map_arrow(now.df.coalesce(1), settle, "node bigint, to bigint"), f"{tag}-moves"))
-            now.drop()
-            break
-        by_hash = len(moves) % 2 == 1
-        mixed |= by_hash
-        first = lambda c: F.struct((F.xxhash64(c, F.lit(len(moves))) if by_hash else F.col(c)).alias("h"), F.col(c).alias("n"))  # noqa: B023, E731
-        both = now.df.union(now.df.select("dst", "src"))
-        near = both.groupBy("src").agg(F.min(first("dst")).alias("near"))
-        move = Staged(near.select(F.col("src").alias("node"), F.least("near", first("src"))["n"].alias("to")), f"{tag}-moves")
-        moves.append(move)
-        a, b = (move.df.select(F.col("node").alias(c), F.col("to").alias(f"to_{c}")) for c in ("src", "dst"))
-        moved = now.df.join(a, "src").join(b, "dst").select(F.col("to_src").alias("src"), F.col("to_dst").alias("dst"))
-        after = Staged(moved.where("src <> dst").select(*pair).distinct(), f"{tag}-edges")
-        now.drop()
-        now = after
-    out = moves[-1].df.withColumnRenamed("to", "component")
-    for move in reversed(moves[:-1]):
-        later = out.select(F.col("node").alias("to"), "component")
-        out = move.df.join(later, "to", "left").select("node", F.coalesce("component", "to").alias("component"))
-    if mixed:
-        names = out.groupBy("component").agg(F.min("node").alias("least"))
-        out = out.join(names, "component").select("node", F.col("least").alias("component"))
-    if len(moves) == 1:
-        return out
-    done = stage(out, f"{tag}-components")
-    for move in moves:
-        move.drop()
-    return done
-
-
 # ---------------------------------------------------------------- bounded samples of labelled rows
 
 
@@ -387,8 +311,12 @@ class Sets:
 
     def pairs_shared(self, i: np.ndarray, j: np.ndarray, most: int = 1 << 20) -> np.ndarray:
         """``shared`` of text i[k] with text j[k], both of this, for all k; about ``most`` elements are looked up at a time."""
-        distinct, rank = np.unique(self.hash, return_inverse=True)
-        keys = self.owner.astype(np.int64) * max(1, len(distinct)) + rank  # rising
+        if len(self.total) < 1 << 23 and (not len(self.hash) or self.hash.max() < 1 << 40):
+            rank, width = self.hash.astype(np.int64), 1 << 40
+        else:
+            distinct, rank = np.unique(self.hash, return_inverse=True)
+            width = max(1, len(distinct))
+        keys = self.owner.astype(np.int64) * width + rank  # rising
         sizes = np.diff(self.at)
         swap = sizes[i] > sizes[j]
         few, many = np.where(swap, j, i), np.where(swap, i, j)
@@ -399,7 +327,7 @@ class Sets:
             size = n[lo:hi]
             pair = np.repeat(np.arange(hi - lo), size)
             at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + self.at[few[lo:hi]][pair]
-            key = many[lo:hi].astype(np.int64)[pair] * max(1, len(distinct)) + rank[at]
+            key = many[lo:hi].astype(np.int64)[pair] * width + rank[at]
             k = np.searchsorted(keys, key)
             k[k == len(keys)] = 0
             hit = keys[k] == key if len(keys) else np.zeros(0, bool)
@@ -467,10 +395,40 @@ def links_in_blocks(few: DataFrame, many: DataFrame, texts: DataFrame, elements,
         dealt = side.join(sizes, "bucket").withColumn(f"{name}_block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
         return dealt.join(texts, "node").groupBy("bucket", f"{name}_block").agg(F.collect_list(F.struct("node", "component", "text")).alias(name))
 
+    def small(rows: list[tuple[list[dict], list[dict]]]) -> list[tuple[int, int]]:
+        """Links of many small blocks at once: their texts are taken apart together."""
+        place: dict[int, int] = {}
+        texts: list = []
+        for side in (x for row in rows for x in row):
+            for r in side:
+                if place.setdefault(r["node"], len(texts)) == len(texts):
+                    texts.append(r["text"])
+        pairs = sorted({(place[x["node"]], place[y["node"]], x["component"], y["component"]) for a, b in rows for x in a for y in b if x["component"] != y["component"]})
+        if not pairs:
+            return []
+        sets = Sets(texts, elements)
+        i, j = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
+        x, y = sets.total[i], sets.total[j]
+        some = np.flatnonzero(np.minimum(x, y) >= (similar - 1e-9) * np.maximum(x, y))
+        both = sets.pairs_shared(i[some], j[some])
+        return sorted({pairs[k][2:] for k in some[both >= (similar - 1e-9) * (x[some] + y[some] - both)]})
+
+    def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["src", "dst"])
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held: list[tuple[list[dict], list[dict]]] = []
+            weight = 0
             for row in range(batch.num_rows):
                 a, b = batch.column("few")[row].as_py(), batch.column("many")[row].as_py()
+                if len(a) * len(b) <= 256:
+                    held.append((a, b))
+                    weight += sum(len(r["text"]) for r in (*a, *b)) + 100 * len(a) * len(b)
+                    if weight > 2 << 20:
+                        yield out(small(held))
+                        held, weight = [], 0
+                    continue
                 x, y = Sets([r["text"] for r in a], elements), Sets([r["text"] for r in b], elements)
                 both = x.all_shared(y)
                 near = both >= (similar - 1e-6) * (x.total[:, None] + y.total[None, :] - both)
@@ -483,16 +441,17 @@ def links_in_blocks(few: DataFrame, many: DataFrame, texts: DataFrame, elements,
                     exact = x.shared(i, y, j)
                     if exact >= (similar - 1e-9) * (x.total[i] + y.total[j] - exact):
                         found[a[i]["node"], key[1]] = key
-                pairs = sorted(set(found.values()))
-                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["src", "dst"])
+                yield out(sorted(set(found.values())))
+            if held:
+                yield out(small(held))
 
     left, right = Staged(packed(few, "few"), "few"), Staged(packed(many, "many"), "many")
     plan = left.df.select("bucket", "few_block").join(right.df.select("bucket", "many_block"), "bucket")
     both = plan.join(left.df, ["bucket", "few_block"]).join(right.df, ["bucket", "many_block"])
-    out = stage(map_arrow(both.select("few", "many"), check, "src bigint, dst bigint"), "block-links")
+    links = stage(map_arrow(both.select("few", "many"), check, "src bigint, dst bigint"), "block-links")
     left.drop()
     right.drop()
-    return out
+    return links
 
 
 def classes(members: DataFrame, texts: DataFrame, elements, similar: float, tag: str, leaders: int = 3, rounds: int = 2) -> DataFrame:
@@ -504,14 +463,15 @@ def classes(members: DataFrame, texts: DataFrame, elements, similar: float, tag:
     is compared with one leader of its bucket. Where a bucket then lies in several components, members
     outside its largest are compared with some more leaders from that one, ``rounds`` times. Those
     still outside meet all other components of their bucket in blocks. Later turns see only
-    buckets that are still open, and only links between components.
+    buckets of three or more that are still open (two have been compared), only pairs that
+    have not been, and only links between components.
     """
-    ends = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last")
-    table = Staged(members.join(ends.select("bucket", "leader"), "bucket"), f"{tag}-members")
+    ends = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).where("size > 1")
+    table = Staged(members.join(ends, "bucket"), f"{tag}-members")
     pairs = table.df.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links = [Staged(linked_pairs(pairs.withColumns({"from": F.col("a"), "to": F.col("b")}), texts, elements, similar), f"{tag}-links")]
     found = components(links[0].df, tag)
-    now = table.df.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    now = table.df.where("size > 2").join(found, "node", "left").select("bucket", "leader", "node", F.coalesce("component", "node").alias("component"))
     held = [table]
     for turn in range(rounds + 1):
         sizes = now.groupBy("bucket", "component").agg(F.count("*").alias("n"))
@@ -523,15 +483,16 @@ def classes(members: DataFrame, texts: DataFrame, elements, similar: float, tag:
         outside = still.df.where("component <> largest")
         if turn < rounds:
             lead = still.df.where("component = largest").groupBy("bucket").agg(*(F.min_by("node", F.xxhash64("node", F.lit(turn * leaders + k))).alias(f"l{k}") for k in range(leaders)))
-            pairs = outside.join(lead, "bucket").select(F.col("node").alias("a"), F.col("component").alias("from"), F.col("largest").alias("to"), F.explode(F.array_distinct(F.array(*(F.col(f"l{k}") for k in range(leaders))))).alias("b"))
-            more = linked_pairs(pairs.dropDuplicates(["a", "b"]), texts, elements, similar)
+            pairs = outside.join(lead, "bucket").select("leader", F.col("node").alias("a"), F.col("component").alias("from"), F.col("largest").alias("to"), F.explode(F.array_distinct(F.array(*(F.col(f"l{k}") for k in range(leaders))))).alias("b"))
+            fresh = pairs.where("b <> leader and a <> leader").drop("leader").dropDuplicates(["a", "b"])
+            more = linked_pairs(fresh, texts, elements, similar)
         else:
             more = links_in_blocks(outside.select("bucket", "node", "component"), still.df.select("bucket", "node", "component"), texts, elements, similar)
         links.append(Staged(more, f"{tag}-links"))
-        now = still.df.select("bucket", "node", "component")
+        now = still.df.select("bucket", "leader", "node", "component")
         if turn < rounds:
             joined = components(links[-1].df, tag).select(F.col("node").alias("component"), F.col("component").alias("after"))
-            now = now.join(joined, "component", "left").select("bucket", "node", F.coalesce("after", "component").alias("component"))
+            now = now.join(joined, "component", "left").select("bucket", "leader", "node", F.coalesce("after", "component").alias("component"))
     if len(links) > 1:
         every = found.select(F.col("node").alias("src"), F.col("component").alias("dst"))
         for x in links[1:]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import decontamination, exact_dedup, langid, license_scan, line_dedup, near_dedup, packing, quality, suffix_dedup, toxicity
 from sparkloom.llm.license_texts import LICENSES
-from sparkloom.llm.shared import components
+from sparkloom.operators.graph import components
 
 SF = "/root/testdata/sf0.001"
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -397,6 +397,14 @@ def test_licence_texts_in_other_spellings(spark):
     assert (rows[4]["notice_ids"], rows[4]["n_notices"]) == ("Apache-2.0,MIT", 2)
 
 
+def test_neighbouring_spellings_and_own_notices(spark):
+    one = lambda t: spark.createDataFrame([(t,)], "t string").select(license_scan.canonical(F.col("t"))).first()[0]
+    assert one("licence licence Licence licence") == " license license license license "
+    docs = table(spark, ["a\nFree for all to use.\nb", "free for all"])
+    got = {r["doc_id"]: r["notice_ids"] for r in license_scan.license_scan(docs, notices=[("Own", "free for all to use")]).collect()}
+    assert got == {0: "Own", 1: ""}
+
+
 def test_exact_copies(spark):
     texts = ["a b", "ab", "a  b", "a b", None, "", "\t\n"]
     rows = {r["doc_id"]: r for r in exact_dedup.exact_dedup(table(spark, texts)).collect()}
