@@ -257,7 +257,11 @@ def identify(docs: DataFrame, model: Model | None, pred: str = "lang_pred", scor
 
 
 def language_of_documents(docs: DataFrame, vocabulary_path: str) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row; learnt from folds 0, 1 and 3 of four."""
+    """doc_id, held_out, lang_pred, score of every row; learnt from folds 0, 1 and 3 of four.
+
+    Null texts and texts without a letter are ``und`` with score 0, as are all where nothing can be learnt; repeated rows are alike; an empty
+    table gives an empty result. Other columns of ``docs`` are ignored.
+    """
     model = train(docs, vocabulary_path)
     return identify(docs.select("doc_id", "text"), model).select("doc_id", F.coalesce(folds(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 

@@ -342,10 +342,10 @@ def keep_one_of_each(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     Of rows that repeat both doc_id and text, one stays. Wordless and null texts stay. An empty table stays empty.
     """
     found = stage(near_classes(docs, similar), "classes")
-    keep = found.where("kept").select("row_key", F.col("doc_id").alias("id")).distinct()
-    name = free_name(docs, "_row_key")
+    name, key, ident = (free_name(docs, c) for c in ("_row_key", "_kept_key", "_kept_id"))
+    keep = found.where("kept").select(F.col("row_key").alias(key), F.col("doc_id").alias(ident)).distinct()
     named = docs.withColumn(name, F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))))
-    out = named.join(keep, (F.col(name) == F.col("row_key")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    out = named.join(keep, (F.col(name) == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(ident)), "left_semi")
     if found.groupBy("row_key", "doc_id").count().where("count > 1").isEmpty():
         return out.drop(name)
     return out.dropDuplicates([name, "doc_id"]).drop(name)

@@ -22,6 +22,8 @@ from sparkloom.llm.shared import chunks, map_arrow, partitions_for, stage
 
 CAPACITY = 1024
 END_ID = 2
+#: Pieces that are ranked together, on average.
+DEAL = 1 << 19
 
 #: Fixed value: how the byte-level vocabulary splits text before merging.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -225,8 +227,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     gets at most ``capacity`` counts. The table of pieces is staged once, so it is computed once.
     """
     spark = pieces.sparkSession
-    many = partitions_for(spark)
-    pieces = stage(pieces.withColumn("_deal", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(many)).cast("int")), "pieces")
+    pieces = stage(pieces, "pieces")
+    many = partitions_for(spark, -(-pieces.count() // DEAL))  # a count from the files' footers
+    pieces = pieces.withColumn("_deal", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(many)).cast("int"))
     by = pieces.groupBy("_deal", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in by.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     if any(not 1 <= s <= capacity for s in histogram):

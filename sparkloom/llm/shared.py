@@ -11,6 +11,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -65,9 +66,26 @@ class Staged:
         fs.delete(path, True)
 
 
+_scopes: list[list[Staged]] = []
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """Tables that ``stage`` makes inside are dropped at the end; for a caller that has written the result by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for made in _scopes.pop():
+            made.drop()
+
+
 def stage(df: DataFrame, tag: str) -> DataFrame:
-    """``Staged(df, tag).df``: for tables that a lazily returned result still reads."""
-    return Staged(df, tag).df
+    """``Staged(df, tag).df``: for tables that a lazily returned result still reads. They go with the scope, or with the driver's JVM."""
+    made = Staged(df, tag)
+    if _scopes:
+        _scopes[-1].append(made)
+    return made.df
 
 
 def partitions_for(spark: SparkSession, at_least: int = 1) -> int:
