@@ -9,7 +9,9 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the las
 4. decontaminate: documents that hold a benchmark item go;
 5. pack: the rest is packed into sequences of 1024 tokens.
 
-Empty tables give empty results; null texts are rejected by the first stage.
+Empty tables give empty results; null texts are rejected by the first stage. Where no row tells a language, the first stage keeps
+every text with a letter. Repeated rows are alike up to the third stage, which keeps one of them. All columns of ``documents`` pass
+through, whatever their names; n_chars follows the text.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkloom.llm import decontamination, langid, line_dedup, near_dedup, packing
-from sparkloom.llm.shared import stage
+from sparkloom.llm.shared import Staged, scope
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +58,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage over all documents; each stage is written to the scratch folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), name)
+        with scope():  # what a stage needed on its way goes once its result is written
+            now = Staged(apply(spark, docs, sf_dir), name)
+        if before is not None:
+            before.drop()
+        docs, before = now.df, now
     return STAGES[-1][1](spark, docs, sf_dir)
