@@ -113,6 +113,11 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKC")
 
 
+def normal_form(c: Column) -> Column:
+    """Unicode NFKC; only texts that hold more than ASCII go through Python."""
+    return F.coalesce(nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+
+
 class _Plain(HTMLParser):
     """Collects text by line; keeps <pre> as a fence and <code> in backticks; drops scripts and styles."""
 
@@ -165,8 +170,8 @@ def _html(s: pd.Series) -> pd.Series:
 
 
 def html_to_text(c: Column) -> Column:
-    """Text of HTML; a text without tags is left as it is."""
-    return F.when(c.rlike(r"</?[A-Za-z][^>]*>"), _html(c)).otherwise(c)
+    """Text of HTML; a text without tags is left as it is, and doesn't go through Python."""
+    return F.coalesce(_html(F.when(c.rlike(r"</?[A-Za-z][^>]*>"), c)), c)
 
 
 # ---------------------------------------------------------------- hashes and records
@@ -183,7 +188,7 @@ def deterministic_key(seed: int, c: Column) -> Column:
 def canonical_text(c: Column, normal: bool = True) -> Column:
     """NFKC (unless told not to), Unix line ends, no white space at the ends of lines or text."""
     if normal:
-        c = nfkc(c)
+        c = normal_form(c)
     return F.array_join(F.transform(F.split(py_strip(unix_newlines(c)), "\n"), py_rstrip), "\n")
 
 
@@ -276,7 +281,7 @@ def extract_dockerfile(c: Column) -> Column:
 
 def canonical_answer(c: Column, normal: bool = True) -> Column:
     """An answer without its shell fence, runs of blanks and blanks around line ends."""
-    text = py_strip(nfkc(c) if normal else c)
+    text = py_strip(normal_form(c) if normal else c)
     text = F.when(text.rlike(SHELL_FENCE), F.regexp_extract(text, SHELL_FENCE, 1)).otherwise(text)
     return py_strip(F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\s*\n\s*", "\n"))
 

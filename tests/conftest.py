@@ -1,6 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import SparkSession
 
+# Workers find the stand-ins for models too.
+os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(os.path.abspath(__file__)), *filter(None, [os.environ.get("PYTHONPATH")])])
+
 
 @pytest.fixture(scope="session")
 def spark():

@@ -350,7 +350,7 @@ def test_repair_leaves_no_leak(spark):
 def test_tool_results_are_tolerant(spark):
     cases = {"": [], "  ": [], '[{"a": 1}, 3]': [{"a": 1}], '{"a": 2}': [{"a": 2}], "3": [], 'x\n{"a": 4}\n[1]\n': [{"a": 4}], "[]": []}
     df = spark.createDataFrame([(c,) for c in cases], "t string")
-    got = {r["t"]: [json.loads(x) for x in r["x"]] for r in df.select("t", F.transform(text.tool_results(F.col("t")), F.to_json).alias("x")).collect()}
+    got = {r["t"]: [json.loads(x) for x in r["x"]] for r in df.select("t", F.transform(text.tool_results(F.col("t")), lambda v: F.to_json(v)).alias("x")).collect()}
     assert got == cases
 
 
