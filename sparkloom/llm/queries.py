@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.llm import decontamination, exact_dedup, langid, license_scan, line_dedup, near_dedup, packing, quality, suffix_dedup, toxicity
+from sparkloom.llm import decontamination, divergence, exact_dedup, langid, license_scan, line_dedup, near_dedup, packing, prefix_trie, quality, secret_scan, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_near_dedup": op2_near_dedup,
@@ -65,9 +77,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_divergence": op12_divergence,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
     "op4_license_scan": license_scan.sql(),
     "op7_exact_dedup": exact_dedup.SQL,
+    "op11_secret_scan": secret_scan.sql(),
+    "op12_divergence": divergence.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
