@@ -20,13 +20,15 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm.shared import WORD_BYTE, chunks, free_name, joined, map_arrow, word_hashes
 
-#: Length of a window, edits allowed in it, q-gram length, and the bytes from one window's start to the next: no more than the
-#: edits, so that a verbatim passage of a window's length is found wherever in its item it starts.
-WINDOW, EDITS, Q, STEP = 100, 8, 10, 8
+#: Length of a window, edits allowed in it, q-gram length, and the bytes from one window's start to the next: with 1 every window of an
+#: item is tried, so no passage within the edits is lost wherever it starts.
+WINDOW, EDITS, Q, STEP = 100, 8, 10, 1
 #: Items shorter than this (in normalised bytes) are sought whole, word for word: with edits, chance would find them.
 LEAST = 40
 #: Pairs of a place in a text and a place in an item that are held at once.
 PAIRS = 1 << 20
+#: Windows that are aligned at once.
+BATCH = 2048
 #: Diagonals of a band besides its overlap.
 BAND = 16
 #: Benchmark bytes that one broadcast index may hold; larger benchmarks go in blocks, one pass each.
@@ -230,7 +232,7 @@ def _settle(data, at, hit, text, code, many, lo, hi, index, need, window, edits,
         return 0
     count = np.diff(np.append(new, len(text)))
     inside = np.logical_or.reduceat(own, new)
-    regions: dict[tuple[int, int], list[tuple[int, int, int, np.ndarray, np.ndarray]]] = {}
+    regions: dict[tuple[int, int], list[tuple[int, int, int, np.ndarray]]] = {}
     for g in np.flatnonzero(inside & (count >= need[item[new]])):
         t, i = int(text[new[g]]), int(item[new[g]])
         if (t, i) in pairs:
@@ -241,27 +243,45 @@ def _settle(data, at, hit, text, code, many, lo, hi, index, need, window, edits,
         from_ = np.array(starts)
         shared = np.searchsorted(places_here, from_ + n - q + 1) - np.searchsorted(places_here, from_)
         good = np.flatnonzero(shared >= least)
-        # the likeliest windows first: once one is found the others needn't be aligned
-        for turn, s in enumerate(from_[good[np.argsort(-shared[good], kind="stable")]].tolist()):
-            left = int(at[t]) + int(band[new[g]] * BAND - (1 << 40)) + s - e
-            width = n + BAND + 3 * e + edits
-            piece = np.zeros(width, np.uint8)
-            a, z = max(left, int(at[t])), min(left + width, int(at[t + 1]) - 1)
-            if z > a:
-                piece[a - left : z - left] = data[a:z]
-            regions.setdefault((turn, n, e), []).append((t, i, index.data[index.at[i] + s : index.at[i] + s + n], piece))
+        if len(good):  # the likeliest windows first: once one is found the others needn't be aligned
+            first = int(at[t]) + int(band[new[g]] * BAND - (1 << 40)) - e
+            regions.setdefault((n, e), []).append((t, i, first, from_[good[np.argsort(-shared[good], kind="stable")]]))
     aligned = 0
-    for (_, _, e), rows in sorted(regions.items(), key=lambda x: x[0]):
-        for a in range(0, len(rows), 2048):
-            some = [r for r in rows[a : a + 2048] if (r[0], r[1]) not in pairs]
-            if not some:
-                continue
-            cost = align(np.array([r[2] for r in some]), np.array([r[3] for r in some]))
-            aligned += len(some)
-            pairs |= {(r[0], r[1]) for r, c in zip(some, cost, strict=True) if c <= e}
+    for (n, e), live in sorted(regions.items()):
+        turn, turns = 0, 1  # the first window of each region, then several
+        while live := [r for r in live if len(r[3]) > turn and (r[0], r[1]) not in pairs]:
+            for some in _batches(live, turn, turns):
+                some = [r for r in some if (r[0], r[1]) not in pairs]
+                if some:
+                    cost = align(np.array([index.data[index.at[i] + s : index.at[i] + s + n] for _, i, _, s in some]), np.array([_stretch(data, at, t, first + s, n + BAND + 3 * e + edits) for t, _, first, s in some]))
+                    aligned += len(some)
+                    pairs |= {(r[0], r[1]) for r, c in zip(some, cost, strict=True) if c <= e}
+            turn += turns
+            turns = max(1, BATCH // len(live))
     return aligned
 
 
+def _batches(live: list[tuple[int, int, int, np.ndarray]], turn: int, turns: int) -> Iterator[list[tuple[int, int, int, int]]]:
+    """(text, item, first place, window start) of the windows number ``turn`` to ``turn + turns`` of each region, BATCH at once."""
+    some: list[tuple[int, int, int, int]] = []
+    for t, i, first, starts in live:
+        for s in starts[turn : turn + turns].tolist():
+            some.append((t, i, first, s))
+            if len(some) == BATCH:
+                yield some
+                some = []
+    yield some
+
+
+def _stretch(data: np.ndarray, at: np.ndarray, text: int, left: int, width: int) -> np.ndarray:
+    """The bytes of a text from a place on, zeros outside it."""
+    piece = np.zeros(width, np.uint8)
+    a, z = max(left, int(at[text])), min(left + width, int(at[text + 1]) - 1)
+    if z > a:
+        piece[a - left : z - left] = data[a:z]
+    return piece
+
+
 def least_shared(index: Index, window: int = WINDOW, edits: int = EDITS, q: int = Q) -> np.ndarray:
     """For each item, the least q-grams that a window within the edit budget shares."""
     length = np.diff(index.at) - 1
