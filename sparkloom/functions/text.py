@@ -34,13 +34,17 @@ def let(c: Column, f: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(c), f), 0)
 
 
+#: Fixed value: the characters that Python's str.strip() takes for white space.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def py_strip(c: Column) -> Column:
-    """White space off both ends, in Unicode's sense."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """White space off both ends, as Python's strip() does; linear, where a pattern would try every start in a run of blanks."""
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def py_rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+$", "")
+    return F.rtrim(c, F.lit(BLANKS))
 
 
 def lines_of(c: Column) -> Column:
@@ -171,7 +175,9 @@ def _html(s: pd.Series) -> pd.Series:
 
 def html_to_text(c: Column) -> Column:
     """Text of HTML; a text without tags is left as it is, and doesn't go through Python."""
-    return F.coalesce(_html(F.when(c.rlike(r"</?[A-Za-z][^>]*>"), c)), c)
+    opens = F.regexp_instr(c, F.lit("</?[A-Za-z]"))
+    tagged = (opens > 0) & (F.position(F.lit(">"), c, opens) > 0)  # in two steps: one pattern would look from every "<" to the end
+    return F.coalesce(_html(F.when(tagged, c)), c)
 
 
 # ---------------------------------------------------------------- hashes and records
@@ -283,7 +289,8 @@ def canonical_answer(c: Column, normal: bool = True) -> Column:
     """An answer without its shell fence, runs of blanks and blanks around line ends."""
     text = py_strip(normal_form(c) if normal else c)
     text = F.when(text.rlike(SHELL_FENCE), F.regexp_extract(text, SHELL_FENCE, 1)).otherwise(text)
-    return py_strip(F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\s*\n\s*", "\n"))
+    lines = F.transform(F.split(F.regexp_replace(text, r"[ \t]+", " "), "\n"), py_strip)
+    return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
 #: Spanish ways of pointing to a text that the reader doesn't have.
@@ -300,7 +307,7 @@ NOT_SELF_CONTAINED = (
 def parse_generated_user(c: Column) -> Column:
     """struct(user, reason): the instruction, or why the generator's answer is rejected."""
     text = py_strip(c)
-    inner = py_strip(F.regexp_replace(F.regexp_replace(text, r"^```[^\n]*(\n|$)", ""), r"\n?[ \t]*```[ \t]*$", ""))
+    inner = py_strip(F.regexp_replace(F.regexp_replace(text, r"^```[^\n]*(\n|$)", ""), r"(?:\n|(?<![ \t]))[ \t]*```[ \t]*$", ""))
     body = F.when(text.startswith("```"), inner).otherwise(text)
     parsed = F.try_parse_json(body)
     is_object = F.schema_of_variant(parsed).startswith("OBJECT")
