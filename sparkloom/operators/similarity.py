@@ -1,7 +1,8 @@
-"""Cosine joins in blocks, connected components, and the search for leaks between splits.
+"""Cosine joins in blocks that angles prune, connected components, and the search for leaks between splits.
 
-Vectors are dealt into blocks; every pair of blocks is one matrix product in numpy. Block pairs, not
-vectors, are what is joined, so no side is ever broadcast and memory is two blocks a task.
+Vectors go to the nearest of a bounded number of pivots and, in a large cell, to shells by their angle to it. The triangle
+inequality of angles bounds the dot products between two blocks; only pairs of blocks whose bound reaches what is looked for
+are joined, and each is one matrix product in numpy. No side is ever broadcast, and memory is two blocks a task.
 """
 
 from __future__ import annotations
@@ -11,84 +12,212 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.functions.text import deterministic_key
 from sparkloom.operators import graph
-from sparkloom.operators.ranks import matched
 from sparkloom.scratch import Staged
 from sparkloom.shipping import ship
 
-#: Vectors of a block.
+#: Vectors of a block, about.
 BLOCK = 2048
+#: Pivots at most, and the share of a block that falls to each.
+PIVOTS, PER_BLOCK = 4096, 4
+#: Angles are known to about this.
+SLACK = 1e-6
+_CELL = ["pivot", "shell", "part"]
 
 
-def blocks(vectors: DataFrame, size: int = BLOCK, ident: str = "id", vector: str = "vector") -> tuple[DataFrame, int]:
-    """(block, ids, vectors) with at most about ``size`` vectors a block, and how many blocks."""
-    many = max(1, math.ceil(vectors.count() / size))
-    return (
-        vectors.withColumn("block", F.pmod(F.xxhash64(ident), F.lit(many)).cast("int"))
-        .groupBy("block").agg(F.collect_list(F.struct(F.col(ident).alias("i"), F.col(vector).alias("v"))).alias("rows"))
-        .select("block", F.col("rows.i").alias("ids"), F.col("rows.v").alias("vectors")),
-        many,
-    )
+def _flat(column: pa.Array, many: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(many, -1)
 
 
-def _pairs(left: DataFrame, n: int, right: DataFrame, m: int, own: bool) -> DataFrame:
-    plan = left.sparkSession.range(n * m).select((F.col("id") / m).cast("int").alias("a"), (F.col("id") % m).cast("int").alias("b"))
-    plan = plan.where("a <= b") if own else plan
-    l = left.select(F.col("block").alias("a"), F.col("ids").alias("ids_a"), F.col("vectors").alias("vectors_a"))
-    r = right.select(F.col("block").alias("b"), F.col("ids").alias("ids_b"), F.col("vectors").alias("vectors_b"))
-    return plan.join(l, "a").join(r, "b")
+def _unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    norm = np.linalg.norm(x, axis=1)
+    return x / np.where(norm > 0, norm, 1)[:, None], norm
+
+
+def pivots_of(vectors: DataFrame, size: int = BLOCK) -> np.ndarray:
+    """Unit vectors of a sample in hash order: PER_BLOCK for each block that the table makes, PIVOTS at most, equal ones once."""
+    many = min(PIVOTS, max(1, math.ceil(vectors.count() / size * PER_BLOCK)))
+    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(many).select("vector").collect()
+    return np.unique(_unit(np.array([r[0] for r in rows], np.float64).reshape(len(rows), -1))[0], axis=0) if rows else np.zeros((0, 0))
+
+
+#: Shells of a cell at most; a larger cell is also cut by hash.
+SHELLS = 64
+
+
+def deal(vectors: DataFrame, pivots: np.ndarray, size: int = BLOCK) -> DataFrame:
+    """``vectors`` (id, vector and any others), written, with the cell each belongs to (pivot, shell, part), its angle to the pivot and its norm.
+
+    Shells are ranges of angles with about equal numbers of vectors; vectors at one angle are spread over the shells that it spans.
+    """
+    spark = vectors.sparkSession
+    ship(spark)
+    names = vectors.columns
+    shared = spark.sparkContext.broadcast(pivots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                unit, norm = _unit(_flat(batch.column("vector"), batch.num_rows))
+                cosine = unit @ shared.value.T
+                best = np.argmax(cosine, axis=1)
+                angle = np.arccos(np.clip(cosine[np.arange(len(best)), best], -1, 1))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best.astype(np.int32)), pa.array(angle), pa.array(norm)], [*names, "pivot", "angle", "norm"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in vectors.schema.fields)
+    placed = Staged(vectors.mapInArrow(run, f"{schema}, pivot int, angle double, norm double"), "placed").df
+    cells = placed.groupBy("pivot").agg(F.count("*").alias("_n"), F.percentile_approx("angle", [k / SHELLS for k in range(1, SHELLS)], 1000).alias("_cuts"))
+    cells = cells.withColumns({"_shells": F.least(F.lit(SHELLS), F.ceil(F.col("_n") / size)).cast("int"), "_parts": F.ceil(F.col("_n") / (size * SHELLS)).cast("int")})
+    both = placed.join(F.broadcast(cells), "pivot")  # at most PIVOTS rows
+    below, upto = F.size(F.filter("_cuts", lambda c: c < F.col("angle"))), F.size(F.filter("_cuts", lambda c: c <= F.col("angle")))
+    among = below + F.pmod(F.xxhash64("id"), upto - below + 1)
+    cell = {"shell": F.floor(among * F.col("_shells") / SHELLS).cast("int"), "part": F.pmod(F.xxhash64("id", F.lit(1)), F.col("_parts")).cast("int")}
+    return both.withColumns(cell).select(*names, *_CELL, "angle", "norm")
+
+
+class Blocks:
+    """Dealt vectors gathered by cell, and by ``side`` where given: ``packed`` (ids, vectors, labels) and ``summary`` (angles and norms)."""
+
+    def __init__(self, dealt: DataFrame, pivots: np.ndarray, label: str | None = None, side: str | None = None):
+        more = [F.col(label).cast("string").alias("l")] if label else []
+        sides = [side] if side else []
+        packed = dealt.groupBy(*sides, *_CELL).agg(
+            F.collect_list(F.struct(F.col("id").alias("i"), F.col("vector").alias("v"), *more)).alias("rows"), F.min("angle").alias("low"), F.max("angle").alias("high"), F.max("norm").alias("norm"))
+        lists = [F.col("rows.i").alias("ids"), F.col("rows.v").alias("vectors"), *(F.col("rows.l").alias("labels") for _ in more)]
+        self.packed, self.pivots = Staged(packed.select(*sides, *_CELL, *lists, "low", "high", "norm"), "blocks").df, pivots
+
+    @property
+    def summary(self) -> DataFrame:
+        return self.packed.select(*_CELL, "low", "high", "norm")
+
+    def of(self, condition: Column) -> Blocks:
+        """The blocks whose side fulfils a condition."""
+        out = object.__new__(Blocks)
+        out.packed, out.pivots = self.packed.where(condition), self.pivots
+        return out
+
+
+def _ends(df: DataFrame, end: str) -> DataFrame:
+    return df.select(*(F.col(c).alias(f"{c}_{end}") for c in df.columns))
+
+
+def _bound(apart: Column, low_a: Column, high_a: Column, low_b: Column, high_b: Column) -> Column:
+    """The least angle between a member of one block and one of another, from the angle of their pivots and those to the pivots."""
+    least = F.greatest(apart - high_a - high_b, low_a - apart - high_b, low_b - apart - high_a)
+    return F.greatest(least - SLACK, F.lit(0.0))
+
+
+def block_pairs(left: Blocks, right: Blocks, least: float | None, floors: DataFrame | None = None) -> DataFrame:
+    """Pairs of blocks whose vectors can have a dot product of ``least`` (of their row in ``floors``, by the left block): keys with _a and _b, and the bound.
+
+    Pairs of cells are sifted first, then their blocks; the pairs of pivots are at most PIVOTS squared rows, made by the tasks.
+    """
+    spark = left.packed.sparkSession
+    shared = spark.sparkContext.broadcast(left.pivots)
+
+    def angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = shared.value
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(p), k, np.int32)), pa.array(np.arange(len(p), dtype=np.int32)), pa.array(np.arccos(np.clip(p @ p[k], -1, 1)))], ["pivot_a", "pivot_b", "apart"])
+
+    many = len(left.pivots)
+    cells = lambda b, end: _ends(b.summary.groupBy("pivot").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.max("norm").alias("largest")), end)
+    wanted = F.lit(float("-inf") if least is None else least)
+    dot = lambda angle, a, b: a * b * F.greatest(F.cos(F.least(angle, F.lit(math.pi))), F.lit(0.0)) + SLACK
+    pairs = spark.range(0, many, 1, max(1, min(many, 64))).mapInArrow(angles, "pivot_a int, pivot_b int, apart double")
+    pairs = pairs.join(F.broadcast(cells(left, "a")), "pivot_a").join(F.broadcast(cells(right, "b")), "pivot_b")
+    near = pairs.where(dot(_bound(F.col("apart"), F.col("least_a"), F.col("most_a"), F.col("least_b"), F.col("most_b")), F.col("largest_a"), F.col("largest_b")) >= wanted).select("pivot_a", "pivot_b", "apart")
+    both = near.join(_ends(left.summary, "a"), "pivot_a").join(_ends(right.summary, "b"), "pivot_b")
+    both = both.withColumn("bound", dot(_bound(F.col("apart"), F.col("low_a"), F.col("high_a"), F.col("low_b"), F.col("high_b")), F.col("norm_a"), F.col("norm_b"))).where(F.col("bound") >= wanted)
+    if floors is not None:
+        both = both.join(_ends(floors, "a"), [f"{c}_a" for c in _CELL], "left").where(F.col("bound") >= F.coalesce("floor_a", F.lit(float("-inf"))))
+    return both.select(*(f"{c}_{end}" for end in "ab" for c in _CELL), "bound")
+
+
+def _met(pairs: DataFrame, left: Blocks, right: Blocks) -> DataFrame:
+    content = lambda b, end: _ends(b.packed.select(*_CELL, *(c for c in b.packed.columns if c in ("ids", "vectors", "labels"))), end)
+    return pairs.drop("bound").join(content(left, "a"), [f"{c}_a" for c in _CELL]).join(content(right, "b"), [f"{c}_b" for c in _CELL])
 
 
 def _matrix(column: pa.Array, row: int) -> np.ndarray:
     """The vectors of a block without a Python object for each number."""
     vectors = column[row].values
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(vectors), -1)
+    return _flat(vectors, len(vectors))
+
+
+def _products(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of both blocks, those of the second in order, and their dot products; -inf where labels are equal."""
+    a, b = (np.array(batch.column(c)[row].as_py()) for c in ("ids_a", "ids_b"))
+    by = np.argsort(b, kind="stable")
+    s = _matrix(batch.column("vectors_a"), row) @ _matrix(batch.column("vectors_b"), row)[by].T
+    if "labels_a" in batch.schema.names:
+        x, y = (np.array(batch.column(c)[row].as_py(), object) for c in ("labels_a", "labels_b"))
+        s[x[:, None] == y[by][None, :]] = -np.inf
+    return a, b[by], s
 
 
 def cosine_pairs(vectors: DataFrame, threshold: float, size: int = BLOCK) -> DataFrame:
     """(src, dst, score) of all pairs of (id, vector) with a dot product of ``threshold`` or more, src < dst."""
-    ship(vectors.sparkSession)
-    table, n = blocks(vectors, size)
     kind = vectors.schema["id"].dataType.simpleString()
+    pivots = pivots_of(vectors, size)
+    table = Blocks(deal(vectors.select("id", "vector"), pivots, size), pivots)
+    here, there = (F.struct(*(F.col(f"{c}_{end}").alias(c) for c in _CELL)) for end in "ab")
+    pairs = block_pairs(table, table, threshold).withColumn("own", here == there).where(here <= there)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                a, b = (np.array(batch.column(c)[row].as_py()) for c in ("ids_a", "ids_b"))
-                s = _matrix(batch.column("vectors_a"), row) @ _matrix(batch.column("vectors_b"), row).T
+                a, b, s = _products(batch, row)
                 i, j = np.nonzero(s >= threshold)
-                keep = a[i] < b[j] if batch.column("a")[row].as_py() == batch.column("b")[row].as_py() else np.ones(len(i), bool)
+                keep = a[i] < b[j] if batch.column("own")[row].as_py() else np.ones(len(i), bool)
                 i, j = i[keep], j[keep]
                 lo, hi = np.where(a[i] < b[j], a[i], b[j]), np.where(a[i] < b[j], b[j], a[i])
-                yield pa.RecordBatch.from_arrays([pa.array(lo.tolist(), batch.schema.field("ids_a").type.value_type), pa.array(hi.tolist(), batch.schema.field("ids_a").type.value_type), pa.array(s[i, j])], ["src", "dst", "score"])
+                type_ = batch.schema.field("ids_a").type.value_type
+                yield pa.RecordBatch.from_arrays([pa.array(lo.tolist(), type_), pa.array(hi.tolist(), type_), pa.array(s[i, j])], ["src", "dst", "score"])
 
-    return _pairs(table, n, table, n, True).mapInArrow(run, f"src {kind}, dst {kind}, score double")
+    return _met(pairs, table, table).mapInArrow(run, f"src {kind}, dst {kind}, score double")
 
 
-def nearest(queries: DataFrame, references: DataFrame, top: int = 1, size: int = BLOCK) -> DataFrame:
-    """(query, reference, score, rank): the ``top`` references of each query by dot product, ties by least id."""
-    ship(queries.sparkSession)
-    q, n = blocks(queries, size)
-    r, m = blocks(references, size)
-    kind, other = queries.schema["id"].dataType.simpleString(), references.schema["id"].dataType.simpleString()
+def meet(pairs: DataFrame, left: Blocks, right: Blocks, top: int, least: float | None) -> DataFrame:
+    """(query, reference, score) of the best ``top`` of each vector of the left blocks in each pair of blocks, of those that reach ``least``."""
+    kind, other = (b.packed.schema["ids"].dataType.elementType.simpleString() for b in (left, right))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                b = np.array(batch.column("ids_b")[row].as_py())
-                by = np.argsort(b, kind="stable")
-                b, s = b[by], _matrix(batch.column("vectors_a"), row) @ _matrix(batch.column("vectors_b"), row)[by].T
-                best = np.argsort(-s, axis=1, kind="stable")[:, :top]
-                ids = np.repeat(np.array(batch.column("ids_a")[row].as_py()), best.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(ids.tolist(), batch.schema.field("ids_a").type.value_type), pa.array(b[best.ravel()].tolist(), batch.schema.field("ids_b").type.value_type), pa.array(np.take_along_axis(s, best, 1).ravel())], ["query", "reference", "score"])
+                a, b, s = _products(batch, row)
+                best = np.argsort(-s, axis=1, kind="stable")[:, :top] if top > 1 else np.argmax(s, axis=1)[:, None]
+                score = np.take_along_axis(s, best, 1)
+                i, j = np.nonzero(score >= (np.finfo(float).min if least is None else least))
+                yield pa.RecordBatch.from_arrays([pa.array(a[i].tolist(), batch.schema.field("ids_a").type.value_type), pa.array(b[best[i, j]].tolist(), batch.schema.field("ids_b").type.value_type), pa.array(score[i, j])], ["query", "reference", "score"])
+
+    return _met(pairs, left, right).mapInArrow(run, f"query {kind}, reference {other}, score double")
+
 
-    found = _pairs(q, n, r, m, False).mapInArrow(run, f"query {kind}, reference {other}, score double")
-    return _best(found, top)
+def nearest(queries: DataFrame, references: DataFrame, top: int = 1, size: int = BLOCK, least: float | None = None) -> DataFrame:
+    """(query, reference, score, rank): the ``top`` references of each query by dot product, ties by least id; with ``least`` those that reach it.
+
+    Without ``least`` a first pass joins blocks of the same cell; from then on a block of queries meets only blocks whose bound reaches
+    the score that its weakest query already has at rank ``top``.
+    """
+    pivots = pivots_of(references, size)
+    if not len(pivots):
+        kind, other = queries.schema["id"].dataType.simpleString(), references.schema["id"].dataType.simpleString()
+        return queries.sparkSession.createDataFrame([], f"query {kind}, reference {other}, score double, rank int")
+    q, r = (Blocks(deal(v.select("id", "vector"), pivots, size), pivots) for v in (queries, references))
+    if least is not None:
+        return _best(meet(block_pairs(q, r, least), q, r, top, least), top)
+    same = F.col("pivot_a") == F.col("pivot_b")
+    own = Staged(meet(block_pairs(q, r, None).where(same), q, r, top, None), "own").df
+    kth = _best(own, top).groupBy("query").agg(F.count("*").alias("many"), F.min("score").alias("kth")).where(F.col("many") >= top)
+    reached = q.packed.select(*_CELL, F.explode("ids").alias("query")).join(kth, "query", "left")
+    floors = Staged(reached.groupBy(*_CELL).agg(F.min(F.coalesce("kth", F.lit(float("-inf")))).alias("floor")), "floors").df
+    return _best(own.unionByName(meet(block_pairs(q, r, None, floors).where(~same), q, r, top, None)), top)
 
 
 def _best(found: DataFrame, top: int) -> DataFrame:
@@ -100,14 +229,13 @@ def _best(found: DataFrame, top: int) -> DataFrame:
 def knn(vectors: DataFrame, top: int = 50, threshold: float = 0.92, index: tuple[int, int] | None = None, seed: int = 5, size: int = 512) -> DataFrame:
     """(query, reference, score, rank) of the ``top`` nearest of each vector (itself among them) that reach the threshold.
 
-    Vectors (id, vector) are normalised by the caller. Without an ``index`` every block meets every block: exact,
-    and quadratic. ``index`` = (bits, tables) deals each vector to a bucket by the signs of ``bits`` random projections, in
+    Vectors (id, vector) are normalised by the caller. Without an ``index`` the search is exact, by blocks that angles prune. ``index`` = (bits, tables) deals each vector to a bucket by the signs of ``bits`` random projections, in
     ``tables`` ways, and compares within buckets only: of pairs at cosine c a share 1 - (1 - (1 - acos(c) / pi) ** bits) ** tables
     is found. Every vector is indexed; a large bucket is cut into blocks of which every pair is a row of its own, dealt
     by its blocks; each pair of blocks returns at most ``top`` for each vector.
     """
     if index is None:
-        return nearest(vectors, vectors, top, BLOCK).where(F.col("score") >= threshold)
+        return nearest(vectors, vectors, top, BLOCK, threshold)
     ship(vectors.sparkSession)
     bits, tables = index
     kind = vectors.schema["id"].dataType.simpleString()
@@ -165,53 +293,24 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def leaks(assigned: DataFrame, pairs: list[tuple[str, str]], threshold: float) -> DataFrame:
     """(query, reference, score, query_split, reference_split): best matches across splits at or over the threshold.
 
-    ``assigned`` has id, vector and split. The split that isn't train asks; of two others, the second.
+    ``assigned`` has id, vector and split. The split that isn't train asks; of two others, the second. Vectors are dealt to blocks once for all pairs.
     """
+    pivots = pivots_of(assigned)
+    return leaks_between(Blocks(deal(assigned.select("id", "vector", "split"), pivots), pivots, side="split"), pairs, threshold)
+
+
+def leaks_between(blocks: Blocks, pairs: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """As ``leaks``, of blocks by split."""
     out = None
     for left, right in pairs:
         ask, answer = (left, right) if right == "train" else (right, left)
-        q, r = (assigned.where(F.col("split") == s).select("id", "vector") for s in (ask, answer))
-        found = nearest(q, r).where(F.col("score") >= threshold).select("query", "reference", "score", F.lit(ask).alias("query_split"), F.lit(answer).alias("reference_split"))
+        q, r = (blocks.of(F.col("split") == s) for s in (ask, answer))
+        found = _best(meet(block_pairs(q, r, threshold), q, r, 1, threshold), 1)
+        found = found.select("query", "reference", "score", F.lit(ask).alias("query_split"), F.lit(answer).alias("reference_split"))
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def repair(assigned: DataFrame, pairs: list[tuple[str, str]], threshold: float, seed: int = 3407, most_rounds: int = 10) -> DataFrame:
-    """``assigned`` (id, vector, category, source, hardness, split) without leaks.
-
-    Each round moves leaking eval records to train and fills their strata up again from train records
-    that are dissimilar to everything outside the target split; hard ones first for test. Split by split, one search
-    serves all strata; who may not come back, what is lost and what is chosen are tables, never lists on the driver.
-    Raises where a stratum can't be filled, or leaks remain after ``most_rounds``.
-    """
-    now = Staged(assigned, "assigned")
-    blocked = now.df.select("id").limit(0)
-    for round_ in range(1, most_rounds + 1):
-        found = Staged(leaks(now.df, pairs, threshold).select(F.col("query").alias("id"), F.col("query_split").alias("from")).distinct(), "leaks").df
-        if found.isEmpty():
-            return now.df
-        blocked = Staged(blocked.union(found.select("id")).distinct(), "blocked").df
-        gone = now.df.join(found, "id", "left")
-        lost = Staged(gone.where("from is not null").groupBy("split", "category", "source").agg(F.count("*").alias("lost")), "lost").df
-        moved = Staged(gone.withColumn("split", F.when(F.col("from").isNotNull(), "train").otherwise(F.col("split"))).drop("from"), "moved")
-        for target in sorted(r["split"] for r in lost.select("split").distinct().collect()):
-            short = lost.where(F.col("split") == target).drop("split")
-            pool = matched(moved.df.where("split = 'train'").join(blocked, "id", "left_anti"), short, ["category", "source"])
-            others = moved.df.where(F.col("split") != target).select("id", "vector")
-            near = nearest(pool.select("id", "vector"), others, top=2).where("query <> reference").groupBy("query").agg(F.max("score").alias("near"))
-            hard = F.when(F.col("category") == "troubleshooting", F.col("hardness")).otherwise(0) if target == "test" else F.lit(0)
-            order = Window.partitionBy("category", "source").orderBy(-hard, deterministic_key(seed + round_, F.col("id").cast("string")), "id")
-            safe = pool.join(near, pool["id"] == near["query"], "left").where(F.coalesce("near", F.lit(-1.0)) < threshold)
-            chosen = Staged(safe.withColumn("place", F.row_number().over(order)).where("place <= lost").select("id", "category", "source"), "chosen").df
-            unmet = matched(short, chosen.groupBy("category", "source").agg(F.count("*").alias("got")), ["category", "source"], "left").where("coalesce(got, 0) < lost").limit(1).collect()
-            if unmet:
-                raise ValueError(f"cannot fill {unmet[0]['lost']} {target} records of {unmet[0]['category']}/{unmet[0]['source']}")
-            taken = chosen.select("id", F.lit(True).alias("taken"))
-            moved = Staged(moved.df.join(taken, "id", "left").withColumn("split", F.when(F.col("taken"), target).otherwise(F.col("split"))).drop("taken"), "moved")
-        now = moved
-    raise RuntimeError(f"leaks remain after {most_rounds} rounds")
-
-
 def cache_problems(cache: DataFrame, key: str = "content_hash", vector: str = "embedding") -> DataFrame:
     """(issue, rows) of a vector cache: repeated or missing keys, vectors of another length than most, numbers that aren't finite."""
     sizes = cache.groupBy(F.size(vector).alias("size")).agg(F.count("*").alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions import quality, text
-from sparkloom.operators import dedupe, probes, relational, similarity, stats, validation
+from sparkloom.operators import dedupe, probes, relational, repair, similarity, stats, validation
 from sparkloom.plans.bridges import EXCHANGES_SQL, RESULTS_SQL, exchanges, query, results, table
 
 # ---------------------------------------------------------------- chat records
@@ -188,10 +188,17 @@ def cross_split_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.leaks(assigned(spark, sf_dir), pairs, 0.4).withColumn("score", F.round("score", 6))
 
 
+def grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors in groups of one, two and three neighbours; every twentieth group is test, the one after it validation."""
+    n = F.floor(F.col("id") / 6) * 3 + F.when(F.col("id") % 6 == 0, 0).when(F.col("id") % 6 < 3, 1).otherwise(2)
+    v = assigned(spark, sf_dir).drop("split", "category").withColumn("n", n)
+    return v.select("id", "vector", F.concat(F.lit("g"), "n").alias("group"), F.concat(F.lit("c"), F.floor(F.col("n") / 3) % 2).alias("category"), "source", "hardness", F.when(F.col("n") % 20 == 0, "test").when(F.col("n") % 20 == 1, "validation").otherwise("train").alias("split"))
+
+
 @query()
 def leak_repair_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = [("train", "validation"), ("train", "test"), ("validation", "test")]
-    return similarity.repair(assigned(spark, sf_dir), pairs, 0.4).select("id", "split")
+    return repair.repair(grouped(spark, sf_dir), pairs, 0.4).select("id", "group", "split")
 
 
 @query("SELECT a.vec_id, round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")

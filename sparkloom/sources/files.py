@@ -123,7 +123,7 @@ def directory_mismatches(spark: SparkSession, root: str, manifest: DataFrame) ->
 
 #: Front matter at the top of a file, and a heading line.
 FRONT_MATTER = re.compile(r"\A---\s*\n.*?\n---\s*\n", re.DOTALL)
-HEADING = re.compile(r"^(#{1,6})\s+(.+?)\s*$")
+HEADING = re.compile(r"^(#{1,6})\s+(.+)$")
 
 
 def sections(text: str) -> Iterator[tuple[str, str]]:

@@ -337,16 +337,6 @@ def test_blocks_of_the_fixture(spark):
         assert (r["yaml"] is not None, r["dockerfile"] is not None) == (kind == 0, kind == 1)
 
 
-def test_repair_leaves_no_leak(spark):
-    from sparkloom.plans.evaluation import assigned
-
-    before = {r["id"]: r["split"] for r in assigned(spark, SF).collect()}
-    after = {r["id"]: r["split"] for r in catalogue.QUERIES["leak_repair_result"](spark, SF).collect()}
-    assert {s: list(before.values()).count(s) for s in set(before.values())} == {s: list(after.values()).count(s) for s in set(after.values())}
-    left = assigned(spark, SF).drop("split").join(spark.createDataFrame(list(after.items()), "id bigint, split string"), "id")
-    assert similarity.leaks(left, [("train", "validation"), ("train", "test"), ("validation", "test")], 0.4).isEmpty()
-
-
 def test_tool_results_are_tolerant(spark):
     cases = {"": [], "  ": [], '[{"a": 1}, 3]': [{"a": 1}], '{"a": 2}': [{"a": 2}], "3": [], 'x\n{"a": 4}\n[1]\n': [{"a": 4}], "[]": []}
     df = spark.createDataFrame([(c,) for c in cases], "t string")

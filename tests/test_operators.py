@@ -4,7 +4,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.operators import dedupe, probes, relational, similarity, split, stats, validation
+from sparkloom.operators import dedupe, probes, relational, repair, similarity, split, stats, validation
 from sparkloom.operators.ranks import percentiles
 
 
@@ -24,7 +24,7 @@ def test_leak_search(spark):
 def test_repair_moves_leaks_and_fills_up(spark):
     rows = [("a", [1.0, 0.0, 0.0], "train"), ("b", [0.0, 1.0, 0.0], "train"), ("c", [0.0, 0.0, 1.0], "train"), ("t", [0.999, 0.01, 0.0], "test")]
     df = spark.createDataFrame([(*r[:2], "x", "s", 0, r[2]) for r in rows], "id string, vector array<double>, category string, source string, hardness int, split string")
-    out = {r["id"]: r["split"] for r in similarity.repair(df, [("train", "test")], 0.92).collect()}
+    out = {r["id"]: r["split"] for r in repair.repair(df, [("train", "test")], 0.92).collect()}
     assert out["t"] == "train" and out["a"] == "train" and sorted(out.values()) == ["test", "train", "train", "train"]
 
 
