@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions.text import deterministic_key
 from sparkloom.operators.ranks import before, matched
+from sparkloom.scratch import Staged
 
 
 def stratum_seed(seed: int, category: Column, source: Column) -> Column:
@@ -21,53 +22,67 @@ def allocate(groups: DataFrame, seed: int = 3407, test: float = 0.05, validation
     """``groups`` (group, category, source, size) with split.
 
     In each stratum, groups in hash order go to test until its target is met, then to validation, then
-    to train. A stratum of fewer than 3 is all train; targets round half to even.
+    to train. A stratum of fewer than 3 is all train; targets round half to even. ``groups`` is read once: keys and sizes are written.
     """
     stratum = ["category", "source"]
     key = F.sha2(F.concat(stratum_seed(seed, F.col("category"), F.col("source")).cast("string"), F.lit(":"), F.col("group")), 256)
-    out = before(groups.withColumn("_key", key), stratum, "_key", "group", F.col("size"))
+    groups = Staged(groups.withColumn("_key", key), "groups").df
+    out = before(groups, stratum, "_key", "group", F.col("size"))
     least = F.when(F.col("_total") < rare, 1).otherwise(minimum)
     t = F.greatest(least, F.bround(F.col("_total") * test, 0).cast("bigint"))
     v = F.greatest(least, F.bround(F.col("_total") * validation, 0).cast("bigint"))
     totals = groups.groupBy(*stratum).agg(F.sum("size").alias("_total"))
     totals = totals.withColumns({"_t": F.when(t + v >= F.col("_total"), 1).otherwise(t), "_v": F.when(t + v >= F.col("_total"), 1).otherwise(v)})
-    out = matched(out, totals, stratum)
+    out = Staged(matched(out, totals, stratum), "ranked").df
     tests = out.groupBy(*stratum).agg(F.sum(F.when(F.col("_before") < F.col("_t"), F.col("size")).otherwise(0)).alias("_tests"))
     out = matched(out, tests, stratum)
     split = (
         F.when(F.col("_total") < 3, "train").when(F.col("_before") < F.col("_t"), "test")
         .when(F.col("_before") - F.col("_tests") < F.col("_v"), "validation").otherwise("train")
     )
-    return out.withColumn("split", split).select(*groups.columns, "split")
+    return out.withColumn("split", split).select(*(c for c in groups.columns if c != "_key"), "split")
+
+
+#: Slices of the order in which groups are evicted.
+LEVELS = 4096
 
 
 def rebalance(groups: DataFrame, name: str, required: Mapping[str, int], target: int, seed: int, strict: bool = True) -> DataFrame:
-    """Category minima of one split filled from train in hash order, then its overflow sent back to train.
+    """Category minima of one split filled from train in hash order, then its overflow sent back to train, group by group.
 
-    ``groups`` has group, category, size (1 each for the second part) and split. Ranks are prefix sums by slices
-    of the hash order, so a category is never one task. Where train can't fill a minimum it raises, or, if not ``strict``, gives what it has.
+    ``groups`` has group, category, size (1 at least) and split. Where train can't fill a minimum it raises, or, if not ``strict``, gives what it
+    has. While the split is too large, a group of the category with the largest surplus over its minimum goes, the smallest first, then by hash, as long
+    as its category stays above the minimum. The surplus that a category has when a group's turn comes is known beforehand, from
+    the sizes that go before it; so the order of leaving is by that surplus, and who leaves is a prefix of it: two prefix sums by slices, no loop.
     """
     if not required:
         return groups
+    columns = groups.columns
     need = F.create_map(*(F.lit(x) for pair in required.items() for x in pair))
     minimum = F.coalesce(F.try_element_at(need, F.col("category")), F.lit(0))
-    have = groups.groupBy("category").agg(
+    keyed = groups.withColumns({"_key": deterministic_key(seed + (1 if name == "test" else 2), F.col("group")), "_own": deterministic_key(seed, F.col("group"))})
+    keyed = Staged(keyed, "keyed").df
+    have = keyed.groupBy("category").agg(
         F.sum(F.when(F.col("split") == name, F.col("size")).otherwise(0)).alias("_have"), F.sum(F.when(F.col("split").isin(name, "train"), F.col("size")).otherwise(0)).alias("_could"))
     short = have.where((minimum > F.col("_have")) & (F.col("_could") < minimum)).select("category").limit(1).collect() if strict else []
     if short:
         raise ValueError(f"train cannot fill the minimum of {short[0][0]}")
-    keyed = groups.withColumns({"_key": deterministic_key(seed + (1 if name == "test" else 2), F.col("group")), "_own": deterministic_key(seed, F.col("group"))})
     filled = matched(before(keyed, ["category", "split"], "_key", "group", F.col("size")), have.select("category", "_have"), ["category"])
-    filled = filled.withColumn("split", F.when((F.col("split") == "train") & (F.col("_before") < minimum - F.col("_have")), name).otherwise(F.col("split"))).select(*groups.columns, "_own")
-    # Evicting one by one from the category with the largest surplus is the same as going down levels.
+    filled = filled.withColumn("split", F.when((F.col("split") == "train") & (F.col("_before") < minimum - F.col("_have")), name).otherwise(F.col("split")))
+    filled = Staged(filled.select(*columns, "_own"), "filled").df
     inside = filled.where(F.col("split") == name)
-    over = inside.count() - target
+    over = (inside.agg(F.sum("size")).first()[0] or 0) - target
     if over <= 0:
         return filled.drop("_own")
-    counts = inside.groupBy("category").agg(F.count("*").alias("_many"))
-    ranked = matched(before(inside, ["category"], "_own", "group"), counts, ["category"])
-    level = F.col("_many") - minimum - F.col("_before")
-    gone = ranked.withColumn("_level", level).where("_level >= 1").orderBy(F.col("_level").desc(), "_own", "group").limit(over).select(F.col("group").alias("_gone"))
+    counts = inside.groupBy("category").agg(F.sum("size").alias("_many"))
+    runs = inside.withColumn("_run", F.concat(F.lpad(F.col("size").cast("string"), 12, "0"), "_own"))
+    surplus = matched(before(runs, ["category"], "_run", "group", F.col("size"), digits=15), counts, ["category"]).withColumn("_surplus", F.col("_many") - minimum - F.col("_before"))
+    able = Staged(surplus.where(F.col("_surplus") >= F.col("size")).select("group", "size", "_run", "_surplus"), "able").df
+    most = able.agg(F.max("_surplus").alias("_most"))
+    level = F.lit(LEVELS - 1) - F.floor(F.col("_surplus") * LEVELS / (F.col("_most") + 1))
+    order = F.concat(F.lpad(level.cast("string"), 4, "0"), F.lpad((F.col("_most") - F.col("_surplus")).cast("string"), 19, "0"), F.col("_run"))
+    turns = before(able.crossJoin(F.broadcast(most)).select("group", "size", order.alias("_turn")), [], "_turn", "group", F.col("size"), digits=4)
+    gone = turns.where(F.col("_before") < over).select(F.col("group").alias("_gone"))
     back = filled.join(gone, F.col("group") == F.col("_gone"), "left")
     return back.withColumn("split", F.when(F.col("_gone").isNotNull(), "train").otherwise(F.col("split"))).drop("_gone", "_own")
 

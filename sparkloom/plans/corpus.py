@@ -203,6 +203,26 @@ def split_rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.rebalance(allocated(spark, sf_dir), "test", required, 40, SEED, strict=False).select("group", "category", "split")
 
 
+#: Sizes of one to five by the first digit of the hash.
+_SIZE_SQL = """1 + instr('0123456789abcdef', substr("group", 1, 1)) % 5"""
+
+
+@query(f"""WITH {GROUPS_SQL.replace("CAST(1 AS BIGINT) AS size", f"CAST({_SIZE_SQL.replace(chr(34) + 'group' + chr(34), 'd.' + chr(34) + 'group' + chr(34))} AS BIGINT) AS size")}, {SPLIT_SQL},
+need AS (SELECT category, CASE WHEN category IN ('dockerfile', 'comando_cli') THEN 6 WHEN category = 'troubleshooting' THEN 8 ELSE 0 END AS req FROM (SELECT DISTINCT category FROM s)),
+f AS (
+  SELECT s."group", s.category, s.size, s.split, need.req, need.req - sum(CASE WHEN split = 'test' THEN size ELSE 0 END) OVER (PARTITION BY s.category) AS deficit,
+    coalesce(sum(size) OVER (PARTITION BY s.category, split ORDER BY sha256('{SEED + 1}:' || "group"), "group" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bef FROM s JOIN need USING (category)),
+r AS (SELECT "group", category, size, req, CASE WHEN split = 'train' AND bef < deficit THEN 'test' ELSE split END AS split FROM f),
+lv AS (SELECT "group", size, sum(size) OVER (PARTITION BY category) - req - coalesce(sum(size) OVER (PARTITION BY category ORDER BY size, sha256('{SEED}:' || "group"), "group" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS surplus
+       FROM r WHERE split = 'test'),
+ev AS (SELECT "group", coalesce(sum(size) OVER (ORDER BY surplus DESC, size, sha256('{SEED}:' || "group"), "group" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone FROM lv WHERE surplus >= size)
+SELECT r."group", r.category, r.size, CASE WHEN ev.gone < (SELECT sum(size) - 40 FROM r WHERE split = 'test') THEN 'train' ELSE r.split END AS split FROM r LEFT JOIN ev ON ev."group" = r."group" """)
+def split_rebalanced_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = groups(spark, sf_dir).withColumn("size", (1 + F.expr("instr('0123456789abcdef', substr(group, 1, 1))") % 5).cast("bigint"))
+    required = {"dockerfile": 6, "comando_cli": 6, "troubleshooting": 8}
+    return split.rebalance(split.allocate(sized, SEED), "test", required, 40, SEED, strict=False).select("group", "category", "size", "split")
+
+
 _HARD_SQL = "(CASE WHEN {c} >= 2 THEN 1 ELSE 0 END + {r})".format(
     c=" + ".join(f"CAST(contains(lower(text), '{w}') AS INTEGER)" for w in quality.COMPONENTS),
     r=" + ".join(

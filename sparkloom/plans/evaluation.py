@@ -195,7 +195,35 @@ def grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("id", "vector", F.concat(F.lit("g"), "n").alias("group"), F.concat(F.lit("c"), F.floor(F.col("n") / 3) % 2).alias("category"), "source", "hardness", F.when(F.col("n") % 20 == 0, "test").when(F.col("n") % 20 == 1, "validation").otherwise("train").alias("split"))
 
 
-@query()
+def _repair_sql(threshold: float, rounds: int, seed: int = 3407) -> str:
+    """The repair in SQL, round by round: links between groups, needs, pools in order, and a recursive walk through each stratum's needs."""
+    n = "(id // 6) * 3 + CASE WHEN id % 6 = 0 THEN 0 WHEN id % 6 < 3 THEN 1 ELSE 2 END"
+    out = f"""WITH RECURSIVE v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e, {n} AS n FROM (SELECT *, vec_id AS id FROM embeddings)),
+links AS MATERIALIZED (SELECT DISTINCT a.n AS a, b.n AS b FROM v a JOIN v b ON a.n <> b.n AND list_cosine_similarity(a.e, b.e) >= {threshold}),
+s0 AS (SELECT n, 'g' || n AS grp, 'c' || (n // 3) % 2 AS category, count(*) AS size, CASE n % 20 WHEN 0 THEN 'test' WHEN 1 THEN 'validation' ELSE 'train' END AS split, false AS blocked FROM v GROUP BY n)"""
+    for r in range(1, rounds + 1):
+        out += f""",
+l{r} AS MATERIALIZED (SELECT DISTINCT x.n FROM links JOIN s{r - 1} x ON x.n = a JOIN s{r - 1} y ON y.n = b WHERE (x.split = 'validation' AND y.split = 'train') OR (x.split = 'test' AND y.split <> 'test')),
+m{r} AS MATERIALIZED (SELECT n, grp, category, size, CASE WHEN n IN (FROM l{r}) THEN 'train' ELSE split END AS split, blocked OR n IN (FROM l{r}) AS blocked FROM s{r - 1}),
+n{r} AS MATERIALIZED (SELECT category, split AS target, size, row_number() OVER (PARTITION BY category ORDER BY grp) AS k FROM s{r - 1} WHERE n IN (FROM l{r})),
+p{r} AS MATERIALIZED (SELECT t.target, c.category, c.n, c.size, row_number() OVER (PARTITION BY t.target, c.category ORDER BY sha256('{seed + r}:' || c.grp), c.grp) AS place
+  FROM m{r} c JOIN (SELECT target, category, max(size) AS largest FROM n{r} GROUP BY ALL) t ON t.category = c.category AND c.size <= t.largest
+  WHERE c.split = 'train' AND NOT c.blocked AND NOT EXISTS (SELECT 1 FROM links JOIN m{r} o ON o.n = b WHERE a = c.n AND o.split <> t.target)),
+w{r} AS (
+  SELECT category, k, target, size AS unfilled, 0::BIGINT AS at, []::BIGINT[] AS taken, []::VARCHAR[] AS goes, 0 AS step FROM n{r} WHERE k = 1
+  UNION ALL
+  SELECT category, CASE WHEN chosen IS NULL THEN next.k ELSE q.k END, CASE WHEN chosen IS NULL THEN next.target ELSE q.target END, CASE WHEN chosen IS NULL THEN next.size ELSE q.unfilled - chosen.size END,
+    CASE WHEN chosen IS NULL THEN 0 ELSE chosen.place END, CASE WHEN chosen IS NULL THEN taken ELSE list_append(taken, chosen.n) END, CASE WHEN chosen IS NULL THEN goes ELSE list_append(goes, q.target) END, step + 1
+  FROM (SELECT w.*, (SELECT arg_min({{'n': p.n, 'size': p.size, 'place': p.place}}, p.place) FROM p{r} p
+                     WHERE p.category = w.category AND p.target = w.target AND p.place > w.at AND p.size <= w.unfilled AND NOT list_contains(w.taken, p.n)) AS chosen FROM w{r} w) q
+  LEFT JOIN n{r} next USING (category) WHERE (chosen IS NULL AND next.k = q.k + 1) OR (chosen IS NOT NULL AND next.k = q.k)),
+f{r} AS (SELECT unnest(taken) AS n, unnest(goes) AS split FROM (SELECT arg_max(taken, step) AS taken, arg_max(goes, step) AS goes FROM w{r} GROUP BY category)),
+s{r} AS MATERIALIZED (SELECT m.n, m.grp, m.category, m.size, coalesce(f.split, m.split) AS split, m.blocked FROM m{r} m LEFT JOIN f{r} f USING (n))"""
+    return out + f"""
+SELECT v.id, s.grp AS "group", s.split FROM v JOIN s{rounds} s USING (n)"""
+
+
+@query(_repair_sql(0.4, 4))
 def leak_repair_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = [("train", "validation"), ("train", "test"), ("validation", "test")]
     return repair.repair(grouped(spark, sf_dir), pairs, 0.4).select("id", "group", "split")

@@ -144,3 +144,34 @@ def test_validator_failures_override(spark):
 def test_completion_length(spark):
     df = spark.createDataFrame([([5, 2, 9, 2],), ([5, 6],)], "i array<int>")
     assert [r[0] for r in df.select(validation.completion_length(F.col("i"), 2)).collect()] == [2, 2]
+
+
+def evicted_one_by_one(groups, name, required, target, seed):
+    """groups: group -> [category, size, split]; the rule, a step at a time."""
+    import hashlib
+
+    key = lambda n, g: hashlib.sha256(f"{n}:{g}".encode()).hexdigest()
+    inside = lambda c=None: sum(n for k, n, s in groups.values() if s == name and c in (None, k))
+    for category, least in sorted(required.items()):
+        for g in sorted((g for g, (k, _, s) in groups.items() if s == "train" and k == category), key=lambda g: key(seed + (1 if name == "test" else 2), g)):
+            if inside(category) >= least:
+                break
+            groups[g][2] = name
+    while inside() > target:
+        surplus = {k: inside(k) - required.get(k, 0) for k, _, _ in groups.values()}
+        able = [(-surplus[k], n, key(seed, g), g) for g, (k, n, s) in groups.items() if s == name and surplus[k] >= n]
+        if not able:
+            break
+        groups[min(able)[3]][2] = "train"
+    return {g: s for g, (_, _, s) in groups.items()}
+
+
+@pytest.mark.parametrize(("name", "target"), [("test", 30), ("validation", 3)])
+def test_eviction_with_sizes_equals_one_by_one(spark, name, target):
+    rng = random.Random(target)
+    groups = {f"g{i}": [rng.choice("aabc"), rng.choice([1, 1, 2, 3, 5, 40 if i == 7 else 4]), rng.choice([name, name, "train"])] for i in range(120)}
+    required = {"a": 12, "b": 25}
+    df = spark.createDataFrame([(g, *x, "kept") for g, x in groups.items()], "group string, category string, size bigint, split string, more string")
+    out = split.rebalance(df, name, required, target, 11)
+    assert out.columns == df.columns
+    assert {r["group"]: r["split"] for r in out.collect()} == evicted_one_by_one(groups, name, required, target, 11)
