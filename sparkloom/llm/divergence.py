@@ -25,8 +25,8 @@ from sparkloom.shipping import ship
 LEAST_DOCUMENTS = 30
 #: Terms of a group in the result.
 TOP = 50
-#: Cells (groups x terms) of a block, about: 8 MB.
-CELLS = 1 << 20
+#: Cells (groups x terms) of a block, about: 1 MB, so that a language's terms go to many tasks.
+CELLS = 1 << 17
 #: Groups of a tile, about.
 SIDE = 256
 #: Differences that one broadcast makes: 8 MB.
