@@ -45,7 +45,7 @@ def clean(
     The columns named in ``pair`` (system, user, assistant) are normalised and redacted each by itself, null ones stay null;
     their counts are added to the content's. ``detector`` takes the cleaned text and gives struct(language,
     probability); else ``language`` and ``probability`` stand for it. Trusted sources keep their language
-    with probability 1, code categories get ``code``. Length counts code points after cleaning. cleaning is
+    with probability 1, code categories get ``code``; those, and texts that other gates reject, aren't shown to the detector. Length counts code points after cleaning. cleaning is
     struct(language, language_probability, pii_redactions, version).
     """
     names = {c: f"_n_{c}" for c in pair}
@@ -57,19 +57,21 @@ def clean(
         none = F.create_map().cast("map<string,bigint>")
         out = out.withColumn("redactions", merged("redactions", *(F.coalesce(F.col(names[c])["n"], none) for c in pair)))
         out = out.withColumns({c: F.col(names[c])["t"] for c in pair}).drop(*names.values())
+    trust, code = F.col("source").isin(list(trusted)), F.col("category").isin(list(code_categories))
+    few = letters(F.col("content")) < min_letters
+    short, long = F.length("content") < min_chars, F.length("content") > max_chars
     if detector is not None:
-        found = detector(F.col("content"))
-        language, probability = found["language"], found["probability"]
+        # only texts whose language matters are looked at
+        out = out.withColumn("_told", detector(F.when(~(F.coalesce(trust, F.lit(False)) | F.coalesce(code, F.lit(False)) | few | short | long), F.col("content"))))
+        language, probability = F.col("_told")["language"], F.col("_told")["probability"]
     language = F.col("language") if language is None else language
     probability = F.lit(1.0) if probability is None else probability
-    trust, code = F.col("source").isin(list(trusted)), F.col("category").isin(list(code_categories))
-    few = letters(F.col("content")) < min_letters
     told = F.when(trust, F.coalesce(F.col("language") if "language" in records.columns else F.lit(None).cast("string"), F.lit("en"))).when(code, F.lit("code")).when(~few, language)
     sure = F.when(trust | code, 1.0).when(~few, probability).otherwise(0.0)
     unsure = ~(trust | code) & (few | ~F.coalesce(language.isin(list(allowed)), F.lit(False)) | (probability < min_probability))
-    reason = F.when(F.length("content") < min_chars, "too_short").when(F.length("content") > max_chars, "too_long").when(unsure, "language_not_allowed_or_uncertain")
+    reason = F.when(short, "too_short").when(long, "too_long").when(unsure, "language_not_allowed_or_uncertain")
     done = F.struct(told.alias("language"), F.bround(sure, 6).alias("language_probability"), F.col("redactions").alias("pii_redactions"), F.lit(version).alias("version"))
-    return out.withColumns({"reason": reason, "cleaning": done})
+    return out.withColumns({"reason": reason, "cleaning": done}).drop("_told")
 
 
 def redaction_totals(cleaned: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.functions import quality, text
-from sparkloom.operators import cleaning, dedupe, split, stats, validation
+from sparkloom.operators import cleaning, dedupe, language, split, stats, validation
 from sparkloom.plans.bridges import ALIASES, ALLOWED, CATEGORY_SQL, GROUPS_SQL, SEED, SOURCE_LICENSES, SPLIT_SQL, groups, interim, query, table
 
 CANONICAL_SQL = r"regexp_replace(regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '[ \t]+(\n|$)', '\1', 'g'), '^\s+|\s+$', '', 'g')"
@@ -44,6 +44,32 @@ IPV4_SQL = text.PII_PATTERNS["private_ipv4"]
 AWS_SQL, GITHUB_SQL, JWT_SQL = (text.PII_PATTERNS[k] for k in ("aws_access_key", "github_token", "jwt"))
 BEARER_SQL = r"(Bearer )[A-Za-z0-9._~+/-]{16,}={0,2}"
 
+def _grams_sql(name: str, keys: str, rows: str) -> str:
+    """name(keys, gram): all runs of one to three characters of the column ``x``."""
+    return f"""{name} AS (SELECT {keys}, unnest([a, a || b, a || b || c]) AS gram FROM (
+  SELECT {keys}, a, lead(a, 1) OVER w AS b, lead(a, 2) OVER w AS c FROM (SELECT {keys}, unnest(string_split(x, '')) AS a, generate_subscripts(string_split(x, ''), 1) AS i FROM {rows})
+  WINDOW w AS (PARTITION BY {keys} ORDER BY i)))"""
+
+
+_PREPARED_SQL = r"' ' || trim(regexp_replace(lower({c}), '[^\p{{L}}]+', ' ', 'g')) || ' '"
+#: Profiles of n-grams learnt from texts and languages, then the language of what cleaning leaves, by sums of weights.
+DETECTED_SQL = f"""labelled AS (SELECT lang, doc_id, {_PREPARED_SQL.format(c="text")} AS x FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY sha256(text), doc_id) AS r FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL) WHERE r <= {language.TEXTS}),
+{_grams_sql("seen", "lang, doc_id", "labelled")},
+counted AS (SELECT lang, gram, count(*) AS n FROM seen WHERE gram IS NOT NULL GROUP BY ALL),
+top AS (SELECT DISTINCT gram FROM (SELECT gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS r FROM counted) WHERE r <= {language.GRAMS}),
+totals AS (SELECT lang, sum(n) AS total FROM counted JOIN top USING (gram) GROUP BY lang),
+weights AS MATERIALIZED (SELECT lang, gram, CAST(round(ln((coalesce(n, 0) + 0.5) / (total + 0.5 * (SELECT count(*) FROM top))) * {language.UNIT}) AS BIGINT) AS weight
+  FROM top CROSS JOIN totals LEFT JOIN counted USING (lang, gram)),
+shown AS (SELECT doc_id, {_PREPARED_SQL.format(c="content")} AS x FROM b),
+{_grams_sql("parts", "doc_id", "shown")},
+held AS (SELECT doc_id, gram, count(*) AS n FROM parts WHERE gram IS NOT NULL GROUP BY ALL),
+sums AS (SELECT doc_id, lang, sum(n * weight) AS total, sum(n) AS known FROM held JOIN weights USING (gram) GROUP BY ALL),
+ranked AS (SELECT *, total * (least(known, {language.EVIDENCE}) / known / {language.UNIT}) AS z, row_number() OVER (PARTITION BY doc_id ORDER BY total DESC, sha256('{SEED}:' || lang)) AS r FROM sums),
+detected AS (SELECT doc_id, max(CASE WHEN r = 1 THEN lang END) AS told, 1 / sum(exp(z - top_z)) AS p
+  FROM (SELECT *, max(CASE WHEN r = 1 THEN z END) OVER (PARTITION BY doc_id) AS top_z FROM ranked) GROUP BY doc_id)"""
+
+
 #: Stages of cleaning in SQL: n normalised, e to b redacted one kind at a time, with counts.
 CLEAN_SQL = rf"""n AS (
   SELECT doc_id, source, lang, {CATEGORY_SQL} AS category,
@@ -56,16 +82,33 @@ a AS (SELECT *, len(regexp_extract_all(t2, '{AWS_SQL}')) AS aws_access_key, rege
 h AS (SELECT *, len(regexp_extract_all(t3, '{GITHUB_SQL}')) AS github_token, regexp_replace(t3, '{GITHUB_SQL}', '<REDACTED_GITHUB_TOKEN>', 'g') AS t4 FROM a),
 j AS (SELECT *, len(regexp_extract_all(t4, '{JWT_SQL}')) AS jwt, regexp_replace(t4, '{JWT_SQL}', '<REDACTED_JWT>', 'g') AS t5 FROM h),
 b AS (SELECT *, len(regexp_extract_all(t5, '(?i){BEARER_SQL}')) AS bearer_token, regexp_replace(t5, '(?i){BEARER_SQL}', '\1<REDACTED_BEARER_TOKEN>', 'g') AS content FROM j),
+{DETECTED_SQL},
 c AS (
   SELECT *, CASE WHEN length(content) < 40 THEN 'too_short' WHEN length(content) > 50000 THEN 'too_long'
-    WHEN category NOT IN ('comando_cli', 'generacion_yaml', 'dockerfile') AND (len(regexp_extract_all(content, '\p{{L}}')) < 80 OR lang NOT IN ('en', 'es')) THEN 'language_not_allowed_or_uncertain' END AS reason
-  FROM b)"""
+    WHEN category NOT IN ('comando_cli', 'generacion_yaml', 'dockerfile') AND (len(regexp_extract_all(content, '\p{{L}}')) < 80 OR coalesce(told, '') NOT IN ('en', 'es') OR p < 0.8) THEN 'language_not_allowed_or_uncertain' END AS reason
+  FROM b LEFT JOIN detected USING (doc_id))"""
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned records without their language: for what doesn't ask for it."""
     return cleaning.clean(interim(spark, sf_dir))
 
 
+def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned records, their language told from the text by profiles of labelled documents."""
+    labelled = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("language"))
+    profile = language.profile_of(language.train(labelled), SEED)
+    return cleaning.clean(interim(spark, sf_dir).drop("language"), detector=language.detector(profile))
+
+
+@query(f"WITH {CLEAN_SQL} SELECT doc_id, told AS language, round(p, 6) AS probability FROM b JOIN detected USING (doc_id)")
+def detected_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("language"))
+    told = language.detector(language.profile_of(language.train(labelled), SEED))
+    found = cleaned(spark, sf_dir).select(F.col("ordinal").alias("doc_id"), told(F.col("content")).alias("t"))
+    return found.where("t.language is not null").select("doc_id", "t.language", F.round("t.probability", 6).alias("probability"))
+
+
 @query(f"WITH {CLEAN_SQL} SELECT doc_id, t AS content FROM n")
 def clean_normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("content"))
@@ -87,23 +130,23 @@ def pii_counts_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {CLEAN_SQL} SELECT doc_id, category, reason IS NULL AS accepted, coalesce(reason, '') AS reason FROM c")
 def clean_accept_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned(spark, sf_dir).select(F.col("ordinal").alias("doc_id"), "category", F.col("reason").isNull().alias("accepted"), F.coalesce("reason", F.lit("")).alias("reason"))
+    return gated(spark, sf_dir).select(F.col("ordinal").alias("doc_id"), "category", F.col("reason").isNull().alias("accepted"), F.coalesce("reason", F.lit("")).alias("reason"))
 
 
 @query(f"WITH {CLEAN_SQL} SELECT source, count(*) AS input, count(*) - count(reason) AS accepted, count(reason) AS rejected FROM c GROUP BY source")
 def clean_report_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned(spark, sf_dir).groupBy("source").agg(F.count("*").alias("input"), F.count_if(F.col("reason").isNull()).alias("accepted"), F.count("reason").alias("rejected"))
+    return gated(spark, sf_dir).groupBy("source").agg(F.count("*").alias("input"), F.count_if(F.col("reason").isNull()).alias("accepted"), F.count("reason").alias("rejected"))
 
 
 @query(f"WITH {CLEAN_SQL} SELECT reason, count(*) AS n FROM c WHERE reason IS NOT NULL GROUP BY reason")
 def reject_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned(spark, sf_dir).where("reason is not null").groupBy("reason").agg(F.count("*").alias("n"))
+    return gated(spark, sf_dir).where("reason is not null").groupBy("reason").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {CLEAN_SQL} SELECT doc_id, substr(content, 1, 500) AS excerpt FROM c
 WHERE reason IS NULL AND email + private_ipv4 + aws_access_key + github_token + jwt + bearer_token > 0 ORDER BY doc_id LIMIT 100""")
 def pii_review_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.review_sample(cleaned(spark, sf_dir), 100).withColumnRenamed("ordinal", "doc_id")
+    return cleaning.review_sample(gated(spark, sf_dir), 100).withColumnRenamed("ordinal", "doc_id")
 
 
 @query(f"SELECT {CATEGORY_SQL} AS category, count(*) AS n FROM documents GROUP BY 1")
