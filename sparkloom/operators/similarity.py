@@ -37,10 +37,10 @@ def _unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x / np.where(norm > 0, norm, 1)[:, None], norm
 
 
-def pivots_of(vectors: DataFrame, size: int = BLOCK) -> np.ndarray:
+def pivots_of(vectors: DataFrame, size: int = BLOCK, seed: int = 42) -> np.ndarray:
     """Unit vectors of a sample in hash order: PER_BLOCK for each block that the table makes, PIVOTS at most, equal ones once."""
     many = min(PIVOTS, max(1, math.ceil(vectors.count() / size * PER_BLOCK)))
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(many).select("vector").collect()
+    rows = vectors.orderBy(F.xxhash64(F.col("id"), F.lit(seed)), "id").limit(many).select("vector").collect()
     return np.unique(_unit(np.array([r[0] for r in rows], np.float64).reshape(len(rows), -1))[0], axis=0) if rows else np.zeros((0, 0))
 
 

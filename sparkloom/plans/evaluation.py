@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions import quality, text
-from sparkloom.operators import dedupe, probes, relational, repair, similarity, stats, validation
+from sparkloom.operators import dedupe, neighbours, probes, relational, repair, similarity, stats, validation
 from sparkloom.plans.bridges import EXCHANGES_SQL, RESULTS_SQL, exchanges, query, results, table
 
 # ---------------------------------------------------------------- chat records
@@ -149,7 +149,7 @@ def topk_others(queries: DataFrame, references: DataFrame, top: int) -> DataFram
 
 def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = vectors(spark, sf_dir)
-    return similarity.components(v, similarity.cosine_pairs(v.select("id", "vector"), TAU))
+    return similarity.components(v, neighbours.links(v.select("id", "vector"), TAU))
 
 
 @query(f"WITH RECURSIVE {_COMPONENTS} SELECT id, component FROM c")
