@@ -9,20 +9,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.operators.ranks import matched
+from sparkloom.operators.skew import lookup, matched_lookup
+from sparkloom.scratch import Staged
 from sparkloom.shipping import ship
 
 
 def exact_dedupe(records: DataFrame, key: str = "content_hash", order: tuple[str, ...] = ("input_rank", "ordinal"), ident: str = "ordinal") -> DataFrame:
     """``records`` with is_duplicate and kept_id, the ``ident`` of the first record of the group.
 
-    The first of each group is found from (key, order, ident) alone, combined before the shuffle, and joined
-    back where a group has several records, so a frequent text is no task's burden. The order is explicit and must
-    be unique. Records with a null key are no duplicates.
+    ``records`` is computed once and written, so pass the columns that are needed. The first of each group is found from (key, order, ident)
+    alone, combined before the shuffle. It is looked up where a group has several records: for heavy keys in a broadcast, for the others by
+    shuffle, so no task gets all records of a frequent text. The order is explicit and must be unique. Records with a null key are no
+    duplicates.
     """
     mine = F.struct(*(F.col(c).alias(f"o{k}") for k, c in enumerate(order)), F.col(ident).alias("id"))
-    best = records.groupBy(key).agg(F.min(mine).alias("_best"), F.count("*").alias("_n")).where(F.col("_n") > 1).drop("_n")
-    both = records.join(best, key, "left")
+    records = Staged(records, "records").df
+    best = records.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(mine).alias("_best"), F.count("*").alias("_n")).where(F.col("_n") > 1).drop("_n")
+    both = lookup(records, best, [key])
     return both.select(*records.columns, F.coalesce(mine != F.col("_best"), F.lit(False)).alias("is_duplicate"), F.coalesce("_best.id", F.col(ident)).alias("kept_id"))
 
 
@@ -74,7 +77,7 @@ def representatives(members: DataFrame, tier: str = "tier", ident: str = "conten
 
 def with_tier(members: DataFrame, tiers: DataFrame, source: str = "source", otherwise: int = 99) -> DataFrame:
     """``members`` with the tier of their source (``tiers``: source, tier), ``otherwise`` where it has none."""
-    return matched(members, tiers.select(source, "tier").dropDuplicates([source]), [source], "left").withColumn("tier", F.coalesce("tier", F.lit(otherwise)))
+    return matched_lookup(members, tiers.select(source, "tier").dropDuplicates([source]), [source]).withColumn("tier", F.coalesce("tier", F.lit(otherwise)))
 
 
 def size_histogram(members: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from sparkloom.scratch import Staged
 #: Neighbours of each vector, rounds at most, and the share of edges below which changes end the search.
 NEIGHBOURS, ROUNDS, STOP = 20, 12, 0.002
 #: Vectors of a starting block, about, and dealings.
-START, DEALINGS = 512, 3
+START, DEALINGS = 2048, 3
 
 
 def distinct_vectors(vectors: DataFrame) -> DataFrame:
@@ -63,13 +63,15 @@ def graph(vectors: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS, stop: f
     schema = f"src {kind}, dst {kind}, score double"
     first = dealt = None
     for seed in range(DEALINGS):
-        pivots = similarity.pivots_of(vectors, start, seed)
+        pivots = similarity.pivots_of(vectors, start * similarity.PER_BLOCK, seed)  # one for each block
         if not len(pivots):
             return vectors.sparkSession.createDataFrame([], schema)
         dealt = similarity.deal(vectors.select("id", "vector"), pivots, start)
         blocks = similarity.Blocks(dealt, pivots).packed
         near = blocks.select("ids", F.transform("ids", lambda _: F.lit(True)).alias("fresh"), "vectors").mapInArrow(lambda b: _introduced(b, k), schema)
         first = near if first is None else first.unionByName(near)
+        if blocks.count() == 1:  # everyone has met everyone
+            return Staged(_best(first, k), "graph").df
     now = Staged(_best(first.groupBy("src", "dst").agg(F.max("score").alias("score")), k).withColumn("fresh", F.lit(True)), "graph")
     for _ in range(rounds):
         back = _best(now.df.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "score", "fresh"), k)  # of those that name a vector, the nearest k

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.operators import skew
+
 
 def best_answers(questions: DataFrame, answers: DataFrame, users: DataFrame, tags: Sequence[str], least_question: float, least_answer: float, limit: int) -> DataFrame:
     """One row per question: its accepted answer, else the best scored, else the one of least id (and author); left joined to its author.
@@ -38,10 +40,10 @@ def in_manifest_order(manifest: DataFrame, records: DataFrame, key: str = "conte
 
 
 def without(parent: DataFrame, excluded: DataFrame, key: str = "content_hash") -> DataFrame:
-    """``parent`` without the excluded keys; raises where an excluded key isn't in the parent."""
+    """``parent`` without the excluded keys, heavy ones settled where they are read; raises where an excluded key isn't in the parent."""
     if not excluded.join(parent, key, "left_anti").isEmpty():
         raise ValueError("an excluded key is not in the parent")
-    return parent.join(excluded.select(key).distinct(), key, "left_anti")
+    return skew.without(parent, excluded, [key])
 
 
 def set_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

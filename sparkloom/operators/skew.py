@@ -66,3 +66,16 @@ def salted(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left"
         nulls = rows.where(~_known(keys)).select(*rows.columns, *(F.lit(None).cast(table.schema[c].dataType).alias(c) for c in more))
         out = out.unionByName(nulls)
     return out
+
+
+def without(rows: DataFrame, table: DataFrame, keys: list[str], most: int = MOST) -> DataFrame:
+    """``rows`` whose keys ``table`` doesn't have; rows with a null key stay. Heavy keys go as in ``lookup``; ``rows`` is read three times."""
+    had = table.select(*keys).distinct().withColumn("had", F.lit(True))
+    return lookup(rows, had, keys, most=most).where("had is null").drop("had")
+
+
+def matched_lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left", most: int = MOST) -> DataFrame:
+    """As ``lookup`` with nulls as equal as any other value, so that very many rows with a null key are a heavy key too."""
+    both = F.struct(*keys)  # fields of a struct that are both null are equal
+    named = table.withColumn("_keys", both).drop(*keys)
+    return lookup(rows.withColumn("_keys", both), named, ["_keys"], how, most).drop("_keys")

@@ -14,7 +14,7 @@ CANONICAL_SQL = r"regexp_replace(regexp_replace(regexp_replace(text, '\r\n?', ch
 
 def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = interim(spark, sf_dir)
-    return dedupe.exact_dedupe(d.withColumn("content_hash", text.sha(text.canonical_text(F.col("raw_content")))))
+    return dedupe.exact_dedupe(d.select(text.sha(text.canonical_text(F.col("raw_content"))).alias("content_hash"), "source", "input_rank", "ordinal"))
 
 
 _EXACT = f"""WITH h AS (SELECT doc_id, source, sha256({CANONICAL_SQL}) AS content_hash FROM documents),

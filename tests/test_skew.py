@@ -48,3 +48,32 @@ def test_several_keys_and_empty_tables(spark):
         assert sorted((r["id"], r["v"]) for r in join(rows, table, ["x", "y"]).collect()) == [(1, "hit"), (2, None), (3, None)]
         assert join(rows.limit(0), table, ["x", "y"]).count() == 0
         assert join(rows, table.limit(0), ["x", "y"], "inner").count() == 0
+
+
+def test_without_and_nulls_as_keys(spark):
+    rows, table = tables(spark)
+    gone = skew.without(rows, table, ["k"]).collect()
+    want = rows.join(table, "k", "left_anti").collect()
+    assert sorted(r["id"] for r in gone) == sorted(r["id"] for r in want) and any(r["k"] is None for r in gone)
+    some = spark.createDataFrame([("a", 1), (None, 2), (None, 3), ("b", 4)], "k string, id int")
+    named = spark.createDataFrame([("a", "A"), (None, "N")], "k string, v string")
+    assert sorted((r["id"], r["v"]) for r in skew.matched_lookup(some, named, ["k"]).collect()) == [(1, "A"), (2, "N"), (3, "N"), (4, None)]
+
+
+def test_exact_dedupe_spreads_a_frequent_text(spark):
+    from sparkloom.operators.dedupe import exact_dedupe
+
+    rows = spark.range(20_000).select((F.col("id") % 3).alias("input_rank"), F.col("id").alias("ordinal"), F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 11 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 3001)).alias("content_hash"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = exact_dedupe(rows)
+        assert largest_part(out) < 8_000
+        got = {r["ordinal"]: (r["is_duplicate"], r["kept_id"]) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    first = {}
+    for r in sorted(rows.collect()):
+        first.setdefault(r["content_hash"], r["ordinal"])
+    assert got == {r["ordinal"]: (False, r["ordinal"]) if r["content_hash"] is None else (first[r["content_hash"]] != r["ordinal"], first[r["content_hash"]]) for r in rows.collect()}
