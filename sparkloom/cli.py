@@ -31,7 +31,7 @@ Arguments = argparse.Namespace
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path) if path.endswith((".json", ".jsonl")) else spark.read.parquet(path)
+    return spark.read.json(path) if path.endswith((".json", ".jsonl")) else sinks.read_table(spark, path)
 
 
 def client(name: str | None) -> Callable[[], Any]:

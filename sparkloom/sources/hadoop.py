@@ -16,6 +16,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a file over another: readers see the old one or the new one."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    fs, p = fs_of(spark, target)
+    p, q = fs.makeQualified(p), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(source))
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = gateway.new_array(rename, 1)
+    options[0] = rename.valueOf("OVERWRITE")
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(q, p, options)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a file or folder to a name that isn't taken."""
+    fs, p = fs_of(spark, target)
+    if fs.exists(p) or not fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source), p):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = fs_of(spark, path)
+    fs.delete(p, True)
+
+
 def files_below(spark: SparkSession, root: str) -> list[str]:
     """All files below a root (or the file itself), by name, without hidden ones."""
     fs, p = fs_of(spark, root)

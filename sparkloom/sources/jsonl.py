@@ -85,17 +85,35 @@ def write_jsonl(df: DataFrame, path: str, order: list[str], single: bool = False
 
     Files are ranges of the order, named in order, so the records of all files one after the other are the
     records in order; sha256 is that of the files' bytes one after the other, parts has each file's own. The digest
-    is taken by the JVM from the files, in pieces. ``single`` writes one file.
+    is taken by the JVM from the files, in pieces. ``single`` writes one file. The folder is written beside and renamed, so no reader
+    sees a part of it; where there was one before, that is renamed out of the way first, and ``recovered`` puts it back if
+    the writer stops between the two renames.
     """
     spark = df.sparkSession
     lines = df.select(*order, spaced(F.to_json(F.struct(*sorted(df.columns)))).alias("value"))
     dealt = lines.orderBy(*order).coalesce(1) if single else lines.repartitionByRange(*order).sortWithinPartitions(*order)
-    dealt.select("value").write.mode("overwrite").text(path)
+    recovered(spark, path)
+    new, old = f"{path}.new", f"{path}.old"
+    dealt.select("value").write.mode("overwrite").text(new)
+    if hadoop.exists(spark, path):
+        hadoop.rename(spark, path, old)
+    hadoop.rename(spark, new, path)
+    hadoop.delete(spark, old)
     parts = hadoop.files_below(spark, path)
     each = [{"name": p.rsplit("/", 1)[1], "bytes": hadoop.size_of(spark, p), "sha256": hadoop.sha256_of(spark, p)} for p in parts]
     return {"records": spark.read.text(path).count(), "bytes": sum(p["bytes"] for p in each), "sha256": hadoop.sha256_of_all(spark, parts), "parts": each}
 
 
+def recovered(spark: SparkSession, path: str) -> str:
+    """``path``, with what a writer that was stopped left put right: the former folder comes back, or goes if the new one is there."""
+    if hadoop.exists(spark, f"{path}.old"):
+        if hadoop.exists(spark, path):
+            hadoop.delete(spark, f"{path}.old")
+        else:
+            hadoop.rename(spark, f"{path}.old", path)
+    return path
+
+
 def derive(spark: SparkSession, parent: str, excluded: DataFrame, path: str, key: str = "$.meta.content_hash") -> dict:
     """Writes the lines of ``parent`` whose key isn't in ``excluded`` (key), byte for byte and in order; returns counts and digests.
 

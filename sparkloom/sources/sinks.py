@@ -1,32 +1,34 @@
-"""Reports, manifests and documents written on the driver, all at once or not at all."""
+"""Reports, manifests and documents written on the driver, and tables that become visible by one rename of their manifest."""
 
 from __future__ import annotations
 
 import hashlib
 import json
+import os
 import posixpath
 import urllib.parse
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.shipping import ship
 from sparkloom.sources import hadoop
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Writes beside the path and renames, in any file system that Spark knows."""
-    fs, p = hadoop.fs_of(spark, path)
-    temp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".part")
-    out = fs.create(temp, True)
+    """Writes beside the path and renames over it, in any file system that Spark knows: there is the old text or the new one, always."""
+    fs, _ = hadoop.fs_of(spark, path)
+    temp = f"{path}.{uuid.uuid4().hex}.part"
+    out = fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(temp), False)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    fs.delete(p, False)
-    if not fs.rename(temp, p):
-        raise OSError(f"cannot write {path}")
+    hadoop.replace(spark, temp, path)
 
 
 def write_json(spark: SparkSession, path: str, value: Mapping[str, Any]) -> None:
@@ -50,28 +52,42 @@ def config_hash(config: Mapping[str, Any]) -> str:
     return hashlib.sha256(json.dumps(config, ensure_ascii=False, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``path``'s manifest points to; a plain Parquet path without a manifest as it is."""
+    known, _ = read_report(spark, f"{path}.manifest.json")
+    return spark.read.parquet((known or {}).get("data", path))
+
+
 def write_table(df: DataFrame, path: str, manifest: Mapping[str, Any], force: bool = False, quarantined: DataFrame | None = None, revision: str | None = None, config: Mapping[str, Any] | None = None) -> dict:
     """A Parquet table and its manifest; done before, and not forced, it is left as it is.
 
-    The manifest has records, an order-free fingerprint of the rows, name, bytes and SHA-256 of every file, the rows
-    written to ``<path>.quarantine``, the source's revision and the configuration's hash.
+    The manifest has records, an order-free fingerprint of the rows, name, bytes and SHA-256 of every file, the rows set aside, the
+    source's revision, the configuration's hash, and where the rows are: ``path`` at first, a folder of their own below
+    ``<path>.versions`` for what comes later. It is the pointer by which ``read_table`` goes and is renamed into place last, so whatever
+    stops a write, there is the former table with its manifest or the new one with its own. The former rows go after that.
     """
     spark = df.sparkSession
-    known, _ = read_report(spark, f"{path}.manifest.json")
-    if known is not None and not force and hadoop.exists(spark, path):
+    pointer = f"{path}.manifest.json"
+    known, _ = read_report(spark, pointer)
+    before = (known or {}).get("data", path)
+    if known is not None and not force and hadoop.exists(spark, before):
         return known | {"skipped": True}
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    data = f"{path}.versions/{uuid.uuid4().hex}" if hadoop.exists(spark, path) or known is not None else path
+    df.write.mode("error").option("compression", "zstd").parquet(data)
     aside = 0
     if quarantined is not None:
-        quarantined.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}.quarantine")
-        aside = spark.read.parquet(f"{path}.quarantine").count()
+        quarantined.write.mode("error").option("compression", "zstd").parquet(f"{data}.quarantine")
+        aside = spark.read.parquet(f"{data}.quarantine").count()
     # Order-free fingerprint: a sum of row hashes, so that it distributes.
     row = F.xxhash64(*[F.to_json(F.struct(c)) for c in sorted(df.columns)])
-    stats = spark.read.parquet(path).agg(F.count("*").alias("n"), F.sum(row.cast("decimal(38,0)")).cast("string").alias("h")).first()
-    files = [{"name": f.rsplit("/", 1)[1], "bytes": hadoop.size_of(spark, f), "sha256": hadoop.sha256_of(spark, f)} for f in hadoop.files_below(spark, path)]
-    value = dict(manifest) | {"records": stats["n"], "fingerprint": stats["h"] or "0", "quarantined": aside, "files": files}
+    stats = spark.read.parquet(data).agg(F.count("*").alias("n"), F.sum(row.cast("decimal(38,0)")).cast("string").alias("h")).first()
+    files = [{"name": f.rsplit("/", 1)[1], "bytes": hadoop.size_of(spark, f), "sha256": hadoop.sha256_of(spark, f)} for f in hadoop.files_below(spark, data)]
+    value = dict(manifest) | {"records": stats["n"], "fingerprint": stats["h"] or "0", "quarantined": aside, "files": files, "data": data}
     value |= ({"revision": revision} if revision else {}) | ({"config_hash": config_hash(config)} if config is not None else {})
-    write_json(spark, f"{path}.manifest.json", value)
+    write_json(spark, pointer, value)
+    if before != data:
+        hadoop.delete(spark, before)
+        hadoop.delete(spark, f"{before}.quarantine")
     return value | {"skipped": False}
 
 
@@ -97,15 +113,33 @@ def recreate(spark: SparkSession, path: str, root: str) -> None:
 
 
 def write_candidates(candidates: DataFrame, path: str, root: str) -> int:
-    """The contents of candidates (name, content) as files of a fresh folder, written by the tasks' own file system; returns how many."""
+    """The contents of candidates (name, content) as files of a fresh folder; returns how many.
+
+    Tasks write them, each file beside its name and renamed, so a task that is tried again leaves no half file. The folder must be on a file
+    system that all machines mount, as the tool that reads the files needs it too.
+    """
     spark = candidates.sparkSession
     recreate(spark, path, root)
+    folder = urllib.parse.urlsplit(hadoop.fs_of(spark, path)[0].makeQualified(hadoop.fs_of(spark, path)[1]).toString())
+    if folder.scheme != "file":
+        raise ValueError(f"{path} is not on a mounted file system")
+    where = urllib.parse.unquote(folder.path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                target = os.path.normpath(os.path.join(where, name))
+                if not target.startswith(where.rstrip("/") + "/"):
+                    raise ValueError(f"{name} leads out of the folder")
+                temp = f"{target}.{uuid.uuid4().hex}.part"
+                with open(temp, "w", encoding="utf-8", newline="") as f:
+                    f.write(content)
+                os.replace(temp, target)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    ship(spark)
     rows = candidates.where("content is not null").select("name", "content")
-    n = 0
-    for r in rows.toLocalIterator():
-        write_text(spark, f"{path}/{r['name']}", r["content"])
-        n += 1
-    return n
+    return rows.mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
 
 
 def licenses_section(records: DataFrame, urls: Mapping[str, str]) -> str:

@@ -119,6 +119,71 @@ def test_reports_and_tables(spark, tmp_path):
     assert sinks.write_table(spark.range(4).repartition(3), out, {}, force=True)["fingerprint"] == first["fingerprint"]
 
 
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", range(6))
+def test_a_stopped_rewrite_leaves_the_old_table_or_the_new(spark, tmp_path, monkeypatch, step):
+    """The writer is stopped before its n-th touch of the file system; manifest and rows always belong together."""
+    out, left = str(tmp_path / "t"), [step]
+    old = sinks.write_table(spark.range(4), out, {"name": "old"})
+
+    def stopping(f):
+        def call(*a, **k):
+            if left[0] == 0:
+                raise Stopped
+            left[0] -= 1
+            return f(*a, **k)
+
+        return call
+
+    for name in ("replace", "delete", "size_of", "sha256_of"):
+        monkeypatch.setattr(sinks.hadoop, name, stopping(getattr(sinks.hadoop, name)))
+    try:
+        sinks.write_table(spark.range(9).coalesce(1), out, {"name": "new"}, force=True)
+    except Stopped:
+        pass
+    monkeypatch.undo()
+    now, issue = sinks.read_report(spark, f"{out}.manifest.json")
+    assert issue is None and now["name"] in ("old", "new")
+    assert sinks.read_table(spark, out).count() == now["records"] == (4 if now["name"] == "old" else 9)
+    assert now["name"] == ("old" if step < 3 else "new")
+    assert now["name"] == "new" or now["fingerprint"] == old["fingerprint"]
+    done = sinks.write_table(spark.range(5), out, {"name": "later"}, force=True)
+    assert sinks.read_table(spark, out).count() == 5 == done["records"] and not done["skipped"]
+
+
+def test_a_report_is_replaced_in_one_step(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "r.json")
+    sinks.write_json(spark, path, {"n": 1})
+    sinks.write_json(spark, path, {"n": 2})
+    assert sinks.read_report(spark, path) == ({"n": 2}, None)
+    monkeypatch.setattr(sinks.hadoop, "replace", lambda *a: (_ for _ in ()).throw(Stopped))
+    with pytest.raises(Stopped):
+        sinks.write_json(spark, path, {"n": 3})
+    assert sinks.read_report(spark, path) == ({"n": 2}, None)
+
+
+@pytest.mark.parametrize("step", [0, 1, 2])
+def test_a_stopped_rewrite_of_lines_is_put_right(spark, tmp_path, monkeypatch, step):
+    path, left = str(tmp_path / "o"), [step]
+    jsonl.write_jsonl(spark.range(3), path, ["id"])
+    for name in ("rename", "delete"):
+        def call(*a, real=getattr(jsonl.hadoop, name)):
+            if left[0] == 0:
+                raise Stopped
+            left[0] -= 1
+            return real(*a)
+
+        monkeypatch.setattr(jsonl.hadoop, name, call)
+    with pytest.raises(Stopped):
+        jsonl.write_jsonl(spark.range(7), path, ["id"])
+    monkeypatch.undo()
+    assert spark.read.json(jsonl.recovered(spark, path)).count() == (7 if step == 2 else 3)
+    assert jsonl.write_jsonl(spark.range(5), path, ["id"])["records"] == 5 and spark.read.json(path).count() == 5
+
+
 def test_datasheet(spark):
     sheet = sinks.datasheet(split.statistics(split.allocate(groups(spark, "/root/testdata/sf0.001"))), "Data")
     assert sheet.startswith("# Data") and "| train |" in sheet
