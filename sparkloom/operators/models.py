@@ -5,14 +5,68 @@ The engine fixes what goes in and out, the batches, the retries and the resumpti
 
 from __future__ import annotations
 
+import json
+from collections import deque
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.operators.ranks import before
+from sparkloom.operators.relational import set_difference
+from sparkloom.scratch import Staged
 from sparkloom.shipping import ship
+from sparkloom.sources import hadoop, sinks
+
+
+def in_order(function: Callable[[Any], Any], values: Iterator[Any], most: int) -> Iterator[Any]:
+    """function(value) for each value, in the order of the values, with ``most`` calls at a time at most. What a call raises is raised in its turn."""
+    if most <= 1:
+        yield from map(function, values)
+        return
+    with ThreadPoolExecutor(most) as pool:
+        flying: deque = deque()
+        for value in values:
+            if len(flying) == most:
+                yield flying.popleft().result()
+            flying.append(pool.submit(function, value))
+        while flying:
+            yield flying.popleft().result()
+
+
+def in_slices(requests: DataFrame, path: str, answer: Callable[[DataFrame], DataFrame], identity: dict, size: int = 1000, key: str = "content_hash") -> DataFrame:
+    """``answer(requests)``, made and saved slice by slice in the folder ``path``; what is there already isn't asked again.
+
+    Requests (unique by ``key``) are dealt to slices of about ``size`` in the order of their key's hash, so a run that stops loses one slice at most. A
+    slice counts once Spark has committed it. ``identity`` (settings, model, revision) and the requests must be those of the run
+    that began the folder, and each slice must hold answers to its own requests; else it raises.
+    """
+    spark = requests.sparkSession
+    keyed = requests.withColumn("_hash", F.sha2(F.col(key).cast("string"), 256))
+    placed = Staged(before(keyed, [], "_hash", key, name="_place").withColumn("_slice", F.floor(F.col("_place") / size).cast("int")).drop("_hash", "_place"), "requests").df
+    whole = placed.agg(F.count("*").alias("n"), F.sum(F.xxhash64(key).cast("decimal(38,0)")).cast("string").alias("h")).first()
+    mine = {"identity": identity, "size": size, "requests": whole["n"], "fingerprint": whole["h"]}
+    known, issue = sinks.read_report(spark, f"{path}/run.json")
+    if known is None:
+        if issue == "corrupt":
+            raise ValueError(f"{path} has a broken description")
+        hadoop.fs_of(spark, path)[0].mkdirs(hadoop.fs_of(spark, path)[1])
+        sinks.write_json(spark, f"{path}/run.json", mine)
+    elif known != json.loads(json.dumps(mine)):
+        raise ValueError(f"{path} was begun with other settings or requests")
+    out = []
+    for k in range(-(-whole["n"] // size)):
+        at, asked = f"{path}/slice-{k:06d}", placed.where(F.col("_slice") == k).drop("_slice")
+        if not hadoop.exists(spark, f"{at}/_SUCCESS"):
+            answer(asked).write.mode("overwrite").parquet(at)
+        saved = spark.read.parquet(at)
+        if not set_difference(saved, asked, key).isEmpty():
+            raise ValueError(f"{at} does not answer its requests")
+        out.append(at)
+    return spark.read.parquet(*out) if out else answer(placed.drop("_slice"))
 
 
 def in_batches(df: DataFrame, columns: Sequence[str], make: Callable[[], Callable[[list[dict]], list[dict]]], schema: str, size: int) -> DataFrame:
@@ -124,14 +178,17 @@ def generate(requests: DataFrame, make: Callable[[], Callable[[list[Any], dict],
     return in_batches(requests, ["content_hash", "messages"], client, _GENERATED, size)
 
 
-def judge(requests: DataFrame, known: DataFrame | None, make: Callable[[], Callable[[dict], str]], runtime: str) -> DataFrame:
+def judge(requests: DataFrame, known: DataFrame | None, make: Callable[[], Callable[[dict], str]], runtime: str, served: Callable[[Any], Sequence[str]] | None = None, wanted: str | None = None) -> DataFrame:
     """(content_hash, runtime, payload) of a judge for (content_hash, question, reference, candidate).
 
-    What ``known`` has from the same runtime is kept; scores of another runtime are judged again.
+    What ``known`` has from the same runtime is kept; scores of another runtime are judged again. With ``served`` (client -> names of the models
+    that its server has) a task raises before its first question where ``wanted`` isn't among them.
     """
 
     def client() -> Callable[[list[dict]], list[dict]]:
         model = make()
+        if served is not None and wanted not in (names := list(served(model))):
+            raise ValueError(f"the judge's server has {', '.join(sorted(names)) or 'no model'}, not {wanted}")
         return lambda rows: [{"content_hash": r["content_hash"], "runtime": runtime, "payload": model(r)} for r in rows]
 
     columns = ["content_hash", "question", "reference", "candidate"]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import itertools
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.text import first_allowed, first_present, py_strip, spdx
+from sparkloom.operators import models
+from sparkloom.shipping import ship
 
 
 def direct_pair(df: DataFrame, user: Sequence[str], assistant: Sequence[str], title: str | None = None) -> tuple[Column, Column]:
@@ -96,29 +100,41 @@ def with_generated(candidates_: DataFrame, cache: DataFrame) -> DataFrame:
     )
 
 
-def generate(df: DataFrame, make_client, schema: str = "source_record_id string, user string, reject_reason string", attempts: int = 3) -> DataFrame:
-    """Candidates through a client that each task makes for itself; ``client(text, attempt)`` returns (user, reason).
+def generate(df: DataFrame, make_client, attempts: int = 3, in_flight: int = 1) -> DataFrame:
+    """(source_record_id, user, reject_reason, error) of candidates, through a client that each task makes for itself, in the order of the candidates.
 
-    A reason is a quality reject and is tried again; an exception is a transport error and fails the task.
+    ``client(text, attempt)`` returns (user, reason); with ``in_flight`` over 1 as many calls are made at a time, from threads. A reason is a
+    quality reject, an exception a transport error; both are tried again, and what stays is told apart: the candidate has a reject_reason or
+    an error, and the others' answers are kept.
     """
-    import pyarrow as pa
-
-    from sparkloom.shipping import ship
-
     ship(df.sparkSession)
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = make_client()
-        for batch in batches:
-            users, reasons = [], []
-            for text in batch.column("raw_content").to_pylist():
-                user = reason = None
-                for k in range(attempts):
-                    user, reason = client(text, k)
-                    if reason is None:
-                        break
-                users.append(user if reason is None else None)
-                reasons.append(reason)
-            yield pa.RecordBatch.from_arrays([batch.column("source_record_id"), pa.array(users, pa.string()), pa.array(reasons, pa.string())], ["source_record_id", "user", "reject_reason"])
-
-    return df.select("source_record_id", "raw_content").mapInArrow(run, schema)
+
+        def ask(candidate: tuple) -> tuple:
+            reason = error = None
+            for k in range(attempts):
+                try:
+                    user, reason = client(candidate[1], k)
+                    error = None
+                except Exception as e:  # noqa: BLE001 whatever the transport raises
+                    reason, error = None, f"{type(e).__name__}: {e}"[:500]
+                    continue
+                if reason is None:
+                    return candidate[0], user, None, None
+            return candidate[0], None, reason, error
+
+        def all_of() -> Iterator[tuple]:
+            for batch in batches:
+                kinds.append(batch.column("source_record_id").type)
+                yield from zip(batch.column("source_record_id").to_pylist(), batch.column("raw_content").to_pylist(), strict=True)
+
+        kinds: list[pa.DataType] = []
+        answers = models.in_order(ask, all_of(), in_flight)
+        while some := list(itertools.islice(answers, 64)):
+            columns = zip(*some, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (kinds[0], pa.string(), pa.string(), pa.string()), strict=True)], ["source_record_id", "user", "reject_reason", "error"])
+
+    kind = df.schema["source_record_id"].dataType.simpleString()
+    return df.select("source_record_id", "raw_content").mapInArrow(run, f"source_record_id {kind}, user string, reject_reason string, error string")

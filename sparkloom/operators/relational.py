@@ -10,11 +10,25 @@ from pyspark.sql import functions as F
 from sparkloom.operators import skew
 
 
-def best_answers(questions: DataFrame, answers: DataFrame, users: DataFrame, tags: Sequence[str], least_question: float, least_answer: float, limit: int) -> DataFrame:
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of all files that the optimised plan of ``df`` reads, a table twice where it is read twice; nothing runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()) if leaves.apply(k).nodeName().startswith(("LogicalRelation", "Relation", "DataSourceV2", "HiveTableRelation")))
+
+
+def within(df: DataFrame, most: int) -> DataFrame:
+    """``df``; raises before anything runs where its plan reads more than ``most`` bytes."""
+    size = scanned_bytes(df)
+    if size > most:
+        raise ValueError(f"the query reads {size} bytes, {most} are allowed")
+    return df
+
+
+def best_answers(questions: DataFrame, answers: DataFrame, users: DataFrame, tags: Sequence[str], least_question: float, least_answer: float, limit: int, most_bytes: int | None = None) -> DataFrame:
     """One row per question: its accepted answer, else the best scored, else the one of least id (and author); left joined to its author.
 
     questions: question_id, tags ('|' between), question_score, accepted_answer_id. answers: answer_id,
-    question_id, answer_score, owner_user_id. users: user_id, display_name.
+    question_id, answer_score, owner_user_id. users: user_id, display_name. Raises where the tables to read exceed ``most_bytes``.
     """
     tagged = questions.where((F.col("question_score") >= least_question) & F.arrays_overlap(F.split(F.lower("tags"), r"\|"), F.array(*map(F.lit, tags))))
     both = tagged.join(answers.where(F.col("answer_score") >= least_answer), "question_id")
@@ -22,7 +36,8 @@ def best_answers(questions: DataFrame, answers: DataFrame, users: DataFrame, tag
     w = Window.partitionBy("question_id").orderBy(accepted.desc(), F.col("answer_score").desc(), "answer_id", "owner_user_id")
     best = both.withColumn("answer_rank", F.row_number().over(w)).where("answer_rank = 1").drop("answer_rank")
     named = best.join(users, best["owner_user_id"] == users["user_id"], "left").drop("user_id")
-    return named.orderBy(F.col("question_score").desc(), F.col("answer_score").desc(), "question_id").limit(limit)
+    out = named.orderBy(F.col("question_score").desc(), F.col("answer_score").desc(), "question_id").limit(limit)
+    return out if most_bytes is None else within(out, most_bytes)
 
 
 def resolution_comments(comments: DataFrame, trusted: Sequence[str] = ("OWNER", "MEMBER", "COLLABORATOR"), least_reactions: int = 1) -> DataFrame:
