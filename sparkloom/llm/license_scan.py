@@ -41,7 +41,7 @@ def canonical(text: Column) -> Column:
 
 
 def known(spark, texts: list[tuple[str, str]]) -> DataFrame:
-    """(digest, license_id) of canonical texts; the first licence given for a digest counts."""
+    """(digest, license_id) of canonical texts; of several licences with one digest the least name counts."""
     table = spark.createDataFrame(texts, "license_id string, text string")
     return table.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license_id").groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
@@ -57,7 +57,8 @@ def license_scan(
 
     license_id is set where the entire text is a known licence, by its text or its canonical digest. notice_ids has the licences named by
     whole lines, sorted and joined by commas ('' if none); n_notices counts such lines. Null counts as
-    empty, and an empty text is no licence. Repeated rows are scanned alike; other columns are ignored.
+    empty, and an empty text is no licence. Repeated rows are scanned alike; an empty table gives an empty result; texts of any length are
+    read whole; of licences with one canonical text the least name counts; other columns are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
@@ -106,10 +107,11 @@ def _values(texts: list[tuple[str, str]]) -> str:
     return ", ".join(f"({quoted(a)}, {quoted(re.sub(chr(10), ' ', b))})" for a, b in texts)
 
 
-def sql(licenses: list[tuple[str, str]] = LICENSES, notices: list[tuple[str, str]] = NOTICES) -> str:
+def sql(licenses: list[tuple[str, str]] = LICENSES, notices: list[tuple[str, str]] = NOTICES + MORE_NOTICES, digests: list[tuple[str, str]] = DIGESTS) -> str:
     known_sql = "SELECT sha256({c}) AS digest, min(license_id) AS license_id FROM (VALUES {v}) AS t(license_id, text) GROUP BY 1"
     return f"""
-WITH licenses AS ({known_sql.format(c=_sql_canonical('text'), v=_values(licenses))}),
+WITH licenses AS (SELECT digest, min(license_id) AS license_id FROM (
+  {known_sql.format(c=_sql_canonical('text'), v=_values(licenses))} UNION ALL SELECT digest, license_id FROM (VALUES {_values(digests)}) AS t(license_id, digest)) GROUP BY digest),
 notices AS ({known_sql.format(c=_sql_canonical('text'), v=_values(notices))}),
 d AS (SELECT doc_id, text, sha256({_sql_canonical('text')}) AS digest FROM documents),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE contains(lower(text), 'licen')),
