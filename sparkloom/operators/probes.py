@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.operators.ranks import at_ranks, before
+from sparkloom.scratch import Staged
 
 
 def quantile_probes(records: DataFrame, per_group: int, group: str = "category", length: str = "length", ident: str = "content_hash") -> DataFrame:
@@ -40,12 +41,15 @@ def probe_problems(records: DataFrame, required: Sequence[str], per_group: int,
 def batches(records: DataFrame, size: int, prompt_length: str = "prompt_length", ident: str = "content_hash") -> DataFrame:
     """batch, position and group_hash of every record, in order of prompt length.
 
-    Global ranks come from counts by length and by slices of the ids, so that no single task sorts all records.
+    Global ranks come from counts by length and by slices of the ids, so that no single task sorts all records. Records are computed once
+    and written.
     """
+    records = Staged(records, "records").df
     by = records.groupBy(prompt_length).agg(F.count("*").alias("_n"))
     base = by.withColumn("_base_n", F.coalesce(F.sum("_n").over(Window.orderBy(prompt_length).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     ranked = before(records, [prompt_length], ident, ident, name="_own", digits=6).join(base, prompt_length).withColumn("_rank", F.col("_own") + F.col("_base_n")).drop("_own", "_base_n")
     placed = ranked.withColumns({"batch": F.floor(F.col("_rank") / size).cast("bigint"), "position": (F.col("_rank") % size).cast("int")}).drop("_rank")
+    placed = Staged(placed, "placed").df
     hashes = F.transform(F.sort_array(F.collect_list(F.struct("position", F.col(ident).alias("h")))), lambda x: x["h"])
     digest = F.sha2(F.to_json(F.struct(F.lit("prompt_length_ascending").alias("batch_order"), hashes.alias("content_hashes"))), 256)
     return placed.join(placed.groupBy("batch").agg(digest.alias("group_hash")), "batch")

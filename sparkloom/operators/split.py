@@ -116,6 +116,16 @@ def statistics(records: DataFrame) -> DataFrame:
     )
 
 
+def ratio_gate(records: DataFrame, targets: Mapping[str, float], tolerance: float) -> DataFrame:
+    """(split, n, ratio, within): each split's share of the records, and whether it lies within the tolerance of its target; a split without a target doesn't."""
+    counts = records.groupBy("split").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("_total"))
+    wanted = F.create_map(*(F.lit(x) for pair in targets.items() for x in pair))
+    share = F.col("n") / F.col("_total")
+    within = F.coalesce(F.abs(share - F.try_element_at(wanted, F.col("split"))) <= tolerance, F.lit(False))
+    return counts.crossJoin(F.broadcast(total)).select("split", "n", share.alias("ratio"), within.alias("within"))
+
+
 def overlaps(records: DataFrame, key: str) -> DataFrame:
     """Values of a key that lie in more than one split (must be empty)."""
     return records.groupBy(key).agg(F.count_distinct("split").alias("splits")).where("splits > 1")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.operators.ranks import matched, percentiles
+from sparkloom.scratch import Staged
 
 
 def finite(c: Column) -> Column:
@@ -101,18 +102,23 @@ def audit_summary(measured: DataFrame, keys: Sequence[str], flag_names: Sequence
     """Rates, medians and p90 of measured pairs (with the column flags) by group: a row for each group.
 
     Medians are means of the middle two, p90 is sorted[min(n - 1, int(0.9 n))]; term recall and its low rate leave
-    pairs out that have none. flag_rates has a rate for every flag that occurs in the group.
+    pairs out that have none. flag_rates has a rate for every flag that occurs in the group. ``measured`` is computed once; its measures are written.
     """
+    measures = ("answer_words", "length_ratio", "bullets", "term_recall")
+    kinds = {c: measured.schema[c].dataType for c in measures}
+    measured = Staged(measured.select(*keys, "flags", "starts_with_heading", *measures), "measured").df
     many = F.count("*")
     rates = F.create_map(*(x for f in flag_names for x in (F.lit(f), F.avg(F.array_contains("flags", f).cast("double")))))
     out = measured.groupBy(*keys).agg(
         many.alias("records"), F.avg((F.col("term_recall") < least_recall).cast("double")).alias("low_term_recall_rate"), F.avg(F.col("starts_with_heading").cast("double")).alias("starts_with_heading_rate"),
         F.map_filter(rates, lambda _, r: r > 0).alias("flag_rates"), F.avg((F.size("flags") > 0).cast("double")).alias("any_flag_rate"), F.avg((F.size("flags") >= 2).cast("double")).alias("two_or_more_flags_rate"),
     )
-    for c in ("answer_words", "length_ratio", "bullets", "term_recall"):
-        found = percentiles(measured, c, {f"{c}_median": ("median", 0.5), f"{c}_p90": ("share", 0.9)}, *keys).select(*keys, f"{c}_median", f"{c}_p90")
-        out = matched(out, found, list(keys), "left")
-    return out
+    cells = F.array(*(F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in measures))
+    long = measured.select(*keys, F.explode(cells).alias("_m")).select(*keys, F.col("_m.measure").alias("_measure"), F.col("_m.value").alias("_value"))
+    found = percentiles(long, "_value", {"median": ("median", 0.5), "p90": ("share", 0.9)}, *keys, "_measure")
+    at = lambda c, x: F.max(F.when(F.col("_measure") == c, F.col(x)))
+    wide = found.groupBy(*keys).agg(*(x for c in measures for x in (at(c, "median").alias(f"{c}_median"), at(c, "p90").cast(kinds[c]).alias(f"{c}_p90"))))
+    return matched(out, wide, list(keys), "left")
 
 
 def repetition_groups(records: DataFrame, ratio: Column, words: Column, threshold: float = 0.2, long: int = 1000, keys: Sequence[str] = ("source", "category")) -> DataFrame:

@@ -214,10 +214,7 @@ def split_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {GROUPS_SQL}, {SPLIT_SQL} SELECT split, count(*) AS n, round(count(*) / (SELECT count(*) FROM s), 6) AS ratio,
  abs(count(*) / (SELECT count(*) FROM s) - CASE split WHEN 'train' THEN 0.9 ELSE 0.05 END) <= 0.005 AS within FROM s GROUP BY split""")
 def split_ratio_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = allocated(spark, sf_dir).groupBy("split").agg(F.count("*").alias("n"))
-    total = s.agg(F.sum("n").alias("total"))
-    share = F.col("n") / F.col("total")
-    return s.crossJoin(F.broadcast(total)).select("split", "n", F.round(share, 6).alias("ratio"), (F.abs(share - F.when(F.col("split") == "train", 0.9).otherwise(0.05)) <= 0.005).alias("within"))
+    return split.ratio_gate(allocated(spark, sf_dir), {"train": 0.9, "validation": 0.05, "test": 0.05}, 0.005).withColumn("ratio", F.round("ratio", 6))
 
 
 @query(f'WITH {GROUPS_SQL}, {SPLIT_SQL} SELECT "group", count(DISTINCT split) AS splits FROM s GROUP BY 1 HAVING count(DISTINCT split) > 1')
@@ -280,11 +277,13 @@ def hard_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.size(quality.hard_features(F.col("text"))).alias("score"))
 
 
-@query(f"""WITH h AS (SELECT doc_id, source, sha256('{SEED}:' || sha256(text)) AS key, {_HARD_SQL} AS score FROM documents)
-SELECT doc_id, source, CAST(score AS INTEGER) AS score FROM h WHERE score >= 1 ORDER BY score DESC, key, doc_id LIMIT 100""")
+@query(f"""WITH h AS (SELECT 'doc-' || doc_id AS content_hash, source, doc_id % 29 = 0 AS explicit, {_HARD_SQL} AS score FROM documents)
+SELECT content_hash, source, CAST(score AS INTEGER) AS score FROM h WHERE score >= 1 ORDER BY NOT explicit, score DESC, sha256('{SEED}:' || content_hash), content_hash
+LIMIT (SELECT least(100, greatest(5, CAST(ceil(count(*) * 0.05) AS BIGINT))) FROM documents)""")
 def hard_test_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", F.size(quality.hard_features(F.col("text"))).alias("score"), text.deterministic_key(SEED, text.sha(F.col("text"))).alias("key"))
-    return d.where("score >= 1").orderBy(F.col("score").desc(), "key", "doc_id").limit(100).drop("key")
+    d = table(spark, sf_dir, "documents")
+    rows = d.select(F.concat(F.lit("doc-"), "doc_id").alias("content_hash"), "source", F.lit("any").alias("category"), (F.col("doc_id") % 29 == 0).alias("explicit"), F.size(quality.hard_features(F.col("text"))).alias("score"))
+    return split.hard_test(rows, d.count(), "any", 5, 100, 0.05, 3, SEED).select("content_hash", "source", "score")
 
 
 @query(f"""WITH d AS (SELECT 'doc-' || doc_id AS content_hash, source, {CATEGORY_SQL} AS category, n_chars > 4000 AS hard, sha256('{SEED}:doc-' || doc_id) AS key FROM documents),

@@ -384,11 +384,15 @@ def served_model_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.served_entries(m, served).select("p_partkey")
 
 
-@query("""SELECT 'repeated_key' AS issue, CAST(count(*) AS BIGINT) AS rows FROM (SELECT doc_id % 7 AS k FROM documents GROUP BY 1 HAVING count(*) > 1) HAVING count(*) > 0""")
+@query("""WITH c AS (SELECT CASE WHEN doc_id % 50 = 0 THEN NULL ELSE doc_id % 7 END AS k, doc_id % 110 = 3 OR doc_id % 90 = 1 AS odd, doc_id % 100 = 2 AS endless FROM documents),
+i AS (SELECT 'missing_key' AS issue, count(*) AS rows FROM c WHERE k IS NULL UNION ALL SELECT 'other_length', count(*) FROM c WHERE odd UNION ALL SELECT 'not_finite', count(*) FROM c WHERE endless AND NOT odd
+  UNION ALL SELECT 'repeated_key', count(*) FROM (SELECT k FROM c WHERE k IS NOT NULL GROUP BY k HAVING count(*) > 1))
+SELECT issue, rows FROM i WHERE rows > 0""")
 def vector_cache_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A cache whose keys repeat."""
-    c = table(spark, sf_dir, "documents").select((F.col("doc_id") % 7).alias("content_hash"), F.array(F.lit(1.0), F.lit(0.0)).alias("embedding"))
-    return similarity.cache_problems(c)
+    """A cache with repeated and missing keys, missing and odd vectors, and numbers without end."""
+    i = F.col("doc_id")
+    vector = F.when(i % 110 == 3, None).when(i % 90 == 1, F.array(F.lit(1.0), F.lit(0.0), F.lit(0.0))).when(i % 100 == 2, F.array(F.lit(float("inf")), F.lit(0.0))).otherwise(F.array(F.lit(1.0), F.lit(0.0)))
+    return similarity.cache_problems(table(spark, sf_dir, "documents").select(F.when(i % 50 != 0, i % 7).alias("content_hash"), vector.alias("embedding")))
 
 
 @query("""WITH e AS (SELECT CAST(value * 1000 AS BIGINT) AS v FROM events), r AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS rk, count(*) OVER () AS n FROM e)
