@@ -87,7 +87,7 @@ def generated(spark: SparkSession, df: DataFrame, a: Arguments) -> DataFrame:
     if a.scope == "full":
         sample = hadoop.sha256_of_all(spark, hadoop.files_below(spark, a.sample)) if a.sample and hadoop.exists(spark, a.sample) else None
         config.require(training.review_problems(config.load(a.review), sample))
-    return normalize.generate(df, client(a.client))
+    return normalize.generate(df, client(a.client), in_flight=a.in_flight)
 
 
 def exact(spark: SparkSession, df: DataFrame, a: Arguments) -> DataFrame:
@@ -138,7 +138,9 @@ def prepared(spark: SparkSession, df: DataFrame, a: Arguments) -> DataFrame:
 
 def benchmarked(spark: SparkSession, df: DataFrame, a: Arguments) -> DataFrame:
     rows = df if a.limit is None else df.orderBy("content_hash").limit(a.limit)
-    return models.generate(rows, client(a.client), {"max_new_tokens": a.most}, a.penalty, a.batch).withColumn("variant", F.lit(a.variant))
+    answer = lambda r: models.generate(r, client(a.client), {"max_new_tokens": a.most}, a.penalty, a.batch)
+    identity = {"client": a.client, "max_new_tokens": a.most, "penalty": a.penalty, "batch": a.batch, "variant": a.variant}
+    return (models.in_slices(rows, a.log, answer, identity, a.slice) if a.log else answer(rows)).withColumn("variant", F.lit(a.variant))
 
 
 def scored(spark: SparkSession, df: DataFrame, a: Arguments) -> DataFrame:
@@ -215,6 +217,9 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--most", type=int, default=8192)
         c.add_argument("--batch", type=int, default=4)
         c.add_argument("--penalty", type=float)
+        c.add_argument("--in-flight", type=int, default=1, help="calls of normalize-generate at a time in each task")
+        c.add_argument("--log", help="folder in which benchmark saves its answers slice by slice, to go on from there")
+        c.add_argument("--slice", type=int, default=1000)
     e = sub.add_parser("extract")
     e.add_argument("--config", required=True)
     e.add_argument("--output", required=True)

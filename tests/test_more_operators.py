@@ -357,6 +357,11 @@ def test_every_command(spark, tmp_path, capsys):
     assert {r["status"] for r in spark.read.parquet(str(tmp_path / "valid")).collect()} == {"rejected", "not_applicable"}
     assert run("train", "--input", tmp_path / "chat", "--output", tmp_path / "train", "--offset", 2, "--limit", 4) == 0 and spark.read.parquet(str(tmp_path / "train")).count() == 4
     assert run("benchmark", "--input", tmp_path / "chat", "--output", tmp_path / "base", "--client", "clients:backend", "--most", 9) == 0
+    logged = ("--input", tmp_path / "chat", "--client", "clients:backend", "--most", 9, "--log", tmp_path / "log", "--slice", 3)
+    assert run("benchmark", *logged, "--output", tmp_path / "base2") == 0 and run("benchmark", *logged, "--output", tmp_path / "base3") == 0
+    told = lambda name: {(r["content_hash"], r["prediction"]) for r in spark.read.parquet(str(tmp_path / name)).collect()}
+    assert told("base3") == told("base") and len(list((tmp_path / "log").glob("slice-*"))) == 3
+    assert run("benchmark", *logged, "--penalty", 1.5, "--output", tmp_path / "base4") == 2
     scored = spark.read.parquet(str(tmp_path / "base")).withColumns({"category": F.lit("dockerfile"), "question": F.lit("q"), "reference": F.lit("r"), "exact_match": F.lit(None).cast("double"), "semantic_similarity": F.lit(0.5), "judge": F.struct(F.lit(3.0).alias("mean")), "tokens_per_second": F.lit(1.0), "batch_tokens_per_second": F.lit(1.0)})
     scored.write.parquet(str(tmp_path / "results"))
     assert run("benchmark-syntax", "--input", tmp_path / "results", "--output", tmp_path / "syntax") == 0
