@@ -163,3 +163,12 @@ def test_angles_spare_most_pairs_of_blocks(spark):
         found = {(r["query"], r["rank"]): r["score"] for r in similarity.nearest(q, df, 3, 64, least).collect()}
         want = {(i, k + 1): v for i in range(7, 3000, 100) for k, v in enumerate(sorted(s[i], reverse=True)[:3]) if least is None or v >= least}
         assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_places_that_no_group_fits_can_stay_empty(spark):
+    schema = "id int, vector array<double>, group string, category string, source string, hardness int, split string"
+    rows = [(1, [1.0, 0.0], "a", "c", "s", 0, "train"), (2, [1.0, 0.0], "b", "c", "s", 0, "test"), (3, [0.0, 1.0], "d", "e", "s", 0, "test")]
+    got = repair.repair(spark.createDataFrame(rows, schema), PAIRS, 0.9, strict=False).select("id", "split").collect()
+    assert dict(map(tuple, got)) == {1: "train", 2: "train", 3: "test"}
+    none = repair.repair(spark.createDataFrame(rows, schema), PAIRS, 0.9, most_rounds=0, strict=False).select("id", "split").collect()
+    assert dict(map(tuple, none)) == {1: "train", 2: "test", 3: "test"}
