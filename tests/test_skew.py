@@ -77,3 +77,16 @@ def test_exact_dedupe_spreads_a_frequent_text(spark):
     for r in sorted(rows.collect()):
         first.setdefault(r["content_hash"], r["ordinal"])
     assert got == {r["ordinal"]: (False, r["ordinal"]) if r["content_hash"] is None else (first[r["content_hash"]] != r["ordinal"], first[r["content_hash"]]) for r in rows.collect()}
+
+
+def test_a_sketch_that_answers_differently_each_time_changes_nothing(spark, monkeypatch):
+    import random
+
+    rows, table = tables(spark)
+    coin = F.udf(lambda h: random.random() < 0.5, "boolean").asNondeterministic()
+    exact = skew.heavy_hashes
+    monkeypatch.setattr(skew, "heavy_hashes", lambda *a: exact(*a).where(coin("heavy_hash")))
+    for how in ("left", "inner"):
+        want = sorted(map(tuple, rows.join(table, "k", how).select("id", "k", "v").collect()), key=str)
+        for join in (skew.lookup, skew.salted):
+            assert sorted(map(tuple, join(rows, table, ["k"], how).collect()), key=str) == want
