@@ -36,9 +36,9 @@ def chat_problem(messages: Column, meta: dict[str, Column]) -> Column:
     return out
 
 
-def reclassify(records: DataFrame, answer: str = "assistant", movable: Sequence[str] = ("troubleshooting", "concepto", "comando_cli", "arquitectura"), fallback: str = "concepto") -> DataFrame:
-    """``records`` with category brought in line with whether the answer holds a Dockerfile, and why."""
-    has = extract_dockerfile(F.col(answer)).isNotNull()
+def reclassify(records: DataFrame, answer: str = "assistant", movable: Sequence[str] = ("troubleshooting", "concepto", "comando_cli", "arquitectura"), fallback: str = "concepto", has: Column | None = None) -> DataFrame:
+    """``records`` with category brought in line with whether the answer holds a Dockerfile (``has``; else whether one can be extracted), and why."""
+    has = extract_dockerfile(F.col(answer)).isNotNull() if has is None else has
     to = F.when(has & F.col("category").isin(list(movable)), "dockerfile").when((F.col("category") == "dockerfile") & ~has, fallback)
     why = F.when(to == "dockerfile", "dockerfile_block_detected").when(to.isNotNull(), "dockerfile_block_missing")
     change = F.when(to.isNotNull(), F.struct(F.col("category").alias("from"), to.alias("to"), why.alias("reason")))
@@ -51,23 +51,28 @@ def reclassification_counts(records: DataFrame) -> DataFrame:
     return records.where(c.isNotNull()).groupBy(F.concat(c["from"], F.lit("->"), c["to"]).alias("change")).agg(F.count("*").alias("n")).orderBy("change")
 
 
-def syntax_candidates(records: DataFrame, answer: str = "assistant", ordinal: str = "ordinal", ident: str = "content_hash") -> DataFrame:
+def syntax_candidates(
+    records: DataFrame, answer: str = "assistant", ordinal: str = "ordinal", ident: str = "content_hash", has: Column | None = None, digits: int | None = None,
+) -> DataFrame:
     """identifier, ordinal, name, content, validator and missing_reason of records that a validator looks at.
 
     YAML answers go to one validator, Dockerfiles to the other; where the answer holds no block, content is null and
-    missing_reason says so.
+    missing_reason says so. With ``has`` only answers that fulfil it are taken for Dockerfiles. ``digits`` is how many digits of the
+    ordinal a name holds at most; else all.
     """
     yaml, docker = extract_yaml(F.col(answer)), extract_dockerfile(F.col(answer))
+    docker = docker if has is None else F.when(has, docker)
     is_yaml, is_docker = F.col("category") == "generacion_yaml", F.col("category") == "dockerfile"
     content = F.when(is_yaml, yaml).when(is_docker, docker)
-    name = F.when(is_yaml, candidate_name(F.col(ordinal), F.col(ident), ".yaml")).otherwise(candidate_name(F.col(ordinal), F.col(ident), ".Dockerfile"))
+    name = F.when(is_yaml, candidate_name(F.col(ordinal), F.col(ident), ".yaml", digits)).otherwise(candidate_name(F.col(ordinal), F.col(ident), ".Dockerfile", digits))
     return records.where(is_yaml | is_docker).select(
         F.col(ident).alias("identifier"), F.col(ordinal).alias("ordinal"), name.alias("name"), F.concat(content, F.lit("\n")).alias("content"),
         F.when(is_yaml, "kubeconform").otherwise("hadolint").alias("validator"), F.when(content.isNull(), F.when(is_yaml, "yaml_block_missing").otherwise("dockerfile_block_missing")).alias("missing_reason"))
 
 
-def candidate_name(ordinal: Column, ident: Column, extension: str) -> Column:
-    return F.concat(F.format_string("%06d-%s", ordinal, F.substring(ident, 1, 16)), F.lit(extension))
+def candidate_name(ordinal: Column, ident: Column, extension: str, digits: int | None = None) -> Column:
+    number = F.format_string("%06d", ordinal) if digits is None else F.lpad(ordinal.cast("string"), digits, "0")
+    return F.concat(number, F.lit("-"), F.substring(ident, 1, 16), F.lit(extension))
 
 
 def attach(records: DataFrame, failures: DataFrame, key: str = "identifier") -> DataFrame:

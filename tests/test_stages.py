@@ -1,3 +1,4 @@
+import oracle
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +93,28 @@ def test_commands(spark, tmp_path, capsys):
     assert run("status", "--root", str(tmp_path), "clean", "other") == 1
     assert spark.read.parquet(str(tmp_path / "split")).select("split").distinct().count() == 3
     assert run("clean", "--input", str(tmp_path / "no.parquet"), "--output", str(tmp_path / "x")) == 2
+
+
+def _conversations(spark, tmp_path):
+    """Two exchanges whose prose begins lines with "From" and whose numbers have seven digits."""
+    answer = "From here\nfrom there on it is prose."
+    rows = [(c, t, r, x) for c in (1476, 31) for t, r, x in ((0, "user", "How?"), (1, "assistant", answer + " " * (len(answer) % 2 + 2 * (len(answer) % 3 == 0))))]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    return str(tmp_path)
+
+
+def test_prose_that_begins_lines_with_from_is_counted_as_sql_counts_it(spark, tmp_path):
+    from sparkloom.plans import catalogue
+
+    sf = _conversations(spark, tmp_path)
+    oracle.compare(catalogue.QUERIES["reclassification_counter"](spark, sf), oracle.connect(sf), catalogue.SQL["reclassification_counter"])
+    assert [r["n"] for r in catalogue.QUERIES["reclassification_counter"](spark, sf).collect()] == [2]
+
+
+def test_names_of_candidates_hold_six_digits(spark, tmp_path):
+    from sparkloom.plans import catalogue
+
+    sf = _conversations(spark, tmp_path)
+    got = catalogue.QUERIES["syntax_candidate_files"](spark, sf)
+    assert sorted(r["name"][:7] for r in got.collect()) == ["031000-", "147600-"]
+    oracle.compare(got, oracle.connect(sf), catalogue.SQL["syntax_candidate_files"])
