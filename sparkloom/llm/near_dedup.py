@@ -30,6 +30,9 @@ SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 12, 3
 #: Bytes of text of a block of documents, and of the text whose shingles are counted in one bucket.
 BLOCK, BUCKET = 4 << 20, 12 << 20
 
+#: Of the greatest idf, the least that a shingle has in draws where similarity without idf counts too.
+FLOOR = 0.1
+
 _DRAWS = 1 << 16
 
 
@@ -255,13 +258,17 @@ def weighted_elements(documents: int, size: int = SHINGLE):
     return elements
 
 
-def near_classes(docs: DataFrame, similar: float = SIMILARITY, size: int = SHINGLE, many: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_classes(docs: DataFrame, similar: float = SIMILARITY, size: int = SHINGLE, many: int = BANDS, rows: int = ROWS, plain: bool = False) -> DataFrame:
     """(row_key, doc_id, class_id, kept) of every row of ``docs``; class_id is the least doc_id of the class, kept tells the class's first row.
 
     The first row has the least doc_id (null last), then the least row_key, xxhash64(doc_id, text); rows that repeat
     both id and text are in one class and alike. Null and empty texts, and texts without a word, are alone in
     their class (class_id = doc_id) and kept. Texts of fewer than ``size`` words are one shingle. Texts are
     read whole, whatever their length; an empty table gives an empty result; other columns are ignored.
+
+    What a large group of near copies has in common weighs little by its idf, so two of them can be unlike by weights and alike
+    by words. With ``plain`` a Jaccard similarity of ``similar`` without idf is a link too, and no shingle's idf counts for less
+    than FLOOR of the greatest when draws are made.
     """
     keyed = with_row_key(docs)
     spark = docs.sparkSession
@@ -283,7 +290,10 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY, size: int = SHING
             for first, part in block_texts(sizes, texts):
                 v = Vectors(part, size)
                 df = counts[np.searchsorted(h, v.hash)]
-                key, (node, proof) = bands(v, idf_of(df, documents), draws, many, rows), node_ids(v.words, v.word_at)
+                idf = idf_of(df, documents)
+                if plain:
+                    idf = np.maximum(idf, np.float32(FLOOR * math.log(documents + 1)))
+                key, (node, proof) = bands(v, idf, draws, many, rows), node_ids(v.words, v.word_at)
                 none = np.diff(v.at) == 0
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(key) + 1, dtype=np.int32) * many), pa.array(key.reshape(-1)))
                 packed = [_squeeze(_planes(df[i:j]), 1) for i, j in zip(v.at[:-1], v.at[1:], strict=True)]
@@ -319,7 +329,7 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY, size: int = SHING
         "texts",
     )
 
-    found = classes(members.df, texts.df, weighted_elements(documents, size), similar, "near")
+    found = classes(members.df, texts.df, weighted_elements(documents, size), similar, "near", plain=plain)
     named = stage(one.df.select("node", "proof", "first").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "named")
     best = named.groupBy("component").agg(F.min("first").alias("best"))
     by_node = named.join(best, "component").select("node", "proof", F.col("best.doc_id").alias("class_id"), F.col("best.row_key").alias("best"), F.lit(True).alias("hit"))
@@ -331,9 +341,9 @@ def near_classes(docs: DataFrame, similar: float = SIMILARITY, size: int = SHING
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, plain: bool = False) -> DataFrame:
     """doc_id, class_id, kept of every row, as ``near_classes`` has them: null, wordless and empty texts are alone, repeated rows alike."""
-    return near_classes(docs).select("doc_id", "class_id", "kept")
+    return near_classes(docs, plain=plain).select("doc_id", "class_id", "kept")
 
 
 def keep_one_of_each(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:

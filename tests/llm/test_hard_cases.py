@@ -1,5 +1,6 @@
 """Stages on hard tables, models against plain scorers, bounds of samples and memory."""
 
+import itertools
 import math
 import random
 import re
@@ -266,3 +267,20 @@ def test_recall_of_near_documents():
                 key = near_dedup.bands(s, np.ones(len(s.hash), np.float32), near_dedup.Draws(36))
                 met.append((key[0] == key[1]).any())
         assert np.mean(met) >= 0.97, (length, np.mean(met))
+
+
+def test_near_copies_in_large_groups_are_found(spark, tmp_path):
+    """One group of near copies that is most of the table, and a table of nothing else: idf alone would make them unlike."""
+    from sparkloom.llm.queries import op2_near_dedup
+
+    word = itertools.count()
+    new = lambda n: [f"w{next(word)}" for _ in range(n)]
+    for name, others in (("most", 20), ("all", 0)):
+        base = new(200)
+        texts = [" ".join([*base[:k], *new(1), *base[k + 1 :]]) for k in range(10, 190, 3)]
+        texts += [" ".join(new(60)) for _ in range(others)]
+        documents(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        got = {r["doc_id"]: r["class_id"] for r in op2_near_dedup(spark, f"{tmp_path}/{name}").collect()}
+        assert got == {i: 0 if i < 60 else i for i in range(len(texts))}
+        alone = {r["class_id"] for r in near_dedup.near_duplicates(documents(spark, list(enumerate(texts)))).collect()}
+        assert len(alone) > 1 + others  # what weights alone leave apart
