@@ -89,6 +89,19 @@ def graph(vectors: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS, stop: f
     return now.df.drop("fresh")
 
 
+def exact_links(vectors: DataFrame, threshold: float) -> DataFrame:
+    """(src, dst) that hang together what ``threshold`` links, none lost: within pairs of blocks of distinct vectors, and each copy with its first."""
+    one = Staged(distinct_vectors(vectors), "distinct").df
+    near = similarity.cosine_pairs(one.select("id", "vector"), threshold, forest=True)
+    return near.unionByName(_copies(vectors, one, threshold))
+
+
+def _copies(vectors: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+    again = one.where("copies > 1").select("vector", F.col("id").alias("dst"))
+    length = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return vectors.join(again, "vector").where((F.col("id") != F.col("dst")) & (length >= threshold)).select(F.col("id").alias("src"), "dst")
+
+
 def links(vectors: DataFrame, threshold: float, k: int = NEIGHBOURS) -> DataFrame:
     """(src, dst): neighbours of the graph at or over the threshold, and each copy of a vector with the first of its copies.
 
@@ -97,7 +110,4 @@ def links(vectors: DataFrame, threshold: float, k: int = NEIGHBOURS) -> DataFram
     """
     one = Staged(distinct_vectors(vectors), "distinct").df
     near = graph(one.select("id", "vector"), k).where(F.col("score") >= threshold).select("src", "dst")
-    again = one.where("copies > 1").select("vector", F.col("id").alias("dst"))
-    length = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    copies = vectors.join(again, "vector").where((F.col("id") != F.col("dst")) & (length >= threshold)).select(F.col("id").alias("src"), "dst")
-    return near.unionByName(copies)
+    return near.unionByName(_copies(vectors, one, threshold))

@@ -42,3 +42,34 @@ def test_links_of_the_table_and_copies(spark):
     parts = {r["id"]: r["component"] for r in similarity.components(df, neighbours.links(df, 0.999)).collect()}
     assert {parts[i] for i in range(50, 200)} == {50} and len(set(parts.values())) == 151
     assert neighbours.links(df.limit(0), 0.9).isEmpty()
+
+
+def test_no_link_of_components_is_lost(spark):
+    """More weak neighbours over the threshold than a graph of 20 names, copies, and blocks of several tiles."""
+    from sparkloom.operators import graph
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(700, 24))
+    x[100:180] = x[100]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    i, j = np.nonzero(np.triu(x @ x.T >= 0.62, 1))
+    node, least = graph.least_labels(i, j)
+    want = {k: k for k in range(700)} | dict(zip(node.tolist(), least.tolist(), strict=True))
+    df = frame(spark, x)
+    for size in (None, 64):
+        got = similarity.components(df, similarity.cosine_pairs(df, 0.62, size, forest=True)).collect()
+        assert {r["id"]: r["component"] for r in got} == want
+    assert {r["id"]: r["component"] for r in similarity.components(df, neighbours.exact_links(df, 0.62)).collect()} == want
+
+
+def test_blocks_of_a_join_do_not_multiply_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK", 8)
+    monkeypatch.setattr(similarity, "SPREAD", 4)
+    made = []
+    exact = similarity.Blocks
+    monkeypatch.setattr(similarity, "Blocks", lambda *a: made.append(exact(*a)) or made[-1])
+    x = np.random.default_rng(2).normal(size=(600, 6))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    got = {(r["src"], r["dst"]) for r in similarity.cosine_pairs(frame(spark, x), 0.9).collect()}
+    assert got == set(zip(*(k.tolist() for k in np.nonzero(np.triu(x @ x.T >= 0.9, 1))), strict=True))
+    assert made[0].packed.count() <= 4 * 4 * 2
