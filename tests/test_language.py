@@ -86,3 +86,16 @@ def test_cleaning_asks_only_where_the_language_matters(spark):
     assert asked.value == 2 and "_told" not in cleaning.clean(df, detector=told).columns
     assert [r["reason"] for r in out] == [None, None, None, "too_short", "language_not_allowed_or_uncertain", None]
     assert [r["language"] for r in out] == ["en", "en", "code", None, None, "en"]
+
+
+def test_texts_that_are_not_chosen_do_not_move(spark):
+    rows = [(i, ("en" if i % 2 else None if i % 10 == 0 else "es"), f"text {i % 400} " + "x" * 50) for i in range(1000)] + [(7, "en", "text 7 " + "x" * 50)] * 2 + [(None, "en", "no id")]
+    df = spark.createDataFrame(rows, "id bigint, language string, text string").repartition(8)
+    want = {}
+    for i, lang, text in sorted(((i, lang, t) for i, lang, t in rows if lang), key=lambda r: (r[1], hashlib.sha256(r[2].encode()).hexdigest(), r[0] is not None, r[0])):
+        want.setdefault(lang, []).append(text)
+    for n in (37, 2000):
+        some = language.first_texts(df, n)
+        assert Counter(map(tuple, some.collect())) == Counter((lang, t) for lang, ts in want.items() for t in ts[:n])
+    window = language.first_texts(df, 37)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in window  # what is ranked, without texts, is written before texts are read
