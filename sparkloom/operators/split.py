@@ -100,12 +100,13 @@ def hard_test(records: DataFrame, tests: int, category: str, minimum: int, maxim
     wanted = hard_target(tests, minimum, maximum, fraction)
     able = records.where((F.col("category") == category) & (F.col("score") >= least_score)).withColumn("_key", deterministic_key(seed, F.col(key)))
     chosen = able.orderBy(~F.coalesce("explicit", F.lit(False)), F.col("score").desc(), "_key", key).limit(wanted).drop("_key")
+    chosen = Staged(chosen, "hard").df  # scores are computed once; ``maximum`` rows
     n = chosen.agg(F.count("*").alias("n"), F.count_distinct("source").alias("s")).first()
     if n["n"] < wanted:
         raise ValueError(f"only {n['n']} hard records, {wanted} are required")
     if n["s"] < least_sources:
         raise ValueError(f"the hard records come from {n['s']} sources only")
-    return chosen
+    return chosen.orderBy(~F.coalesce("explicit", F.lit(False)), F.col("score").desc(), deterministic_key(seed, F.col(key)), key)
 
 
 def statistics(records: DataFrame) -> DataFrame:
