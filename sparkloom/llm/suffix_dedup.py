@@ -123,7 +123,8 @@ def context_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray, block:
 class Shard:
     """Suffixes of some contexts in the order of their first ``depth`` bytes, and the byte before each.
 
-    Symbols are bytes plus 1; 0 ends a context, and comes before its first byte.
+    Symbols are bytes plus 1; 0 ends a context, and comes before its first byte. ``back`` is the row of the suffix
+    that starts one symbol before (the LF mapping).
     """
 
     def __init__(self, data: np.ndarray, at: np.ndarray, depth: int = LENGTH):
@@ -132,69 +133,80 @@ class Shard:
         context = np.repeat(np.arange(len(at) - 1), np.diff(at))
         symbols[np.arange(len(data)) + context] = data.astype(np.uint16) + 1
         end = np.flatnonzero(symbols == 0)
-        left = end[np.searchsorted(end, np.arange(self.size))] - np.arange(self.size)  # bytes up to the end
-        rank = symbols.astype(np.int64)
-        k = 1
-        while k < depth:
-            rest = np.zeros(self.size, np.int64)
-            rest[:-k] = rank[k:] + 1
-            rest[left < k] = 0
-            key = rank * (self.size + 512) + rest
-            order = np.argsort(key, kind="stable")
-            step = np.concatenate(([0], np.cumsum(key[order][1:] != key[order][:-1])))
+        left = np.repeat(end, np.diff(end, prepend=-1)) - np.arange(self.size)  # bytes up to the end
+
+        def ahead(x: np.ndarray, k: int) -> np.ndarray:
+            out = np.zeros(self.size, np.int64)
+            out[:-k] = x[k:]
+            out[left < k] = 0
+            return out
+
+        # Seven symbols of nine bits are one number; then twice as many a step.
+        key = symbols.astype(np.int64)
+        key = key << 9 | ahead(key, 1)
+        key = key << 18 | ahead(key, 2)
+        key = key << 27 | ahead(key >> 9, 4)
+        k = 7
+        while True:
+            self.order = np.argsort(key)
+            key = key[self.order]
+            step = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
+            if k >= depth or step[-1] == self.size - 1:
+                break
             rank = np.empty(self.size, np.int64)
-            rank[order] = step
+            rank[self.order] = step
+            key = rank * (self.size + 1) + ahead(rank + 1, k)
             k *= 2
-        self.order = np.argsort(rank, kind="stable")
-        before = np.roll(symbols, 1)
-        before[0] = 0
-        self.bwt = before[self.order]
+        row = np.empty(self.size, np.int64)
+        row[self.order] = np.arange(self.size)
+        self.bwt, self.back = np.roll(symbols, 1)[self.order], row[self.order - 1]
+        self.bwt[row[0]] = 0
 
 
-def merge(shards: list[Shard], depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(shard, row in the shard, block) of all suffixes in merged order; a block's suffixes share ``depth`` symbols.
+def merge(shards: list[Shard], row: np.ndarray, block: np.ndarray, depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(row, block) of suffixes that ``depth`` symbols lead to from the rows given; a block's suffixes share these symbols and their first block.
 
-    Interleave refinement: if the rows are in order by their first j symbols, then dealing them
-    stably by the symbol before each row gives the order by j + 1 of the rows reached that way.
+    Rows are numbered through the shards, and given in the order of their blocks. Interleave refinement: if the rows are in
+    order by their first j symbols, then dealing them stably by the symbol before each row gives the order by j + 1 of the
+    rows reached that way. A block of one row is settled, and a row before which its context starts leads nowhere: both leave.
     """
+    first = np.cumsum([0, *(s.size for s in shards)])
     bwt = np.concatenate([s.bwt for s in shards])
-    kind = np.uint8 if len(shards) < 256 else np.uint16 if len(shards) < 1 << 16 else np.int64
-    from_ = np.repeat(np.arange(len(shards), dtype=kind), [s.size for s in shards])
-    block = np.zeros(len(bwt), np.int32)
-    symbol = np.empty(len(bwt), np.uint16)
+    back = np.concatenate([s.back + a for s, a in zip(shards, first, strict=False)])
     for _ in range(depth):
-        symbol[np.argsort(from_, kind="stable")] = bwt
+        symbol = bwt[row]
         order = np.argsort(symbol, kind="stable")
-        from_, old, s = from_[order], block[order], symbol[order]
-        block = np.zeros(len(bwt), np.int32)
-        np.cumsum((s[1:] != s[:-1]) | (old[1:] != old[:-1]), out=block[1:])
-    rows = np.argsort(from_, kind="stable")  # rows of shard 0, then of shard 1, ...
-    first = np.concatenate(([0], np.cumsum([s.size for s in shards])))
-    place = np.empty(len(bwt), np.int64)
-    place[rows] = np.arange(len(bwt))
-    shard = from_.astype(np.int64)
-    return shard, place - first[shard], block
-
-
-def repeated(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int = LENGTH, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
-    """(context, place) of the strings of ``length`` that also start in a context of a smaller document."""
+        order = order[np.searchsorted(symbol[order], 1) :]
+        old, symbol = block[order], symbol[order]
+        new = np.concatenate(([True], (symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1])))[: len(order)]
+        alone = new & np.append(new[1:], True)[: len(order)]
+        row, block = back[row[order[~alone]]], np.cumsum(new[~alone])
+    return row, block
+
+
+def repeated(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int = LENGTH, shard: int = SHARD, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(context, place) of the strings of ``length`` that also start in a context of a smaller document.
+
+    Contexts of different numbers in ``group``, which rise, share no string.
+    """
     cuts = [0]
     for i in range(1, len(at) - 1):
         if at[i + 1] - at[cuts[-1]] > shard:
             cuts.append(i)
     cuts.append(len(at) - 1)
     shards = [Shard(data[at[a] : at[b]], at[a : b + 1] - at[a], length) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    where, row, block = merge(shards, length)
-    order = np.concatenate([s.order for s in shards])
-    first = np.concatenate(([0], np.cumsum([s.size for s in shards])))
-    place = order[first[where] + row] + first[where]  # place in all symbols
-    ends = at[1:] + np.arange(1, len(at)) - 1  # where each context's end symbol is
-    context = np.searchsorted(ends, place)
-    place -= at[context] + context
-    ok = place + length <= at[context + 1] - at[context]
-    context, place, block = context[ok], place[ok], block[ok]
+    first = np.cumsum([0, *(s.size for s in shards)])
+    suffix = np.concatenate([s.order + a for s, a in zip(shards, first, strict=False)])  # by row: its place in all symbols
+    context = np.repeat(np.arange(len(at) - 1), np.diff(at) + 1)
+    place = np.arange(len(suffix)) - (at[:-1] + np.arange(len(at) - 1))[context]
+    # A string is reached from the suffix after it.
+    row = np.flatnonzero((place >= length)[suffix])
+    block = np.zeros(len(row), np.int64) if group is None else group[context[suffix[row]]]
+    by = np.argsort(block, kind="stable")
+    row, block = merge(shards, row[by], block[by], length)
     if not len(block):
-        return context, place
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    context, place = context[suffix[row]], place[suffix[row]]
     start = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
     least = np.repeat(np.minimum.reduceat(doc[context], start), np.diff(np.append(start, len(block))))
     gone = least < doc[context]
@@ -207,33 +219,54 @@ def repeated(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int = LE
 def _numbers(x: bytes, kind: type) -> np.ndarray:
     """The inverse of ``_planes``."""
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+    out = np.empty((len(x) // size, size), np.uint8)
+    for k, plane in enumerate(np.frombuffer(x, np.uint8).reshape(size, -1)):
+        out[:, k] = plane
+    return out.reshape(-1).view(kind)
 
 
 def _planes(x: np.ndarray) -> bytes:
     """Numbers by planes of bytes, so that the high ones, mostly zero, take no room once compressed."""
-    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+
+
+_codecs: dict[int, zstandard.ZstdCompressor] = {}
 
 
 def _squeeze(x: bytes, level: int = 1) -> bytes:
-    return zstandard.ZstdCompressor(level=level).compress(x)
+    if level not in _codecs:
+        _codecs[level] = zstandard.ZstdCompressor(level=level)
+    return _codecs[level].compress(x)
 
 
 def _full(x: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(x)
 
 
-def _pack(x: np.ndarray) -> bytes:
-    return _squeeze(_planes(x))
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of numbers in one: rows are as many as blocks times parts, so each should be cheap."""
+    return _squeeze(np.array([len(x) for x in columns], np.int64).tobytes() + b"".join(_planes(x) for x in columns))
+
+
+def _unpack(x: bytes, *kinds: type) -> list[np.ndarray]:
+    """The columns of ``_pack``."""
+    x, out = _full(x), []
+    begin = 8 * len(kinds)
+    for n, kind in zip(np.frombuffer(x, np.int64, len(kinds)).tolist(), kinds, strict=True):
+        end = begin + n * np.dtype(kind).itemsize
+        out.append(_numbers(x[begin:end], kind))
+        begin = end
+    return out
 
 
 def _table(columns: list, names: list[str], kinds: list[pa.DataType]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def _all(table: pa.Table, name: str, kind) -> np.ndarray:
-    """A column of packed numbers as one array."""
-    return np.concatenate([np.zeros(0, kind), *(_numbers(_full(x), kind) for x in table.column(name).to_pylist() if x)])
+def _all(table: pa.Table, name: str, *kinds: type) -> list[np.ndarray]:
+    """The columns of all packed values of a column, each as one array."""
+    rows = [_unpack(x, *kinds) for x in table.column(name).to_pylist()]
+    return [np.concatenate([np.zeros(0, kind), *(r[k] for r in rows)]) for k, kind in enumerate(kinds)]
 
 
 def _bits(parts: int) -> int:
@@ -283,7 +316,7 @@ def _block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(_full(row["texts"]), np.uint8), at, np.array(row["docs"], np.int64)
 
 
-def block_runs(data: np.ndarray, at: np.ndarray, length: int, gram: int, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def block_runs(data: np.ndarray, at: np.ndarray, length: int, gram: int, most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``runs`` of a block, about ``most`` bytes at a time; a longer text goes in slices that overlap, so a run may be cut there."""
     held = []
     lo, n = 0, len(at) - 1
@@ -330,13 +363,16 @@ def distinct(data: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndar
     return by, new
 
 
-def _spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[bytes, bytes, bytes]:
-    row, start, end = union(row, start, end)
-    return _pack(row.astype(np.int32)), _pack(start.astype(np.int32)), _pack(end.astype(np.int32))
+#: Row, start and end of spans.
+SPANS = (np.int32, np.int32, np.int32)
+
+
+def _spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
+    return _pack(*(x.astype(k) for x, k in zip(union(row, start, end), SPANS, strict=True)))
 
 
 def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY) -> DataFrame:
-    """(block, rows, starts, ends): what the texts of each block lose, packed; spans may overlap between rows of the result.
+    """(block, spans): what the texts of each block lose, packed; spans may overlap between rows of the result.
 
     Blocks tell each part the minimisers they hold; parts answer, in the order in which they were asked, which
     ones several documents hold. Blocks then send the contexts of those, one copy of each, to the part of the
@@ -387,8 +423,9 @@ def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: i
     answers = group_arrow(sent, "part", meet, "block bigint, part int, state binary")
     # At most every run is asked for; half of them is a great deal.
     wide = _bits(partitions_for(spark, -(-size // 28 * CONTEXT // PART)))
-    fields = ["part", "block", "key", "doc", "size", "bytes", "times", "row", "first", "late_row", "late_start", "late_end"]
-    types = [pa.int32(), pa.int64(), *[pa.binary()] * 10]
+    # Contexts: rising keys, orders of documents, sizes, places of each, rows and places. Spans: what is lost already.
+    fields, types = ["part", "block", "contexts", "bytes", "spans"], [pa.int32(), pa.int64(), *[pa.binary()] * 3]
+    numbers = (np.uint64, np.int64, *[np.int32] * 4)
 
     def send(block: pa.Table, answer: pa.Table) -> pa.Table:
         out = []
@@ -413,19 +450,25 @@ def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: i
             early = np.flatnonzero(~late)
             where = np.searchsorted(of[early], np.arange(len(lead) + 1))
 
-            def emit(key: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, times: np.ndarray, row: np.ndarray, first: np.ndarray, block: int) -> None:
+            # What waits to be sent: key, document, start and size of contexts, how often they occur, and where.
+            held: list[tuple[np.ndarray, ...]] = []
+
+            def emit(block: int) -> None:
+                key, doc, start, size, times, row, first = (np.concatenate(x) for x in zip(*held, strict=True))
+                held.clear()
+                by = np.argsort(key, kind="stable")
+                who = _ragged((np.cumsum(times) - times)[by], times[by])
+                key, doc, start, size, times, row, first = key[by], doc[by], start[by], size[by].astype(np.int32), times[by].astype(np.int32), row[who].astype(np.int32), first[who].astype(np.int32)
                 ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(times)))
                 for p, a, b in _cuts(key, wide)[1]:
                     who = slice(ends[a], ends[b])
-                    out.append((
-                        p, block, _pack(np.diff(key[a:b], prepend=np.uint64(0))), _pack(doc[a:b]), _pack(size[a:b].astype(np.int32)), _squeeze(data[_ragged(start[a:b], size[a:b])].tobytes()),
-                        _pack(times[a:b].astype(np.int32)), _pack(row[who].astype(np.int32)), _pack(first[who].astype(np.int32)), None, None, None,
-                    ))
+                    packed = _pack(np.diff(key[a:b], prepend=np.uint64(0)), doc[a:b], size[a:b], times[a:b], row[who], first[who])
+                    out.append((p, block, packed, _squeeze(data[_ragged(start[a:b], size[a:b])].tobytes(), 4), None))
 
             some = np.flatnonzero(state[lead] == 1)
             times = where[some + 1] - where[some]
             who = early[_ragged(where[some], times)]
-            emit(h[lead[some]], doc[lead[some]], start[lead[some]], size[lead[some]], times, row[who], first[who], r["block"])
+            held.append((h[lead[some]], doc[lead[some]], start[lead[some]], size[lead[some]], times, row[who], first[who]))
             # Of hot minimisers the strings go one by one, by their own hash; some at a time, whole minimisers as a rule.
             hot = np.flatnonzero(state[lead] == 2)
             weight = np.cumsum(size[lead[hot]] - length + 1)
@@ -451,23 +494,26 @@ def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: i
                 on = np.flatnonzero(~after)
                 who = early[_ragged(where[context[on]], n[on])]
                 times = np.bincount(string[on], n[on], len(head)).astype(np.int64)
-                emit(key[head], its[head], from_[head], width[: len(head)], times, row[who], first[who] + np.repeat(place[on], n[on]), r["block"])
+                held.append((key[head], its[head], from_[head], width[: len(head)], times, row[who], first[who] + np.repeat(place[on], n[on])))
+                emit(r["block"])
                 lo = hi
-            spans = _spans(*(np.concatenate(x) for x in zip(*gone, strict=True)))
-            out.append((zlib.crc32(str(r["block"]).encode()) % (1 << wide), r["block"], *[None] * 7, *spans))
+            if held:
+                emit(r["block"])
+            out.append((zlib.crc32(str(r["block"]).encode()) % (1 << wide), r["block"], None, None, _spans(*(np.concatenate(x) for x in zip(*gone, strict=True)))))
         return _table(list(zip(*out, strict=True)) if out else [[] for _ in fields], fields, types)
 
     def settle(table: pa.Table) -> pa.Table:
-        direct = table.filter(pc.is_valid(table.column("late_row")))
-        out = [tuple(direct.column(c).to_pylist()) for c in ("block", "late_row", "late_start", "late_end")]
-        out = [list(x) for x in out]
-        table = table.filter(pc.is_valid(table.column("key")))
+        direct = table.filter(pc.is_valid(table.column("spans")))
+        out = [direct.column(c).to_pylist() for c in ("block", "spans")]
+        table = table.filter(pc.is_valid(table.column("contexts")))
         if table.num_rows:
-            keys = [np.cumsum(_numbers(_full(x), np.uint64), dtype=np.uint64) for x in table.column("key").to_pylist()]
-            key, doc, size = np.concatenate(keys), _all(table, "doc", np.int64), _all(table, "size", np.int32).astype(np.int64)
-            times, row, first = (_all(table, c, np.int32).astype(np.int64) for c in ("times", "row", "first"))
+            sent = [_unpack(x, *numbers) for x in table.column("contexts").to_pylist()]
             data = np.frombuffer(b"".join(_full(x) for x in table.column("bytes").to_pylist()), np.uint8)
-            sender = np.repeat(np.arange(table.num_rows), [len(x) for x in keys])
+            key = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in sent])
+            sender = np.repeat(np.arange(len(sent)), [len(x[0]) for x in sent])
+            doc, size, times, row, first = (np.concatenate([x[k] for x in sent]) for k in range(1, 6))
+            del sent
+            size, times, row, first = (x.astype(np.int64) for x in (size, times, row, first))
             start, place_of = np.cumsum(size) - size, np.cumsum(times) - times
             by, new = distinct(data, start, size, key, doc)
             lead = np.flatnonzero(new)  # in order: the first sender of each context has its least document
@@ -497,7 +543,7 @@ def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: i
                 hi = int(np.searchsorted(ids, ids[hi - 1], "right"))  # whole minimisers; of at most ``heavy`` runs each
                 some = by[lead[mixed[lo:hi]]]
                 at = np.concatenate((np.zeros(1, np.int64), np.cumsum(size[some])))
-                context, place = repeated(data[_ragged(start[some], size[some])], at, doc[some], length)
+                context, place = repeated(data[_ragged(start[some], size[some])], at, doc[some], length, group=ids[lo:hi])
                 c = mixed[lo:hi][context]
                 n = by_context[c + 1] - by_context[c]
                 who = by[early[_ragged(by_context[c], n)]]
@@ -510,12 +556,12 @@ def removals(blocks: DataFrame, length: int = LENGTH, gram: int = GRAM, heavy: i
             edge = np.flatnonzero(np.concatenate(([True], sender_[order][1:] != sender_[order][:-1], [True]))) if len(order) else np.zeros(1, np.int64)
             for x, y in zip(edge[:-1], edge[1:], strict=True):
                 mine = order[x:y]
-                for column, value in zip(out, (names_[sender_[mine[0]]], *_spans(row_[mine], a[mine], b[mine])), strict=True):
-                    column.append(value)
-        return _table(out, ["block", "rows", "starts", "ends"], [pa.int64(), *[pa.binary()] * 3])
+                out[0].append(names_[sender_[mine[0]]])
+                out[1].append(_spans(row_[mine], a[mine], b[mine]))
+        return _table(out, ["block", "spans"], [pa.int64(), pa.binary()])
 
-    contexts = blocks.select("block", "docs", "sizes", "texts").groupBy("block").cogroup(answers.select("block", "part", "state").groupBy("block")).applyInArrow(send, "part int, block bigint, " + ", ".join(f"{c} binary" for c in fields[2:]))
-    return group_arrow(contexts, "part", settle, "block bigint, rows binary, starts binary, ends binary")
+    contexts = blocks.select("block", "docs", "sizes", "texts").groupBy("block").cogroup(answers.select("block", "part", "state").groupBy("block")).applyInArrow(send, "part int, block bigint, contexts binary, bytes binary, spans binary")
+    return group_arrow(contexts, "part", settle, "block bigint, spans binary")
 
 
 def union(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -549,7 +595,7 @@ def without_repeats(docs: DataFrame, texts: bool = True, length: int = LENGTH, g
 
     def cut(block: pa.Table, spans: pa.Table) -> pa.Table:
         out = []
-        rows, starts, ends = union(*(_all(spans, c, np.int32).astype(np.int64) for c in ("rows", "starts", "ends")))
+        rows, starts, ends = union(*(x.astype(np.int64) for x in _all(spans, "spans", *SPANS)))
         for k in range(block.num_rows):
             ids, sizes, data = block.column("ids")[k].values, block.column("sizes")[k].as_py(), _full(block.column("texts")[k].as_py())
             at = np.searchsorted(rows, np.arange(len(sizes) + 1))

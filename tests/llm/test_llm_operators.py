@@ -401,6 +401,17 @@ def test_merged_transforms_find_repeats(shard):
         assert got == {(k, i) for k, t in enumerate(texts) for i in range(len(t) - length + 1) if least[t[i : i + length]] < doc[k]}
 
 
+def test_settled_suffixes_leave_the_merge(monkeypatch):
+    rng = np.random.default_rng(8)
+    data = rng.integers(97, 123, 70 * 900).astype(np.uint8)
+    data[70 * 500 + 3 : 70 * 500 + 63] = data[5:65]
+    sort, sorted_ = np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda x, **k: sorted_.append(len(x)) or sort(x, **k))
+    context, place = suffix_dedup.repeated(data, np.arange(901) * 70, np.arange(900), 50, 20_000)
+    assert sorted(zip(context.tolist(), place.tolist(), strict=True)) == [(500, 3 + i) for i in range(11)]
+    assert sum(sorted_) < 10 * len(data)  # not twice for each of the 50 bytes
+
+
 # ---------------------------------------------------------------- licences, exact copies
 
 
