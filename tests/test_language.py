@@ -99,3 +99,22 @@ def test_texts_that_are_not_chosen_do_not_move(spark):
         assert Counter(map(tuple, some.collect())) == Counter((lang, t) for lang, ts in want.items() for t in ts[:n])
     window = language.first_texts(df, 37)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in window  # what is ranked, without texts, is written before texts are read
+
+
+def test_no_task_reads_all_hashes_of_a_language(spark):
+    df = spark.range(60_000, numPartitions=8).select("id", F.lit("en").alias("language"), F.concat(F.lit("text "), F.when(F.col("id") < 5000, F.lit("alike")).otherwise(F.col("id").cast("string"))).alias("text"))
+    store = spark.sparkContext._jsc.sc().statusStore()
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("first-texts", "")
+    try:
+        got = Counter(r["text"] for r in language.first_texts(df, 1500).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.sparkContext._jsc.clearJobGroup()
+    texts = ["text alike"] * 5000 + [f"text {i}" for i in range(5000, 60_000)]
+    assert got == Counter(sorted(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())[:1500])
+    track = spark.sparkContext.statusTracker()
+    stages = {s for j in track.getJobIdsForGroup("first-texts") for s in track.getJobInfo(j).stageIds}
+    tasks = [t for s in stages for t in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.taskList(s, 0, 1000))]
+    assert tasks and max(t.taskMetrics().get().shuffleReadMetrics().recordsRead() for t in tasks if t.taskMetrics().isDefined()) < 45_000
