@@ -4,6 +4,7 @@ import hashlib
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from sparkloom.operators import cleaning, language
@@ -118,3 +119,14 @@ def test_no_task_reads_all_hashes_of_a_language(spark):
     stages = {s for j in track.getJobIdsForGroup("first-texts") for s in track.getJobInfo(j).stageIds}
     tasks = [t for s in stages for t in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.taskList(s, 0, 1000))]
     assert tasks and max(t.taskMetrics().get().shuffleReadMetrics().recordsRead() for t in tasks if t.taskMetrics().isDefined()) < 45_000
+
+
+def test_few_texts_are_decoded_at_once(monkeypatch):
+    codes = np.array(sorted(language._code(g) for g in ("a", "b", "ab", " a")), np.int64)
+    profile = language.Profile(["x", "y"], codes, np.array([[-1.0, -2], [-3, -1], [-2, -2], [-1, -5]]))
+    texts, points, seen = [" ab ", None, "", " b a " * 30] * 25, language._points, []
+    want = [profile.score([t]) for t in texts]
+    monkeypatch.setattr(language, "AT_ONCE", 20)
+    monkeypatch.setattr(language, "_points", lambda x: seen.append(sum(len(t or "") for t in x)) or points(x))
+    total, known = profile.score(texts)
+    assert max(seen) <= 320 and (total == np.concatenate([w[0] for w in want])).all() and (known == np.concatenate([w[1] for w in want])).all()
