@@ -172,3 +172,47 @@ def test_places_that_no_group_fits_can_stay_empty(spark):
     assert dict(map(tuple, got)) == {1: "train", 2: "train", 3: "test"}
     none = repair.repair(spark.createDataFrame(rows, schema), PAIRS, 0.9, most_rounds=0, strict=False).select("id", "split").collect()
     assert dict(map(tuple, none)) == {1: "train", 2: "test", 3: "test"}
+
+
+def shuffled(spark):
+    """Bytes that all shuffles so far have written."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def test_pairs_of_blocks_take_no_disk(spark, tmp_path):
+    """Vectors without structure, of which no pair of blocks is ruled out: what is shuffled stays within a few times the table."""
+    x = np.random.default_rng(3).normal(size=(6000, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    split = lambda i: "test" if i % 10 == 0 else "validation" if i % 10 == 3 else "train"
+    rows = [(i, v.tolist(), f"g{i}", "c", "s", 0, split(i)) for i, v in enumerate(x)]
+    spark.createDataFrame(rows, "id bigint, vector array<double>, group string, category string, source string, hardness int, split string").write.parquet(f"{tmp_path}/x")
+    usual, before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), shuffled(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a table that is too large
+    try:
+        out = repair.repair(spark.read.parquet(f"{tmp_path}/x"), PAIRS, 0.55, most_rounds=1, strict=False).select("id", "split").collect()
+        grown = shuffled(spark) - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert {r["id"]: r["split"] for r in out} != {r[0]: r[6] for r in rows}
+    assert grown < 10 * x.nbytes, grown / x.nbytes
+
+
+def test_reached_finds_every_link_and_no_other(spark):
+    """Also where dot products lie at the threshold, where norms are very large or zero, and within a label."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(700, 8)).astype(np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[:300, 0] = 0.5
+    x[300] = [1.0, *[0.0] * 7]  # 0.5 to the first ones
+    x[301], x[302:304], x[304] = [1 - 1e-12, *[0.0] * 7], 0, x[5] * 1e12
+    sides, names = ["a" if i % 3 else "b" for i in range(700)], [f"l{i // 2}" for i in range(700)]
+    df = spark.createDataFrame([(i, v.tolist(), names[i], sides[i]) for i, v in enumerate(x)], "id int, vector array<double>, name string, split string")
+    pivots = similarity.pivots_of(df, 64)
+    blocks = similarity.Blocks(similarity.deal(df, pivots, 64), pivots, "name", "split")
+    for least, rule in ((0.5, None), (0.5, [("a", "b")]), (0.97, None), (-0.2, None)):
+        s = x @ x.T
+        want = {(names[i], sides[j]) for i, j in zip(*np.nonzero(s >= least), strict=True) if names[i] != names[j] and (rule is None or (sides[i], sides[j]) in rule)}
+        got = [tuple(r) for r in similarity.reached(blocks, blocks, least, rule).collect()]
+        assert len(got) == len(set(got)) and set(got) == want, least
+    assert "CartesianProduct" in similarity.reached(blocks, blocks, 0.5)._jdf.queryExecution().executedPlan().toString()
